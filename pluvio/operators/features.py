@@ -62,28 +62,33 @@ def municipality_day_agg(station_day: DataFrame, bridge: DataFrame,
                  F.bool_or("dia_completo").alias("dia_completo")))
 
 
-def prior_days_window(key: str, date: str, days: int):
-    """RANGE frame over the ``days`` calendar days strictly before the row."""
+def prior_days_window(key: str, date: str, days: int, frame: str = "range"):
+    """Frame over the ``days`` calendar days strictly before the row.
+
+    ``frame="rows"`` reproduces the older version, which took the previous
+    ``days`` *rows* and so bridged missing days."""
+    if frame == "rows":
+        return Window.partitionBy(key).orderBy(date).rowsBetween(-days, -1)
     return (Window.partitionBy(key).orderBy(F.unix_date(F.col(date)))
             .rangeBetween(-days, -1))
 
 
 def rolling_prior_sum(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
                       date: str = "data_local", value: str = "precip_dia",
-                      spans: dict | None = None) -> DataFrame:
+                      spans: dict | None = None, frame: str = "range") -> DataFrame:
     """Sums over the previous 1/2/3 calendar days (the day itself excluded).
     Sums ignore missing days; a frame with no value gives NULL."""
     spans = spans or {"precip_24h": 1, "precip_48h": 2, "precip_72h": 3}
-    return md.withColumns({name: F.sum(value).over(prior_days_window(key, date, d))
+    return md.withColumns({name: F.sum(value).over(prior_days_window(key, date, d, frame))
                            for name, d in spans.items()})
 
 
 def window_validity(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
                     date: str = "data_local", complete: str = "dia_completo",
-                    days: int = 3) -> DataFrame:
+                    days: int = 3, frame: str = "range") -> DataFrame:
     """``janela_valida``: all ``days`` prior calendar days are present and
     complete; imputed hours in the same frame."""
-    w = prior_days_window(key, date, days)
+    w = prior_days_window(key, date, days, frame)
     return md.withColumns({
         "janela_valida": F.coalesce(F.count_if(F.col(complete)).over(w), F.lit(0)) == days,
         "horas_imputadas_72h": F.coalesce(F.sum("horas_imputadas").over(w), F.lit(0))

@@ -180,3 +180,185 @@ def q_human_damage(spark, d):
 def q_table_profile(spark, d):
     ev = read(spark, d, "events", ["user_id", "ts"])
     return rep.table_profile(ev.withColumn("data", F.to_date("ts")), "user_id", "data")
+
+
+# --------------------------------------------------------- version compare
+
+from pluvio.operators import compare as cmp  # noqa: E402
+from pluvio.operators import features as feat  # noqa: E402
+from pluvio.operators import quality as qual  # noqa: E402
+from pluvio.operators import series as ser  # noqa: E402
+
+VKEYS = ["CODIGO_MUNICIPIO_IBGE", "data_local"]
+
+
+@register("keys_only_in_a")
+def q_keys_only_in_a(spark, d):
+    return cmp.keys_only_in(S.version_old(spark, d), S.version_new(spark, d), VKEYS)
+
+
+@register("keys_only_in_b")
+def q_keys_only_in_b(spark, d):
+    return cmp.keys_only_in(S.version_new(spark, d), S.version_old(spark, d), VKEYS)
+
+
+@register("changed_values")
+def q_changed_values(spark, d):
+    return cmp.changed_values(S.version_old(spark, d), S.version_new(spark, d), VKEYS,
+                              S.VERSION_COLS, digits=6)
+
+
+@register("transition_matrix")
+def q_transition_matrix(spark, d):
+    return cmp.transition_matrix(S.version_old(spark, d), S.version_new(spark, d), VKEYS,
+                                 "janela_valida")
+
+
+@register("change_direction")
+def q_change_direction(spark, d):
+    return finish(cmp.change_direction(S.version_old(spark, d), S.version_new(spark, d), VKEYS,
+                                       ["precip_dia", "precip_24h", "precip_48h", "precip_72h",
+                                        "precip_max_horaria"], digits=6))
+
+
+# ------------------------------------------------------------ hourly series
+
+@register("gap_runs")
+def q_gap_runs(spark, d):
+    runs = ser.gap_runs(S.events_hourly(spark, d))
+    return finish(runs.select("CODIGO_WMO", "inicio", "fim", "gap_hours",
+                              ser.gap_class("gap_hours", S.GRID_SHORT, S.GRID_MEDIUM, S.GRID_LONG)
+                              .alias("gap_classe")))
+
+
+@register("impute_hourly")
+def q_impute_hourly(spark, d):
+    return finish(S.imputed_grid(spark, d).select(*ser.GRID_COLS))
+
+
+@register("imputation_report")
+def q_imputation_report(spark, d):
+    return finish(ser.imputation_report(S.imputed_grid(spark, d)))
+
+
+@register("imputation_round_compare")
+def q_imputation_round_compare(spark, d):
+    r1 = ser.imputation_report(S.imputed_grid(spark, d, fill_all=True))
+    rf = ser.imputation_report(S.imputed_grid(spark, d))
+    return ser.imputation_round_compare(r1, rf)
+
+
+@register("longest_gap_location")
+def q_longest_gap_location(spark, d):
+    h = S.events_hourly(spark, d)
+    return finish(ser.longest_gap_location(ser.gap_runs(h), ser.station_span(h)))
+
+
+def _segments(spark, d):
+    h = S.events_hourly(spark, d)
+    seg = ser.longest_clean_segment(ser.gap_runs(h), ser.station_span(h), medium=S.GRID_MEDIUM)
+    return ser.chronic_exclusion(seg, S.MAX_OBSTACLES, S.MIN_SEGMENT_HOURS)
+
+
+@register("longest_clean_segment")
+def q_longest_clean_segment(spark, d):
+    return finish(_segments(spark, d))
+
+
+def _station_metadata(spark, d):
+    rep_ = ser.imputation_report(S.imputed_grid(spark, d))
+    seg = _segments(spark, d).select("CODIGO_WMO", "grid_inicio", "grid_fim", "n_obstaculos",
+                                     "segmento_inicio", "segmento_fim", "horas_removidas",
+                                     "excluida", "motivo_exclusao")
+    ids = S.station_coords(spark, d)
+    m = rep_.join(seg, "CODIGO_WMO").join(ids, "CODIGO_WMO", "left")
+    fora = qual.out_of_territory("latitude", "longitude", S.TERRITORY["lat"], S.TERRITORY["lon"])
+    excl = F.col("excluida") | fora
+    seg_c = (F.col("tier") == "C") & ~excl
+    pct_imp = F.round(100.0 * F.col("n_imputed") / F.col("total"), 4)
+    return m.select(
+        "CODIGO_WMO", "ESTACAO", "ibge", "latitude", "longitude",
+        F.col("grid_inicio").alias("periodo_inicio"), F.col("grid_fim").alias("periodo_fim"),
+        F.col("total").alias("total_horas_validas"),
+        (F.col("total") - F.col("n_imputed")).alias("n_observado"),
+        (F.col("total") - F.col("n_orig_missing")).alias("n_observado_real"),
+        F.col("n_imputed").alias("n_imputado"), F.col("n_remaining_na").alias("n_nan_residual"),
+        pct_imp.alias("pct_imputado"), "tier", "n_obstaculos",
+        seg_c.alias("foi_segmentada_tier_c"),
+        fora.alias("fora_do_territorio"),
+        F.when(excl, "excluida").otherwise("incluida").alias("status_final"),
+        F.when(fora, "fora_do_territorio").otherwise(F.col("motivo_exclusao"))
+         .alias("motivo_exclusao_final"),
+        ser.quality_class(excl, seg_c, pct_imp).alias("qualidade_geral"))
+
+
+@register("station_metadata")
+def q_station_metadata(spark, d):
+    return finish(_station_metadata(spark, d))
+
+
+@register("constant_column_check")
+def q_constant_column_check(spark, d):
+    m = _station_metadata(spark, d)
+    return finish(qual.constant_columns(m, ["latitude", "longitude", "n_obstaculos",
+                                            "n_nan_residual", "pct_imputado"]))
+
+
+@register("metadata_join")
+def q_metadata_join(spark, d):
+    return qual.orphan_check(S.imputed_grid(spark, d), S.station_coords(spark, d), "CODIGO_WMO")
+
+
+@register("row_conservation_check")
+def q_row_conservation(spark, d):
+    ev = read(spark, d, "events")
+    ev = lab.normalize_columns(ev.toDF(*[c.upper() + " " for c in ev.columns]))
+    types = ["click", "view", "purchase", "signup", "error"]
+    # parts with different column sets, as per-file schemas differ
+    parts = [ev.filter(F.col("event_type") == t).drop(*(["props"] if i % 2 else []))
+             for i, t in enumerate(types)]
+    cons = parts[0]
+    for p in parts[1:]:
+        cons = cons.unionByName(p, allowMissingColumns=True)
+    sliced = cons.filter((F.col("ts") >= F.lit("2024-01-02").cast("timestamp_ntz"))
+                         & (F.col("ts") < F.lit("2024-01-29").cast("timestamp_ntz")))
+    dedup = sliced.dropDuplicates()
+    r = qual.row_conservation(parts, cons)
+    dedup_n = dedup.agg(F.count(F.lit(1)).alias("n"))
+    expected = ["event_id", "ts", "user_id", "event_type", "value", "station_name"]
+    contract = qual.schema_contract_check(spark, ev, expected)
+    c = contract.agg(F.count_if(F.col("status") == "faltando").alias("faltando"),
+                     F.count_if(F.col("status") == "extra").alias("extra"))
+    return rep.metric_report([
+        rep.metric_rows(r, "conservacao", {"n_partes": "n_partes", "n_arquivos": "n_arquivos",
+                                           "n_consolidado": "n_consolidado",
+                                           "conservado": "conservado"}),
+        rep.metric_rows(dedup_n, "dedup", {"n_periodo_distintos": "n"}),
+        rep.metric_rows(c, "contrato", {"colunas_faltando": "faltando", "colunas_extra": "extra"}),
+    ])
+
+
+# ------------------------------------------------------------ daily features
+
+@register("daily_features")
+def q_daily_features(spark, d):
+    x = feat.daily_features(S.imputed_grid(spark, d), S.bridge(spark, d), tz=S.LOCAL_TZ,
+                            min_hours_complete=24)
+    return finish(x)
+
+
+@register("daily_station_agg")
+def q_daily_station_agg(spark, d):
+    ev = read(spark, d, "events", ["user_id", "ts", "value"])
+    readings = ev.select(F.col("user_id").alias("id_estacao"), F.to_date("ts").alias("data"),
+                         F.year("ts").alias("ano"), F.month("ts").alias("mes"),
+                         F.col("value").alias("precipitacao_total"))
+    daily = feat.daily_station_agg(readings, station="id_estacao", date="data",
+                                   extra_avgs={"valor_medio": "precipitacao_total"},
+                                   year_range=(2024, 2024))
+    dim = read(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"]).select(
+        F.col("c_custkey").alias("id_estacao"), F.col("c_nationkey").cast("bigint")
+        .alias("id_municipio"), F.col("c_name").alias("estacao"))
+    out = feat.attribute_left_join(daily, dim, "id_estacao")
+    return finish(out.select(F.year("data").cast("bigint").alias("ano"),
+                             F.month("data").cast("bigint").alias("mes"), "*"))

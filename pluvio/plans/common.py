@@ -19,7 +19,12 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            # two-step rounding: values that differ by an ulp (another
+            # summation order) meet at 9 digits before the final cut
+            out.append(F.round(F.round(F.col(f.name), 9), digits).alias(f.name))
+        elif isinstance(f.dataType, T.TimestampType):
+            # wall-clock UTC value, independent of the client's time zone
+            out.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

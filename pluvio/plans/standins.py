@@ -180,3 +180,82 @@ def station_exclusions(spark: SparkSession, d: str) -> DataFrame:
 
 def kept_stations(spark: SparkSession, d: str) -> DataFrame:
     return lab.station_status_filter(stations(spark, d), station_exclusions(spark, d))
+
+
+# ----------------------------------------------------------- hourly series
+
+GRID_SHORT, GRID_MEDIUM, GRID_LONG = 6, 48, 168
+MAX_OBSTACLES = 3             # stand-in thresholds for a 30-day series
+MIN_SEGMENT_HOURS = 240
+TERRITORY = {"lat": (-24.5, -14.0), "lon": (-49.5, -39.0)}
+
+
+def imputed_grid(spark: SparkSession, d: str, fill_all: bool = False) -> DataFrame:
+    from pluvio.operators import series as ser
+    return ser.impute_hourly(events_hourly(spark, d), short=GRID_SHORT, medium=GRID_MEDIUM,
+                             long=GRID_LONG, fill_all=fill_all)
+
+
+def station_coords(spark: SparkSession, d: str) -> DataFrame:
+    """Station identity and coordinates (integer arithmetic on the key)."""
+    c = read(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    return c.select(F.col("c_custkey").alias("CODIGO_WMO"), F.col("c_name").alias("ESTACAO"),
+                    F.col("c_nationkey").cast("bigint").alias("ibge"),
+                    (-25.0 + (F.col("c_custkey") * 37 % 1000) / 100.0).alias("latitude"),
+                    (-50.0 + (F.col("c_custkey") * 53 % 1000) / 100.0).alias("longitude"))
+
+
+# --------------------------------------------------------- feature versions
+
+VERSION_COLS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h",
+                "precip_max_horaria", "janela_valida", "n_estacoes"]
+NEW_FROM, OLD_UNTIL = "2024-01-02", "2024-01-29"
+
+
+def user_days(spark: SparkSession, d: str) -> DataFrame:
+    """Station-days of the hourly series (UTC days), in the X layout."""
+    sd = feat.station_day_agg(events_hourly(spark, d), imputed=None, tz="+00:00",
+                              min_hours_complete=1)
+    return sd.select(F.col("CODIGO_WMO").alias("CODIGO_MUNICIPIO_IBGE"), "data_local",
+                     "precip_dia", "precip_max_horaria",
+                     F.lit(1).cast("bigint").alias("n_estacoes"),
+                     "horas_imputadas", "dia_completo")
+
+
+def features_version(spark: SparkSession, d: str, frame: str) -> DataFrame:
+    ud = feat.rolling_prior_sum(user_days(spark, d), frame=frame)
+    return feat.window_validity(ud, frame=frame)
+
+
+def version_new(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar (RANGE) windows; covers the days from NEW_FROM."""
+    v = features_version(spark, d, "range")
+    return v.filter(F.col("data_local") >= F.lit(NEW_FROM).cast("date"))
+
+
+def version_old(spark: SparkSession, d: str) -> DataFrame:
+    """Row (ROWS) windows; covers the days before OLD_UNTIL."""
+    v = features_version(spark, d, "rows")
+    return v.filter(F.col("data_local") < F.lit(OLD_UNTIL).cast("date"))
+
+
+def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels per (station, UTC day) from error events above the threshold."""
+    ev = read(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    ev = ev.filter((F.col("event_type") == "error") & (F.col("value") > Y_MIN_VALUE))
+    reg = ev.select(F.col("event_id").alias("protocolo_s2id"),
+                    F.col("user_id").cast("string").alias("nome_municipio"),
+                    F.lit(None).cast("string").alias("sigla_uf"),
+                    band_code(F.col("value")).alias("cobrade"),
+                    F.col("user_id").alias("ibge"),
+                    F.to_date("ts").alias("data_evento"),
+                    F.lit(None).cast("string").alias("regiao"),
+                    F.lit("Hidrologico").alias("grupo_de_desastre"))
+    y = lab.build_labels(reg, "data_evento", 2024, 2024, region_value=None,
+                         tie=("protocolo_s2id",))
+    return lab.to_label_table(y)
+
+
+def modelling_table(spark: SparkSession, d: str) -> DataFrame:
+    """Station-day features (calendar windows) LEFT JOIN labels."""
+    return lab.label_join(features_version(spark, d, "range"), user_day_labels(spark, d))
