@@ -362,3 +362,62 @@ def q_daily_station_agg(spark, d):
     out = feat.attribute_left_join(daily, dim, "id_estacao")
     return finish(out.select(F.year("data").cast("bigint").alias("ano"),
                              F.month("data").cast("bigint").alias("mes"), "*"))
+
+
+# ------------------------------------------------------------- statistics
+
+from pluvio.operators import stats as st  # noqa: E402
+
+VARS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h"]
+
+
+def _scenarios(df):
+    return [("todos", df), ("janela_valida", df.filter(F.col("janela_valida")))]
+
+
+@register("group_percentiles")
+def q_group_percentiles(spark, d):
+    mt = S.modelling_table(spark, d)
+    parts = [st.group_percentiles(sub, VARS).withColumn("cenario", F.lit(n))
+             for n, sub in _scenarios(mt)]
+    return finish(parts[0].unionByName(parts[1]))
+
+
+@register("rank_auc")
+def q_rank_auc(spark, d):
+    mt = S.modelling_table(spark, d)
+    parts = [st.rank_auc(sub, VARS).withColumn("cenario", F.lit(n)) for n, sub in _scenarios(mt)]
+    return finish(parts[0].unionByName(parts[1]))
+
+
+@register("boxplot_stats")
+def q_boxplot_stats(spark, d):
+    return finish(st.boxplot_stats(S.modelling_table(spark, d), VARS))
+
+
+@register("signal_scenarios")
+def q_signal_scenarios(spark, d):
+    return finish(st.signal_scenarios(S.modelling_table(spark, d), VARS))
+
+
+# ------------------------------------------------- describe / nulls / top-k
+
+@register("describe_table")
+def q_describe_table(spark, d):
+    p = read(spark, d, "part", ["p_size", "p_retailprice"])
+    return finish(rep.describe_table(p, ["p_size", "p_retailprice"]))
+
+
+@register("null_counts")
+def q_null_counts(spark, d):
+    return rep.null_counts(S.modelling_table(spark, d))
+
+
+@register("top_k")
+def q_top_k(spark, d):
+    li = read(spark, d, "lineitem", ["l_partkey", "l_discount"])
+    by_part = li.groupBy("l_partkey").agg(F.avg("l_discount").alias("desconto_medio"))
+    p = read(spark, d, "part", ["p_partkey", "p_name"])
+    j = by_part.join(p, by_part.l_partkey == p.p_partkey).select("p_partkey", "p_name",
+                                                                  "desconto_medio")
+    return finish(rep.top_k(j, 10, "desconto_medio", ["p_partkey"]))

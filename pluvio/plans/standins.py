@@ -257,5 +257,7 @@ def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def modelling_table(spark: SparkSession, d: str) -> DataFrame:
-    """Station-day features (calendar windows) LEFT JOIN labels."""
-    return lab.label_join(features_version(spark, d, "range"), user_day_labels(spark, d))
+    """Station-day features (calendar windows) LEFT JOIN labels, doubles
+    rounded as a stored table would hold them."""
+    from pluvio.plans.common import finish
+    return finish(lab.label_join(features_version(spark, d, "range"), user_day_labels(spark, d)))
