@@ -421,3 +421,70 @@ def q_top_k(spark, d):
     j = by_part.join(p, by_part.l_partkey == p.p_partkey).select("p_partkey", "p_name",
                                                                   "desconto_medio")
     return finish(rep.top_k(j, 10, "desconto_medio", ["p_partkey"]))
+
+
+# ------------------------------------------------------- spatial / raster
+
+from pluvio.functions.scalars import accent_fold, code_to_name, state_prefix  # noqa: E402
+from pluvio.operators import spatial as sp  # noqa: E402
+
+
+@register("point_in_polygon")
+def q_point_in_polygon(spark, d):
+    return sp.point_in_polygon(S.station_points(spark, d), S.municipality_polygons(spark, d),
+                               cell=S.SPATIAL_CELL)
+
+
+@register("nearest_within")
+def q_nearest_within(spark, d):
+    pts, polys = S.station_points(spark, d), S.municipality_polygons(spark, d)
+    w = sp.point_in_polygon(pts, polys, cell=S.SPATIAL_CELL)
+    rest = w.filter(F.col("poly_within").isNull()).select("CODIGO_WMO", "x", "y")
+    return finish(sp.nearest_within(rest, polys, S.NEAREST_KM, cell=S.SPATIAL_CELL))
+
+
+def _geo_bridge(spark, d):
+    return sp.station_to_municipality(S.station_points(spark, d), S.municipality_polygons(spark, d),
+                                      S.NEAREST_KM, cell=S.SPATIAL_CELL)
+
+
+@register("crosscheck_join")
+def q_crosscheck(spark, d):
+    return finish(sp.crosscheck(_geo_bridge(spark, d), S.bridge(spark, d), "CODIGO_WMO",
+                                "poly_id", "ibge"))
+
+
+@register("name_divergence")
+def q_name_divergence(spark, d):
+    g = _geo_bridge(spark, d).join(
+        S.municipality_polygons(spark, d).select("poly_id", "NM_MUN"), "poly_id")
+    b = S.bridge(spark, d).select("CODIGO_WMO", "municipio_ibge")
+    j = g.join(b, "CODIGO_WMO")
+    return j.filter(accent_fold("NM_MUN") != accent_fold("municipio_ibge")).select(
+        "CODIGO_WMO", F.col("municipio_ibge").alias("nome_bridge"),
+        F.col("NM_MUN").alias("nome_geometria"), "metodo")
+
+
+@register("mosaic_cells")
+def q_mosaic_cells(spark, d):
+    return finish(sp.mosaic_cells(S.raster_tiles(spark, d, "altitude")))
+
+
+@register("zonal_stats")
+def q_zonal_stats(spark, d):
+    m = sp.mosaic_cells(S.raster_tiles(spark, d, "altitude"))
+    return finish(sp.zonal_stats(m, S.municipality_polygons(spark, d), "altitude",
+                                 S.RASTER_CELL, S.SPATIAL_CELL))
+
+
+@register("topography_table")
+def q_topography_table(spark, d):
+    polys = sp.region_filter(S.municipality_polygons(spark, d), "CD_MUN", list(S.UF_NAMES))
+    alt = sp.zonal_stats(sp.mosaic_cells(S.raster_tiles(spark, d, "altitude")), polys,
+                         "altitude", S.RASTER_CELL, S.SPATIAL_CELL)
+    dec = sp.zonal_stats(sp.mosaic_cells(S.raster_tiles(spark, d, "declividade")), polys,
+                         "declividade", S.RASTER_CELL, S.SPATIAL_CELL)
+    base = polys.select("poly_id", "CD_MUN", "NM_MUN",
+                        code_to_name(state_prefix("CD_MUN"), S.UF_NAMES).alias("UF"))
+    out = base.join(alt, "poly_id", "left").join(dec, "poly_id", "left").drop("poly_id")
+    return finish(out)

@@ -261,3 +261,52 @@ def modelling_table(spark: SparkSession, d: str) -> DataFrame:
     rounded as a stored table would hold them."""
     from pluvio.plans.common import finish
     return finish(lab.label_join(features_version(spark, d, "range"), user_day_labels(spark, d)))
+
+
+# ---------------------------------------------------------- spatial / raster
+
+SPATIAL_CELL = 100.0     # km, grid bucket of the spatial joins
+RASTER_CELL = 5.0        # km, raster cell side
+NEAREST_KM = 100.0
+# State code prefix -> state abbreviation.
+UF_NAMES = {"31": "MG", "32": "ES", "33": "RJ", "35": "SP"}
+
+
+def station_points(spark: SparkSession, d: str) -> DataFrame:
+    """Station coordinates (km) by integer arithmetic on the key."""
+    c = read(spark, d, "customer", ["c_custkey"])
+    return c.select(F.col("c_custkey").alias("CODIGO_WMO"),
+                    (F.col("c_custkey") * 7919 % 1000).cast("double").alias("x"),
+                    (F.col("c_custkey") * 104729 % 1000).cast("double").alias("y"))
+
+
+def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
+    """One convex hexagon per nation on a 5 x 5 layout of 200 km cells."""
+    n = read(spark, d, "nation", ["n_nationkey", "n_name"])
+    k = F.col("n_nationkey")
+    cx = (100 + 200 * (k % 5)).cast("double")
+    cy = (100 + 200 * F.floor(k / 5)).cast("double")
+    r = (56 + 8 * (k % 4)).cast("double")
+
+    def v(dx, dy):
+        return F.struct((cx + dx).alias("x"), (cy + dy).alias("y"))
+    ring = F.array(v(r, 0.0), v(r / 2, 7 * r / 8), v(-r / 2, 7 * r / 8), v(-r, 0.0),
+                   v(-r / 2, -7 * r / 8), v(r / 2, -7 * r / 8))
+    return n.select(k.cast("bigint").alias("poly_id"), F.col("n_name").alias("NM_MUN"),
+                    ((31 + k % 5) * 1000 + k).cast("bigint").alias("CD_MUN"),
+                    ring.alias("ring"))
+
+
+def raster_tiles(spark: SparkSession, d: str, product: str) -> DataFrame:
+    """Tile cells of one product from line items: tile = line number, cell
+    from key arithmetic, NODATA where the source value is zero."""
+    li = read(spark, d, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice",
+                                     "l_discount", "l_tax", "l_quantity"])
+    if product == "altitude":
+        v = F.when(F.col("l_discount") == 0, F.lit(-9999.0)).otherwise(F.col("l_extendedprice") / 100.0)
+    else:
+        v = F.when(F.col("l_tax") == 0, F.lit(-9999.0)).otherwise(F.col("l_quantity"))
+    return (li.groupBy(F.col("l_linenumber").cast("bigint").alias("tile"),
+                       (F.col("l_orderkey") * 13 % 200).alias("row"),
+                       (F.col("l_partkey") * 7 % 200).alias("col"))
+              .agg(F.max(v).alias("value")))
