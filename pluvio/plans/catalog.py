@@ -488,3 +488,95 @@ def q_topography_table(spark, d):
                         code_to_name(state_prefix("CD_MUN"), S.UF_NAMES).alias("UF"))
     out = base.join(alt, "poly_id", "left").join(dec, "poly_id", "left").drop("poly_id")
     return finish(out)
+
+
+# ------------------------------------------------------------------ ingest
+
+from pluvio.sources import station_files as sf  # noqa: E402
+
+
+@register("station_file_ingest")
+def q_station_file_ingest(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    long = sf.parse_text_files(docs, path="doc_id", text="text")
+    return long.select(F.col("path").alias("doc_id"), "linha", "inicio_dados", "sep",
+                       F.size("cabecalho").cast("bigint").alias("n_cabecalho"),
+                       F.size("campos").cast("bigint").alias("n_campos"),
+                       F.size(F.filter("campos", lambda v: v.isNull())).cast("bigint")
+                        .alias("n_nulos"),
+                       *[F.col(h) for h in sf.HEADER_FIELDS])
+
+
+# -------------------------------------------------------------- evaluation
+
+from pluvio.operators import evaluation as ev  # noqa: E402
+
+FOLD_FIRST_CUT, FOLD_DAYS, N_FOLDS = "2024-01-11", 5, 4
+THRESHOLD = 0.5
+
+
+def _scored(spark, d):
+    mt = S.modelling_table(spark, d)
+    return mt.withColumn("prob", F.col("precip_dia") / (F.col("precip_dia") + 100.0))
+
+
+@register("temporal_folds")
+def q_temporal_folds(spark, d):
+    f = ev.temporal_folds(S.modelling_table(spark, d), "data_local", FOLD_FIRST_CUT, FOLD_DAYS,
+                          N_FOLDS)
+    return ev.fold_summary(f, "data_local", "evento")
+
+
+@register("brier_score")
+def q_brier_score(spark, d):
+    return finish(ev.brier_score(_scored(spark, d), "prob", "evento"))
+
+
+@register("reliability_bins")
+def q_reliability_bins(spark, d):
+    return finish(ev.reliability_bins(_scored(spark, d), "prob", "evento"))
+
+
+@register("precision_recall_f1")
+def q_precision_recall_f1(spark, d):
+    return finish(ev.precision_recall_f1(_scored(spark, d), "prob", "evento", THRESHOLD))
+
+
+@register("class_weights")
+def q_class_weights(spark, d):
+    return finish(ev.class_weights(S.modelling_table(spark, d), "evento"))
+
+
+# ------------------------------------------------------------------- sinks
+
+from pluvio.sources import sinks as snk  # noqa: E402
+
+
+def _diff(a, b):
+    """Rows of ``a`` and ``b`` that do not pair up (multiset difference)."""
+    t = a.withColumn("__t", F.lit(1)).unionByName(b.withColumn("__t", F.lit(-1)))
+    g = t.groupBy(*a.columns).agg(F.sum("__t").alias("__s"))
+    return g.agg(F.coalesce(F.sum(F.abs("__s")), F.lit(0)).cast("bigint").alias("n"))
+
+
+@register("sinks_round_trip")
+def q_sinks_round_trip(spark, d):
+    src = read(spark, d, "events")
+    base = snk.scratch_path(src, "pluvio-sinks")
+    csv_p = snk.csv_sink(src, f"{base}/csv", sep=";", bom=True)
+    pq_p = snk.parquet_zstd_sink(src, f"{base}/parquet")
+    st_p = snk.per_station_parquet(src, f"{base}/por_estacao", "user_id")
+    back = {
+        "csv": snk.read_csv(spark, csv_p, src.schema, sep=";"),
+        "parquet_zstd": spark.read.parquet(pq_p),
+        "por_estacao": spark.read.parquet(st_p).withColumn("user_id", F.col("user_id").cast("bigint"))
+                            .select(*src.columns),
+    }
+    parts = []
+    for name, b in back.items():
+        n = b.agg(F.count(F.lit(1)).cast("bigint").alias("n_lido"))
+        parts.append(rep.metric_rows(n, name, {"n_lido": "n_lido"}))
+        parts.append(rep.metric_rows(_diff(src, b.select(*src.columns)), name,
+                                     {"n_diferentes": "n"}))
+    parts.append(rep.metric_rows(src.agg(F.count(F.lit(1)).alias("n")), "fonte", {"n_fonte": "n"}))
+    return rep.metric_report(parts)
