@@ -271,3 +271,14 @@ def quality_class(excluded, segmented, pct_imputed, alta: float = 5.0,
              .when(c(segmented), "boa_com_ressalva (segmentada)")
              .when(c(pct_imputed) < alta, "alta")
              .when(c(pct_imputed) < media, "media").otherwise("baixa"))
+
+
+def cut_to_valid_period(grid: DataFrame, meta: DataFrame, station: str = "CODIGO_WMO",
+                        t: str = "dt_utc") -> DataFrame:
+    """Hourly modelling rows: included stations only, each cut to its valid
+    period (the clean segment for segmented stations), with the station
+    attributes attached. ``meta`` has one row per station."""
+    m = meta.filter(F.col("status_final") == "incluida")
+    j = grid.join(m, station)
+    return j.filter((F.col(t) >= F.col("periodo_valido_inicio"))
+                    & (F.col(t) <= F.col("periodo_valido_fim")))

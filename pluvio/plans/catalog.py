@@ -289,7 +289,11 @@ def _station_metadata(spark, d):
         F.when(excl, "excluida").otherwise("incluida").alias("status_final"),
         F.when(fora, "fora_do_territorio").otherwise(F.col("motivo_exclusao"))
          .alias("motivo_exclusao_final"),
-        ser.quality_class(excl, seg_c, pct_imp).alias("qualidade_geral"))
+        ser.quality_class(excl, seg_c, pct_imp).alias("qualidade_geral"),
+        F.when(seg_c, F.col("segmento_inicio")).otherwise(F.col("grid_inicio"))
+         .alias("periodo_valido_inicio"),
+        F.when(seg_c, F.col("segmento_fim")).otherwise(F.col("grid_fim"))
+         .alias("periodo_valido_fim"))
 
 
 @register("station_metadata")
@@ -579,4 +583,51 @@ def q_sinks_round_trip(spark, d):
         parts.append(rep.metric_rows(_diff(src, b.select(*src.columns)), name,
                                      {"n_diferentes": "n"}))
     parts.append(rep.metric_rows(src.agg(F.count(F.lit(1)).alias("n")), "fonte", {"n_fonte": "n"}))
+    # partitioned warehouse table: the day range prunes partition folders
+    from pluvio.sources.tables import warehouse_scan
+    wh = snk.parquet_zstd_sink(src.withColumn("dia", F.dayofmonth("ts")), f"{base}/armazem",
+                               partition_by=["dia"])
+    got = warehouse_scan(spark, wh, 2, 28, ["event_id"], year_col="dia")
+    parts.append(rep.metric_rows(got.agg(F.count(F.lit(1)).alias("n")), "armazem",
+                                 {"n_lido": "n"}))
     return rep.metric_report(parts)
+
+
+# --------------------------------------------- hourly modelling table etc.
+
+@register("hourly_modelling_table")
+def q_hourly_modelling_table(spark, d):
+    meta = _station_metadata(spark, d).select(
+        "CODIGO_WMO", "latitude", "longitude", "status_final", "qualidade_geral",
+        "pct_imputado", "periodo_valido_inicio", "periodo_valido_fim", "motivo_exclusao_final")
+    b = S.bridge(spark, d).select("CODIGO_WMO", "ESTACAO", F.col("uf").alias("REGIAO"),
+                                  F.col("municipio_ibge").alias("UF"),
+                                  F.col("municipio_ibge").alias("MUNICIPIO"),
+                                  F.col("ibge").alias("CODIGO_MUNICIPIO_IBGE"))
+    rows = ser.cut_to_valid_period(S.imputed_grid(spark, d), meta).join(b, "CODIGO_WMO", "left")
+    return finish(rows)
+
+
+@register("station_quality_stats")
+def q_station_quality_stats(spark, d):
+    r = ser.imputation_report(S.imputed_grid(spark, d))
+    return finish(r.groupBy("tier").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_estacoes"),
+        F.min("total").alias("min_horas"), F.max("total").alias("max_horas"),
+        F.sum("n_imputed").cast("bigint").alias("n_imputado"),
+        F.sum("n_remaining_na").cast("bigint").alias("n_nan_residual"),
+        F.count_if("checagem_consistente").cast("bigint").alias("n_consistentes"),
+        F.avg("pct_imputed").alias("pct_imputado_medio")))
+
+
+@register("label_join_sql")
+def q_label_join_sql(spark, d):
+    """The label join written in Spark SQL over named views."""
+    from pluvio.sources.tables import named_views
+    named_views(spark, {"xf": S.label_x(spark, d), "yf": S.label_y(spark, d)})
+    out = spark.sql("""
+        SELECT x.*, CASE WHEN y.ibge IS NOT NULL THEN 1 ELSE 0 END AS evento,
+               y.protocolo, y.cobrade, y.descricao_tipologia, y.grupo_de_desastre
+        FROM xf x LEFT JOIN yf y
+          ON CAST(x.CODIGO_MUNICIPIO_IBGE AS BIGINT) = y.ibge AND x.data_local = y.data""")
+    return finish(out)

@@ -135,3 +135,16 @@ def to_wide(long: DataFrame) -> DataFrame:
 def ingest_station_files(spark: SparkSession, folder: str) -> DataFrame:
     """Folder of raw station files -> one all-string table."""
     return to_wide(parse_text_files(list_station_files(spark, folder)))
+
+
+def type_station_rows(wide: DataFrame, date_col: str = "Data", hour_col: str = "Hora UTC",
+                      numeric: dict | None = None, station: str = "CODIGO (WMO)") -> DataFrame:
+    """Typing step after ingest: ``dt_utc`` from the date and hour texts
+    (``HH:MM`` or ``HHMM UTC``), numeric columns from decimal-comma text
+    (invalid -> NULL), station code kept as text."""
+    from pluvio.functions.scalars import hour_utc_parse, to_double_comma
+    out = [F.col(f"`{station}`").alias("CODIGO_WMO"),
+           hour_utc_parse(F.col(f"`{date_col}`"), F.col(f"`{hour_col}`")).alias("dt_utc")]
+    for name, src in (numeric or {}).items():
+        out.append(to_double_comma(F.col(f"`{src}`")).alias(name))
+    return wide.select(*out)

@@ -73,3 +73,24 @@ def test_empty_folder_fails(spark):
 
 def test_column_names():
     assert sf._column_names(["a", "", "a", "a"]) == ["a", "Unnamed: 1", "a.1", "a.2"]
+
+
+def test_typing_step(spark):
+    wide = spark.createDataFrame([("A1", "2019/01/01", "0100 UTC", "1,5"),
+                                  ("A1", "2019-01-01", "13:00", "x")],
+                                 "`CODIGO (WMO)` string, Data string, `Hora UTC` string, Chuva string")
+    out = sf.type_station_rows(wide, numeric={"precip_mm": "Chuva"}).collect()
+    assert out[0].dt_utc.hour == 1 and out[0].precip_mm == 1.5
+    assert out[1].dt_utc.hour == 13 and out[1].precip_mm is None
+
+
+def test_warehouse_scan_prunes_partitions(spark, tmp_path):
+    from pluvio.sources.tables import warehouse_scan
+    df = spark.range(100).selectExpr("id", "cast(2000 + id % 10 as int) as ano")
+    p = str(tmp_path / "wh")
+    df.write.partitionBy("ano").parquet(p)
+    got = warehouse_scan(spark, p, 2003, 2004)
+    assert got.count() == 20
+    got.createOrReplaceTempView("wh_scan")
+    plan = spark.sql("EXPLAIN SELECT * FROM wh_scan").first()[0]
+    assert "PartitionFilters" in plan and "2003" in plan
