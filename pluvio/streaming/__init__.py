@@ -1,0 +1,4 @@
+"""Intentionally empty: the source pipeline is batch-only (no streams,
+watermarks or state), so there is no streaming operator to provide. The
+batch operators run unchanged inside ``foreachBatch`` if a stream is ever
+fed into them."""
