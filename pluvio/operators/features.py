@@ -96,6 +96,22 @@ def window_validity(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
     })
 
 
+def prior_window_features(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
+                          date: str = "data_local", value: str = "precip_dia",
+                          complete: str = "dia_completo", frame: str = "range") -> DataFrame:
+    """``rolling_prior_sum`` and ``window_validity`` in one projection, so
+    that the plan holds a single Window operator (one sort per partition)."""
+    w1, w2, w3 = (prior_days_window(key, date, d, frame) for d in (1, 2, 3))
+    return md.withColumns({
+        "precip_24h": F.sum(value).over(w1),
+        "precip_48h": F.sum(value).over(w2),
+        "precip_72h": F.sum(value).over(w3),
+        "janela_valida": F.coalesce(F.count_if(F.col(complete)).over(w3), F.lit(0)) == 3,
+        "horas_imputadas_72h": F.coalesce(F.sum("horas_imputadas").over(w3), F.lit(0))
+                                .cast("bigint"),
+    })
+
+
 FEATURE_COLS = ["CODIGO_MUNICIPIO_IBGE", "data_local", "precip_dia", "precip_24h",
                 "precip_48h", "precip_72h", "precip_max_horaria", "n_estacoes",
                 "horas_imputadas_72h", "janela_valida"]
@@ -110,9 +126,7 @@ def daily_features(hourly: DataFrame, bridge: DataFrame, station: str = "CODIGO_
     """The X table: ``FEATURE_COLS`` per (municipality, local day)."""
     sd = station_day_agg(hourly, station, ts, value, imputed, tz, min_hours_complete)
     md = municipality_day_agg(sd, bridge, station, bridge_station, bridge_mun, how=how)
-    md = rolling_prior_sum(md)
-    md = window_validity(md)
-    return md.select(*FEATURE_COLS)
+    return prior_window_features(md).select(*FEATURE_COLS)
 
 
 def daily_station_agg(readings: DataFrame, station: str = "id_estacao",

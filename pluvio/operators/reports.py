@@ -96,17 +96,21 @@ def funnel(df: DataFrame, steps: Sequence[tuple[str, Column]],
 def weekday_bias(df: DataFrame, date_cols: Sequence[str], lo: int, hi: int) -> DataFrame:
     """Weekday counts (Mon = 0) per date column, the year filter applied on
     that column, weekend share vs. the expected 2/7 and the relative deficit
-    ``100 * (2/7 - observed) / (2/7)``. One row per date column."""
-    parts = []
-    for c in date_cols:
-        sub = df.filter(date_range_pred(F.to_date(c), lo, hi))
-        wd = weekday_mon0(c)
-        aggs = [F.count(F.lit(1)).cast("bigint").alias("n")]
-        aggs += [F.count_if(wd == i).cast("bigint").alias(f"d{i}") for i in range(7)]
-        parts.append(sub.agg(*aggs).withColumn("date_col", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    ``100 * (2/7 - observed) / (2/7)``. One row per date column, all from a
+    single pass (each row exploded into its date columns)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("date_col"),
+                                         F.to_date(F.col(c)).alias("d")) for c in date_cols]))
+    long = df.select(pairs.alias("__p")).select("__p.*")
+    long = long.filter(date_range_pred(F.col("d"), lo, hi))
+    wd = weekday_mon0("d")
+    aggs = [F.count(F.lit(1)).cast("bigint").alias("n")]
+    aggs += [F.count_if(wd == i).cast("bigint").alias(f"d{i}") for i in range(7)]
+    got = long.groupBy("date_col").agg(*aggs)
+    # every requested column appears, with zero counts when no date is in range
+    names = df.sparkSession.createDataFrame([(c,) for c in date_cols], "date_col string")
+    out = names.join(got, "date_col", "left").select(
+        "date_col", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                      for c in ["n"] + [f"d{i}" for i in range(7)]])
     expected = 100.0 * 2 / 7
     obs = F.when(F.col("n") > 0, 100.0 * (F.col("d5") + F.col("d6")) / F.col("n")).otherwise(0.0)
     return (out.withColumn("fds_observado_pct", F.round(obs, 4))
@@ -156,26 +160,42 @@ def human_damage(reg: DataFrame, windows: Sequence[tuple[str, int, int]],
                  damage: dict, date: str = "data_evento", key: str = "ibge") -> DataFrame:
     """Per window x scope: records (no dedup), distinct municipalities, sums
     of the damage columns with NULL forced to 0, and how many NULLs were
-    forced. ``scopes`` are (name, keys DataFrame or None for all)."""
-    parts = []
-    for sname, skeys in scopes:
-        base = reg if skeys is None else reg.join(
-            skeys.select(F.col(key).cast("bigint").alias("__sk")).distinct(),
-            F.col(key) == F.col("__sk"), "left_semi")
-        for wname, lo, hi in windows:
-            sub = base.filter(date_range_pred(F.to_date(date), lo, hi))
-            nulls = sum((F.col(c).isNull().cast("int") for c in damage.values()), F.lit(0))
-            aggs = [F.count(F.lit(1)).cast("bigint").alias("n_registros"),
-                    F.count_distinct(key).cast("bigint").alias("n_municipios")]
-            aggs += [F.coalesce(F.sum(F.coalesce(F.col(c), F.lit(0))), F.lit(0))
-                      .cast("bigint").alias(out) for out, c in damage.items()]
-            aggs.append(F.coalesce(F.sum(nulls), F.lit(0)).cast("bigint").alias("nan_forcados_zero"))
-            parts.append(sub.agg(*aggs).select(F.lit(wname).alias("janela"),
-                                               F.lit(sname).alias("recorte"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    forced. ``scopes`` are (name, keys DataFrame or None for all).
+
+    One pass: each row is tagged with every (window, scope) it belongs to
+    (membership flags from left joins on the distinct scope keys), exploded,
+    and grouped once - no scan per window and scope."""
+    df = reg
+    flags = []
+    for i, (sname, skeys) in enumerate(scopes):
+        if skeys is None:
+            flags.append((sname, F.lit(True)))
+            continue
+        k = skeys.select(F.col(key).cast("bigint").alias(f"__sk{i}")).na.drop().distinct()
+        df = df.join(k, F.col(key) == F.col(f"__sk{i}"), "left")
+        flags.append((sname, F.col(f"__sk{i}").isNotNull()))
+    d = F.to_date(date)
+    tags = []
+    for wname, lo, hi in windows:
+        for sname, flag in flags:
+            tags.append(F.when(date_range_pred(d, lo, hi) & flag,
+                               F.struct(F.lit(wname).alias("janela"), F.lit(sname).alias("recorte"))))
+    tagged = df.withColumn("__t", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())))
+    nulls = sum((F.col(c).isNull().cast("int") for c in damage.values()), F.lit(0))
+    aggs = [F.count(F.lit(1)).cast("bigint").alias("n_registros"),
+            F.count_distinct(key).cast("bigint").alias("n_municipios")]
+    aggs += [F.coalesce(F.sum(F.coalesce(F.col(c), F.lit(0))), F.lit(0)).cast("bigint").alias(out)
+             for out, c in damage.items()]
+    aggs.append(F.coalesce(F.sum(nulls), F.lit(0)).cast("bigint").alias("nan_forcados_zero"))
+    got = tagged.groupBy(F.col("__t.janela").alias("janela"),
+                         F.col("__t.recorte").alias("recorte")).agg(*aggs)
+    # every (window, scope) appears, with zeros when no record falls in it
+    spark = reg.sparkSession
+    combos = spark.createDataFrame([(w, s) for w, _, _ in windows for s, _ in scopes],
+                                   "janela string, recorte string")
+    out = combos.join(got, ["janela", "recorte"], "left")
+    return out.select("janela", "recorte", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                             for c in got.columns[2:]])
 
 
 def old_new_compare(old: DataFrame, new: DataFrame, dims: dict) -> DataFrame:
@@ -225,25 +245,30 @@ def metric_rows(df: DataFrame, section: str, metrics: dict, key: Column | None =
 
 def describe_table(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max per numeric column,
-    rounded; one aggregate pass, long output (column, statistic, value)."""
+    rounded; long output (column, statistic, value). Moments come from one
+    aggregate; quartiles from the distributed exact percentiles, so no task
+    ever holds a whole column's values."""
+    from pluvio.operators.stats import exact_percentiles, stack
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
-        aggs += [F.count(v).cast("double").alias(f"{c}__count"),
-                 F.avg(v).alias(f"{c}__mean"), F.stddev_samp(v).alias(f"{c}__std"),
-                 F.min(v).alias(f"{c}__min"),
-                 F.percentile(v, [0.25, 0.5, 0.75]).alias(f"{c}__q"),
+        aggs += [F.count(v).cast("double").alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
+                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
                  F.max(v).alias(f"{c}__max")]
     a = df.agg(*aggs)
     rows = []
     for c in cols:
-        for s, e in [("count", F.col(f"{c}__count")), ("mean", F.col(f"{c}__mean")),
-                     ("std", F.col(f"{c}__std")), ("min", F.col(f"{c}__min")),
-                     ("25%", F.col(f"{c}__q")[0]), ("50%", F.col(f"{c}__q")[1]),
-                     ("75%", F.col(f"{c}__q")[2]), ("max", F.col(f"{c}__max"))]:
+        for s, e in [("count", f"{c}__count"), ("mean", f"{c}__mean"), ("std", f"{c}__std"),
+                     ("min", f"{c}__min"), ("max", f"{c}__max")]:
             rows.append(F.struct(F.lit(c).alias("coluna"), F.lit(s).alias("estatistica"),
-                                 F.round(e, digits).alias("valor")))
-    return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+                                 F.round(F.col(e), digits).alias("valor")))
+    moments = a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    q = exact_percentiles(stack(df, cols, name="coluna"), ["coluna"], "valor", (0.25, 0.5, 0.75))
+    qs = q.select("coluna", F.explode(F.array(*[
+        F.struct(F.lit(lbl).alias("estatistica"), F.round(F.col(p), digits).alias("valor"))
+        for lbl, p in (("25%", "p25"), ("50%", "p50"), ("75%", "p75"))])).alias("r")) \
+          .select("coluna", "r.estatistica", "r.valor")
+    return moments.unionByName(qs)
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

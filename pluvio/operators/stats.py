@@ -41,9 +41,11 @@ def stack(df: DataFrame, variables: Sequence[str], keep: Sequence[str] = (),
 
 
 def cumulative_below(hist: DataFrame, groups: Sequence[str], value: str,
-                     weights: Sequence[str], buckets: int = 64) -> DataFrame:
+                     weights: Sequence[str], buckets: int = 64,
+                     totals: bool = False) -> DataFrame:
     """Adds ``below_<w>``: sum of ``w`` over the rows of the same group with
-    a strictly smaller ``value``. Distributed prefix sum (see module doc)."""
+    a strictly smaller ``value`` (and ``total_<w>`` per group when
+    ``totals``). Distributed prefix sum (see module doc)."""
     g = list(groups)
     qs = [i / buckets for i in range(1, buckets)]
     cuts = hist.groupBy(*g).agg(F.percentile_approx(value, qs, 10000).alias("__cuts"))
@@ -51,13 +53,17 @@ def cumulative_below(hist: DataFrame, groups: Sequence[str], value: str,
         "__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
     tot = h.groupBy(*g, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     wb = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*g, "__b", *[F.coalesce(F.sum(f"__t_{w}").over(wb), F.lit(0))
-                                   .alias(f"__o_{w}") for w in weights])
+    wall = Window.partitionBy(*g)
+    off_cols = [F.coalesce(F.sum(f"__t_{w}").over(wb), F.lit(0)).alias(f"__o_{w}") for w in weights]
+    if totals:
+        off_cols += [F.sum(f"__t_{w}").over(wall).alias(f"total_{w}") for w in weights]
+    off = tot.select(*g, "__b", *off_cols)
     wl = Window.partitionBy(*g, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     h = h.select("*", *[F.coalesce(F.sum(w).over(wl), F.lit(0)).alias(f"__l_{w}") for w in weights])
     h = h.join(off, g + ["__b"], "left")
-    return h.select(*hist.columns, *[(F.col(f"__o_{w}") + F.col(f"__l_{w}")).alias(f"below_{w}")
-                                     for w in weights])
+    return h.select(*hist.columns,
+                    *[(F.col(f"__o_{w}") + F.col(f"__l_{w}")).alias(f"below_{w}") for w in weights],
+                    *([F.col(f"total_{w}") for w in weights] if totals else []))
 
 
 def exact_percentiles(long: DataFrame, groups: Sequence[str], value: str = "valor",
@@ -66,50 +72,54 @@ def exact_percentiles(long: DataFrame, groups: Sequence[str], value: str = "valo
     closest ranks) named ``p50``, ``p75``, ...; groups with no value are absent."""
     g = list(groups)
     hist = long.groupBy(*g, value).agg(F.count(F.lit(1)).alias("cnt"))
-    n = hist.groupBy(*g).agg(F.sum("cnt").alias("n"))
-    cum = cumulative_below(hist, g, value, ["cnt"], buckets).join(n, g)
+    cum = cumulative_below(hist, g, value, ["cnt"], buckets, totals=True) \
+        .withColumnRenamed("total_cnt", "n")
     # target ranks (0-based) per percentile: floor(h) and floor(h) + 1
     targets = []
-    for q in pcts:
+    for i, q in enumerate(pcts):
         h = (F.col("n") - 1) * F.lit(q)
         lo = F.floor(h)
-        targets.append(F.struct(F.lit(q).alias("q"), lo.alias("r"), F.lit(0).alias("which"),
-                                (h - lo).alias("frac")))
-        targets.append(F.struct(F.lit(q).alias("q"), F.least(lo + 1, F.col("n") - 1).alias("r"),
-                                F.lit(1).alias("which"), (h - lo).alias("frac")))
+        targets.append(F.struct(F.lit(i).alias("q"), lo.alias("r"), F.lit(0).alias("which")))
+        targets.append(F.struct(F.lit(i).alias("q"), F.least(lo + 1, F.col("n") - 1).alias("r"),
+                                F.lit(1).alias("which")))
     lo_r, hi_r = F.col("below_cnt"), F.col("below_cnt") + F.col("cnt")
     hit = F.filter(F.array(*targets), lambda t: (t["r"] >= lo_r) & (t["r"] < hi_r))
     picks = cum.select(*g, "n", value, F.explode(hit).alias("t"))
-    per_q = picks.groupBy(*g, "n", F.col("t.q").alias("q")).agg(
-        F.max(F.when(F.col("t.which") == 0, F.col(value))).alias("v0"),
-        F.max(F.when(F.col("t.which") == 1, F.col(value))).alias("v1"),
-        F.max("t.frac").alias("frac"))
-    per_q = per_q.withColumn("pv", F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac"))
-    return (per_q.groupBy(*g, "n")
-                 .pivot("q", list(pcts)).agg(F.first("pv"))
-                 .withColumnsRenamed({str(q): f"p{round(q * 100):d}" for q in pcts})
-                 .withColumn("n", F.col("n").cast("bigint")))
+    aggs = []
+    for i in range(len(pcts)):
+        for which in (0, 1):
+            aggs.append(F.max(F.when((F.col("t.q") == i) & (F.col("t.which") == which),
+                                     F.col(value))).alias(f"__v{i}_{which}"))
+    per_g = picks.groupBy(*g, "n").agg(*aggs)
+    out = []
+    for i, q in enumerate(pcts):
+        h = (F.col("n") - 1) * F.lit(q)
+        frac = h - F.floor(h)
+        v0, v1 = F.col(f"__v{i}_0"), F.col(f"__v{i}_1")
+        out.append((v0 + (v1 - v0) * frac).alias(f"p{round(q * 100):d}"))
+    return per_g.select(*g, F.col("n").cast("bigint").alias("n"), *out)
 
 
 def group_percentiles(df: DataFrame, variables: Sequence[str], label: str = "evento",
-                      pcts: Sequence[float] = PCTS) -> DataFrame:
-    """p50/p75/p90/p99 and n per (variable, label), NULLs ignored."""
-    long = stack(df, variables, [label])
-    return exact_percentiles(long, ["variavel", label], "valor", pcts)
+                      pcts: Sequence[float] = PCTS, by: Sequence[str] = ()) -> DataFrame:
+    """p50/p75/p90/p99 and n per (by..., variable, label), NULLs ignored."""
+    long = stack(df, variables, [*by, label])
+    return exact_percentiles(long, [*by, "variavel", label], "valor", pcts)
 
 
 def rank_auc(df: DataFrame, variables: Sequence[str], label: str = "evento",
-             buckets: int = 64) -> DataFrame:
-    """Mann-Whitney AUC per variable (ties averaged); NULL when a class is
-    empty; NULL values dropped per variable."""
-    long = stack(df, variables, [label])
-    hist = long.groupBy("variavel", "valor").agg(
+             buckets: int = 64, by: Sequence[str] = ()) -> DataFrame:
+    """Mann-Whitney AUC per (by..., variable) (ties averaged); NULL when a
+    class is empty; NULL values dropped per variable."""
+    long = stack(df, variables, [*by, label])
+    g = [*by, "variavel"]
+    hist = long.groupBy(*g, "valor").agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("nn"))
-    cum = cumulative_below(hist, ["variavel"], "valor", ["nn"], buckets)
-    a = cum.groupBy("variavel").agg(
+    cum = cumulative_below(hist, g, "valor", ["nn"], buckets)
+    a = cum.groupBy(*g).agg(
         F.sum(F.col("p") * (F.col("below_nn") + F.col("nn") / 2.0)).alias("s"),
         F.sum("p").alias("P"), F.sum("nn").alias("N"))
-    return a.select("variavel", F.col("P").cast("bigint").alias("n_pos"),
+    return a.select(*g, F.col("P").cast("bigint").alias("n_pos"),
                     F.col("N").cast("bigint").alias("n_neg"),
                     F.when((F.col("P") > 0) & (F.col("N") > 0),
                            F.col("s") / (F.col("P") * F.col("N"))).alias("auc"))
@@ -144,16 +154,23 @@ def boxplot_stats(df: DataFrame, variables: Sequence[str], label: str = "evento"
                                "n_outliers")
 
 
+def with_scenarios(df: DataFrame, scope: str = "janela_valida",
+                   name: str = "cenario") -> DataFrame:
+    """Each row tagged ``todos``, and also ``scope`` when that flag is true
+    (NULL counts as false): both scenarios then run as one grouped pass."""
+    tags = F.when(F.col(scope), F.array(F.lit("todos"), F.lit(scope))) \
+            .otherwise(F.array(F.lit("todos")))
+    return df.withColumn(name, F.explode(tags))
+
+
 def signal_scenarios(df: DataFrame, variables: Sequence[str], label: str = "evento",
                      scope: str = "janela_valida") -> DataFrame:
     """AUC and class medians per variable for all rows and for the rows with
-    ``scope`` true (NULL scope counts as false)."""
-    parts = []
-    for name, sub in (("todos", df), (scope, df.filter(F.col(scope)))):
-        auc = rank_auc(sub, variables, label)
-        med = group_percentiles(sub, variables, label, (0.5,))
-        m = med.groupBy("variavel").agg(
-            F.max(F.when(F.col(label) == 1, F.col("p50"))).alias("mediana_evento"),
-            F.max(F.when(F.col(label) == 0, F.col("p50"))).alias("mediana_normal"))
-        parts.append(auc.join(m, "variavel", "left").withColumn("cenario", F.lit(name)))
-    return parts[0].unionByName(parts[1])
+    ``scope`` true, in one pass over the scenario-tagged rows."""
+    tagged = with_scenarios(df, scope)
+    auc = rank_auc(tagged, variables, label, by=["cenario"])
+    med = group_percentiles(tagged, variables, label, (0.5,), by=["cenario"])
+    m = med.groupBy("cenario", "variavel").agg(
+        F.max(F.when(F.col(label) == 1, F.col("p50"))).alias("mediana_evento"),
+        F.max(F.when(F.col(label) == 0, F.col("p50"))).alias("mediana_normal"))
+    return auc.join(m, ["cenario", "variavel"], "left")

@@ -265,8 +265,9 @@ def q_longest_clean_segment(spark, d):
     return finish(_segments(spark, d))
 
 
-def _station_metadata(spark, d):
-    rep_ = ser.imputation_report(S.imputed_grid(spark, d))
+def _station_metadata(spark, d, grid=None):
+    grid = S.imputed_grid(spark, d) if grid is None else grid
+    rep_ = ser.imputation_report(grid)
     seg = _segments(spark, d).select("CODIGO_WMO", "grid_inicio", "grid_fim", "n_obstaculos",
                                      "segmento_inicio", "segmento_fim", "horas_removidas",
                                      "excluida", "motivo_exclusao")
@@ -375,23 +376,16 @@ from pluvio.operators import stats as st  # noqa: E402
 VARS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h"]
 
 
-def _scenarios(df):
-    return [("todos", df), ("janela_valida", df.filter(F.col("janela_valida")))]
-
-
 @register("group_percentiles")
 def q_group_percentiles(spark, d):
-    mt = S.modelling_table(spark, d)
-    parts = [st.group_percentiles(sub, VARS).withColumn("cenario", F.lit(n))
-             for n, sub in _scenarios(mt)]
-    return finish(parts[0].unionByName(parts[1]))
+    mt = st.with_scenarios(S.modelling_table(spark, d))
+    return finish(st.group_percentiles(mt, VARS, by=["cenario"]))
 
 
 @register("rank_auc")
 def q_rank_auc(spark, d):
-    mt = S.modelling_table(spark, d)
-    parts = [st.rank_auc(sub, VARS).withColumn("cenario", F.lit(n)) for n, sub in _scenarios(mt)]
-    return finish(parts[0].unionByName(parts[1]))
+    mt = st.with_scenarios(S.modelling_table(spark, d))
+    return finish(st.rank_auc(mt, VARS, by=["cenario"]))
 
 
 @register("boxplot_stats")
@@ -597,14 +591,17 @@ def q_sinks_round_trip(spark, d):
 
 @register("hourly_modelling_table")
 def q_hourly_modelling_table(spark, d):
-    meta = _station_metadata(spark, d).select(
+    from pluvio.session import persist_table
+    # the grid feeds both the per-station metadata and the rows: written once
+    grid = persist_table(S.imputed_grid(spark, d), "grade-horaria")
+    meta = _station_metadata(spark, d, grid).select(
         "CODIGO_WMO", "latitude", "longitude", "status_final", "qualidade_geral",
         "pct_imputado", "periodo_valido_inicio", "periodo_valido_fim", "motivo_exclusao_final")
     b = S.bridge(spark, d).select("CODIGO_WMO", "ESTACAO", F.col("uf").alias("REGIAO"),
                                   F.col("municipio_ibge").alias("UF"),
                                   F.col("municipio_ibge").alias("MUNICIPIO"),
                                   F.col("ibge").alias("CODIGO_MUNICIPIO_IBGE"))
-    rows = ser.cut_to_valid_period(S.imputed_grid(spark, d), meta).join(b, "CODIGO_WMO", "left")
+    rows = ser.cut_to_valid_period(grid, meta).join(b, "CODIGO_WMO", "left")
     return finish(rows)
 
 

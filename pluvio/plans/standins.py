@@ -223,8 +223,7 @@ def user_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features_version(spark: SparkSession, d: str, frame: str) -> DataFrame:
-    ud = feat.rolling_prior_sum(user_days(spark, d), frame=frame)
-    return feat.window_validity(ud, frame=frame)
+    return feat.prior_window_features(user_days(spark, d), frame=frame)
 
 
 def version_new(spark: SparkSession, d: str) -> DataFrame:

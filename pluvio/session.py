@@ -75,3 +75,13 @@ def cut_lineage(df, eager: bool = True):
 
 def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("PLUVIO_SF_DIR", default)
+
+
+def persist_table(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage and lets several consumers share one computation
+    (a lost executor then re-reads files instead of recomputing the plan)."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
