@@ -64,11 +64,10 @@ def precision_recall_f1(df: DataFrame, score: str, label: str, threshold: float,
     at = s.agg(F.count_if((F.col(score) >= threshold) & (F.col(label) == 1)).alias("tp"),
                F.count_if((F.col(score) >= threshold) & (F.col(label) == 0)).alias("fp"),
                F.count_if((F.col(score) < threshold) & (F.col(label) == 1)).alias("fn"))
-    hist = s.groupBy(F.lit(0).alias("__g"), F.col(score).alias("__s")).agg(
+    hist = s.groupBy(F.col(score).alias("__s")).agg(
         F.count_if(F.col(label) == 1).alias("pp"), F.count_if(F.col(label) == 0).alias("nn"))
-    cum = cumulative_below(hist, ["__g"], "__s", ["pp", "nn"], buckets)
-    tot = hist.groupBy("__g").agg(F.sum("pp").alias("P"), F.sum("nn").alias("N"))
-    c = cum.join(tot, "__g")
+    c = cumulative_below(hist, [], "__s", ["pp", "nn"], buckets, totals=True) \
+        .withColumnsRenamed({"total_pp": "P", "total_nn": "N"})
     tp_ge = F.col("P") - F.col("below_pp")
     fp_ge = F.col("N") - F.col("below_nn")
     ap = c.agg(F.sum(F.when(F.col("P") > 0, F.col("pp") / F.col("P") * tp_ge / (tp_ge + fp_ge)))

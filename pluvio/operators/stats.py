@@ -48,9 +48,14 @@ def cumulative_below(hist: DataFrame, groups: Sequence[str], value: str,
     ``totals``). Distributed prefix sum (see module doc)."""
     g = list(groups)
     qs = [i / buckets for i in range(1, buckets)]
-    cuts = hist.groupBy(*g).agg(F.percentile_approx(value, qs, 10000).alias("__cuts"))
-    h = hist.join(cuts, g, "left").withColumn(
-        "__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
+    cut_agg = F.percentile_approx(value, qs, 10000)
+    if g:
+        cuts = hist.groupBy(*g).agg(cut_agg.alias("__cuts"))
+        h = hist.join(cuts, g, "left")
+    else:
+        # no group: the cut points are a scalar subquery, not a join
+        h = hist.withColumn("__cuts", hist.agg(cut_agg).scalar())
+    h = h.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
     tot = h.groupBy(*g, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     wb = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*g)

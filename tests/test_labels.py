@@ -58,3 +58,19 @@ def test_scope_semi_and_anti(spark):
     b = spark.createDataFrame([(1,), (1,), (3,)], "ibge long")
     assert sorted(r.ibge for r in L.station_scope(y, b).collect()) == [1, 3]
     assert [r.ibge for r in L.exclude_anti(y, b, "ibge").collect()] == [2]
+
+
+def test_register_scan_csv_with_bom(spark, tmp_path):
+    from pluvio.sources.tables import register_scan
+    p = tmp_path / "reg.csv"
+    p.write_text("﻿Protocolo_S2ID;Cod_Cobrade;Cod_IBGE_Mun;Data_Evento;Data_Registro; Regiao \n"
+                 "a1;12100;3100;2010-05-01 10:00:00;2010-05-02 00:00:00;Sudeste\n"
+                 "a2;x;3100;2010-05-01 11:00:00;;Sudeste\n", encoding="utf-8")
+    df = register_scan(spark, str(p), fmt="csv", sep=";",
+                       schema="Protocolo_S2ID string, Cod_Cobrade string, Cod_IBGE_Mun string, "
+                              "Data_Evento string, Data_Registro string, Regiao string")
+    assert df.columns[0] == "protocolo_s2id"
+    reg = L.prepare_register(df)
+    rows = {r.protocolo_s2id: r for r in reg.collect()}
+    assert rows["a1"].cobrade == 12100 and rows["a2"].cobrade is None
+    assert rows["a2"].data_registro is None and rows["a1"].regiao_l == "sudeste"

@@ -45,3 +45,10 @@ def test_boxplot_whiskers(spark):
     q1, q3 = np.percentile(vals, [25, 75])
     assert r.q1 == q1 and r.q3 == q3
     assert r.bigode_sup == 5.0 and r.n_outliers == 1
+
+
+def test_average_rank_column(spark):
+    v = [3.0, 1.0, 3.0, 2.0, 3.0]
+    df = spark.createDataFrame([(x,) for x in v], "x double")
+    got = sorted(r[0] for r in df.select(st.average_rank(df, "x")).collect())
+    assert got == sorted(pd.Series(v).rank(method="average").tolist())
