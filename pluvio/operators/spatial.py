@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.operators.stats import exact_percentiles
+from pluvio.operators.stats import percentiles_from_hist
 
 
 def _edges(ring: Column) -> Column:
@@ -42,18 +42,29 @@ def _crosses(px, py, e) -> Column:
                   + e["x1"]).otherwise(F.lit(False))
 
 
+def contains_edges(edges: Column, px: Column, py: Column, boundary: bool = False) -> Column:
+    """Point in polygon over a precomputed edge array, in ONE pass: the
+    accumulator carries the crossing count and the on-border flag.
+    ``boundary=False``: strict interior ("within"); ``True``: border inside."""
+    acc0 = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
+    res = F.aggregate(edges, acc0, lambda acc, e: F.struct(
+        (acc["n"] + F.when(_crosses(px, py, e), 1).otherwise(0)).alias("n"),
+        (acc["on"] | _on_segment(px, py, e)).alias("on")))
+    odd = res["n"] % 2 == 1
+    return (odd | res["on"]) if boundary else (odd & ~res["on"])
+
+
 def contains(ring: Column, px: Column, py: Column, boundary: bool = False) -> Column:
-    """Point in polygon. ``boundary=False``: strict interior ("within");
-    ``True``: the boundary counts as inside."""
-    edges = _edges(ring)
-    odd = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(_crosses(px, py, e), 1)
-                      .otherwise(0)) % 2 == 1
-    on = F.exists(edges, lambda e: _on_segment(px, py, e))
-    return (odd | on) if boundary else (odd & ~on)
+    """Point in polygon given the ring (edges derived on the fly)."""
+    return contains_edges(_edges(ring), px, py, boundary)
 
 
-def distance_to_ring(ring: Column, px: Column, py: Column) -> Column:
-    """Smallest point-segment distance from the point to the ring's edges."""
+def on_border(edges: Column, px: Column, py: Column) -> Column:
+    return F.exists(edges, lambda e: _on_segment(px, py, e))
+
+
+def distance_to_edges(edges: Column, px: Column, py: Column) -> Column:
+    """Smallest point-segment distance from the point to the edges."""
     def seg(e):
         dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
         L2 = dx * dx + dy * dy
@@ -61,7 +72,11 @@ def distance_to_ring(ring: Column, px: Column, py: Column) -> Column:
             F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / L2)))
         qx, qy = e["x1"] + t * dx - px, e["y1"] + t * dy - py
         return F.sqrt(qx * qx + qy * qy)
-    return F.array_min(F.transform(_edges(ring), seg))
+    return F.array_min(F.transform(edges, seg))
+
+
+def distance_to_ring(ring: Column, px: Column, py: Column) -> Column:
+    return distance_to_edges(_edges(ring), px, py)
 
 
 def bbox(ring: Column) -> dict:
@@ -75,11 +90,18 @@ def polygon_cells(polys: DataFrame, cell: float, pad: float = 0.0,
     """Polygon -> every grid cell its (padded) bounding box covers. The
     expansion is bounded by the polygon's extent, not by the data."""
     b = bbox(F.col(ring))
-    cx = F.sequence(F.floor((b["minx"] - pad) / cell).cast("int"),
-                    F.floor((b["maxx"] + pad) / cell).cast("int"))
-    cy = F.sequence(F.floor((b["miny"] - pad) / cell).cast("int"),
-                    F.floor((b["maxy"] + pad) / cell).cast("int"))
-    return (polys.withColumn("__cx", F.explode(cx)).withColumn("__cy", F.explode(cy)))
+    p = polys.withColumns({**{f"__{k}": v for k, v in b.items()}, "__edges": _edges(F.col(ring))})
+    cx = F.sequence(F.floor((F.col("__minx") - pad) / cell).cast("int"),
+                    F.floor((F.col("__maxx") + pad) / cell).cast("int"))
+    cy = F.sequence(F.floor((F.col("__miny") - pad) / cell).cast("int"),
+                    F.floor((F.col("__maxy") + pad) / cell).cast("int"))
+    return p.withColumn("__cx", F.explode(cx)).withColumn("__cy", F.explode(cy))
+
+
+def _in_bbox(px: Column, py: Column, pad: float = 0.0) -> Column:
+    """Cheap arithmetic prefilter before the exact ring tests."""
+    return ((px >= F.col("__minx") - pad) & (px <= F.col("__maxx") + pad)
+            & (py >= F.col("__miny") - pad) & (py <= F.col("__maxy") + pad))
 
 
 def point_cells(points: DataFrame, x: str, y: str, cell: float) -> DataFrame:
@@ -94,11 +116,15 @@ def point_in_polygon(points: DataFrame, polys: DataFrame, pid: str = "CODIGO_WMO
     none; the smallest id if several) and whether it lies on a border."""
     pc = polygon_cells(polys.select(gid, ring), cell, 0.0, ring)
     pts = point_cells(points.select(pid, x, y), x, y, cell)
-    cand = pts.join(pc, ["__cx", "__cy"])
     px, py = F.col(x), F.col(y)
-    tested = cand.select(pid, gid,
-                         contains(F.col(ring), px, py).alias("__in"),
-                         F.exists(_edges(F.col(ring)), lambda e: _on_segment(px, py, e)).alias("__on"))
+    cand = pts.join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py))
+    acc0 = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
+    res = F.aggregate(F.col("__edges"), acc0, lambda acc, e: F.struct(
+        (acc["n"] + F.when(_crosses(px, py, e), 1).otherwise(0)).alias("n"),
+        (acc["on"] | _on_segment(px, py, e)).alias("on")))
+    tested = cand.select(pid, gid, res.alias("__r")).select(
+        pid, gid, ((F.col("__r.n") % 2 == 1) & ~F.col("__r.on")).alias("__in"),
+        F.col("__r.on").alias("__on"))
     hit = tested.groupBy(pid).agg(F.min(F.when(F.col("__in"), F.col(gid))).alias("poly_within"),
                                   F.bool_or("__on").alias("na_borda"))
     return (points.select(pid, x, y).join(hit, pid, "left")
@@ -113,10 +139,10 @@ def nearest_within(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
     reach are absent."""
     pc = polygon_cells(polys.select(gid, ring), cell, max_dist, ring)
     pts = point_cells(points.select(pid, x, y), x, y, cell)
-    cand = pts.join(pc, ["__cx", "__cy"])
     px, py = F.col(x), F.col(y)
-    dist = F.when(contains(F.col(ring), px, py, boundary=True), F.lit(0.0)) \
-            .otherwise(distance_to_ring(F.col(ring), px, py))
+    cand = pts.join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py, max_dist))
+    dist = F.when(contains_edges(F.col("__edges"), px, py, boundary=True), F.lit(0.0)) \
+            .otherwise(distance_to_edges(F.col("__edges"), px, py))
     d = cand.select(pid, gid, dist.alias("dist")).filter(F.col("dist") <= max_dist)
     best = d.groupBy(pid).agg(F.min(F.struct(F.col("dist"), F.col(gid))).alias("__b"))
     return best.select(pid, F.col(f"__b.{gid}").alias("poly_nearest"),
@@ -158,13 +184,15 @@ def mosaic_cells(cells: DataFrame, tile: str = "tile", row: str = "row", col: st
     return best.select(row, col, F.col("__b.t").alias(tile), F.col("__b.v").alias(value))
 
 
-def cell_ring_touch(ring: Column, x0: Column, y0: Column, size: float) -> Column:
+def cell_ring_touch(ring: Column, x0: Column, y0: Column, size: float,
+                    edges: Column | None = None) -> Column:
     """Cell box [x0, x0+size] x [y0, y0+size] touches the polygon: a corner
     or the centre lies in it (border included) or a vertex lies in the box."""
-    centre = contains(ring, x0 + size / 2, y0 + size / 2, boundary=True)
+    edges = _edges(ring) if edges is None else edges
+    centre = contains_edges(edges, x0 + size / 2, y0 + size / 2, boundary=True)
     corners = None
     for px, py in [(x0, y0), (x0 + size, y0), (x0, y0 + size), (x0 + size, y0 + size)]:
-        c = contains(ring, px, py, boundary=True)
+        c = contains_edges(edges, px, py, boundary=True)
         corners = c if corners is None else (corners | c)
     vin = F.exists(ring, lambda p: (p["x"] >= x0) & (p["x"] <= x0 + size)
                    & (p["y"] >= y0) & (p["y"] <= y0 + size))
@@ -184,16 +212,25 @@ def zonal_stats(mosaic: DataFrame, polys: DataFrame, prefix: str, cell_size: flo
     # cells never straddle a grid bucket when ``grid`` is a multiple of the cell size
     c = c.withColumns({"__cx": F.floor(F.col("__x0") / grid).cast("int"),
                        "__cy": F.floor(F.col("__y0") / grid).cast("int")})
-    cand = c.join(pc, ["__cx", "__cy"])
-    hit = cand.filter(cell_ring_touch(F.col(ring), F.col("__x0"), F.col("__y0"), cell_size)) \
+    cand = c.join(pc, ["__cx", "__cy"]).filter(
+        (F.col("__x0") <= F.col("__maxx")) & (F.col("__x0") + cell_size >= F.col("__minx"))
+        & (F.col("__y0") <= F.col("__maxy")) & (F.col("__y0") + cell_size >= F.col("__miny")))
+    hit = cand.filter(cell_ring_touch(F.col(ring), F.col("__x0"), F.col("__y0"), cell_size,
+                                      F.col("__edges"))) \
               .select(gid, F.col(value).alias("valor"))
-    basic = hit.groupBy(gid).agg(F.avg("valor").alias(f"{prefix}_mean"),
-                                 F.max("valor").alias(f"{prefix}_max"),
-                                 F.min("valor").alias(f"{prefix}_min"),
-                                 F.stddev_pop("valor").alias(f"{prefix}_std"))
-    med = exact_percentiles(hit, [gid], "valor", (0.5,)).select(
+    # one histogram pass feeds every statistic: the geometry test runs once
+    hist = hit.groupBy(gid, "valor").agg(F.count(F.lit(1)).alias("cnt"))
+    m = hist.groupBy(gid).agg((F.sum(F.col("valor") * F.col("cnt")) / F.sum("cnt")).alias("__mean"),
+                              F.max("valor").alias(f"{prefix}_max"),
+                              F.min("valor").alias(f"{prefix}_min"))
+    # population variance, two-pass (numerically stable) over the histogram
+    var = hist.join(m.select(gid, "__mean"), gid).groupBy(gid).agg(
+        (F.sum(F.col("cnt") * (F.col("valor") - F.col("__mean")) ** 2) / F.sum("cnt")).alias("__var"))
+    med = percentiles_from_hist(hist, [gid], "valor", "cnt", (0.5,)).select(
         gid, F.col("p50").alias(f"{prefix}_median"))
-    return basic.join(med, gid, "left")
+    return (m.join(var, gid).join(med, gid, "left")
+             .select(gid, F.col("__mean").alias(f"{prefix}_mean"), f"{prefix}_max", f"{prefix}_min",
+                     F.sqrt("__var").alias(f"{prefix}_std"), f"{prefix}_median"))
 
 
 def region_filter(df: DataFrame, code: str, prefixes: Sequence[str], n: int = 2) -> DataFrame:

@@ -75,8 +75,16 @@ def exact_percentiles(long: DataFrame, groups: Sequence[str], value: str = "valo
                       pcts: Sequence[float] = PCTS, buckets: int = 64) -> DataFrame:
     """Per group: n and the exact percentiles (linear interpolation between
     closest ranks) named ``p50``, ``p75``, ...; groups with no value are absent."""
+    hist = long.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
+    return percentiles_from_hist(hist, groups, value, "cnt", pcts, buckets)
+
+
+def percentiles_from_hist(hist: DataFrame, groups: Sequence[str], value: str, cnt: str = "cnt",
+                          pcts: Sequence[float] = PCTS, buckets: int = 64) -> DataFrame:
+    """``exact_percentiles`` on an existing (group, value, count) histogram,
+    so several statistics can share one histogram pass."""
     g = list(groups)
-    hist = long.groupBy(*g, value).agg(F.count(F.lit(1)).alias("cnt"))
+    hist = hist.select(*g, value, F.col(cnt).alias("cnt"))
     cum = cumulative_below(hist, g, value, ["cnt"], buckets, totals=True) \
         .withColumnRenamed("total_cnt", "n")
     # target ranks (0-based) per percentile: floor(h) and floor(h) + 1
