@@ -206,9 +206,29 @@ def zonal_stats(mosaic: DataFrame, polys: DataFrame, prefix: str, cell_size: flo
                 ring: str = "ring") -> DataFrame:
     """Per polygon: mean, max, min, std (population) and exact median of
     the valid cells touched by the polygon (``all_touched``)."""
+    return zonal_stats_multi({prefix: mosaic}, polys, cell_size, grid, gid, nodata, row, col,
+                             value, ring)
+
+
+def zonal_stats_multi(mosaics: dict, polys: DataFrame, cell_size: float = 5.0,
+                      grid: float = 100.0, gid: str = "poly_id", nodata: float = -9999.0,
+                      row: str = "row", col: str = "col", value: str = "value",
+                      ring: str = "ring") -> DataFrame:
+    """``zonal_stats`` for several rasters on the same cell grid at once:
+    the products are joined per cell (their mosaics are already partitioned
+    by cell, so no shuffle), the geometry test runs once per (cell, polygon)
+    and one histogram pass feeds all statistics of all products."""
+    names = list(mosaics)
+    cells = None
+    for p_ in names:
+        m = mosaics[p_].select(row, col, F.when(F.col(value) != nodata, F.col(value)).alias(p_))
+        cells = m if cells is None else cells.join(m, [row, col], "full")
+    any_valid = F.col(names[0]).isNotNull()
+    for p_ in names[1:]:
+        any_valid = any_valid | F.col(p_).isNotNull()
+    cells = cells.filter(any_valid)
     pc = polygon_cells(polys.select(gid, ring), grid, 0.0, ring)
-    c = (mosaic.filter(F.col(value) != nodata)
-               .withColumns({"__x0": F.col(col) * cell_size, "__y0": F.col(row) * cell_size}))
+    c = cells.withColumns({"__x0": F.col(col) * cell_size, "__y0": F.col(row) * cell_size})
     # cells never straddle a grid bucket when ``grid`` is a multiple of the cell size
     c = c.withColumns({"__cx": F.floor(F.col("__x0") / grid).cast("int"),
                        "__cy": F.floor(F.col("__y0") / grid).cast("int")})
@@ -216,21 +236,25 @@ def zonal_stats(mosaic: DataFrame, polys: DataFrame, prefix: str, cell_size: flo
         (F.col("__x0") <= F.col("__maxx")) & (F.col("__x0") + cell_size >= F.col("__minx"))
         & (F.col("__y0") <= F.col("__maxy")) & (F.col("__y0") + cell_size >= F.col("__miny")))
     hit = cand.filter(cell_ring_touch(F.col(ring), F.col("__x0"), F.col("__y0"), cell_size,
-                                      F.col("__edges"))) \
-              .select(gid, F.col(value).alias("valor"))
-    # one histogram pass feeds every statistic: the geometry test runs once
-    hist = hit.groupBy(gid, "valor").agg(F.count(F.lit(1)).alias("cnt"))
-    m = hist.groupBy(gid).agg((F.sum(F.col("valor") * F.col("cnt")) / F.sum("cnt")).alias("__mean"),
-                              F.max("valor").alias(f"{prefix}_max"),
-                              F.min("valor").alias(f"{prefix}_min"))
+                                      F.col("__edges")))
+    long = hit.select(gid, F.explode(F.array(*[F.struct(F.lit(p_).alias("produto"),
+                                                          F.col(p_).alias("valor"))
+                                                 for p_ in names])).alias("__v")) \
+              .select(gid, "__v.produto", "__v.valor").filter(F.col("valor").isNotNull())
+    g = [gid, "produto"]
+    # one histogram pass feeds every statistic
+    hist = long.groupBy(*g, "valor").agg(F.count(F.lit(1)).alias("cnt"))
+    m = hist.groupBy(*g).agg((F.sum(F.col("valor") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
+                             F.max("valor").alias("max"), F.min("valor").alias("min"))
     # population variance, two-pass (numerically stable) over the histogram
-    var = hist.join(m.select(gid, "__mean"), gid).groupBy(gid).agg(
+    var = hist.join(m.select(*g, F.col("mean").alias("__mean")), g).groupBy(*g).agg(
         (F.sum(F.col("cnt") * (F.col("valor") - F.col("__mean")) ** 2) / F.sum("cnt")).alias("__var"))
-    med = percentiles_from_hist(hist, [gid], "valor", "cnt", (0.5,)).select(
-        gid, F.col("p50").alias(f"{prefix}_median"))
-    return (m.join(var, gid).join(med, gid, "left")
-             .select(gid, F.col("__mean").alias(f"{prefix}_mean"), f"{prefix}_max", f"{prefix}_min",
-                     F.sqrt("__var").alias(f"{prefix}_std"), f"{prefix}_median"))
+    med = percentiles_from_hist(hist, g, "valor", "cnt", (0.5,)).select(
+        *g, F.col("p50").alias("median"))
+    per = m.join(var, g).join(med, g, "left").withColumn("std", F.sqrt("__var"))
+    stats = ["mean", "max", "min", "std", "median"]
+    wide = per.groupBy(gid).pivot("produto", names).agg(*[F.first(x).alias(x) for x in stats])
+    return wide.select(gid, *[F.col(f"{p_}_{x}") for p_ in names for x in stats])
 
 
 def region_filter(df: DataFrame, code: str, prefixes: Sequence[str], n: int = 2) -> DataFrame:
