@@ -6,9 +6,10 @@ repeated), rasters as cell tables ``(tile, row, col, value)``.
 
 Joins never pair every point with every polygon: polygons are expanded to
 the grid cells (side ``cell``) their bounding box covers, points get their
-cell, and candidates come from an equi-join on the cell. The exact test
-(ray-casting parity, boundary test, point-segment distance) then runs as
-built-in higher-order functions over the ring, inside whole-stage codegen.
+cell, and candidates come from an equi-join on the cell, then a bounding-box
+filter. The exact tests (ray-casting parity, border test, point-segment
+distance) run as built-in higher-order functions over a per-polygon edge
+array, written as SQL expression text (one parse each, no Python UDF).
 """
 
 from __future__ import annotations
@@ -23,60 +24,65 @@ from pluvio.operators.stats import percentiles_from_hist
 
 def _edges(ring: Column) -> Column:
     """Ring -> array of edges (x1, y1, x2, y2), closing the ring."""
-    nxt = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    return F.zip_with(ring, nxt, lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"),
-                                                        b["x"].alias("x2"), b["y"].alias("y2")))
+    return F.expr(f"zip_with({_sql(ring)}, concat(slice({_sql(ring)}, 2, size({_sql(ring)})), "
+                  f"slice({_sql(ring)}, 1, 1)), "
+                  "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))")
 
 
-def _on_segment(px, py, e) -> Column:
-    cross = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
-    return ((cross == 0) & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
-            & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
+def _sql(c) -> str:
+    """SQL text of a column reference or expression given as text / name."""
+    if isinstance(c, str):
+        return c
+    raise TypeError("spatial helpers take column names or SQL expression text")
 
 
-def _crosses(px, py, e) -> Column:
-    """PNPOLY edge test: the ray to +x from the point crosses the edge."""
-    straddles = (e["y1"] > py) != (e["y2"] > py)
-    # CASE keeps the division away from horizontal edges
-    return F.when(straddles, px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"])
-                  + e["x1"]).otherwise(F.lit(False))
+# The ring tests are written as Spark SQL expression text: one parse per
+# expression instead of one driver round trip per lambda node.
 
+def _cross_sql(px: str, py: str) -> str:
+    """PNPOLY edge test for edge ``e``; the inner CASE keeps the division
+    away from horizontal edges."""
+    return (f"CASE WHEN (e.y1 > {py}) <> (e.y2 > {py}) THEN "
+            f"CASE WHEN {px} < (e.x2 - e.x1) * ({py} - e.y1) / (e.y2 - e.y1) + e.x1 THEN 1 ELSE 0 END "
+            f"ELSE 0 END")
 
-def contains_edges(edges: Column, px: Column, py: Column, boundary: bool = False) -> Column:
-    """Point in polygon over a precomputed edge array, in ONE pass: the
-    accumulator carries the crossing count and the on-border flag.
-    ``boundary=False``: strict interior ("within"); ``True``: border inside."""
-    acc0 = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
-    res = F.aggregate(edges, acc0, lambda acc, e: F.struct(
-        (acc["n"] + F.when(_crosses(px, py, e), 1).otherwise(0)).alias("n"),
-        (acc["on"] | _on_segment(px, py, e)).alias("on")))
-    odd = res["n"] % 2 == 1
-    return (odd | res["on"]) if boundary else (odd & ~res["on"])
 
+def _onseg_sql(px: str, py: str) -> str:
+    return (f"((e.x2 - e.x1) * ({py} - e.y1) - (e.y2 - e.y1) * ({px} - e.x1) = 0 "
+            f"AND {px} >= least(e.x1, e.x2) AND {px} <= greatest(e.x1, e.x2) "
+            f"AND {py} >= least(e.y1, e.y2) AND {py} <= greatest(e.y1, e.y2))")
 
-def contains(ring: Column, px: Column, py: Column, boundary: bool = False) -> Column:
-    """Point in polygon given the ring (edges derived on the fly)."""
-    return contains_edges(_edges(ring), px, py, boundary)
 
+def ring_test_sql(edges: str, px: str, py: str) -> str:
+    """One pass over the edges: struct(n = crossings, on = on the border)."""
+    return (f"aggregate({edges}, named_struct('n', 0, 'on', false), (acc, e) -> named_struct("
+            f"'n', acc.n + {_cross_sql(px, py)}, 'on', acc.on OR {_onseg_sql(px, py)}))")
 
-def on_border(edges: Column, px: Column, py: Column) -> Column:
-    return F.exists(edges, lambda e: _on_segment(px, py, e))
 
+def contains_sql(edges: str, px: str, py: str, boundary: bool = False) -> str:
+    """Point-in-polygon as one ``aggregate`` whose finish step turns the
+    (crossings, on-border) accumulator into the answer."""
+    fin = "acc.n % 2 = 1 OR acc.on" if boundary else "acc.n % 2 = 1 AND NOT acc.on"
+    return (f"aggregate({edges}, named_struct('n', 0, 'on', false), (acc, e) -> named_struct("
+            f"'n', acc.n + {_cross_sql(px, py)}, 'on', acc.on OR {_onseg_sql(px, py)}), "
+            f"acc -> {fin})")
 
-def distance_to_edges(edges: Column, px: Column, py: Column) -> Column:
-    """Smallest point-segment distance from the point to the edges."""
-    def seg(e):
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        L2 = dx * dx + dy * dy
-        t = F.when(L2 == 0, F.lit(0.0)).otherwise(
-            F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / L2)))
-        qx, qy = e["x1"] + t * dx - px, e["y1"] + t * dy - py
-        return F.sqrt(qx * qx + qy * qy)
-    return F.array_min(F.transform(edges, seg))
+
+def contains(edges: str, px: str, py: str, boundary: bool = False) -> Column:
+    """Point in polygon over an edge-array column. ``boundary=False``: strict
+    interior ("within"); ``True``: the border counts as inside. Arguments are
+    column names or SQL expression text."""
+    return F.expr(contains_sql(edges, px, py, boundary))
 
 
-def distance_to_ring(ring: Column, px: Column, py: Column) -> Column:
-    return distance_to_edges(_edges(ring), px, py)
+def distance_sql(edges: str, px: str, py: str) -> str:
+    """Smallest point-segment distance from the point to the edges."""
+    t = (f"CASE WHEN (e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1) = 0 THEN 0.0 "
+         f"ELSE least(1.0, greatest(0.0, (({px} - e.x1) * (e.x2 - e.x1) + ({py} - e.y1) * (e.y2 - e.y1)) "
+         f"/ ((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))) END")
+    return (f"array_min(transform({edges}, e -> sqrt("
+            f"(e.x1 + ({t}) * (e.x2 - e.x1) - {px}) * (e.x1 + ({t}) * (e.x2 - e.x1) - {px}) + "
+            f"(e.y1 + ({t}) * (e.y2 - e.y1) - {py}) * (e.y1 + ({t}) * (e.y2 - e.y1) - {py}))))")
 
 
 def bbox(ring: Column) -> dict:
@@ -90,7 +96,7 @@ def polygon_cells(polys: DataFrame, cell: float, pad: float = 0.0,
     """Polygon -> every grid cell its (padded) bounding box covers. The
     expansion is bounded by the polygon's extent, not by the data."""
     b = bbox(F.col(ring))
-    p = polys.withColumns({**{f"__{k}": v for k, v in b.items()}, "__edges": _edges(F.col(ring))})
+    p = polys.withColumns({**{f"__{k}": v for k, v in b.items()}, "__edges": _edges(ring)})
     cx = F.sequence(F.floor((F.col("__minx") - pad) / cell).cast("int"),
                     F.floor((F.col("__maxx") + pad) / cell).cast("int"))
     cy = F.sequence(F.floor((F.col("__miny") - pad) / cell).cast("int"),
@@ -118,10 +124,7 @@ def point_in_polygon(points: DataFrame, polys: DataFrame, pid: str = "CODIGO_WMO
     pts = point_cells(points.select(pid, x, y), x, y, cell)
     px, py = F.col(x), F.col(y)
     cand = pts.join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py))
-    acc0 = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
-    res = F.aggregate(F.col("__edges"), acc0, lambda acc, e: F.struct(
-        (acc["n"] + F.when(_crosses(px, py, e), 1).otherwise(0)).alias("n"),
-        (acc["on"] | _on_segment(px, py, e)).alias("on")))
+    res = F.expr(ring_test_sql("__edges", f"`{x}`", f"`{y}`"))
     tested = cand.select(pid, gid, res.alias("__r")).select(
         pid, gid, ((F.col("__r.n") % 2 == 1) & ~F.col("__r.on")).alias("__in"),
         F.col("__r.on").alias("__on"))
@@ -141,8 +144,8 @@ def nearest_within(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
     pts = point_cells(points.select(pid, x, y), x, y, cell)
     px, py = F.col(x), F.col(y)
     cand = pts.join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py, max_dist))
-    dist = F.when(contains_edges(F.col("__edges"), px, py, boundary=True), F.lit(0.0)) \
-            .otherwise(distance_to_edges(F.col("__edges"), px, py))
+    dist = F.when(contains("__edges", f"`{x}`", f"`{y}`", boundary=True), F.lit(0.0)) \
+            .otherwise(F.expr(distance_sql("__edges", f"`{x}`", f"`{y}`")))
     d = cand.select(pid, gid, dist.alias("dist")).filter(F.col("dist") <= max_dist)
     best = d.groupBy(pid).agg(F.min(F.struct(F.col("dist"), F.col(gid))).alias("__b"))
     return best.select(pid, F.col(f"__b.{gid}").alias("poly_nearest"),
@@ -184,20 +187,17 @@ def mosaic_cells(cells: DataFrame, tile: str = "tile", row: str = "row", col: st
     return best.select(row, col, F.col("__b.t").alias(tile), F.col("__b.v").alias(value))
 
 
-def cell_ring_touch(ring: Column, x0: Column, y0: Column, size: float,
-                    edges: Column | None = None) -> Column:
-    """Cell box [x0, x0+size] x [y0, y0+size] touches the polygon: a corner
-    or the centre lies in it (border included) or a vertex lies in the box."""
-    edges = _edges(ring) if edges is None else edges
-    centre = contains_edges(edges, x0 + size / 2, y0 + size / 2, boundary=True)
-    corners = None
-    for px, py in [(x0, y0), (x0 + size, y0), (x0, y0 + size), (x0 + size, y0 + size)]:
-        c = contains_edges(edges, px, py, boundary=True)
-        corners = c if corners is None else (corners | c)
-    vin = F.exists(ring, lambda p: (p["x"] >= x0) & (p["x"] <= x0 + size)
-                   & (p["y"] >= y0) & (p["y"] <= y0 + size))
-    # CASE evaluates lazily: interior cells pay for the centre test only
-    return F.when(centre, F.lit(True)).otherwise(corners | vin)
+def cell_ring_touch(edges: str, ring: str, x0: str, y0: str, size: float) -> Column:
+    """Cell box [x0, x0+size] x [y0, y0+size] touches the polygon: the centre
+    or a corner lies in it (border included) or a vertex lies in the box.
+    CASE evaluates lazily: interior cells pay for the centre test only."""
+    h = size / 2
+    centre = contains_sql(edges, f"({x0} + {h})", f"({y0} + {h})", True)
+    corners = " OR ".join(contains_sql(edges, f"({x0} + {dx})", f"({y0} + {dy})", True)
+                          for dx, dy in [(0.0, 0.0), (size, 0.0), (0.0, size), (size, size)])
+    vin = (f"exists({ring}, p -> p.x >= {x0} AND p.x <= {x0} + {size} "
+           f"AND p.y >= {y0} AND p.y <= {y0} + {size})")
+    return F.expr(f"CASE WHEN {centre} THEN true ELSE ({corners} OR {vin}) END")
 
 
 def zonal_stats(mosaic: DataFrame, polys: DataFrame, prefix: str, cell_size: float = 5.0,
@@ -235,8 +235,7 @@ def zonal_stats_multi(mosaics: dict, polys: DataFrame, cell_size: float = 5.0,
     cand = c.join(pc, ["__cx", "__cy"]).filter(
         (F.col("__x0") <= F.col("__maxx")) & (F.col("__x0") + cell_size >= F.col("__minx"))
         & (F.col("__y0") <= F.col("__maxy")) & (F.col("__y0") + cell_size >= F.col("__miny")))
-    hit = cand.filter(cell_ring_touch(F.col(ring), F.col("__x0"), F.col("__y0"), cell_size,
-                                      F.col("__edges")))
+    hit = cand.filter(cell_ring_touch("__edges", ring, "__x0", "__y0", cell_size))
     long = hit.select(gid, F.explode(F.array(*[F.struct(F.lit(p_).alias("produto"),
                                                           F.col(p_).alias("valor"))
                                                  for p_ in names])).alias("__v")) \

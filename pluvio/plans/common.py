@@ -7,9 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SCANS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Parquet scan of one shared table; the projection reaches the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one shared table; the projection reaches the scan.
+
+    The base relation is resolved once per session and path (file listing
+    and footer schema are not redone for every query); DataFrames are
+    immutable, so sharing the lazy scan is safe."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
     return df.select(*cols) if cols else df
 
 
