@@ -87,16 +87,15 @@ def percentiles_from_hist(hist: DataFrame, groups: Sequence[str], value: str, cn
     hist = hist.select(*g, value, F.col(cnt).alias("cnt"))
     cum = cumulative_below(hist, g, value, ["cnt"], buckets, totals=True) \
         .withColumnRenamed("total_cnt", "n")
-    # target ranks (0-based) per percentile: floor(h) and floor(h) + 1
+    # target ranks (0-based) per percentile: floor(h) and floor(h) + 1, as
+    # SQL text (one parse instead of a driver round trip per node)
     targets = []
     for i, q in enumerate(pcts):
-        h = (F.col("n") - 1) * F.lit(q)
-        lo = F.floor(h)
-        targets.append(F.struct(F.lit(i).alias("q"), lo.alias("r"), F.lit(0).alias("which")))
-        targets.append(F.struct(F.lit(i).alias("q"), F.least(lo + 1, F.col("n") - 1).alias("r"),
-                                F.lit(1).alias("which")))
-    lo_r, hi_r = F.col("below_cnt"), F.col("below_cnt") + F.col("cnt")
-    hit = F.filter(F.array(*targets), lambda t: (t["r"] >= lo_r) & (t["r"] < hi_r))
+        lo = f"CAST(floor((n - 1) * {q!r}) AS BIGINT)"
+        targets.append(f"named_struct('q', {i}, 'r', {lo}, 'which', 0)")
+        targets.append(f"named_struct('q', {i}, 'r', least({lo} + 1, n - 1), 'which', 1)")
+    hit = F.expr(f"filter(array({', '.join(targets)}), "
+                 f"t -> t.r >= below_cnt AND t.r < below_cnt + cnt)")
     picks = cum.select(*g, "n", value, F.explode(hit).alias("t"))
     aggs = []
     for i in range(len(pcts)):

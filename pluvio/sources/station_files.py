@@ -119,17 +119,25 @@ def _column_names(header: list[str]) -> list[str]:
 
 
 def to_wide(long: DataFrame) -> DataFrame:
-    """Union by name of the per-layout wide tables (absent -> NULL). Only the
-    distinct header layouts reach the driver, never the rows."""
-    layouts = [r["cabecalho"] for r in long.select("cabecalho").distinct().collect()]
-    out = None
-    for hdr in layouts:
-        names = _column_names(list(hdr))
-        part = long.filter(F.col("cabecalho") == F.array(*[F.lit(h) for h in hdr])).select(
-            *HEADER_FIELDS,
-            *[F.get(F.col("campos"), i).alias(n) for i, n in enumerate(names)])
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    """Union by name of every header layout (absent -> NULL) in ONE pass.
+
+    Only the distinct header layouts reach the driver (a handful), where
+    their final column names are made; they go back as a small table joined
+    on the header, each row becomes a name -> field map, and the union of the
+    names is selected from it. The body rows are scanned once, whatever the
+    number of layouts."""
+    spark = long.sparkSession
+    layouts = [list(r["cabecalho"]) for r in long.select("cabecalho").distinct().collect()]
+    named = [(h, _column_names(h)) for h in layouts]
+    union: list[str] = []
+    for _, names in named:
+        union += [n for n in names if n not in union and n not in HEADER_FIELDS]
+    lay = spark.createDataFrame(named, "cabecalho array<string>, __nomes array<string>")
+    j = long.join(F.broadcast(lay), "cabecalho")
+    m = F.map_from_arrays(F.col("__nomes"),
+                          F.transform(F.col("__nomes"), lambda n, i: F.get(F.col("campos"), i)))
+    j = j.withColumn("__m", m)
+    return j.select(*HEADER_FIELDS, *[F.col("__m").getItem(n).alias(n) for n in union])
 
 
 def ingest_station_files(spark: SparkSession, folder: str) -> DataFrame:
