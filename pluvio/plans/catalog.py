@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvio.functions.scalars import (code_to_name, date_range_pred, norm_text,
+                                     not_year_null_safe, to_long)
 from pluvio.operators import labels as lab
 from pluvio.operators import reports as rep
 from pluvio.plans import standins as S
@@ -84,15 +86,15 @@ def q_register_labels(spark, d):
 @register("funnel")
 def q_funnel(spark, d):
     raw = lab.normalize_columns(S.register_raw(spark, d))
-    raw = (raw.withColumn("cobrade", lab.to_long("cod_cobrade"))
-              .withColumn("ibge", lab.to_long("cod_ibge_mun"))
-              .withColumn("regiao_l", lab.norm_text("regiao"))
+    raw = (raw.withColumn("cobrade", to_long("cod_cobrade"))
+              .withColumn("ibge", to_long("cod_ibge_mun"))
+              .withColumn("regiao_l", norm_text("regiao"))
               .withColumn("data", F.to_date("data_evento")))
     steps = [("total", F.lit(True)),
-             ("universo", lab.not_year_null_safe("data_registro", S.DROP_RECORD_YEAR)),
+             ("universo", not_year_null_safe("data_registro", S.DROP_RECORD_YEAR)),
              ("regiao", F.col("regiao_l") == S.REGION),
              ("codigo", F.col("cobrade").isin(list(lab.HYDRO_CODES))),
-             ("anos", lab.date_range_pred("data_evento", S.YEAR_LO, S.YEAR_HI))]
+             ("anos", date_range_pred("data_evento", S.YEAR_LO, S.YEAR_HI))]
     return rep.funnel(raw, steps, ["ibge", "data"])
 
 
@@ -127,7 +129,7 @@ def q_old_new_compare(spark, d):
     old = lab.build_labels(old_reg, "data_evento", S.YEAR_LO, S.YEAR_HI,
                            region_value=S.REGION, tie=("protocolo_s2id",))
     dims = {"ano": F.year("data"),
-            "tipologia": lab.code_to_name(F.col("cobrade"), lab.HYDRO_NAMES)}
+            "tipologia": code_to_name(F.col("cobrade"), lab.HYDRO_NAMES)}
     return rep.old_new_compare(old, new, dims)
 
 
@@ -433,7 +435,7 @@ def q_top_k(spark, d):
 
 # ------------------------------------------------------- spatial / raster
 
-from pluvio.functions.scalars import accent_fold, code_to_name, state_prefix  # noqa: E402
+from pluvio.functions.scalars import accent_fold, state_prefix  # noqa: E402
 from pluvio.operators import spatial as sp  # noqa: E402
 
 
