@@ -19,9 +19,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(name: str):
+    """Register a query. Its plan defines hours in UTC, so the session time
+    zone is pinned before the plan is built (a caller's session may differ)."""
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        import functools
+
+        @functools.wraps(fn)
+        def run(spark, d):
+            if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, d)
+        QUERIES[name] = run
+        return run
     return deco
 
 
