@@ -284,3 +284,10 @@ def top_k(df: DataFrame, k: int, by: str, tie: Sequence[str]) -> DataFrame:
     """The k largest rows by ``by`` with a deterministic key tie-break
     (TakeOrderedAndProject: each task keeps its own top k)."""
     return df.orderBy(F.desc(by), *tie).limit(k)
+
+
+def head_preview(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> DataFrame:
+    """First ``n`` rows for a look at a table (the limit is the feature).
+    With ``order`` the preview is deterministic (TakeOrderedAndProject);
+    without it, any ``n`` rows, read from as few partitions as needed."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)

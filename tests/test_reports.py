@@ -57,3 +57,9 @@ def test_old_new_compare(spark):
     out = {r.chave: r for r in R.old_new_compare(old, new, {"ano": F.col("ano")}).collect()}
     assert (out["2010"].antigo, out["2010"].novo, out["2010"].delta) == (2, 1, -1)
     assert out["2012"].antigo == 0 and out["2012"].mudou
+
+
+def test_head_preview(spark):
+    df = spark.range(100).withColumnRenamed("id", "k")
+    assert [r.k for r in R.head_preview(df, 3, ["k"]).collect()] == [0, 1, 2]
+    assert R.head_preview(df, 4).count() == 4
