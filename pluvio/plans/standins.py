@@ -27,6 +27,27 @@ from pluvio.operators import features as feat
 from pluvio.operators import labels as lab
 from pluvio.plans.common import read
 
+_PLANS: dict = {}
+
+
+def _memo(fn):
+    """Reuse the lazy DataFrame (the plan, not data) of a stand-in role per
+    session, folder and arguments: queries still execute all of their work,
+    the driver just does not rebuild and re-analyse the same plan each time."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(spark, d, *args, **kwargs):
+        key = (fn.__name__, id(spark), d, args, tuple(sorted(kwargs.items())))
+        hit = _PLANS.get(key)
+        if hit is not None and hit.sparkSession is spark:
+            return hit
+        df = fn(spark, d, *args, **kwargs)
+        _PLANS[key] = df
+        return df
+    return wrapper
+
+
 # Fixed values of the stand-in plans.
 LOCAL_TZ = "-03:00"           # fixed offset, so the oracle needs no zone data
 X_SINCE = "2024-01-05 00:00:00"
@@ -39,6 +60,7 @@ DROP_RECORD_YEAR = 2001
 EXCLUDE_ACCTBAL = 9000.0      # suppliers above this play the exclusion list
 
 
+@_memo
 def geo(spark: SparkSession, d: str) -> DataFrame:
     """nation -> region names. Both tables have a fixed size (25 and 5 rows
     in every scale factor), so broadcasting them is bounded."""
@@ -48,6 +70,7 @@ def geo(spark: SparkSession, d: str) -> DataFrame:
             .select("n_nationkey", "n_name", "r_name")
 
 
+@_memo
 def bridge(spark: SparkSession, d: str) -> DataFrame:
     """Station -> municipality bridge (customer -> nation)."""
     c = read(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"])
@@ -60,6 +83,7 @@ def bridge(spark: SparkSession, d: str) -> DataFrame:
                      F.col("r_name").alias("uf")))
 
 
+@_memo
 def events_hourly(spark: SparkSession, d: str, exclude_error: bool = False,
                   since: str | None = None) -> DataFrame:
     """Hourly series per station: ``sum(value)`` per (user, UTC hour)."""
@@ -73,6 +97,7 @@ def events_hourly(spark: SparkSession, d: str, exclude_error: bool = False,
               .agg(F.sum("value").alias("precip_mm")))
 
 
+@_memo
 def label_x(spark: SparkSession, d: str) -> DataFrame:
     """X of the label join: daily municipality features of non-error events."""
     hourly = events_hourly(spark, d, exclude_error=True, since=X_SINCE)
@@ -86,6 +111,7 @@ def band_code(value) -> F.Column:
              .otherwise(F.lit(12300))).cast("bigint")
 
 
+@_memo
 def events_register(spark: SparkSession, d: str) -> DataFrame:
     """Register rows from error events above the threshold."""
     ev = read(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -104,6 +130,7 @@ def events_register(spark: SparkSession, d: str) -> DataFrame:
     ).withColumn("regiao_l", F.lower(F.trim("regiao")))
 
 
+@_memo
 def label_y(spark: SparkSession, d: str) -> DataFrame:
     """Y of the label join, one row per (municipality, day)."""
     y = lab.build_labels(events_register(spark, d), "data_evento", 2024, 2024,
@@ -113,6 +140,7 @@ def label_y(spark: SparkSession, d: str) -> DataFrame:
 
 # ----------------------------------------------------------------- register
 
+@_memo
 def register_raw(spark: SparkSession, d: str) -> DataFrame:
     """Raw register: one row per order, text-typed keys as in a spreadsheet
     export, record date from the order's earliest line item."""
@@ -149,12 +177,14 @@ def register_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_memo
 def register(spark: SparkSession, d: str) -> DataFrame:
     """Typed register (dates, keys, normalised region; record year dropped,
     NULL record dates kept)."""
     return lab.prepare_register(register_raw(spark, d), drop_record_year=DROP_RECORD_YEAR)
 
 
+@_memo
 def register_labels(spark: SparkSession, d: str, lo: int = YEAR_LO,
                     hi: int = YEAR_HI, date_col: str = "data_evento") -> DataFrame:
     y = lab.build_labels(register(spark, d), date_col, lo, hi,
@@ -162,6 +192,7 @@ def register_labels(spark: SparkSession, d: str, lo: int = YEAR_LO,
     return lab.to_label_table(y)
 
 
+@_memo
 def stations(spark: SparkSession, d: str) -> DataFrame:
     """Station list: suppliers; negative balance plays a failed status."""
     s = read(spark, d, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
@@ -173,11 +204,13 @@ def stations(spark: SparkSession, d: str) -> DataFrame:
                     F.col("s_acctbal"))
 
 
+@_memo
 def station_exclusions(spark: SparkSession, d: str) -> DataFrame:
     return stations(spark, d).filter(F.col("s_acctbal") > EXCLUDE_ACCTBAL) \
                              .select("CODIGO_WMO")
 
 
+@_memo
 def kept_stations(spark: SparkSession, d: str) -> DataFrame:
     return lab.station_status_filter(stations(spark, d), station_exclusions(spark, d))
 
@@ -190,12 +223,14 @@ MIN_SEGMENT_HOURS = 240
 TERRITORY = {"lat": (-24.5, -14.0), "lon": (-49.5, -39.0)}
 
 
+@_memo
 def imputed_grid(spark: SparkSession, d: str, fill_all: bool = False) -> DataFrame:
     from pluvio.operators import series as ser
     return ser.impute_hourly(events_hourly(spark, d), short=GRID_SHORT, medium=GRID_MEDIUM,
                              long=GRID_LONG, fill_all=fill_all)
 
 
+@_memo
 def station_coords(spark: SparkSession, d: str) -> DataFrame:
     """Station identity and coordinates (integer arithmetic on the key)."""
     c = read(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"])
@@ -212,6 +247,7 @@ VERSION_COLS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h",
 NEW_FROM, OLD_UNTIL = "2024-01-02", "2024-01-29"
 
 
+@_memo
 def user_days(spark: SparkSession, d: str) -> DataFrame:
     """Station-days of the hourly series (UTC days), in the X layout."""
     sd = feat.station_day_agg(events_hourly(spark, d), imputed=None, tz="+00:00",
@@ -222,22 +258,26 @@ def user_days(spark: SparkSession, d: str) -> DataFrame:
                      "horas_imputadas", "dia_completo")
 
 
+@_memo
 def features_version(spark: SparkSession, d: str, frame: str) -> DataFrame:
     return feat.prior_window_features(user_days(spark, d), frame=frame)
 
 
+@_memo
 def version_new(spark: SparkSession, d: str) -> DataFrame:
     """Calendar (RANGE) windows; covers the days from NEW_FROM."""
     v = features_version(spark, d, "range")
     return v.filter(F.col("data_local") >= F.lit(NEW_FROM).cast("date"))
 
 
+@_memo
 def version_old(spark: SparkSession, d: str) -> DataFrame:
     """Row (ROWS) windows; covers the days before OLD_UNTIL."""
     v = features_version(spark, d, "rows")
     return v.filter(F.col("data_local") < F.lit(OLD_UNTIL).cast("date"))
 
 
+@_memo
 def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
     """Labels per (station, UTC day) from error events above the threshold."""
     ev = read(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -255,6 +295,7 @@ def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
     return lab.to_label_table(y)
 
 
+@_memo
 def modelling_table(spark: SparkSession, d: str) -> DataFrame:
     """Station-day features (calendar windows) LEFT JOIN labels, doubles
     rounded as a stored table would hold them."""
@@ -271,6 +312,7 @@ NEAREST_KM = 100.0
 UF_NAMES = {"31": "MG", "32": "ES", "33": "RJ", "35": "SP"}
 
 
+@_memo
 def station_points(spark: SparkSession, d: str) -> DataFrame:
     """Station coordinates (km) by integer arithmetic on the key."""
     c = read(spark, d, "customer", ["c_custkey"])
@@ -279,6 +321,7 @@ def station_points(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("c_custkey") * 104729 % 1000).cast("double").alias("y"))
 
 
+@_memo
 def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
     """One convex hexagon per nation on a 5 x 5 layout of 200 km cells."""
     n = read(spark, d, "nation", ["n_nationkey", "n_name"])
@@ -296,6 +339,7 @@ def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
                     ring.alias("ring"))
 
 
+@_memo
 def raster_tiles(spark: SparkSession, d: str, product: str) -> DataFrame:
     """Tile cells of one product from line items: tile = line number, cell
     from key arithmetic, NODATA where the source value is zero."""
