@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # partition discovery lists in chunky tasks instead of one per folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
