@@ -399,13 +399,14 @@ def _mt(spark, d):
 
 @register("group_percentiles")
 def q_group_percentiles(spark, d):
-    mt = st.with_scenarios(_mt(spark, d))
+    # one consumer (the histogram aggregate): no need to write the table first
+    mt = st.with_scenarios(S.modelling_table(spark, d))
     return finish(st.group_percentiles(mt, VARS, by=["cenario"]))
 
 
 @register("rank_auc")
 def q_rank_auc(spark, d):
-    mt = st.with_scenarios(_mt(spark, d))
+    mt = st.with_scenarios(S.modelling_table(spark, d))
     return finish(st.rank_auc(mt, VARS, by=["cenario"]))
 
 
@@ -537,8 +538,8 @@ FOLD_FIRST_CUT, FOLD_DAYS, N_FOLDS = "2024-01-11", 5, 4
 THRESHOLD = 0.5
 
 
-def _scored(spark, d):
-    mt = _mt(spark, d)
+def _scored(spark, d, shared: bool = False):
+    mt = _mt(spark, d) if shared else S.modelling_table(spark, d)
     return mt.withColumn("prob", F.col("precip_dia") / (F.col("precip_dia") + 100.0))
 
 
@@ -561,7 +562,9 @@ def q_reliability_bins(spark, d):
 
 @register("precision_recall_f1")
 def q_precision_recall_f1(spark, d):
-    return finish(ev.precision_recall_f1(_scored(spark, d), "prob", "evento", THRESHOLD))
+    # two consumers (confusion counts and the score histogram): shared table
+    return finish(ev.precision_recall_f1(_scored(spark, d, shared=True), "prob", "evento",
+                                         THRESHOLD))
 
 
 @register("class_weights")
@@ -675,10 +678,10 @@ def q_topography_describe(spark, d):
 
 @register("topography_top_k")
 def q_topography_top_k(spark, d):
-    t = _topo_table(spark, d).select("CD_MUN", "NM_MUN", "UF", "declividade_mean", "altitude_mean")
+    t = _topography(spark, d).select("CD_MUN", "NM_MUN", "UF", "declividade_mean", "altitude_mean")
     return rep.top_k(t, 10, "declividade_mean", ["CD_MUN"])
 
 
 @register("topography_null_counts")
 def q_topography_null_counts(spark, d):
-    return rep.null_counts(_topo_table(spark, d))
+    return rep.null_counts(_topography(spark, d))
