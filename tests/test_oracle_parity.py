@@ -44,6 +44,21 @@ def test_query_matches_oracle(spark, con, name):
     assert got == want
 
 
+SQL_TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+             "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "DateType": "DATE",
+             "TimestampNTZType": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    got = {f.name.lower(): SQL_TYPES.get(type(f.dataType).__name__, str(f.dataType))
+           for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    want = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    assert got == want
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "evento" in df.columns
