@@ -23,7 +23,5 @@ def test_label_x_filter_and_projection_pushed(spark):
 
 def test_no_cartesian_products(spark):
     for name in E.queries():
-        if name == "sinks_round_trip":
-            continue
         p = _plan(spark, name)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
