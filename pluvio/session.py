@@ -57,6 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="pluvio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
