@@ -139,7 +139,8 @@ def impute_hourly(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_u
                         L.alias("gap_hours"),
                         gap_class(L, short, medium, long).alias("gap_classe"),
                         value.isNotNull().alias("imputed_flag"),
-                        F.when(value.isNotNull(), method).alias("imputation_method")))
+                        F.when(value.isNotNull(), method).alias("imputation_method"),
+                        F.col("inicio").alias("gap_inicio")))
     obs = hourly.filter(F.col(v).isNotNull())
     if period is not None:
         lo, hi = (F.lit(p).cast("timestamp") for p in period)
@@ -149,10 +150,27 @@ def impute_hourly(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_u
                           F.lit(0).cast("bigint").alias("gap_hours"),
                           F.lit("nao_aplicavel").alias("gap_classe"),
                           F.lit(False).alias("imputed_flag"),
-                          F.lit(None).cast("string").alias("imputation_method"))
+                          F.lit(None).cast("string").alias("imputation_method"),
+                          F.lit(None).cast("timestamp").alias("gap_inicio"))
     return observed.unionByName(gaps)
 
 
+def runs_from_grid(grid: DataFrame, station: str = "CODIGO_WMO") -> DataFrame:
+    """Gap runs read back from a stored grid (each missing hour carries its
+    run's first hour): one grouped aggregate, no window."""
+    return (grid.filter("orig_missing").groupBy(station, "gap_inicio")
+                .agg(F.min("dt_utc").alias("inicio"), F.max("dt_utc").alias("fim"),
+                     F.count(F.lit(1)).cast("bigint").alias("gap_hours"))
+                .drop("gap_inicio"))
+
+
+def span_from_grid(grid: DataFrame, station: str = "CODIGO_WMO") -> DataFrame:
+    """Grid span per station read back from a stored grid."""
+    return grid.groupBy(station).agg(F.min("dt_utc").alias("grid_inicio"),
+                                     F.max("dt_utc").alias("grid_fim"),
+                                     F.count(F.lit(1)).cast("bigint").alias("total_horas"))
+
+
 def completeness_tier(pct_remaining, tier_a: float = 5.0, tier_c: float = 15.0) -> Column:
     p = F.col(pct_remaining) if isinstance(pct_remaining, str) else pct_remaining
     return F.when(p > tier_c, "C").when(p <= tier_a, "A").otherwise("B")

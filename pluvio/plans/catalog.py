@@ -265,9 +265,14 @@ def q_longest_gap_location(spark, d):
     return finish(ser.longest_gap_location(ser.gap_runs(h), ser.station_span(h)))
 
 
-def _segments(spark, d):
-    h = S.events_hourly(spark, d)
-    seg = ser.longest_clean_segment(ser.gap_runs(h), ser.station_span(h), medium=S.GRID_MEDIUM)
+def _segments(spark, d, grid=None):
+    if grid is None:
+        h = S.events_hourly(spark, d)
+        runs, span = ser.gap_runs(h), ser.station_span(h)
+    else:
+        # runs and spans read back from the stored grid: no window is re-run
+        runs, span = ser.runs_from_grid(grid), ser.span_from_grid(grid)
+    seg = ser.longest_clean_segment(runs, span, medium=S.GRID_MEDIUM)
     return ser.chronic_exclusion(seg, S.MAX_OBSTACLES, S.MIN_SEGMENT_HOURS)
 
 
@@ -281,7 +286,7 @@ def _station_metadata(spark, d, grid=None):
         from pluvio.session import persist_table
         grid = persist_table(S.imputed_grid(spark, d), "grade-horaria")
     rep_ = ser.imputation_report(grid)
-    seg = _segments(spark, d).select("CODIGO_WMO", "grid_inicio", "grid_fim", "n_obstaculos",
+    seg = _segments(spark, d, grid).select("CODIGO_WMO", "grid_inicio", "grid_fim", "n_obstaculos",
                                      "segmento_inicio", "segmento_fim", "horas_removidas",
                                      "excluida", "motivo_exclusao")
     ids = S.station_coords(spark, d)
@@ -628,7 +633,7 @@ def q_hourly_modelling_table(spark, d):
                                   F.col("municipio_ibge").alias("UF"),
                                   F.col("municipio_ibge").alias("MUNICIPIO"),
                                   F.col("ibge").alias("CODIGO_MUNICIPIO_IBGE"))
-    rows = ser.cut_to_valid_period(grid, meta).join(b, "CODIGO_WMO", "left")
+    rows = ser.cut_to_valid_period(grid, meta).join(b, "CODIGO_WMO", "left").drop("gap_inicio")
     return finish(rows)
 
 
