@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pluvio.plans.catalog import QUERIES
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -28,7 +29,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
@@ -49,7 +50,7 @@ SQL_TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUB
              "TimestampNTZType": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_types_match_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = {f.name.lower(): SQL_TYPES.get(type(f.dataType).__name__, str(f.dataType))
