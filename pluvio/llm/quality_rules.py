@@ -96,11 +96,11 @@ def repeated_window_words(words: str) -> Column:
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` reduced to its ``doc_id`` plus all statistics and ratios."""
+    """The whole input row as ``_row`` plus all statistics and ratios."""
     text = F.coalesce(F.col("text"), F.lit(""))
     spaced = F.translate(text, SPACES, " " * len(SPACES))
-    d = docs.select("doc_id", "text").select(
-        "doc_id", text.alias("text"),
+    d = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text.alias("text"),
         F.filter(F.split(spaced, " "), lambda w: w != "").alias("_words"),
         F.filter(F.split(text, "\n"), lambda x: F.length(_without(x, SPACES)) > 0).alias("_lines"))
     d = d.select("*", *[c.alias(n) for n, c in base_columns(F.col("text")).items()],
@@ -111,7 +111,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
                  _occurrences(F.col("text"), "|").alias("n_bars"))
     n = F.nullif(F.col("n_words").cast("double"), F.lit(0.0))
     lines = F.nullif(F.size("_lines").cast("double"), F.lit(0.0))
-    stats = d.select("doc_id", F.struct(
+    stats = d.select("_row", F.struct(
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (F.col("word_chars") / n).alias("word_length"),
         (F.col("n_symbols") / n).alias("symbol_ratio"),
@@ -121,7 +121,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         (F.col("n_dup_lines") / lines).alias("duplicate_line_ratio")).alias("s"))
     # a one-row generator: filters on the results stay above it instead of being
     # rewritten into a second evaluation of the statistics
-    return stats.select("doc_id", F.inline(F.array("s")))
+    return stats.select("_row", F.inline(F.array("s")))
 
 
 def _occurrences(text: Column, chars: str) -> Column:
@@ -142,17 +142,28 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
     return ok
 
 
+def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """:func:`text_statistics` with ``base_failed`` and ``kept``."""
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (text_statistics(docs).withColumn("base_failed", failed)
+            .withColumn("kept", ~F.col("base_failed") & verdict(rules)))
+
+
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: statistics, ``base_failed`` and ``kept``.
+    """One row per document: ``doc_id``, statistics, ``base_failed``, ``kept``.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in
     repeated three-word windows. ``kept``: not failed and no rule rejects.
     Null text has no words and fails; null or repeated ``doc_id`` rows are kept
-    as rows; other columns are ignored; an empty table gives an empty result.
+    as rows; other columns are ignored, whatever their names; an empty table
+    gives an empty result.
     """
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (text_statistics(docs).withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & verdict(rules)))
+    return judged(docs, rules).select("_row.doc_id", "*").drop("_row")
+
+
+def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that the rules keep."""
+    return judged(docs, rules).where("kept").select("_row.*")
 
 
 def oracle_sql(rules: tuple[Rule, ...] = RULES) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pluvio.llm import packing, quality_rules, sentencepiece_codec, token_files
+from pluvio.llm import minhash_dedup, packing, quality_rules, sentencepiece_codec, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.codec_digest(table(spark, sf_dir, "documents"),
                                             public_tokenizers.path("piece_bpe_32k.model"))
@@ -36,6 +40,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_token_files": op4_token_files,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
 }
