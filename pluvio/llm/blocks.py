@@ -52,6 +52,16 @@ def unpack_array(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(dtype.itemsize, -1).T).view(dtype).ravel()
 
 
+def pack_pair(a: np.ndarray, b: np.ndarray) -> bytes:
+    x = pack_array(a)
+    return len(x).to_bytes(8, "little") + x + pack_array(b)
+
+
+def unpack_pair(p: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(p[:8], "little")
+    return unpack_array(p[8:8 + n]), unpack_array(p[8 + n:])
+
+
 def document_blocks(docs: DataFrame, column: str = "text",
                     block_bytes: int = 4 << 20) -> DataFrame:
     """One row per block of whole documents (at least one; up to ``block_bytes``
@@ -127,37 +137,38 @@ def messages(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         names=["block", "bucket", "payload"])
 
 
-def exchange(blocks: DataFrame, ask: Callable[[int, pa.RecordBatch], list[tuple[int, bytes]]],
-             answer: Callable[[int, list[tuple[int, bytes]]], list[tuple[int, bytes]]],
-             finish: Callable[[pa.RecordBatch, dict[int, bytes]], Iterator[pa.RecordBatch]],
-             schema) -> DataFrame:
-    """``ask`` turns a block into (bucket, payload) messages, ``answer`` merges a
-    bucket's messages into (block, payload) answers, and ``finish`` gets a block's
-    documents with its answers by bucket."""
+def answers(blocks: DataFrame, ask: Callable[[int, pa.RecordBatch], list[tuple[int, bytes]]],
+            answer: Callable[[int, list[tuple[int, bytes]]], list[tuple[int, bytes]]]) -> DataFrame:
+    """``ask`` turns a block into (bucket, payload) messages; ``answer`` merges a
+    bucket's (block, payload) messages into (block, payload) answers. Returns
+    ``(block, bucket, payload)``; answers to block -1 are totals."""
 
     def asking(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                docs = unpack_batch(row["docs"])
-                for bucket, payload in ask(row["block"], docs):
-                    yield messages([(row["block"], bucket, payload)])
+                yield messages([(row["block"], bucket, payload)
+                                for bucket, payload in ask(row["block"], unpack_batch(row["docs"]))])
 
     def answering(batches):
         for rows in runs(batches, ["bucket"]):
             bucket = rows[0]["bucket"]
-            for block, payload in answer(bucket, [(r["block"], r["payload"]) for r in rows]):
-                yield messages([(block, bucket, payload)])
+            yield messages([(block, bucket, payload) for block, payload in
+                            answer(bucket, [(r["block"], r["payload"]) for r in rows])])
+
+    asked = blocks.select("block", "docs").mapInArrow(asking, MESSAGE_SCHEMA)
+    return asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(
+        answering, MESSAGE_SCHEMA)
+
+
+def with_answers(blocks: DataFrame, answered: DataFrame,
+                 finish: Callable[[pa.RecordBatch, list[bytes]], Iterator[pa.RecordBatch]],
+                 schema) -> DataFrame:
+    """``finish`` gets a block's documents with its answers in bucket order."""
 
     def finishing(batches):
         for rows in runs(batches, ["block"]):
-            docs = [r["payload"] for r in rows if r["bucket"] < 0]
-            if docs:
-                yield from finish(unpack_batch(docs[0]),
-                                  {r["bucket"]: r["payload"] for r in rows if r["bucket"] >= 0})
+            yield from finish(unpack_batch(rows[0]["payload"]), [r["payload"] for r in rows[1:]])
 
-    asked = blocks.select("block", "docs").mapInArrow(asking, MESSAGE_SCHEMA)
-    answered = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        answering, MESSAGE_SCHEMA)
     own = blocks.select("block", F.lit(-1).alias("bucket"), F.col("docs").alias("payload"))
-    return (own.union(answered).repartition("block").sortWithinPartitions("block", "bucket")
-            .mapInArrow(finishing, schema))
+    return (own.union(answered.where("block >= 0")).repartition("block")
+            .sortWithinPartitions("block", "bucket").mapInArrow(finishing, schema))

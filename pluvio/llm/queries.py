@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pluvio.llm import minhash_dedup, packing, quality_rules, sentencepiece_codec, token_files
+from pluvio.llm import (lm_scoring, minhash_dedup, packing, quality_rules, sentencepiece_codec,
+                        substring_dedup, token_files)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "n_words", "n_removed",
+                        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.minhash_groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +52,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_token_files": op4_token_files,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
