@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import (lm_scoring, minhash_dedup, packing, quality_rules, sentencepiece_codec,
-                        substring_dedup, token_files)
+from pluvio.llm import (embedding_dedup, lm_scoring, minhash_dedup, packing, quality_rules,
+                        sentencepiece_codec, substring_dedup, token_files)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"),
                                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -51,6 +55,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op4_token_files": op4_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_lm_scoring": op7_lm_scoring,
