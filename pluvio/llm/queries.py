@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.llm import (embedding_dedup, lm_scoring, minhash_dedup, packing, quality_rules,
-                        sentencepiece_codec, substring_dedup, token_files)
+                        sentencepiece_codec, substring_dedup, token_files, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     return spans.select("doc_id", "n_words", "n_removed",
@@ -57,6 +61,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_token_files": op4_token_files,
+    "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_minhash_dedup": op8_minhash_dedup,
