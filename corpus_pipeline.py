@@ -1,15 +1,55 @@
-"""Corpus cleaning pipeline: ordered stages over the documents table."""
+"""Corpus cleaning pipeline: ordered stages over the documents table.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows it gets. All
+but the last return the columns of their input; the last returns the pieces of
+the packed sequences.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pluvio.llm import queries
+from pluvio.llm import minhash_dedup, packing, quality_rules, substring_dedup, toxicity
+from pluvio.llm.queries import table
 from pluvio.session import checkpoint_dir
 
-STAGES = []
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality_rules.accepted(docs)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score under one half."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    return minhash_dedup.first_of_groups(docs)
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that repeat in the corpus."""
+    return substring_dedup.without_repeats(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed into sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, keep_ids=False)
+
+
+STAGES = [
+    ("quality_rules", keep_quality),
+    ("toxicity", drop_toxic),
+    ("minhash_dedup", keep_first_copies),
+    ("substring_dedup", drop_passages),
+    ("packing", pack),
+]
 
 #: Tokenization and learned scores are not expressible in SQL.
 ORACLE_SQL = None
@@ -18,7 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written as Parquet to the
     shared folder and reread as the next stage's input."""
-    docs = queries.table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"

@@ -95,7 +95,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def features(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, fp, bands, sig`` per row, in one pass, written once."""
+    """``doc_id, text_key, n_shingles, fp, bands, sig`` per row, in one pass, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -106,14 +106,18 @@ def features(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
             fp = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             low = mix64(sig).astype("<u2")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(fp, pa.binary()),
+                [b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(fp, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.ravel())),
                  pa.array([low[i].tobytes() for i in range(n)], pa.binary())],
-                names=["doc_id", "n_shingles", "fp", "bands", "sig"])
+                names=["doc_id", "text_key", "n_shingles", "fp", "bands", "sig"])
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
     return persist_table(d.mapInArrow(
-        run, "doc_id long, n_shingles long, fp binary, bands array<long>, sig binary"), "shingles")
+        run, "doc_id long, text_key long, n_shingles long, fp binary, bands array<long>, sig binary"), "shingles")
+
+
+def _text_key():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _near(pairs: DataFrame, least: float) -> DataFrame:
@@ -240,6 +244,30 @@ def minhash_groups(docs: DataFrame, shingle: int = 4, percent: int = 80,
     of each other. Other columns are ignored; an empty table gives an empty
     result.
     """
+    return _groups(docs, shingle, percent, bands, rows, block_docs).drop("text_key")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 4, percent: int = 80,
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that :func:`minhash_groups`
+    keeps. Of repeated rows (same id and text) one stays; rows without
+    ``doc_id`` all stay."""
+    g = _groups(docs, shingle, percent, bands, rows, BLOCK_DOCS)
+    kept = g.where("doc_id is not null and kept").groupBy(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count("*").alias("_n"))
+    kept = persist_table(kept, "kept")
+    with_id = docs.where("doc_id is not null")
+    mine = (F.col("doc_id").cast("long") == F.col("_id")) & (_text_key() == F.col("_key"))
+    stay = with_id.join(kept.where("_n = 1"), mine, "left_semi")
+    repeated = kept.where("_n > 1")
+    if not repeated.isEmpty():
+        again = with_id.withColumn("_key", _text_key()).join(
+            repeated.select(F.col("_id").alias("doc_id"), "_key"), ["doc_id", "_key"])
+        stay = stay.unionByName(again.dropDuplicates(["doc_id", "_key"]).drop("_key"))
+    return stay.union(docs.where("doc_id is null"))
+
+
+def _groups(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int, block_docs: int) -> DataFrame:
     if bands * rows > 255:
         raise ValueError("at most 255 lanes")
     feat = features(docs, shingle, bands, rows)
@@ -287,7 +315,7 @@ def minhash_groups(docs: DataFrame, shingle: int = 4, percent: int = 80,
     least = found.join(least, "component").select(F.col("node").alias("cid"), "least")
     named = (classes.select("cid", "fp", "rep").join(least, "cid", "left")
              .select("fp", F.coalesce("least", "rep").alias("component_id")))
-    return (feat.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
-            .select("doc_id", "n_shingles",
+    return (feat.select("doc_id", "text_key", "n_shingles", "fp").join(named, "fp", "left")
+            .select("doc_id", "text_key", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

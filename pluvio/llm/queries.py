@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import (embedding_dedup, lm_scoring, minhash_dedup, packing, quality_rules,
-                        sentencepiece_codec, substring_dedup, token_files, toxicity)
+from pluvio.llm import (embedding_dedup, license_scan, lm_scoring, minhash_dedup, packing,
+                        quality_rules, sentencepiece_codec, substring_dedup, token_files, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.vector_links(table(spark, sf_dir, "embeddings"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"),
                                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -60,6 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,

@@ -190,57 +190,84 @@ class FeatureReader:
 
 
 def text_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """``(doc_id, features)`` of every whole text (null: empty)."""
+    """The whole input row as ``_row`` and the ``features`` of its text (null: empty)."""
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    schema = f"_row {wrapped.schema['_row'].dataType.simpleString()}, features array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = FeatureReader(lexicon)
         for b in batches:
-            rows = [reader.read(t) for t in b.column(1).to_pylist()]
+            rows = [reader.read(t) for t in b.column(0).field("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))],
-                                             names=["doc_id", "features"])
+                                             names=["_row", "features"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, features array<double>")
+    return wrapped.mapInArrow(run, schema)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, max_labelled: int = 60_000,
-                    trees: int = 40, depth: int = 4, seed: int = 11) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)``, one row per input row.
+class ToxicityModel:
+    """A fitted scorer: lexicon, trees and calibration, or a constant."""
 
-    Labels are learned only from rows whose ``crc32(doc_id as text) mod 5`` is
-    not 0, at most about ``max_labelled`` of them; folds 1 to 3 fit the trees,
-    fold 4 the calibration. Inputs of a score are the text's features only.
-    Null text counts as empty; rows without ``doc_id`` and repeated rows are
-    scored like any other; other columns are ignored; an empty table gives an
-    empty result. Without labels of both classes the score is the share of
-    toxic labels (0 if there are none).
-    """
+    def __init__(self, lexicon=None, trees=None, steps=None, constant: float = 0.0):
+        self.lexicon, self.trees, self.steps, self.constant = lexicon, trees, steps, constant
+
+    def margins(self, features: DataFrame) -> DataFrame:
+        """``features`` as an array column replaced by the trees' ``margin``."""
+        rest = [c for c in features.columns if c != "features"]
+        rows = features.withColumn("features", array_to_vector("features"))
+        return self.trees.transform(rows).select(*rest, vector_to_array("rawPrediction")[1].alias("margin"))
+
+    def scored(self, docs: DataFrame) -> DataFrame:
+        """``(_row, score)`` of every row of ``docs``."""
+        if self.trees is None:
+            return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                               F.lit(float(self.constant)).alias("score"))
+        rows = self.steps.transform(self.margins(text_features(docs, self.lexicon)))
+        return rows.select("_row", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 60_000, trees: int = 40,
+        depth: int = 4, seed: int = 11) -> ToxicityModel:
+    """Learn from the rows whose ``crc32(doc_id as text) mod 5`` is not 0, at most
+    about ``max_labelled`` of them: folds 1 to 3 fit the trees, fold 4 the
+    calibration. Inputs are the text's features only. Without labels of both
+    classes the score is the share of toxic labels (0 if there are none)."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = labelled(base, labels, max_labelled)
     # at most max_labelled ids and labels: a bounded table
     train = base.join(F.broadcast(known), "doc_id")
-    share = known.agg(F.avg("toxic")).first()[0]
-    held = F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False))
-
-    def result(rows: DataFrame, score: Column) -> DataFrame:
-        return (rows.withColumn("score", score)
-                .select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
-
-    if share in (None, 0.0, 1.0):
-        return result(base, F.lit(float(share or 0.0)))
-    feats = persist_table(text_features(base, learn_lexicon(train)), "features")
-    rows = (feats.join(F.broadcast(known), "doc_id")
-            .select("doc_id", array_to_vector("features").alias("features"), F.col("toxic").cast("double").alias("label")))
-    rows = persist_table(rows, "training")
+    counts = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    total = sum(counts.values())
+    if len(counts) < 2:
+        return ToxicityModel(constant=counts.get(1, 0) / total if total else 0.0)
+    lexicon = learn_lexicon(train)
+    rows = persist_table(text_features(train, lexicon).select(
+        "_row.doc_id", F.col("_row.toxic").cast("double").alias("label"), "features"), "training")
     calibration = fold_of(F.col("doc_id")) == 4
-    fit, check = rows.where(~calibration), rows.where(calibration)
-    if fit.select("label").distinct().count() < 2 or check.isEmpty():
-        fit = check = rows
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, subsamplingRate=0.8, seed=seed,
-                          checkpointInterval=-1).fit(fit)
-    margin = vector_to_array("rawPrediction")[1].alias("margin")
-    steps = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(
-        model.transform(check).select(F.round(margin, 4).alias("margin"), "label"))
-    scored = model.transform(feats.select("doc_id", array_to_vector("features").alias("features")))
-    scored = steps.transform(scored.select("doc_id", margin))
-    return result(scored.drop("margin"), F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
+    learn, check = rows.where(~calibration), rows.where(calibration)
+    if learn.select("label").distinct().count() < 2 or check.isEmpty():
+        learn = check = rows
+    model = ToxicityModel(lexicon, GBTClassifier(
+        maxIter=trees, maxDepth=depth, stepSize=0.2, subsamplingRate=0.8, seed=seed,
+        checkpointInterval=-1).fit(learn.withColumn("features", array_to_vector("features"))))
+    model.steps = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(
+        model.margins(check).withColumn("margin", F.round("margin", 4)))
+    return model
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)``, one row per input row; see
+    :func:`fit` for the parameters.
+
+    Null text counts as empty; rows without ``doc_id`` and repeated rows are
+    scored like any other; other columns are ignored; an empty table gives an
+    empty result.
+    """
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return fit(base, labels, **parameters).scored(base).select(
+        "_row.doc_id", F.coalesce(fold_of(F.col("_row.doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, with a score under one half."""
+    return fit(docs, labels, **parameters).scored(docs).where("score < 0.5").select("_row.*")
