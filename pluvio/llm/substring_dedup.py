@@ -74,8 +74,10 @@ def parse(first: np.ndarray, at: np.ndarray, reference: np.ndarray, size: int):
     np.add.at(edge, at[found], 1)
     np.add.at(edge, at[found] + size, -1)
     covered = np.cumsum(edge)[:-1] > 0
+    own = np.searchsorted(first, at, side="right")  # a factor stays in its document
     begin = found.copy()
-    begin[1:] &= ~(found[:-1] & (at[1:] == at[:-1] + 1) & (reference[1:] == reference[:-1]))
+    begin[1:] &= ~(found[:-1] & (at[1:] == at[:-1] + 1) & (own[1:] == own[:-1])
+                   & (reference[1:] == reference[:-1]))
     b = np.flatnonzero(begin)
     run = np.add.reduceat(found.astype(np.int64), b) if len(b) else b
     return at[b], run + size - 1, reference[b] - 1, covered
