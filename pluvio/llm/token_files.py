@@ -84,7 +84,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(FILE_SCHEMA).parquet(path)
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
-    return (rows.join(before, "part")
+    # one row per file: bounded by the number of files, not by the documents
+    return (rows.join(F.broadcast(before), "part")
             .select("doc_id", (F.col("base") + F.col("part_offset")).alias("start"), "n_tokens", "ids"))
 
 
