@@ -85,7 +85,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, seq_len: int = 2048
         part, seen = TaskContext.get().partitionId(), {}
         for rows in slices(batches):
             out, ids = [], []
-            for doc_id, raw in zip(rows.column(0).to_pylist(), enc.ids_bytes(rows.column(1).to_pylist())):
+            for doc_id, raw in zip(rows.column(0).to_pylist(), enc.ids_bytes(rows.column(1))):
                 raw += end
                 total = len(raw) // 4
                 for start in range(0, total, seq_len):

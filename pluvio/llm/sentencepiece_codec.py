@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from string import ascii_letters, punctuation
 
 import ahocorasick
 import numpy as np
@@ -21,12 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.llm.token_files import id_lists
+from pluvio.llm.tokenizing import PartTable
 from pluvio.llm.words import slices
 
 SPACE = "▁"
-YOUNG_CHUNKS = 300_000
-MAX_CHUNK_CHARS = 64
-MAX_PAIRS = 1_000_000
+MAX_PAIRS = 500_000
 
 
 class PieceCodec:
@@ -58,16 +58,27 @@ class PieceCodec:
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self._id):
             raise ValueError("a piece goes on after a space")
         self._match = ahocorasick.Automaton()
-        for p in self._id:
-            self._match.add_word(p, len(p))
+        for p, i in self._id.items():
+            self._match.add_word(p, (len(p), i))
         self._match.make_automaton()
-        # no piece spans from a non-space to a space, or holds one of these
+        # merges never cross two characters that are neighbours in no piece, so a
+        # text may be cut there: around these controls, before a space, and between
+        # letters and these marks
+        near = {p[i:i + 2] for p in self._id for i in range(len(p) - 1)}
         alone = "".join(c for c in "\t\n\x0b\x0c\r" if not any(c in p for p in self._id))
-        self._chunks = re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone
-                                  else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self._fits: dict[tuple[str, str], bool] = {}
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        letters = ascii_letters + "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
+        marks = "".join(c for c in punctuation
+                        if not any(x + c in near or c + x in near for x in letters))
+        stop, none = re.escape(alone), "(?!)"
+        word, mark = f"[{letters}]+", f"[{re.escape(marks)}]+" if marks else none
+        self._chunks = re.compile(
+            (f"[{stop}]|" if alone else "")
+            + f"{SPACE}*{word}(?=[{re.escape(marks)}{SPACE}{stop}]|\\Z)"
+            + f"|{SPACE}*{mark}(?=[{letters}{SPACE}{stop}]|\\Z)"
+            + f"|{SPACE}*[^{SPACE}{stop}]+|{SPACE}+")
+        self._n, self._text = n, pieces
+        self._fits: dict[int, bool] = {}
+        self._parts = PartTable(self._chunk_ids)
 
     def _merge(self, text: str) -> list[str]:
         """Merge neighbours by best score, leftmost first, until none is a piece."""
@@ -83,83 +94,74 @@ class PieceCodec:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
+    def _compatible(self, left: int, right: int) -> bool:
+        """Whether the two pieces (or with left < 0 the right one) re-merge to themselves."""
+        key = (left + 1) * self._n + right
         ok = self._fits.get(key)
         if ok is None:
             if len(self._fits) >= MAX_PAIRS:
                 self._fits.clear()
-            ok = self._merge(left + right) == ([left, right] if left else [right])
+            want = [self._text[right]] if left < 0 else [self._text[left], self._text[right]]
+            ok = self._merge("".join(want)) == want
             self._fits[key] = ok
         return ok
 
-    def split(self, text: str) -> list[str]:
-        """The pieces of a normalized text; characters of no piece stay single."""
+    def split(self, text: str) -> list[tuple[int, int]]:
+        """``(characters, id)`` of the pieces of a normalized text; a character
+        of no piece stays single with id -1."""
         n = len(text)
-        options: list[list[int]] = [[] for _ in range(n)]  # ascending lengths
-        for last, length in self._match.iter(text):
-            options[last + 1 - length].append(length)
-        for i, o in enumerate(options):
+        options: list[list[tuple[int, int]]] = [[] for _ in range(n)]  # ascending lengths
+        for last, match in self._match.iter(text):
+            options[last + 1 - match[0]].append(match)
+        for o in options:
             if len(o) > 1:
                 o.sort()
             elif not o:
-                o.append(1)
+                o.append((1, -1))
         failed = bytearray(n + 1)
-        out: list[str] = []
+        out: list[tuple[int, int]] = []
         level: list[int] = []  # option taken at each piece
+        fits = self._compatible
         pos, k = 0, len(options[0]) - 1 if n else 0
+        before = -1
         while pos < n:
-            placed = False
             while k >= 0:
-                length = options[pos][k]
-                piece = text[pos:pos + length]
-                if not failed[pos + length]:
-                    known = piece in self._id
-                    before = out[-1] if out else ""
-                    if not known or (self._compatible("", piece) and (
-                            before not in self._id or self._compatible(before, piece))):
-                        placed = True
-                        break
+                length, piece = options[pos][k]
+                if not failed[pos + length] and (
+                        piece < 0 or (fits(-1, piece) and (before < 0 or fits(before, piece)))):
+                    break
                 k -= 1
-            if placed:
-                out.append(piece)
+            if k >= 0:
+                out.append((length, piece))
                 level.append(k)
                 pos += length
+                before = piece
                 k = len(options[pos]) - 1 if pos < n else 0
             else:
                 failed[pos] = 1
                 if not out:
                     raise ValueError("no valid split")
-                pos -= len(out.pop())
+                pos -= out.pop()[0]
+                before = out[-1][1] if out else -1
                 k = level.pop() - 1
         return out
 
     def _chunk_ids(self, chunk: str) -> bytes:
         ids: list[int] = []
-        for piece in self.split(chunk):
-            i = self._id.get(piece)
-            if i is None:
-                ids.extend(self._byte_id[b] for b in piece.encode())
+        at = 0
+        for length, piece in self.split(chunk):
+            if piece < 0:
+                ids.extend(self._byte_id[b] for b in chunk[at:at + length].encode())
             else:
-                ids.append(i)
+                ids.append(piece)
+            at += length
         return np.array(ids, dtype="<u4").tobytes()
 
     def ids_bytes(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        out = []
-        young, old = self._young, self._old
-        for c in self._chunks.findall(SPACE + text.replace(" ", SPACE)):
-            ids = young.get(c)
-            if ids is None:
-                ids = old.get(c) or self._chunk_ids(c)
-                if len(c) <= MAX_CHUNK_CHARS:
-                    young[c] = ids
-            out.append(ids)
-        if len(young) > YOUNG_CHUNKS:
-            self._young, self._old = {}, young
-        return b"".join(out)
+        return self._parts.join(self._chunks.findall(SPACE + text.replace(" ", SPACE)))
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.ids_bytes(text), dtype="<u4").tolist()

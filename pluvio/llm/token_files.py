@@ -55,7 +55,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, keep_space: bool, e
         enc, end = encoder(tokenizer, keep_space), np.array([end_id], "<u4").tobytes()
         part, done = TaskContext.get().partitionId(), 0
         for rows in slices(batches):
-            parts = [b + end for b in enc.ids_bytes(rows.column(1).to_pylist())]
+            parts = [b + end for b in enc.ids_bytes(rows.column(1))]
             n = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
             before = done + np.cumsum(n) - n
             done += int(n.sum())

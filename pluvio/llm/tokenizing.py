@@ -10,17 +10,78 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
-#: Characters on which libraries disagree whether they are white space; a text
-#: that holds one is encoded whole.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_SPACE_FIRST = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+from pluvio.llm.words import text_buffers
 
-YOUNG_PIECES = 300_000
-MAX_PIECE_CHARS = 64
+#: Characters other than ASCII white space that some library counts as white space;
+#: a text that holds one is encoded whole.
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Leading UTF-8 bytes of such characters.
+_MAYBE_ODD = np.zeros(256, dtype=bool)
+_MAYBE_ODD[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_END = r"(?=[.,;:!?|*$%&#<>\x20\x09-\x0D]|\Z)"
+_SPACE_FIRST = re.compile(rf" ?[{_LETTERS}]+{_END}|\n(?=[{_LETTERS}])"
+                          r"|[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+_WORD = re.compile(rf"[{_LETTERS}]+{_END}|[^\x20\x09-\x0D]+")
+_PLAIN = re.compile(rf" ?[{_LETTERS}]+\Z")
+
+KNOWN_PARTS = 400_000
+MAX_PART_CHARS = 64
+
+
+class PartTable:
+    """Bounded table from text parts to id bytes, filled by ``encode``.
+
+    Two generations of at most ``KNOWN_PARTS`` entries: a part that is met again
+    moves to the young one, the old one is dropped whole. Long parts are not kept."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self._encode = encode
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def join(self, parts: list[str]) -> bytes:
+        """Ids of all parts in a row; a known part costs one look-up."""
+        young, old = self._young, self._old
+        found = [*map(young.get, parts)]
+        if None in found:
+            for i in range(found.index(None), len(found)):
+                if found[i] is None:
+                    part = parts[i]
+                    ids = young.get(part) or old.get(part) or self._encode(part)
+                    if len(part) <= MAX_PART_CHARS:
+                        young[part] = ids
+                    found[i] = ids
+        if len(young) > KNOWN_PARTS:
+            self._young, self._old = {}, young
+        return b"".join(found)
+
+
+def texts_of(column: pa.Array) -> tuple[list[str], list[bool]]:
+    """Texts of a string column (null: empty), and whether a text holds white
+    space beyond ASCII."""
+    data, off = text_buffers(column)
+    texts = column.fill_null("").to_pylist()
+    marked = _MAYBE_ODD[data]
+    if not marked.any():
+        return texts, [False] * len(texts)
+    marks = np.concatenate([[0], np.cumsum(marked)])
+    maybe = marks[off[1:]] > marks[off[:-1]]
+    return texts, [bool(m and _ODD.search(t)) for t, m in zip(texts, maybe.tolist())]
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the
+    others for the code points from 256 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class PieceEncoder:
@@ -28,14 +89,14 @@ class PieceEncoder:
 
     ``keep_space=True`` (byte-level BPE): the pre-tokenizer's pattern only ever
     attaches white space to what follows it, so a text may be cut between a
-    non-space and the ASCII space after it.
-    ``keep_space=False`` (word-end BPE): white space is dropped and no match
-    holds any, so the words can be encoded one by one. NFC never composes over
-    white space.
+    non-space and the ASCII space after it, and after a lone line break.
+    ``keep_space=False`` (lower-casing word-end BPE): white space is dropped and
+    no match holds any, so the words can be encoded one by one, A-Z folded
+    before. NFC never composes over white space or with ASCII punctuation.
+    In both, a run of letters ends before ASCII punctuation. A piece of letters
+    only is one pre-token; it goes to the file's merge model directly.
     Special-token strings in a text are ordinary text.
 
-    Known pieces live in two generations of at most ``YOUNG_PIECES`` entries: a
-    piece that is met again moves to the young one, the old one is dropped whole.
     """
 
     def __init__(self, path: str, keep_space: bool):
@@ -43,34 +104,33 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
+        self._model = self._tok.model
+        self._letters = _byte_letters()
         self._cut = _SPACE_FIRST if keep_space else _WORD
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self._tok.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def ids_bytes(self, texts: list[str | None]) -> list[bytes]:
-        """One byte string per text; null counts as the empty text."""
-        cut = [[t] if t and _ODD.search(t) else self._cut.findall(t or "") for t in texts]
-        young, old = self._young, self._old
-        new = set()
-        for pieces in cut:
-            for p in pieces:
-                if p not in young:
-                    if p in old:
-                        young[p] = old[p]
-                    else:
-                        new.add(p)
-        order = sorted(new)
-        once = {}
-        for p, ids in zip(order, self._encode(order)):
-            (young if len(p) <= MAX_PIECE_CHARS else once)[p] = ids
-        out = [b"".join([young[p] if p in young else once[p] for p in pieces]) for pieces in cut]
-        if len(young) > YOUNG_PIECES:
-            self._young, self._old = {}, young
-        return out
+        self._fold = None if keep_space else {c: c + 32 for c in range(65, 91)}
+        if self._tok.normalizer is not None and (
+                keep_space or self._tok.normalizer.normalize_str("AÀß") != "aàß"):
+            raise ValueError("unknown normalizer")
+        self._pieces = PartTable(self._piece)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not _PLAIN.match(piece):
+            return self._whole(piece)
+        symbols = (piece.lower() if self._fold else piece).encode().decode("latin-1").translate(self._letters)
+        ids = [t.id for t in self._model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _text(self, text: str) -> bytes:
+        if self._fold:
+            text = text.lower() if text.isascii() else text.translate(self._fold)
+        return self._pieces.join(self._cut.findall(text))
+
+    def ids_bytes(self, column: pa.Array) -> list[bytes]:
+        """One byte string per text of a string column; null counts as empty."""
+        return [self._whole(t) if odd else self._text(t) for t, odd in zip(*texts_of(column))]
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
