@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.components import connected_components
+from pluvio.llm.components import connected_components, spanning
 from pluvio.session import persist_table
 
 BITS = 62
@@ -125,27 +125,6 @@ def _window_ties(rows: DataFrame, least: float, window: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def spanning(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Union-find over id pairs: every id with the smallest id it is united with."""
-    ids, flat = np.unique(pairs, return_inverse=True)
-    ends = flat.reshape(-1, 2)
-    root = np.arange(len(ids))
-    while True:
-        least = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
-        new = root.copy()
-        np.minimum.at(new, root[ends[:, 0]], least)
-        np.minimum.at(new, root[ends[:, 1]], least)
-        new = new[new]
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        new = new[root]
-        if np.array_equal(new, root):
-            break
-        root = new
-    other = root != np.arange(len(ids))
-    return ids[root[other]], ids[other]
-
-
 def _block_links(rows: DataFrame, cosine: float) -> DataFrame:
     """``(cid, links, root)`` of each comparison of a block with itself or with
     another: vectors linked there (with copies) and the smallest class of the
