@@ -8,7 +8,7 @@ operators  DataFrame -> DataFrame operators (labels, reports, version
            compare, hourly series, daily features, statistics, spatial,
            evaluation)
 plans      stand-in plans over the shared test tables, and their SQL oracles
-streaming  intentionally empty: the reference has no streaming surface
+llm        training-data pipeline operators (nothing else imports it)
 """
 
 from pluvio.session import get_session, checkpoint_dir

@@ -1,3 +1 @@
 """Column-expression helpers; all compile to built-in Catalyst expressions."""
-
-from pluvio.functions.scalars import *  # noqa: F401,F403

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "col_", "norm_text", "to_long", "to_double_comma", "to_date_coerce",
-    "to_ts_coerce", "not_year_null_safe", "year_between", "date_range_pred",
-    "weekday_mon0", "accent_fold", "code_to_name", "utc_to_local_day",
-    "hour_utc_parse", "pct", "fill_zero", "is_distinct", "state_prefix",
-    "count_char",
+    "to_ts_coerce", "not_year_null_safe", "date_range_pred",
+    "weekday_mon0", "accent_fold", "code_to_name", "utc_instant", "utc_wall_clock",
+    "utc_to_local_day", "hour_utc_parse", "state_prefix",
 ]
 
 
@@ -28,8 +27,10 @@ def norm_text(c) -> Column:
 
 
 def to_long(c) -> Column:
-    """Numeric coercion; invalid text -> NULL (``'3.7'`` and ``'x'`` give NULL)."""
-    return _try_cast(col_(c), "bigint")
+    """Integer coercion: ``'12100'``, ``'12100.0'`` and ``1.21e4`` give 12100;
+    anything that is not a whole number (``'3.7'``, ``'x'``) gives NULL."""
+    exact = _try_cast(col_(c), "decimal(38,12)")
+    return F.when(exact == F.floor(exact), _try_cast(exact, "bigint"))
 
 
 def _try_cast(c: Column, t: str) -> Column:
@@ -41,12 +42,16 @@ def to_double_comma(c) -> Column:
     return _try_cast(F.regexp_replace(col_(c), ",", "."), "double")
 
 
-def to_ts_coerce(c, fmt: str | None = None) -> Column:
-    """Text -> timestamp, invalid -> NULL. Timestamps pass through."""
+def to_ts_coerce(c, fmts: tuple[str, ...] = ()) -> Column:
+    """Text -> wall-clock timestamp, invalid -> NULL. Without formats the value
+    is cast (ISO text, dates, timestamps); with formats (``M/d/yyyy`` for
+    US-style exports) text is tried against each, then cast."""
     c = col_(c)
-    if fmt is None:
-        return _try_cast(c, "timestamp")
-    return F.try_to_timestamp(c, F.lit(fmt))
+    cast = _try_cast(c, "timestamp_ntz")
+    if not fmts:
+        return cast
+    text = c.cast("string")
+    return F.coalesce(*[_try_cast(F.try_to_timestamp(text, F.lit(f)), "timestamp_ntz") for f in fmts], cast)
 
 
 def to_date_coerce(c, fmts: tuple[str, ...] = ()) -> Column:
@@ -77,10 +82,6 @@ def date_range_pred(c, lo_year: int, hi_year: int) -> Column:
         c < F.lit(f"{hi_year + 1:04d}-01-01").cast("date"))
 
 
-def year_between(c, lo: int, hi: int) -> Column:
-    return date_range_pred(c, lo, hi)
-
-
 def weekday_mon0(c) -> Column:
     """Monday = 0 ... Sunday = 6."""
     return F.weekday(col_(c))
@@ -106,10 +107,30 @@ def code_to_name(c, mapping: dict) -> Column:
     return F.element_at(F.create_map(*kv), col_(c))
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def utc_instant(c) -> Column:
+    """Instant of a UTC wall-clock value (``timestamp_ntz``); the session's time
+    zone has no part in it."""
+    c = col_(c)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
+def utc_wall_clock(ts) -> Column:
+    """UTC wall clock (``timestamp_ntz``) of an instant, whatever the session's zone."""
+    micros = F.unix_micros(col_(ts))
+    seconds = (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def utc_to_local_day(ts, tz: str = "America/Sao_Paulo") -> Column:
-    """Local calendar day of a UTC hour. ``tz`` may be a region id or a
-    fixed offset such as ``-03:00``."""
-    return F.to_date(F.from_utc_timestamp(col_(ts).cast("timestamp"), tz))
+    """Local calendar day of an instant (``TIMESTAMP``). ``tz`` may be a region
+    id or a fixed offset such as ``-03:00``; the session's zone has no part in
+    it: the shifted clock is counted in days since the epoch."""
+    shifted = F.unix_micros(F.from_utc_timestamp(col_(ts), tz))
+    return F.date_from_unix_date(F.floor(shifted / DAY_MICROS).cast("int"))
 
 
 def hour_utc_parse(date_str, hour_str) -> Column:
@@ -122,29 +143,9 @@ def hour_utc_parse(date_str, hour_str) -> Column:
     hh = _try_cast(F.substring(F.lpad(digits, 4, "0"), 1, 2), "int")
     return F.when(d.isNotNull() & hh.between(0, 23),
                   F.make_timestamp(F.year(d), F.month(d), F.dayofmonth(d),
-                                   hh, F.lit(0), F.lit(0)))
-
-
-def pct(num, den, digits: int = 1) -> Column:
-    """``round(100 * num / den, digits)``; NULL when the denominator is 0."""
-    den = col_(den)
-    return F.round(F.when(den != 0, 100.0 * col_(num) / den), digits)
-
-
-def fill_zero(c) -> Column:
-    return F.coalesce(col_(c), F.lit(0))
-
-
-def is_distinct(a, b) -> Column:
-    """SQL ``a IS DISTINCT FROM b``."""
-    return ~col_(a).eqNullSafe(col_(b))
+                                   hh, F.lit(0), F.lit(0), F.lit("UTC")))
 
 
 def state_prefix(c, n: int = 2) -> Column:
     """First ``n`` digits of a code (municipality code -> state code)."""
     return F.substring(col_(c).cast("string"), 1, n)
-
-
-def count_char(c, ch: str) -> Column:
-    """Occurrences of one character in a string."""
-    return F.length(col_(c)) - F.length(F.replace(col_(c), F.lit(ch), F.lit("")))

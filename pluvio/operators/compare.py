@@ -59,16 +59,13 @@ def change_direction(a: DataFrame, b: DataFrame, keys: Sequence[str],
     count, min / max of (new - old), mean absolute difference, and whether
     the new value is never larger."""
     j = version_join(a, b, keys, cols, digits)
-    parts = []
+    aggs = []
     for c in cols:
         d = F.col(f"b_{c}") - F.col(f"a_{c}")
-        sub = j.filter(F.col(f"a_{c}").isNotNull() & F.col(f"b_{c}").isNotNull() & (d != 0))
-        parts.append(sub.agg(F.count(F.lit(1)).cast("bigint").alias("n_mudou"),
+        d = F.when(d != 0, d)  # NULL where a side is NULL or nothing changed
+        aggs.append(F.struct(F.lit(c).alias("coluna"), F.count(d).cast("bigint").alias("n_mudou"),
                              F.min(d).alias("dif_min"), F.max(d).alias("dif_max"),
-                             F.avg(F.abs(d)).alias("dif_abs_media"))
-                     .select(F.lit(c).alias("coluna"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+                             F.avg(F.abs(d)).alias("dif_abs_media")))
+    out = j.agg(F.array(*aggs).alias("r")).select(F.inline("r"))
     return out.withColumn("novo_sempre_menor_ou_igual",
                           F.coalesce(F.col("dif_max") <= 0, F.lit(True)))

@@ -3,10 +3,11 @@ municipality-day feature table (X).
 
 Scale notes
 -----------
-* ``first_by_key`` dedups with a grouped ``min(struct(tie, ...))``: a hash
-  aggregate with map-side partial aggregation, so a key holding a third of
-  all rows is reduced to one row per map task before the shuffle (a
-  ``row_number`` window would sort the whole hot key in one task).
+* ``first_by_key`` dedups with a grouped ``min(struct(tie, ...))``, planned as
+  a sort aggregate with a map-side partial step: each map task sorts its rows
+  and sends one row per key, so a key holding a third of all rows is one row
+  per map task after it (a ``row_number`` window would sort the whole hot key
+  in one task).
 * Joins carry no broadcast hint: Y is deduplicated to one row per key, and
   AQE turns the join into a broadcast at run time when the measured Y side is
   under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the plan
@@ -48,12 +49,14 @@ def prepare_register(raw: DataFrame, event_date: str = "data_evento",
                      drop_record_year: int | None = 2026,
                      code_col: str = "cod_cobrade",
                      mun_col: str = "cod_ibge_mun",
-                     region_col: str = "regiao") -> DataFrame:
-    """Typed register: dates coerced, future record year dropped (NULL dates
-    kept), integer keys coerced, normalised region text added."""
+                     region_col: str = "regiao",
+                     date_formats: tuple[str, ...] = ()) -> DataFrame:
+    """Typed register: dates coerced (text in ``date_formats`` or ISO), future
+    record year dropped (NULL dates kept), integer keys coerced (``12100.0``
+    counts as 12100), normalised region text added."""
     df = normalize_columns(raw)
-    df = (df.withColumn(event_date, to_ts_coerce(event_date))
-            .withColumn(record_date, to_ts_coerce(record_date)))
+    df = (df.withColumn(event_date, to_ts_coerce(event_date, date_formats))
+            .withColumn(record_date, to_ts_coerce(record_date, date_formats)))
     if drop_record_year is not None:
         df = df.filter(not_year_null_safe(record_date, drop_record_year))
     return (df.withColumn("cobrade", to_long(code_col))
@@ -127,11 +130,19 @@ def label_join(x: DataFrame, y: DataFrame,
     """X LEFT JOIN Y on (municipality, day): every X row kept,
     ``evento = 1`` when a label matched else 0, Y columns carried.
 
-    Y must be unique per key (see ``unique_key_check``) so X never fans out.
+    Y must be unique per key, else X would fan out: Y is grouped by its key on
+    the way into the join (no extra pass over X) and a repeated key fails the
+    query with a message that names it.
     """
     xk, yk = list(x_keys), list(y_keys)
-    ys = y.select(*[F.col(k).alias(f"__yk{i}") for i, k in enumerate(yk)],
-                  *[F.col(c) for c in carry])
+    keyed = y.na.drop(subset=yk).groupBy(*yk).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(F.struct(*carry)).alias("__c"))
+    named = F.concat_ws(", ", *[F.col(k).cast("string") for k in yk])
+    ys = keyed.select(
+        F.when(F.col("__n") == 1, F.col(yk[0])).otherwise(
+            F.raise_error(F.concat(F.lit("repeated label key: "), named))).alias("__yk0"),
+        *[F.col(k).alias(f"__yk{i}") for i, k in enumerate(yk) if i],
+        *[F.col(f"__c.{c}").alias(c) for c in carry])
     cond = [F.col(xk[0]).cast("bigint") == F.col("__yk0")] + \
            [F.col(xk[i]) == F.col(f"__yk{i}") for i in range(1, len(xk))]
     j = x.join(ys, cond, "left")

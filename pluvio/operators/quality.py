@@ -3,47 +3,74 @@ conservation, residual duplicates, constant columns, territory bounds."""
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def schema_contract_check(spark: SparkSession, df: DataFrame,
-                          expected: Sequence[str]) -> DataFrame:
-    """Expected vs found columns (names normalised by strip + lower):
-    one row per name with status ``ok`` / ``faltando`` / ``extra``.
+def _bare_name(name: str) -> str:
+    """Name without accents, case, spaces and marks."""
+    plain = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
+    return re.sub(r"[^a-z0-9]", "", plain.lower())
+
+
+def schema_contract_check(spark: SparkSession, df: DataFrame, expected: Sequence[str],
+                          aliases: dict[str, str] | None = None) -> DataFrame:
+    """Expected vs found columns (names normalised by strip + lower): one row
+    per name with status ``ok`` / ``renomeada`` / ``faltando`` / ``extra`` and
+    the name ``encontrada``. A missing name is taken as renamed if a column not
+    expected otherwise has the same letters and digits (accents, marks and
+    spaces aside) or is its alias in ``aliases``.
     Compares schema metadata only; no data is read."""
     found = [c.strip().lower() for c in df.columns]
     exp = [c.strip().lower() for c in expected]
-    rows = ([(c, "ok") for c in exp if c in found] + [(c, "faltando") for c in exp if c not in found]
-            + [(c, "extra") for c in found if c not in exp])
-    return spark.createDataFrame(rows, "coluna string, status string")
+    alias = {k.strip().lower(): v.strip().lower() for k, v in (aliases or {}).items()}
+    spare = [c for c in found if c not in exp]
+    rows = []
+    for c in exp:
+        if c in found:
+            rows.append((c, "ok", c))
+            continue
+        new = next((x for x in spare if x == alias.get(c) or _bare_name(x) == _bare_name(c)), None)
+        if new is not None:
+            spare.remove(new)
+        rows.append((c, "renomeada" if new else "faltando", new))
+    rows += [(c, "extra", c) for c in spare]
+    return spark.createDataFrame(rows, "coluna string, status string, encontrada string")
 
 
-def orphan_check(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+def orphan_check(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
+                 weight: str | None = None) -> DataFrame:
     """Rows whose key has no dimension row, and whether a left join keeps
-    the row count (a duplicated dimension key would fan out)."""
+    the row count (a duplicated dimension key would fan out). ``weight``: a row
+    of ``df`` stands for that many rows."""
     dk = dim_key or key
     d = dim.groupBy(F.col(dk).alias("__dk")).agg(F.count(F.lit(1)).alias("__m"))
-    j = df.select(key).join(d, F.col(key) == F.col("__dk"), "left")
-    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n_linhas"),
-                 F.count_if(F.col("__dk").isNull()).cast("bigint").alias("n_orfaos"),
-                 F.sum(F.coalesce(F.col("__m"), F.lit(1))).cast("bigint").alias("n_apos_join")) \
+    j = df.select(key, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__w")).join(
+        d, F.col(key) == F.col("__dk"), "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return j.agg(total(F.col("__w")).alias("n_linhas"),
+                 total(F.when(F.col("__dk").isNull(), F.col("__w"))).alias("n_orfaos"),
+                 total(F.col("__w") * F.coalesce(F.col("__m"), F.lit(1))).alias("n_apos_join")) \
             .withColumn("contagem_preservada", F.col("n_linhas") == F.col("n_apos_join"))
 
 
-def row_conservation(parts: Sequence[DataFrame], consolidated: DataFrame) -> DataFrame:
-    """Sum of the part counts vs the consolidated count, one aggregate over
-    a tagged union (no join)."""
-    tagged = consolidated.select(F.lit(-1).alias("__p"))
-    for i, p in enumerate(parts):
-        tagged = tagged.unionByName(p.select(F.lit(i).alias("__p")))
-    return (tagged.agg(F.count_if(F.col("__p") >= 0).cast("bigint").alias("n_partes"),
-                       F.count_distinct(F.when(F.col("__p") >= 0, F.col("__p")))
-                        .cast("bigint").alias("n_arquivos"),
-                       F.count_if(F.col("__p") < 0).cast("bigint").alias("n_consolidado"))
-                  .withColumn("conservado", F.col("n_partes") == F.col("n_consolidado")))
+def row_conservation(source: DataFrame, consolidated: DataFrame, part: str) -> DataFrame:
+    """Rows per ``part`` in the source against the consolidated table: one scan
+    and one partial aggregate each, no list of parts (any value counts, NULL
+    too). ``partes_divergentes`` counts the parts whose rows differ; conserved
+    means none does."""
+    tagged = (source.select(F.col(part).alias("p"), F.lit(1).alias("a"), F.lit(0).alias("b"))
+              .unionAll(consolidated.select(F.col(part).alias("p"), F.lit(0).alias("a"), F.lit(1).alias("b"))))
+    per = tagged.groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return (per.agg(total("a").alias("n_partes"), F.count_if(F.col("a") > 0).cast("bigint").alias("n_arquivos"),
+                    total("b").alias("n_consolidado"),
+                    F.count_if(F.col("a") != F.col("b")).cast("bigint").alias("partes_divergentes"))
+               .withColumn("conservado", F.col("partes_divergentes") == 0))
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -142,8 +142,10 @@ def structural_break(by_year: DataFrame, break_year: int, col: str = "sudeste",
         F.max(F.when(F.col("ano") == break_year - 1, v)).cast("bigint").alias("n_ano_anterior"),
         F.max(F.when(F.col("ano") == break_year, v)).cast("bigint").alias("n_ano_quebra"),
     )
-    drop = 100.0 * (F.col("media_antes") - F.col("media_depois")) / F.col("media_antes")
-    yoy = 100.0 * (F.col("n_ano_quebra") - F.col("n_ano_anterior")) / F.col("n_ano_anterior")
+    # a share of nothing is unknown: NULL when the base is 0
+    before, prior = (F.nullif(F.col(c), F.lit(0)) for c in ("media_antes", "n_ano_anterior"))
+    drop = 100.0 * (F.col("media_antes") - F.col("media_depois")) / before
+    yoy = 100.0 * (F.col("n_ano_quebra") - F.col("n_ano_anterior")) / prior
     return a.select(
         F.lit(break_year).cast("bigint").alias("ano_quebra"),
         F.round("media_antes", 4).alias("media_antes"),
@@ -204,15 +206,11 @@ def old_new_compare(old: DataFrame, new: DataFrame, dims: dict) -> DataFrame:
     Counted in one pass over the tagged union (no join of two aggregates)."""
     tagged = old.select(F.lit(0).alias("__v"), *[e.alias(n) for n, e in dims.items()]) \
         .unionByName(new.select(F.lit(1).alias("__v"), *[e.alias(n) for n, e in dims.items()]))
-    parts = []
-    for n in dims:
-        parts.append(tagged.groupBy(F.col(n).cast("string").alias("chave"))
-                     .agg(F.count_if(F.col("__v") == 0).cast("bigint").alias("antigo"),
-                          F.count_if(F.col("__v") == 1).cast("bigint").alias("novo"))
-                     .select(F.lit(n).alias("dimensao"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("dimensao"), F.col(n).cast("string").alias("chave"))
+                                for n in dims])).alias("__p")
+    out = (tagged.select("__v", pairs).groupBy("__p.dimensao", "__p.chave")
+           .agg(F.count_if(F.col("__v") == 0).cast("bigint").alias("antigo"),
+                F.count_if(F.col("__v") == 1).cast("bigint").alias("novo")))
     return (out.withColumn("delta", F.col("novo") - F.col("antigo"))
                .withColumn("mudou", F.col("delta") != 0))
 

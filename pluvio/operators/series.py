@@ -21,6 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.functions.scalars import utc_instant
+
+
+def _utc(text: str) -> Column:
+    return utc_instant(F.lit(text).cast("timestamp_ntz"))
+
+
 def _hour():
     return F.expr("INTERVAL 1 HOUR")
 
@@ -57,8 +64,8 @@ def station_span(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_ut
     obs = hourly.filter(F.col(v).isNotNull())
     s = obs.groupBy(station).agg(F.min(t).alias("grid_inicio"), F.max(t).alias("grid_fim"))
     if period is not None:
-        s = s.select(station, F.lit(period[0]).cast("timestamp").alias("grid_inicio"),
-                     F.lit(period[1]).cast("timestamp").alias("grid_fim"))
+        s = s.select(station, _utc(period[0]).alias("grid_inicio"),
+                     _utc(period[1]).alias("grid_fim"))
     return s.withColumn("total_horas", _hours_between(F.col("grid_inicio"), F.col("grid_fim")) + 1)
 
 
@@ -68,7 +75,7 @@ def gap_runs(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_utc",
     the neighbouring observations (NULL at a grid edge)."""
     obs = hourly.filter(F.col(v).isNotNull()).select(station, t, v)
     if period is not None:
-        lo, hi = (F.lit(p).cast("timestamp") for p in period)
+        lo, hi = (_utc(p) for p in period)
         obs = obs.filter((F.col(t) >= lo) & (F.col(t) <= hi))
     n = next_observed(obs, station, t, v)
     inner = (n.filter(F.col("__nt").isNotNull()
@@ -80,7 +87,7 @@ def gap_runs(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_utc",
                       F.col("__nt").alias("t_seguinte"), F.col("__nv").alias("v_seguinte")))
     runs = inner
     if period is not None:
-        lo, hi = (F.lit(p).cast("timestamp") for p in period)
+        lo, hi = (_utc(p) for p in period)
         ends = obs.groupBy(station).agg(F.min(F.struct(t, v)).alias("f"),
                                         F.max(F.struct(t, v)).alias("l"))
         lead_runs = ends.filter(F.col("f." + t) > lo).select(
@@ -143,7 +150,7 @@ def impute_hourly(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_u
                         F.col("inicio").alias("gap_inicio")))
     obs = hourly.filter(F.col(v).isNotNull())
     if period is not None:
-        lo, hi = (F.lit(p).cast("timestamp") for p in period)
+        lo, hi = (_utc(p) for p in period)
         obs = obs.filter((F.col(t) >= lo) & (F.col(t) <= hi))
     observed = obs.select(F.col(station).alias("CODIGO_WMO"), F.col(t).alias("dt_utc"),
                           F.col(v).alias("precip_mm"), F.lit(False).alias("orig_missing"),
@@ -187,6 +194,10 @@ def imputation_report(grid: DataFrame, station: str = "CODIGO_WMO",
         F.count_if(F.col("precip_mm").isNull()).cast("bigint").alias("n_remaining_na"),
         F.count_if(F.col("gap_classe").isin("longo", "extremo")).cast("bigint")
          .alias("n_horas_longo_extremo"))
+    return _with_shares(r, tier_a, tier_c)
+
+
+def _with_shares(r: DataFrame, tier_a: float, tier_c: float) -> DataFrame:
     pi = 100.0 * F.col("n_imputed") / F.col("total")
     pr = 100.0 * F.col("n_remaining_na") / F.col("total")
     return (r.withColumn("pct_imputed", F.round(pi, 4))
@@ -196,6 +207,24 @@ def imputation_report(grid: DataFrame, station: str = "CODIGO_WMO",
              .withColumn("tier", completeness_tier(pr, tier_a, tier_c)))
 
 
+def imputation_report_from_runs(runs: DataFrame, span: DataFrame, station: str = "CODIGO_WMO",
+                                short: int = 6, medium: int = 48, long: int = 168,
+                                fill_all: bool = False, tier_a: float = 5.0,
+                                tier_c: float = 15.0) -> DataFrame:
+    """:func:`imputation_report` of the grid that ``runs`` and ``span`` imply,
+    without making its hours: a run is filled as a whole or not at all, so the
+    counts are sums of run lengths."""
+    known = F.col("v_anterior").isNotNull() | F.col("v_seguinte").isNotNull()
+    filled = known if fill_all else known & (F.col("gap_hours") <= medium)
+    hours = lambda c: F.coalesce(F.sum(F.when(c, F.col("gap_hours"))), F.lit(0)).cast("bigint")
+    g = runs.groupBy(station).agg(hours(F.lit(True)).alias("n_orig_missing"), hours(filled).alias("n_imputed"),
+                                  hours(~filled).alias("n_remaining_na"),
+                                  hours(F.col("gap_hours") > medium).alias("n_horas_longo_extremo"))
+    j = span.select(station, F.col("total_horas").cast("bigint").alias("total")).join(g, station, "left")
+    r = j.na.fill(0, ["n_orig_missing", "n_imputed", "n_remaining_na", "n_horas_longo_extremo"])
+    return _with_shares(r, tier_a, tier_c)
+
+
 def imputation_round_compare(first: DataFrame, final: DataFrame,
                              station: str = "CODIGO_WMO") -> DataFrame:
     """Two report rounds side by side per station."""

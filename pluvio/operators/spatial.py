@@ -1,8 +1,10 @@
 """Spatial and raster operators as table jobs.
 
-Geometry model: planar coordinates in a metric projection (x, y in km),
-polygons as rings ``array<struct<x double, y double>>`` (first vertex not
-repeated), rasters as cell tables ``(tile, row, col, value)``.
+Geometry model: planar coordinates in a metric projection (x, y in km) or, for
+distances, longitude / latitude in degrees (``lonlat=True``); polygons as one
+ring ``array<struct<x double, y double>>`` or as several (parts and holes alike:
+``array<array<struct>>``, even-odd over all edges), first vertex not repeated;
+rasters as cell tables ``(tile, row, col, value)``.
 
 Joins never pair every point with every polygon: polygons are expanded to
 the grid cells (side ``cell``) their bounding box covers, points get their
@@ -22,11 +24,22 @@ from pyspark.sql import functions as F
 from pluvio.operators.stats import percentiles_from_hist
 
 
-def _edges(ring: Column) -> Column:
-    """Ring -> array of edges (x1, y1, x2, y2), closing the ring."""
-    return F.expr(f"zip_with({_sql(ring)}, concat(slice({_sql(ring)}, 2, size({_sql(ring)})), "
-                  f"slice({_sql(ring)}, 1, 1)), "
-                  "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))")
+#: Kilometres per degree of latitude (and of longitude on the equator).
+KM_PER_DEGREE = 111.195
+
+
+def _one_list(polys: DataFrame, ring: str) -> DataFrame:
+    """Polygons with the rings as a list, whether given as one ring or several."""
+    if polys.schema[ring].dataType.elementType.typeName() == "array":
+        return polys
+    return polys.withColumn(ring, F.array(ring))
+
+
+def _edges(rings: str) -> Column:
+    """Rings -> one array of edges (x1, y1, x2, y2), each ring closed."""
+    return F.expr(f"flatten(transform({_sql(rings)}, r -> "
+                  "zip_with(r, concat(slice(r, 2, size(r)), slice(r, 1, 1)), "
+                  "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))))")
 
 
 def _sql(c) -> str:
@@ -75,8 +88,16 @@ def contains(edges: str, px: str, py: str, boundary: bool = False) -> Column:
     return F.expr(contains_sql(edges, px, py, boundary))
 
 
-def distance_sql(edges: str, px: str, py: str) -> str:
-    """Smallest point-segment distance from the point to the edges."""
+def distance_sql(edges: str, px: str, py: str, lonlat: bool = False) -> str:
+    """Smallest point-segment distance from the point to the edges. With
+    ``lonlat`` the coordinates are degrees and the distance is in km: edges are
+    laid out on the plane that touches the sphere at the point, whose error is
+    under 0.1 % at 100 km outside the polar regions."""
+    if lonlat:
+        kx = f"({KM_PER_DEGREE} * cos(radians({py})))"
+        flat = (f"transform({edges}, e -> named_struct('x1', (e.x1 - {px}) * {kx}, 'y1', (e.y1 - {py}) * {KM_PER_DEGREE}, "
+                f"'x2', (e.x2 - {px}) * {kx}, 'y2', (e.y2 - {py}) * {KM_PER_DEGREE}))")
+        return distance_sql(flat, "0.0D", "0.0D")
     t = (f"CASE WHEN (e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1) = 0 THEN 0.0 "
          f"ELSE least(1.0, greatest(0.0, (({px} - e.x1) * (e.x2 - e.x1) + ({py} - e.y1) * (e.y2 - e.y1)) "
          f"/ ((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))) END")
@@ -92,21 +113,24 @@ def bbox(ring: Column) -> dict:
 
 
 def polygon_cells(polys: DataFrame, cell: float, pad: float = 0.0,
-                  ring: str = "ring") -> DataFrame:
+                  ring: str = "ring", pad_x: Column | None = None) -> DataFrame:
     """Polygon -> every grid cell its (padded) bounding box covers. The
     expansion is bounded by the polygon's extent, not by the data."""
-    b = bbox(F.col(ring))
+    polys = _one_list(polys, ring)
+    b = bbox(F.flatten(ring))
     p = polys.withColumns({**{f"__{k}": v for k, v in b.items()}, "__edges": _edges(ring)})
-    cx = F.sequence(F.floor((F.col("__minx") - pad) / cell).cast("int"),
-                    F.floor((F.col("__maxx") + pad) / cell).cast("int"))
+    pad_x = F.lit(pad) if pad_x is None else pad_x
+    cx = F.sequence(F.floor((F.col("__minx") - pad_x) / cell).cast("int"),
+                    F.floor((F.col("__maxx") + pad_x) / cell).cast("int"))
     cy = F.sequence(F.floor((F.col("__miny") - pad) / cell).cast("int"),
                     F.floor((F.col("__maxy") + pad) / cell).cast("int"))
     return p.withColumn("__cx", F.explode(cx)).withColumn("__cy", F.explode(cy))
 
 
-def _in_bbox(px: Column, py: Column, pad: float = 0.0) -> Column:
+def _in_bbox(px: Column, py: Column, pad: float = 0.0, pad_x: Column | None = None) -> Column:
     """Cheap arithmetic prefilter before the exact ring tests."""
-    return ((px >= F.col("__minx") - pad) & (px <= F.col("__maxx") + pad)
+    pad_x = F.lit(pad) if pad_x is None else pad_x
+    return ((px >= F.col("__minx") - pad_x) & (px <= F.col("__maxx") + pad_x)
             & (py >= F.col("__miny") - pad) & (py <= F.col("__maxy") + pad))
 
 
@@ -136,17 +160,41 @@ def point_in_polygon(points: DataFrame, polys: DataFrame, pid: str = "CODIGO_WMO
 
 def nearest_within(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
                    pid: str = "CODIGO_WMO", x: str = "x", y: str = "y", gid: str = "poly_id",
-                   cell: float = 100.0, ring: str = "ring") -> DataFrame:
+                   cell: float = 100.0, ring: str = "ring", lonlat: bool = False,
+                   shares: Sequence[float] = (0.1, 1.0)) -> DataFrame:
     """Nearest polygon within ``max_dist`` of each point (distance 0 when
     inside or on the border); ties -> smallest id. Points with no polygon in
-    reach are absent."""
-    pc = polygon_cells(polys.select(gid, ring), cell, max_dist, ring)
-    pts = point_cells(points.select(pid, x, y), x, y, cell)
+    reach are absent. ``lonlat``: coordinates and ``cell`` in degrees,
+    ``max_dist`` in km.
+
+    The search grows: polygons are padded by a share of ``max_dist``, and only
+    points without a hit go on to the next share, so most points never meet the
+    polygons of the whole reach. A hit within the padding is the nearest one,
+    as every polygon that close is a candidate."""
+    left, found = points.select(pid, x, y), None
+    for share in shares:
+        reach = max_dist * share
+        hit = _nearest_in_reach(left, polys, reach, pid, x, y, gid, cell, ring, lonlat)
+        found = hit if found is None else found.unionByName(hit)
+        left = left.join(hit.select(pid), pid, "left_anti")
+    return found
+
+
+def _nearest_in_reach(points: DataFrame, polys: DataFrame, reach: float, pid: str, x: str, y: str,
+                      gid: str, cell: float, ring: str, lonlat: bool) -> DataFrame:
     px, py = F.col(x), F.col(y)
-    cand = pts.join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py, max_dist))
+    pad, wide, near = reach, None, None
+    if lonlat:
+        pad = reach / KM_PER_DEGREE
+        # a degree of longitude shrinks towards the poles: pad by the box's widest need
+        most = F.greatest(F.abs(F.col("__miny")), F.abs(F.col("__maxy"))) + pad
+        wide = F.lit(pad) / F.greatest(F.cos(F.radians(most)), F.lit(0.01))
+        near = wide
+    pc = polygon_cells(polys.select(gid, ring), cell, pad, ring, wide)
+    cand = point_cells(points, x, y, cell).join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py, pad, near))
     dist = F.when(contains("__edges", f"`{x}`", f"`{y}`", boundary=True), F.lit(0.0)) \
-            .otherwise(F.expr(distance_sql("__edges", f"`{x}`", f"`{y}`")))
-    d = cand.select(pid, gid, dist.alias("dist")).filter(F.col("dist") <= max_dist)
+            .otherwise(F.expr(distance_sql("__edges", f"`{x}`", f"`{y}`", lonlat)))
+    d = cand.select(pid, gid, dist.alias("dist")).filter(F.col("dist") <= reach)
     best = d.groupBy(pid).agg(F.min(F.struct(F.col("dist"), F.col(gid))).alias("__b"))
     return best.select(pid, F.col(f"__b.{gid}").alias("poly_nearest"),
                        F.col("__b.dist").alias("distancia"))
@@ -154,12 +202,13 @@ def nearest_within(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
 
 def station_to_municipality(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
                             pid: str = "CODIGO_WMO", x: str = "x", y: str = "y",
-                            gid: str = "poly_id", cell: float = 100.0) -> DataFrame:
+                            gid: str = "poly_id", cell: float = 100.0,
+                            lonlat: bool = False) -> DataFrame:
     """Bridge by geometry: within-polygon first, nearest within ``max_dist``
     as fallback; ``metodo`` tells which (NULL: no municipality)."""
     w = point_in_polygon(points, polys, pid, x, y, gid, cell)
     rest = w.filter(F.col("poly_within").isNull()).select(pid, x, y)
-    n = nearest_within(rest, polys, max_dist, pid, x, y, gid, cell)
+    n = nearest_within(rest, polys, max_dist, pid, x, y, gid, cell, lonlat=lonlat)
     j = w.join(n, pid, "left")
     return j.select(pid, x, y, F.coalesce("poly_within", "poly_nearest").alias(gid),
                     F.when(F.col("poly_within").isNotNull(), "within")
@@ -174,30 +223,42 @@ def crosscheck(a: DataFrame, b: DataFrame, key: str, col_a: str, col_b: str) ->
         b.select(key, F.col(col_b).alias("__b")), key, "full")
     return j.agg(F.count(F.lit(1)).cast("bigint").alias("n_total"),
                  F.count_if(F.col("__a").eqNullSafe(F.col("__b"))).cast("bigint").alias("n_concordam")) \
-            .withColumn("pct_concordancia", F.round(100.0 * F.col("n_concordam") / F.col("n_total"), 4))
+            .withColumn("pct_concordancia", F.round(100.0 * F.col("n_concordam")
+                                                    / F.nullif(F.col("n_total"), F.lit(0)), 4))
 
 
 def mosaic_cells(cells: DataFrame, tile: str = "tile", row: str = "row", col: str = "col",
                  value: str = "value", nodata: float = -9999.0) -> DataFrame:
     """Merge overlapping tiles: per cell the first tile (lowest order) with
     a valid value wins; NODATA when no tile has one."""
-    nd = F.col(value) == nodata
-    best = cells.groupBy(row, col).agg(F.min(F.struct(nd.alias("nd"), F.col(tile).alias("t"),
-                                                      F.col(value).alias("v"))).alias("__b"))
-    return best.select(row, col, F.col("__b.t").alias(tile), F.col("__b.v").alias(value))
-
-
-def cell_ring_touch(edges: str, ring: str, x0: str, y0: str, size: float) -> Column:
-    """Cell box [x0, x0+size] x [y0, y0+size] touches the polygon: the centre
-    or a corner lies in it (border included) or a vertex lies in the box.
-    CASE evaluates lazily: interior cells pay for the centre test only."""
+    # numbers only: a hash aggregate with a partial step, no sort of the cells
+    valid = F.when(F.coalesce(F.col(value) != nodata, F.lit(False)), F.col(tile))
+    best = cells.groupBy(row, col).agg(
+        F.min(valid).alias("__t"), F.min_by(value, valid).alias("__v"),
+        F.min(tile).alias("__t0"))
+    return best.select(row, col, F.coalesce("__t", "__t0").alias(tile),
+                       F.coalesce("__v", F.lit(nodata)).alias(value))
+
+
+def edge_box_sql(x0: str, y0: str, size: float) -> str:
+    """Edge ``e`` meets the box [x0, x0+size] x [y0, y0+size] (borders included):
+    their extents overlap on both axes, and the box's corners do not all lie
+    strictly on one side of the edge's line."""
+    def side(dx, dy):
+        return f"(e.x2 - e.x1) * ({y0} + {dy} - e.y1) - (e.y2 - e.y1) * ({x0} + {dx} - e.x1)"
+    corners = ", ".join(side(dx, dy) for dx in (0.0, size) for dy in (0.0, size))
+    return (f"least(e.x1, e.x2) <= {x0} + {size} AND greatest(e.x1, e.x2) >= {x0} "
+            f"AND least(e.y1, e.y2) <= {y0} + {size} AND greatest(e.y1, e.y2) >= {y0} "
+            f"AND least({corners}) <= 0 AND greatest({corners}) >= 0")
+
+
+def cell_ring_touch(edges: str, x0: str, y0: str, size: float) -> Column:
+    """Cell box [x0, x0+size] x [y0, y0+size] touches the polygon: an edge meets
+    the box, or the whole box lies inside (its centre does). CASE evaluates
+    lazily: interior cells pay for the centre test only."""
     h = size / 2
     centre = contains_sql(edges, f"({x0} + {h})", f"({y0} + {h})", True)
-    corners = " OR ".join(contains_sql(edges, f"({x0} + {dx})", f"({y0} + {dy})", True)
-                          for dx, dy in [(0.0, 0.0), (size, 0.0), (0.0, size), (size, size)])
-    vin = (f"exists({ring}, p -> p.x >= {x0} AND p.x <= {x0} + {size} "
-           f"AND p.y >= {y0} AND p.y <= {y0} + {size})")
-    return F.expr(f"CASE WHEN {centre} THEN true ELSE ({corners} OR {vin}) END")
+    return F.expr(f"CASE WHEN {centre} THEN true ELSE exists({edges}, e -> {edge_box_sql(x0, y0, size)}) END")
 
 
 def zonal_stats(mosaic: DataFrame, polys: DataFrame, prefix: str, cell_size: float = 5.0,
@@ -227,15 +288,16 @@ def zonal_stats_multi(mosaics: dict, polys: DataFrame, cell_size: float = 5.0,
     for p_ in names[1:]:
         any_valid = any_valid | F.col(p_).isNotNull()
     cells = cells.filter(any_valid)
-    pc = polygon_cells(polys.select(gid, ring), grid, 0.0, ring)
+    # a cell is in the bucket of its first corner, so the polygon's box reaches
+    # one cell further: right for any bucket size
+    pc = polygon_cells(polys.select(gid, ring), grid, cell_size, ring)
     c = cells.withColumns({"__x0": F.col(col) * cell_size, "__y0": F.col(row) * cell_size})
-    # cells never straddle a grid bucket when ``grid`` is a multiple of the cell size
     c = c.withColumns({"__cx": F.floor(F.col("__x0") / grid).cast("int"),
                        "__cy": F.floor(F.col("__y0") / grid).cast("int")})
     cand = c.join(pc, ["__cx", "__cy"]).filter(
         (F.col("__x0") <= F.col("__maxx")) & (F.col("__x0") + cell_size >= F.col("__minx"))
         & (F.col("__y0") <= F.col("__maxy")) & (F.col("__y0") + cell_size >= F.col("__miny")))
-    hit = cand.filter(cell_ring_touch("__edges", ring, "__x0", "__y0", cell_size))
+    hit = cand.filter(cell_ring_touch("__edges", "__x0", "__y0", cell_size))
     long = hit.select(gid, F.explode(F.array(*[F.struct(F.lit(p_).alias("produto"),
                                                           F.col(p_).alias("valor"))
                                                  for p_ in names])).alias("__v")) \

@@ -41,17 +41,20 @@ def stack(df: DataFrame, variables: Sequence[str], keep: Sequence[str] = (),
 
 
 def cumulative_below(hist: DataFrame, groups: Sequence[str], value: str,
-                     weights: Sequence[str], buckets: int = 64,
+                     weights: Sequence[str], buckets: int | None = None,
                      totals: bool = False) -> DataFrame:
     """Adds ``below_<w>``: sum of ``w`` over the rows of the same group with
     a strictly smaller ``value`` (and ``total_<w>`` per group when
-    ``totals``). Distributed prefix sum (see module doc)."""
+    ``totals``). Distributed prefix sum (see module doc). The number of value
+    ranges follows the session's shuffle partitions unless given; the result
+    does not depend on it."""
     g = list(groups)
+    buckets = buckets or max(
+        64, int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     qs = [i / buckets for i in range(1, buckets)]
     cut_agg = F.percentile_approx(value, qs, 10000)
     if g:
-        cuts = hist.groupBy(*g).agg(cut_agg.alias("__cuts"))
-        h = hist.join(cuts, g, "left")
+        h = _join_groups(hist, hist.groupBy(*g).agg(cut_agg.alias("__cuts")), g)
     else:
         # no group: the cut points are a scalar subquery, not a join
         h = hist.withColumn("__cuts", hist.agg(cut_agg).scalar())
@@ -65,14 +68,21 @@ def cumulative_below(hist: DataFrame, groups: Sequence[str], value: str,
     off = tot.select(*g, "__b", *off_cols)
     wl = Window.partitionBy(*g, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     h = h.select("*", *[F.coalesce(F.sum(w).over(wl), F.lit(0)).alias(f"__l_{w}") for w in weights])
-    h = h.join(off, g + ["__b"], "left")
+    h = _join_groups(h, off, g + ["__b"])
     return h.select(*hist.columns,
                     *[(F.col(f"__o_{w}") + F.col(f"__l_{w}")).alias(f"below_{w}") for w in weights],
                     *([F.col(f"total_{w}") for w in weights] if totals else []))
 
 
+def _join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Left join on the group columns in which NULL groups meet too."""
+    r = right.withColumnsRenamed({c: f"__j_{c}" for c in groups})
+    on = [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in groups]
+    return left.join(r, on, "left").drop(*[f"__j_{c}" for c in groups])
+
+
 def exact_percentiles(long: DataFrame, groups: Sequence[str], value: str = "valor",
-                      pcts: Sequence[float] = PCTS, buckets: int = 64) -> DataFrame:
+                      pcts: Sequence[float] = PCTS, buckets: int | None = None) -> DataFrame:
     """Per group: n and the exact percentiles (linear interpolation between
     closest ranks) named ``p50``, ``p75``, ...; groups with no value are absent."""
     hist = long.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
@@ -80,7 +90,7 @@ def exact_percentiles(long: DataFrame, groups: Sequence[str], value: str = "valo
 
 
 def percentiles_from_hist(hist: DataFrame, groups: Sequence[str], value: str, cnt: str = "cnt",
-                          pcts: Sequence[float] = PCTS, buckets: int = 64) -> DataFrame:
+                          pcts: Sequence[float] = PCTS, buckets: int | None = None) -> DataFrame:
     """``exact_percentiles`` on an existing (group, value, count) histogram,
     so several statistics can share one histogram pass."""
     g = list(groups)
@@ -120,7 +130,7 @@ def group_percentiles(df: DataFrame, variables: Sequence[str], label: str = "eve
 
 
 def rank_auc(df: DataFrame, variables: Sequence[str], label: str = "evento",
-             buckets: int = 64, by: Sequence[str] = ()) -> DataFrame:
+             buckets: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Mann-Whitney AUC per (by..., variable) (ties averaged); NULL when a
     class is empty; NULL values dropped per variable."""
     long = stack(df, variables, [*by, label])
@@ -156,12 +166,12 @@ def boxplot_stats(df: DataFrame, variables: Sequence[str], label: str = "evento"
          .withColumn("cerca_inf", F.col("p25") - whisker * F.col("iqr")) \
          .withColumn("cerca_sup", F.col("p75") + whisker * F.col("iqr"))
     # one row per (variable, label): bounded by the parameters, so broadcast
-    j = long.join(F.broadcast(q.select(*g, "cerca_inf", "cerca_sup")), g)
+    j = _join_groups(long, F.broadcast(q.select(*g, "cerca_inf", "cerca_sup")), g)
     inside = (F.col("valor") >= F.col("cerca_inf")) & (F.col("valor") <= F.col("cerca_sup"))
     w = j.groupBy(*g).agg(F.min(F.when(inside, F.col("valor"))).alias("bigode_inf"),
                           F.max(F.when(inside, F.col("valor"))).alias("bigode_sup"),
                           F.count_if(~inside).cast("bigint").alias("n_outliers"))
-    return q.join(w, g).select(*g, "n", F.col("p25").alias("q1"), F.col("p50").alias("mediana"),
+    return _join_groups(q, w, g).select(*g, "n", F.col("p25").alias("q1"), F.col("p50").alias("mediana"),
                                F.col("p75").alias("q3"), "iqr", "bigode_inf", "bigode_sup",
                                "n_outliers")
 
@@ -185,4 +195,4 @@ def signal_scenarios(df: DataFrame, variables: Sequence[str], label: str = "even
     m = med.groupBy("cenario", "variavel").agg(
         F.max(F.when(F.col(label) == 1, F.col("p50"))).alias("mediana_evento"),
         F.max(F.when(F.col(label) == 0, F.col("p50"))).alias("mediana_normal"))
-    return auc.join(m, ["cenario", "variavel"], "left")
+    return _join_groups(auc, m, ["cenario", "variavel"])

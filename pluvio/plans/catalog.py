@@ -14,23 +14,17 @@ from pluvio.operators import labels as lab
 from pluvio.operators import reports as rep
 from pluvio.plans import standins as S
 from pluvio.plans.common import finish, read
+from pluvio.session import persist_table
+from pluvio.sources import sinks as snk
+from pluvio.sources.tables import register_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(name: str):
-    """Register a query. Its plan defines hours in UTC, so the session time
-    zone is pinned before the plan is built (a caller's session may differ)."""
     def deco(fn):
-        import functools
-
-        @functools.wraps(fn)
-        def run(spark, d):
-            if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
-                spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, d)
-        QUERIES[name] = run
-        return run
+        QUERIES[name] = fn
+        return fn
     return deco
 
 
@@ -249,14 +243,13 @@ def q_impute_hourly(spark, d):
 
 @register("imputation_report")
 def q_imputation_report(spark, d):
-    return finish(ser.imputation_report(S.imputed_grid(spark, d)))
+    return finish(_report(*_runs(spark, d)))
 
 
 @register("imputation_round_compare")
 def q_imputation_round_compare(spark, d):
-    r1 = ser.imputation_report(S.imputed_grid(spark, d, fill_all=True))
-    rf = ser.imputation_report(S.imputed_grid(spark, d))
-    return ser.imputation_round_compare(r1, rf)
+    runs, span = _runs(spark, d, stored=True)
+    return ser.imputation_round_compare(_report(runs, span, fill_all=True), _report(runs, span))
 
 
 @register("longest_gap_location")
@@ -265,28 +258,33 @@ def q_longest_gap_location(spark, d):
     return finish(ser.longest_gap_location(ser.gap_runs(h), ser.station_span(h)))
 
 
-def _segments(spark, d, grid=None):
-    if grid is None:
-        h = S.events_hourly(spark, d)
-        runs, span = ser.gap_runs(h), ser.station_span(h)
-    else:
-        # runs and spans read back from the stored grid: no window is re-run
-        runs, span = ser.runs_from_grid(grid), ser.span_from_grid(grid)
+def _runs(spark, d, stored: bool = False):
+    """Gap runs and grid spans; ``stored`` writes both once for several consumers
+    (one row per run, not per hour)."""
+    h = S.events_hourly(spark, d)
+    runs, span = ser.gap_runs(h), ser.station_span(h)
+    return (persist_table(runs, "lacunas"), persist_table(span, "periodos")) if stored else (runs, span)
+
+
+def _report(runs, span, fill_all=False):
+    return ser.imputation_report_from_runs(runs, span, short=S.GRID_SHORT, medium=S.GRID_MEDIUM,
+                                           long=S.GRID_LONG, fill_all=fill_all)
+
+
+def _segments(runs, span):
     seg = ser.longest_clean_segment(runs, span, medium=S.GRID_MEDIUM)
     return ser.chronic_exclusion(seg, S.MAX_OBSTACLES, S.MIN_SEGMENT_HOURS)
 
 
 @register("longest_clean_segment")
 def q_longest_clean_segment(spark, d):
-    return finish(_segments(spark, d))
+    return finish(_segments(*_runs(spark, d)))
 
 
-def _station_metadata(spark, d, grid=None):
-    if grid is None:
-        from pluvio.session import persist_table
-        grid = persist_table(S.imputed_grid(spark, d), "grade-horaria")
-    rep_ = ser.imputation_report(grid)
-    seg = _segments(spark, d, grid).select("CODIGO_WMO", "grid_inicio", "grid_fim", "n_obstaculos",
+def _station_metadata(spark, d):
+    runs, span = _runs(spark, d, stored=True)
+    rep_ = _report(runs, span)
+    seg = _segments(runs, span).select("CODIGO_WMO", "grid_inicio", "grid_fim", "n_obstaculos",
                                      "segmento_inicio", "segmento_fim", "horas_removidas",
                                      "excluida", "motivo_exclusao")
     ids = S.station_coords(spark, d)
@@ -329,35 +327,32 @@ def q_constant_column_check(spark, d):
 
 @register("metadata_join")
 def q_metadata_join(spark, d):
-    return qual.orphan_check(S.imputed_grid(spark, d), S.station_coords(spark, d), "CODIGO_WMO")
+    # the grid holds every hour of a station's span: its rows are counted, not made
+    span = ser.station_span(S.events_hourly(spark, d))
+    return qual.orphan_check(span, S.station_coords(spark, d), "CODIGO_WMO", weight="total_horas")
 
 
 @register("row_conservation_check")
 def q_row_conservation(spark, d):
-    ev = read(spark, d, "events")
-    ev = lab.normalize_columns(ev.toDF(*[c.upper() + " " for c in ev.columns]))
-    types = ["click", "view", "purchase", "signup", "error"]
-    # parts with different column sets, as per-file schemas differ
-    parts = [ev.filter(F.col("event_type") == t).drop(*(["props"] if i % 2 else []))
-             for i, t in enumerate(types)]
-    cons = parts[0]
-    for p in parts[1:]:
-        cons = cons.unionByName(p, allowMissingColumns=True)
+    src = read(spark, d, "events")
+    # one folder per event type, as the source's files; consolidated by reading all of them
+    path = snk.parquet_zstd_sink(src, snk.scratch_path(src, "partes"), partition_by=["event_type"])
+    cons = spark.read.parquet(path).select(*src.columns)
+    # any slice of the calendar works here: the operator's parameter is the period
     sliced = cons.filter((F.col("ts") >= F.lit("2024-01-02").cast("timestamp_ntz"))
                          & (F.col("ts") < F.lit("2024-01-29").cast("timestamp_ntz")))
-    dedup = sliced.dropDuplicates()
-    r = qual.row_conservation(parts, cons)
-    dedup_n = dedup.agg(F.count(F.lit(1)).alias("n"))
-    expected = ["event_id", "ts", "user_id", "event_type", "value", "station_name"]
-    contract = qual.schema_contract_check(spark, ev, expected)
-    c = contract.agg(F.count_if(F.col("status") == "faltando").alias("faltando"),
-                     F.count_if(F.col("status") == "extra").alias("extra"))
+    r = qual.row_conservation(src, cons, "event_type")
+    dedup_n = sliced.dropDuplicates().agg(F.count(F.lit(1)).alias("n"))
+    found = src.toDF(*[c.upper() + " " for c in src.columns])
+    contract = qual.schema_contract_check(
+        spark, found, ["event_id", "ts", "user_id", "EventType", "value", "station_name"])
+    c = contract.agg(*[F.count_if(F.col("status") == x).alias(x) for x in ("faltando", "extra", "renomeada")])
     return rep.metric_report([
-        rep.metric_rows(r, "conservacao", {"n_partes": "n_partes", "n_arquivos": "n_arquivos",
-                                           "n_consolidado": "n_consolidado",
-                                           "conservado": "conservado"}),
+        rep.metric_rows(r, "conservacao", {x: x for x in ("n_partes", "n_arquivos", "n_consolidado",
+                                                          "partes_divergentes", "conservado")}),
         rep.metric_rows(dedup_n, "dedup", {"n_periodo_distintos": "n"}),
-        rep.metric_rows(c, "contrato", {"colunas_faltando": "faltando", "colunas_extra": "extra"}),
+        rep.metric_rows(c, "contrato", {"colunas_faltando": "faltando", "colunas_extra": "extra",
+                                        "colunas_renomeadas": "renomeada"}),
     ])
 
 
@@ -391,6 +386,7 @@ def q_daily_station_agg(spark, d):
 
 from pluvio.operators import stats as st  # noqa: E402
 
+# Required column names of the signal test.
 VARS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h"]
 
 
@@ -398,7 +394,6 @@ def _mt(spark, d):
     """The modelling table, written once under the shared checkpoint folder
     and read back (as the merge step writes it before the summaries): every
     statistic below reads files instead of recomputing the join and windows."""
-    from pluvio.session import persist_table
     return persist_table(S.modelling_table(spark, d), "tabela-modelagem")
 
 
@@ -535,6 +530,67 @@ def q_station_file_ingest(spark, d):
                        *[F.col(h) for h in sf.HEADER_FIELDS])
 
 
+def _station_files(spark, d):
+    """Raw station files of the hourly totals per municipality, written by Spark:
+    two header layouts, two separators, both hour and date spellings, decimal
+    commas (in quotes where the comma separates), a no-break space in a value."""
+    b = S.bridge(spark, d).select("CODIGO_WMO", "ibge", "uf")
+    ev = read(spark, d, "events", ["user_id", "ts", "value"])
+    h = (ev.join(b, ev.user_id == b.CODIGO_WMO)
+         .groupBy("ibge", "uf", F.date_trunc("hour", "ts").alias("t"))
+         .agg(F.sum(F.col("value").cast(S.EXACT)).alias("v")))
+    comma = F.col("ibge") % 2 == 1
+    amount = F.replace(F.col("v").cast("string"), F.lit("."), F.lit(","))
+    body = F.when(comma, F.concat_ws(",", F.date_format("t", "yyyy-MM-dd"), F.date_format("t", "HH:mm"),
+                                     F.concat(F.lit('"'), amount, F.lit('"')), F.lit('"a ""b"", c"'))) \
+            .otherwise(F.concat_ws(";", F.date_format("t", "yyyy/MM/dd"),
+                                   F.concat(F.date_format("t", "HHmm"), F.lit(" UTC")), amount, F.lit("")))
+    first = F.lit("2000-01-01").cast("timestamp_ntz")
+    rows = h.select("ibge", F.timestamp_diff("HOUR", first, F.col("t")).alias("n"), body.alias("line"))
+    sep = F.when(comma, F.lit(",")).otherwise(F.lit(";"))
+    values = [("REGIAO", F.lit("R")), ("UF", F.concat(F.lit("\xa0"), F.col("uf"), F.lit(" \xa0"))),
+              ("ESTACAO", F.concat(F.lit("E"), F.col("ibge").cast("string"))),
+              ("CODIGO (WMO)", F.col("ibge").cast("string")), ("LATITUDE", F.lit("-10")),
+              ("LONGITUDE", F.lit("-50")), ("ALTITUDE", F.lit("5")), ("DATA DE FUNDACAO", F.lit("2001-01-01"))]
+    names = F.when(comma, F.lit("Data,Hora,PRECIPITACAO,OBS")).otherwise(F.lit("Data;Hora UTC;PRECIPITACAO;"))
+    head = F.array(*[F.concat(F.lit(f"{k}:"), sep, v) for k, v in values], names)
+    heads = h.select("ibge", "uf").distinct().select("ibge", F.posexplode(head).alias("n", "line"))
+    lines = rows.unionByName(heads.withColumn("n", F.col("n").cast("bigint") - 9))
+    return snk.text_lines_sink(lines.withColumnRenamed("ibge", "arquivo"), snk.scratch_path(ev, "estacoes"),
+                               "arquivo", "n")
+
+
+@register("station_ingest_round_trip")
+def q_station_ingest_round_trip(spark, d):
+    files = sf.list_station_files(spark, _station_files(spark, d))
+    wide = sf.to_wide(sf.parse_text_files(files))
+    wide = wide.withColumn("hora", F.coalesce("Hora", F.col("`Hora UTC`")))
+    typed = sf.type_station_rows(wide, "Data", "hora", {"precip_mm": "PRECIPITACAO"}, extra=("UF", "OBS"))
+    return finish(typed.withColumn("CODIGO_WMO", to_long("CODIGO_WMO")))
+
+
+@register("register_from_text")
+def q_register_from_text(spark, d):
+    """The register as a spreadsheet export writes it: keys with a decimal part
+    or damaged, US dates next to ISO dates; read back and typed."""
+    raw = S.register_raw(spark, d)
+    k = F.col("Protocolo_S2ID")
+    text = raw.select(
+        k, F.when(k % 7 == 0, "3.7").when(k % 5 == 0, "x").otherwise(
+            F.concat(F.col("Cod_Cobrade"), F.lit(".0"))).alias("Cod_Cobrade"),
+        F.concat("Cod_IBGE_Mun", F.lit(".0")).alias("Cod_IBGE_Mun"),
+        F.when(k % 2 == 0, F.date_format("Data_Evento", "M/d/yyyy"))
+         .otherwise(F.date_format("Data_Evento", "yyyy-MM-dd")).alias("Data_Evento"),
+        F.when(k % 11 == 0, "31/31/2000").otherwise(F.date_format("Data_Registro", "M/d/yyyy")).alias("Data_Registro"),
+        " Regiao ")
+    path = snk.csv_sink(text, snk.scratch_path(text, "registro"), sep=";", bom=True)
+    back = register_scan(spark, path, "csv", ", ".join(f"`{c}` string" for c in text.columns), sep=";")
+    reg = lab.prepare_register(back, drop_record_year=S.DROP_RECORD_YEAR, date_formats=("M/d/yyyy",))
+    return reg.select(to_long("protocolo_s2id").alias("protocolo"), "cobrade", "ibge",
+                      F.to_date("data_evento").alias("data_evento"),
+                      F.to_date("data_registro").alias("data_registro"), "regiao_l")
+
+
 # -------------------------------------------------------------- evaluation
 
 from pluvio.operators import evaluation as ev  # noqa: E402
@@ -579,9 +635,6 @@ def q_class_weights(spark, d):
 
 # ------------------------------------------------------------------- sinks
 
-from pluvio.sources import sinks as snk  # noqa: E402
-
-
 def _diff(a, b):
     """Rows of ``a`` and ``b`` that do not pair up (multiset difference)."""
     t = a.withColumn("__t", F.lit(1)).unionByName(b.withColumn("__t", F.lit(-1)))
@@ -599,8 +652,7 @@ def q_sinks_round_trip(spark, d):
     back = {
         "csv": snk.read_csv(spark, csv_p, src.schema, sep=";"),
         "parquet_zstd": spark.read.parquet(pq_p),
-        "por_estacao": spark.read.parquet(st_p).withColumn("user_id", F.col("user_id").cast("bigint"))
-                            .select(*src.columns),
+        "por_estacao": snk.read_station(spark, st_p, src.schema, "user_id"),
     }
     parts = []
     for name, b in back.items():
@@ -623,10 +675,8 @@ def q_sinks_round_trip(spark, d):
 
 @register("hourly_modelling_table")
 def q_hourly_modelling_table(spark, d):
-    from pluvio.session import persist_table
-    # the grid feeds both the per-station metadata and the rows: written once
-    grid = persist_table(S.imputed_grid(spark, d), "grade-horaria")
-    meta = _station_metadata(spark, d, grid).select(
+    grid = S.imputed_grid(spark, d)
+    meta = _station_metadata(spark, d).select(
         "CODIGO_WMO", "latitude", "longitude", "status_final", "qualidade_geral",
         "pct_imputado", "periodo_valido_inicio", "periodo_valido_fim", "motivo_exclusao_final")
     b = S.bridge(spark, d).select("CODIGO_WMO", "ESTACAO", F.col("uf").alias("REGIAO"),
@@ -639,7 +689,7 @@ def q_hourly_modelling_table(spark, d):
 
 @register("station_quality_stats")
 def q_station_quality_stats(spark, d):
-    r = ser.imputation_report(S.imputed_grid(spark, d))
+    r = _report(*_runs(spark, d))
     return finish(r.groupBy("tier").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_estacoes"),
         F.min("total").alias("min_horas"), F.max("total").alias("max_horas"),
@@ -653,13 +703,16 @@ def q_station_quality_stats(spark, d):
 def q_label_join_sql(spark, d):
     """The label join written in Spark SQL over named views."""
     from pluvio.sources.tables import named_views
-    named_views(spark, {"xf": S.label_x(spark, d), "yf": S.label_y(spark, d)})
-    out = spark.sql("""
-        SELECT x.*, CASE WHEN y.ibge IS NOT NULL THEN 1 ELSE 0 END AS evento,
-               y.protocolo, y.cobrade, y.descricao_tipologia, y.grupo_de_desastre
-        FROM xf x LEFT JOIN yf y
-          ON CAST(x.CODIGO_MUNICIPIO_IBGE AS BIGINT) = y.ibge AND x.data_local = y.data""")
-    return finish(out)
+    named_views(spark, {"rain_days": S.label_x(spark, d), "event_days": S.label_y(spark, d)})
+    return finish(spark.sql("""
+        WITH marks AS (
+          SELECT ibge AS CODIGO_MUNICIPIO_IBGE, data AS data_local, 1 AS seen,
+                 protocolo, cobrade, descricao_tipologia, grupo_de_desastre
+          FROM event_days)
+        SELECT CODIGO_MUNICIPIO_IBGE, data_local, precip_dia, precip_24h, precip_48h, precip_72h,
+               precip_max_horaria, n_estacoes, horas_imputadas_72h, janela_valida,
+               coalesce(seen, 0) AS evento, protocolo, cobrade, descricao_tipologia, grupo_de_desastre
+        FROM rain_days LEFT JOIN marks USING (CODIGO_MUNICIPIO_IBGE, data_local)"""))
 
 
 # --------------------------------------- reports over the topography table
@@ -672,7 +725,6 @@ TOPO_NUM = ["altitude_mean", "altitude_max", "altitude_min", "altitude_std", "al
 def _topo_table(spark, d):
     """The topography table written once (as the source exports it) and read
     back by its reports."""
-    from pluvio.session import persist_table
     return persist_table(_topography(spark, d), "topografia")
 
 

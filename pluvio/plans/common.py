@@ -6,22 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-_SCANS: dict = {}
+from pluvio.functions.scalars import utc_wall_clock
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Parquet scan of one shared table; the projection reaches the scan.
-
-    The base relation is resolved once per session and path (file listing
-    and footer schema are not redone for every query); DataFrames are
-    immutable, so sharing the lazy scan is safe."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
+    """Parquet scan of one shared table; the projection reaches the scan. The
+    files are listed anew for every query, so appended files are seen."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
@@ -35,8 +26,8 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
             # summation order) meet at 9 digits before the final cut
             out.append(F.round(F.round(F.col(f.name), 9), digits).alias(f.name))
         elif isinstance(f.dataType, T.TimestampType):
-            # wall-clock UTC value, independent of the client's time zone
-            out.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+            # wall-clock UTC value, independent of the client's and the session's zone
+            out.append(utc_wall_clock(F.col(f.name)).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

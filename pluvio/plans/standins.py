@@ -11,8 +11,10 @@ Mapping (see FIXTURES.md section 3):
   (``12000 + 100 * digit``; digits 1-3 are the hydrological codes), region
   ``AMERICA`` in the role of the studied region, record year 2001 in the role of
   the discarded future year.
-* label-join X / Y -> non-``error`` events by (nation, local day) / ``error``
-  events with ``value > 100``.
+* label-join X / Y -> ``purchase`` events by (nation, local day) / ``error``
+  events with ``value > 100``; unmatched rows are days without a reading.
+* two versions of the features -> the older one from all events but ``signup``,
+  the newer one from all but ``error``, so keys differ where the data do.
 
 Every role is a lazy DataFrame over whole tables: nothing is sampled or capped.
 """
@@ -22,35 +24,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.functions.scalars import utc_to_local_day
+from pluvio.functions.scalars import utc_instant, utc_to_local_day
 from pluvio.operators import features as feat
 from pluvio.operators import labels as lab
 from pluvio.plans.common import read
 
-_PLANS: dict = {}
-
-
-def _memo(fn):
-    """Reuse the lazy DataFrame (the plan, not data) of a stand-in role per
-    session, folder and arguments: queries still execute all of their work,
-    the driver just does not rebuild and re-analyse the same plan each time."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(spark, d, *args, **kwargs):
-        key = (fn.__name__, id(spark), d, args, tuple(sorted(kwargs.items())))
-        hit = _PLANS.get(key)
-        if hit is not None and hit.sparkSession is spark:
-            return hit
-        df = fn(spark, d, *args, **kwargs)
-        _PLANS[key] = df
-        return df
-    return wrapper
-
-
 # Fixed values of the stand-in plans.
 LOCAL_TZ = "-03:00"           # fixed offset, so the oracle needs no zone data
-X_SINCE = "2024-01-05 00:00:00"
+READING = "purchase"          # events in the role of rain readings of X
 Y_MIN_VALUE = 100.0
 REGION = "america"            # plays the studied region
 YEAR_LO, YEAR_HI = 1996, 2000
@@ -60,7 +41,6 @@ DROP_RECORD_YEAR = 2001
 EXCLUDE_ACCTBAL = 9000.0      # suppliers above this play the exclusion list
 
 
-@_memo
 def geo(spark: SparkSession, d: str) -> DataFrame:
     """nation -> region names. Both tables have a fixed size (25 and 5 rows
     in every scale factor), so broadcasting them is bounded."""
@@ -70,7 +50,6 @@ def geo(spark: SparkSession, d: str) -> DataFrame:
             .select("n_nationkey", "n_name", "r_name")
 
 
-@_memo
 def bridge(spark: SparkSession, d: str) -> DataFrame:
     """Station -> municipality bridge (customer -> nation)."""
     c = read(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"])
@@ -83,24 +62,27 @@ def bridge(spark: SparkSession, d: str) -> DataFrame:
                      F.col("r_name").alias("uf")))
 
 
-@_memo
-def events_hourly(spark: SparkSession, d: str, exclude_error: bool = False,
-                  since: str | None = None) -> DataFrame:
-    """Hourly series per station: ``sum(value)`` per (user, UTC hour)."""
+EXACT = "decimal(18,2)"       # event values have two decimals: sums without error
+
+
+def events_hourly(spark: SparkSession, d: str, only: str | None = None,
+                  exclude: str | None = None, exact: bool = False) -> DataFrame:
+    """Hourly series per station: ``sum(value)`` per (user, UTC hour), of all
+    events, of one type only or of all types but one (NULL types kept);
+    ``exact`` adds decimals, so equal amounts stay ties in rank statistics."""
     ev = read(spark, d, "events", ["user_id", "ts", "event_type", "value"])
-    if exclude_error:
-        ev = ev.filter(F.col("event_type") != "error")
-    if since:
-        ev = ev.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    if only:
+        ev = ev.filter(F.col("event_type") == only)
+    if exclude:
+        ev = ev.filter(~F.col("event_type").eqNullSafe(exclude))
     return (ev.groupBy(F.col("user_id").alias("CODIGO_WMO"),
-                       F.date_trunc("hour", F.col("ts")).cast("timestamp").alias("dt_utc"))
-              .agg(F.sum("value").alias("precip_mm")))
+                       utc_instant(F.date_trunc("hour", F.col("ts"))).alias("dt_utc"))
+              .agg(F.sum(F.col("value").cast(EXACT) if exact else "value").alias("precip_mm")))
 
 
-@_memo
 def label_x(spark: SparkSession, d: str) -> DataFrame:
-    """X of the label join: daily municipality features of non-error events."""
-    hourly = events_hourly(spark, d, exclude_error=True, since=X_SINCE)
+    """X of the label join: daily municipality features of the readings."""
+    hourly = events_hourly(spark, d, only=READING)
     return feat.daily_features(hourly, bridge(spark, d), imputed=None,
                                tz=LOCAL_TZ, min_hours_complete=1)
 
@@ -111,7 +93,6 @@ def band_code(value) -> F.Column:
              .otherwise(F.lit(12300))).cast("bigint")
 
 
-@_memo
 def events_register(spark: SparkSession, d: str) -> DataFrame:
     """Register rows from error events above the threshold."""
     ev = read(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -124,13 +105,12 @@ def events_register(spark: SparkSession, d: str) -> DataFrame:
         F.col("uf").alias("sigla_uf"),
         band_code(F.col("value")).alias("cobrade"),
         F.col("ibge"),
-        utc_to_local_day("ts", LOCAL_TZ).alias("data_evento"),
+        utc_to_local_day(utc_instant("ts"), LOCAL_TZ).alias("data_evento"),
         F.col("uf").alias("regiao"),
         F.lit("Hidrologico").alias("grupo_de_desastre"),
     ).withColumn("regiao_l", F.lower(F.trim("regiao")))
 
 
-@_memo
 def label_y(spark: SparkSession, d: str) -> DataFrame:
     """Y of the label join, one row per (municipality, day)."""
     y = lab.build_labels(events_register(spark, d), "data_evento", 2024, 2024,
@@ -140,7 +120,6 @@ def label_y(spark: SparkSession, d: str) -> DataFrame:
 
 # ----------------------------------------------------------------- register
 
-@_memo
 def register_raw(spark: SparkSession, d: str) -> DataFrame:
     """Raw register: one row per order, text-typed keys as in a spreadsheet
     export, record date from the order's earliest line item."""
@@ -168,8 +147,8 @@ def register_raw(spark: SparkSession, d: str) -> DataFrame:
         F.col("n_name").alias("Sigla_UF"),
         F.concat(F.lit("12"), digit, F.lit("00")).alias("Cod_Cobrade"),
         F.col("c_nationkey").cast("string").alias("Cod_IBGE_Mun"),
-        F.col("o_orderdate").cast("timestamp").alias("Data_Evento"),
-        F.col("data_registro").cast("timestamp").alias("Data_Registro"),
+        F.col("o_orderdate").alias("Data_Evento"),
+        F.col("data_registro").alias("Data_Registro"),
         F.col("r_name").alias(" Regiao "),
         F.col("o_orderpriority").alias("Descricao_Tipologia"),
         F.col("o_orderstatus").alias("Grupo_De_Desastre"),
@@ -177,14 +156,12 @@ def register_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@_memo
 def register(spark: SparkSession, d: str) -> DataFrame:
     """Typed register (dates, keys, normalised region; record year dropped,
     NULL record dates kept)."""
     return lab.prepare_register(register_raw(spark, d), drop_record_year=DROP_RECORD_YEAR)
 
 
-@_memo
 def register_labels(spark: SparkSession, d: str, lo: int = YEAR_LO,
                     hi: int = YEAR_HI, date_col: str = "data_evento") -> DataFrame:
     y = lab.build_labels(register(spark, d), date_col, lo, hi,
@@ -192,7 +169,6 @@ def register_labels(spark: SparkSession, d: str, lo: int = YEAR_LO,
     return lab.to_label_table(y)
 
 
-@_memo
 def stations(spark: SparkSession, d: str) -> DataFrame:
     """Station list: suppliers; negative balance plays a failed status."""
     s = read(spark, d, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
@@ -204,13 +180,11 @@ def stations(spark: SparkSession, d: str) -> DataFrame:
                     F.col("s_acctbal"))
 
 
-@_memo
 def station_exclusions(spark: SparkSession, d: str) -> DataFrame:
     return stations(spark, d).filter(F.col("s_acctbal") > EXCLUDE_ACCTBAL) \
                              .select("CODIGO_WMO")
 
 
-@_memo
 def kept_stations(spark: SparkSession, d: str) -> DataFrame:
     return lab.station_status_filter(stations(spark, d), station_exclusions(spark, d))
 
@@ -223,14 +197,12 @@ MIN_SEGMENT_HOURS = 240
 TERRITORY = {"lat": (-24.5, -14.0), "lon": (-49.5, -39.0)}
 
 
-@_memo
 def imputed_grid(spark: SparkSession, d: str, fill_all: bool = False) -> DataFrame:
     from pluvio.operators import series as ser
     return ser.impute_hourly(events_hourly(spark, d), short=GRID_SHORT, medium=GRID_MEDIUM,
                              long=GRID_LONG, fill_all=fill_all)
 
 
-@_memo
 def station_coords(spark: SparkSession, d: str) -> DataFrame:
     """Station identity and coordinates (integer arithmetic on the key)."""
     c = read(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"])
@@ -242,15 +214,16 @@ def station_coords(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------- feature versions
 
+# Compared columns of the feature table (schema names).
 VERSION_COLS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h",
                 "precip_max_horaria", "janela_valida", "n_estacoes"]
-NEW_FROM, OLD_UNTIL = "2024-01-02", "2024-01-29"
+OLD_WITHOUT, NEW_WITHOUT = "signup", "error"
 
 
-@_memo
-def user_days(spark: SparkSession, d: str) -> DataFrame:
+def user_days(spark: SparkSession, d: str, exclude: str | None = None,
+              exact: bool = False) -> DataFrame:
     """Station-days of the hourly series (UTC days), in the X layout."""
-    sd = feat.station_day_agg(events_hourly(spark, d), imputed=None, tz="+00:00",
+    sd = feat.station_day_agg(events_hourly(spark, d, exclude=exclude, exact=exact), imputed=None, tz="+00:00",
                               min_hours_complete=1)
     return sd.select(F.col("CODIGO_WMO").alias("CODIGO_MUNICIPIO_IBGE"), "data_local",
                      "precip_dia", "precip_max_horaria",
@@ -258,26 +231,21 @@ def user_days(spark: SparkSession, d: str) -> DataFrame:
                      "horas_imputadas", "dia_completo")
 
 
-@_memo
-def features_version(spark: SparkSession, d: str, frame: str) -> DataFrame:
-    return feat.prior_window_features(user_days(spark, d), frame=frame)
+def features_version(spark: SparkSession, d: str, frame: str,
+                     exclude: str | None = None, exact: bool = False) -> DataFrame:
+    return feat.prior_window_features(user_days(spark, d, exclude, exact), frame=frame)
 
 
-@_memo
 def version_new(spark: SparkSession, d: str) -> DataFrame:
-    """Calendar (RANGE) windows; covers the days from NEW_FROM."""
-    v = features_version(spark, d, "range")
-    return v.filter(F.col("data_local") >= F.lit(NEW_FROM).cast("date"))
+    """Calendar (RANGE) windows over the readings of the newer version."""
+    return features_version(spark, d, "range", NEW_WITHOUT)
 
 
-@_memo
 def version_old(spark: SparkSession, d: str) -> DataFrame:
-    """Row (ROWS) windows; covers the days before OLD_UNTIL."""
-    v = features_version(spark, d, "rows")
-    return v.filter(F.col("data_local") < F.lit(OLD_UNTIL).cast("date"))
+    """Row (ROWS) windows over the readings of the older version."""
+    return features_version(spark, d, "rows", OLD_WITHOUT)
 
 
-@_memo
 def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
     """Labels per (station, UTC day) from error events above the threshold."""
     ev = read(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -295,12 +263,11 @@ def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
     return lab.to_label_table(y)
 
 
-@_memo
 def modelling_table(spark: SparkSession, d: str) -> DataFrame:
-    """Station-day features (calendar windows) LEFT JOIN labels, doubles
-    rounded as a stored table would hold them."""
-    from pluvio.plans.common import finish
-    return finish(lab.label_join(features_version(spark, d, "range"), user_day_labels(spark, d)))
+    """Station-day features (calendar windows) LEFT JOIN labels."""
+    x = features_version(spark, d, "range", exact=True)
+    x = x.withColumns({c: F.col(c).cast("double") for c, t in x.dtypes if t.startswith("decimal")})
+    return lab.label_join(x, user_day_labels(spark, d))
 
 
 # ---------------------------------------------------------- spatial / raster
@@ -312,7 +279,6 @@ NEAREST_KM = 100.0
 UF_NAMES = {"31": "MG", "32": "ES", "33": "RJ", "35": "SP"}
 
 
-@_memo
 def station_points(spark: SparkSession, d: str) -> DataFrame:
     """Station coordinates (km) by integer arithmetic on the key."""
     c = read(spark, d, "customer", ["c_custkey"])
@@ -321,9 +287,9 @@ def station_points(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("c_custkey") * 104729 % 1000).cast("double").alias("y"))
 
 
-@_memo
 def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
-    """One convex hexagon per nation on a 5 x 5 layout of 200 km cells."""
+    """One hexagon per nation on a 5 x 5 layout of 200 km cells: some only 2 km
+    high (narrower than a raster cell), some with a square hole."""
     n = read(spark, d, "nation", ["n_nationkey", "n_name"])
     k = F.col("n_nationkey")
     cx = (100 + 200 * (k % 5)).cast("double")
@@ -332,14 +298,17 @@ def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
 
     def v(dx, dy):
         return F.struct((cx + dx).alias("x"), (cy + dy).alias("y"))
-    ring = F.array(v(r, 0.0), v(r / 2, 7 * r / 8), v(-r / 2, 7 * r / 8), v(-r, 0.0),
-                   v(-r / 2, -7 * r / 8), v(r / 2, -7 * r / 8))
+    thin = k % 7 == 3
+    h = F.when(thin, F.lit(1.0)).otherwise(7 * r / 8)
+    q = r / 4
+    outer = F.array(v(r, 0.0), v(r / 2, h), v(-r / 2, h), v(-r, 0.0), v(-r / 2, -h), v(r / 2, -h))
+    hole = F.array(v(q, q), v(-q, q), v(-q, -q), v(q, -q))
+    ring = F.when((k % 3 == 0) & ~thin, F.array(outer, hole)).otherwise(F.array(outer))
     return n.select(k.cast("bigint").alias("poly_id"), F.col("n_name").alias("NM_MUN"),
                     ((31 + k % 5) * 1000 + k).cast("bigint").alias("CD_MUN"),
                     ring.alias("ring"))
 
 
-@_memo
 def raster_tiles(spark: SparkSession, d: str, product: str) -> DataFrame:
     """Tile cells of one product from line items: tile = line number, cell
     from key arithmetic, NODATA where the source value is zero."""

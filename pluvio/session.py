@@ -8,8 +8,7 @@ coalescing and skew-join splitting, and a shared checkpoint directory.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,17 +49,16 @@ def get_session(master: str | None = None, app: str = "pluvio",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
+    """Shared folder for intermediate tables, named by the cluster in
+    ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, a laptop) a private folder is
-    created; on a cluster the configured shared folder is always used.
+    Only when the setting is absent (tests, a laptop) a folder inside the SQL
+    warehouse is used, which driver and executors share by definition; never a
+    machine-local temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            # a driver-local folder is invisible to executors on a cluster
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        d = tempfile.mkdtemp(prefix="pluvio-ckpt-")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_pluvio"
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -68,25 +66,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used where a plan is reused by several actions or its lineage gets long;
-    survives executor loss (never ``localCheckpoint``).
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+_written: list[str] = []
 
 
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("PLUVIO_SF_DIR", default)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared folder, remembered for :func:`drop_tables`."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def persist_table(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage and lets several consumers share one computation
     (a lost executor then re-reads files instead of recomputing the plan)."""
-    import uuid
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete what :func:`persist_table` and :func:`scratch_path` wrote so far.
+    For the owner of the results, once they are collected or written: a lazy
+    DataFrame over a dropped table can no longer be read. Returns the number of
+    folders."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -17,7 +17,7 @@ the file's line array:
 
 One file is one row until the body is exploded, so a file's lines stay in
 one task; files are bounded (one station-year each) and spread over tasks.
-Quoted separators are not interpreted (the source files carry none).
+A field in double quotes may hold the separator, and ``""`` inside it is a quote.
 """
 
 from __future__ import annotations
@@ -35,9 +35,26 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "nan", "null"]
 
 
+#: What Python's ``str.strip()`` removes from Latin-1 text: also the separators
+#: 1C-1F, the next-line control and the no-break space.
+BLANK = r"[ \t\n\x0B\f\r\x1C-\x1F\x85\xA0]"
+
+
 def strip(c: Column) -> Column:
     """Python ``str.strip()``: leading / trailing whitespace removed."""
-    return F.regexp_replace(c, r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$", "")
+    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+
+
+def split_fields(line: Column, sep: Column) -> Column:
+    """Fields of a delimited line. Lines without a quote are split at the
+    separator; else each separator outside quotes ends a field, outer quotes go
+    and doubled quotes become one."""
+    mark = F.lit("\x01")
+    # a separator is outside quotes if an even number of quotes follows it
+    outside = F.regexp_replace(line, F.concat(sep, F.lit(r'(?=(?:[^"]*"[^"]*")*[^"]*$)')), mark)
+    quoted = F.transform(F.split(outside, "\x01", -1), lambda v: F.when(
+        v.rlike(r'^".*"$'), F.replace(F.substring(v, F.lit(2), F.length(v) - 2), F.lit('""'), F.lit('"'))).otherwise(v))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, sep, -1))
 
 
 def list_station_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,55 +106,61 @@ def parse_text_files(files: DataFrame, path: str = "path", text: str = "text") -
                        "inicio_dados": data_start(F.col("__lines"))})
     f = f.withColumn("__hdr", F.get(F.col("__lines"), F.col("inicio_dados")))
     f = f.withColumn("sep", delimiter(F.col("__hdr")))
-    f = f.withColumn("cabecalho", F.split(F.col("__hdr"), F.col("sep"), -1))
+    f = f.withColumn("cabecalho", split_fields(F.col("__hdr"), F.col("sep")))
     meta = [header_value(F.col("__meta"), h).alias(h) for h in HEADER_FIELDS]
     body = f.select("path", *meta, "inicio_dados", "sep", "cabecalho",
                     F.posexplode("__lines").alias("linha", "__line"))
     body = body.filter((F.col("linha") > F.col("inicio_dados")) & (F.col("__line") != "")
                        & F.col("cabecalho").isNotNull())
     na = F.array(*[F.lit(t) for t in NA_TOKENS])
-    fields = F.transform(F.split(F.col("__line"), F.col("sep"), -1),
+    fields = F.transform(split_fields(F.col("__line"), F.col("sep")),
                          lambda v: F.when(F.array_contains(na, v), F.lit(None)).otherwise(v))
     body = body.withColumn("campos", fields).drop("__line")
     body = body.filter(F.size("campos") <= F.size("cabecalho"))
     return body.filter(F.exists("campos", lambda v: v.isNotNull()))
 
 
-def _column_names(header: list[str]) -> list[str]:
+MAX_COLUMNS = 500
+
+
+def column_names(header: Column) -> Column:
     """Header names as the CSV reader makes them: blank -> ``Unnamed: i``,
     repeats -> ``name.1``, ``name.2``."""
-    out, seen = [], {}
-    for i, h in enumerate(header):
-        name = h if h != "" else f"Unnamed: {i}"
-        if name in seen:
-            seen[name] += 1
-            name = f"{name}.{seen[name]}"
-        else:
-            seen[name] = 0
-        out.append(name)
-    return out
+    full = F.transform(header, lambda h, i: F.when(h == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(h))
+
+    def numbered(h, i):
+        before = F.size(F.filter(F.slice(full, F.lit(1), i), lambda x: x == h))
+        return F.when(before > 0, F.concat(h, F.lit("."), before.cast("string"))).otherwise(h)
+    return F.transform(full, numbered)
 
 
 def to_wide(long: DataFrame) -> DataFrame:
     """Union by name of every header layout (absent -> NULL) in ONE pass.
 
-    Only the distinct header layouts reach the driver (a handful), where
-    their final column names are made; they go back as a small table joined
-    on the header, each row becomes a name -> field map, and the union of the
-    names is selected from it. The body rows are scanned once, whatever the
-    number of layouts."""
-    spark = long.sparkSession
-    layouts = [list(r["cabecalho"]) for r in long.select("cabecalho").distinct().collect()]
-    named = [(h, _column_names(h)) for h in layouts]
-    union: list[str] = []
-    for _, names in named:
-        union += [n for n in names if n not in union and n not in HEADER_FIELDS]
-    lay = spark.createDataFrame(named, "cabecalho array<string>, __nomes array<string>")
-    j = long.join(F.broadcast(lay), "cabecalho")
+    Column names are made per row from its header (``column_names``), so a row
+    becomes a name -> field map without any lookup table. The driver only gets
+    the distinct names, one more than ``MAX_COLUMNS`` at most: more names than
+    that mean malformed headers and are refused. A body column named like a
+    metadata field would be ambiguous and is refused too."""
+    named = long.withColumn("__nomes", column_names(F.col("cabecalho")))
+    names = [r["n"] for r in named.select(F.posexplode("__nomes").alias("i", "n")).groupBy("n")
+             .agg(F.min("i").alias("i")).orderBy("i", "n").limit(MAX_COLUMNS + 1).collect()]
+    if len(names) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} column names: malformed headers")
+    if clash := sorted(set(names) & set(HEADER_FIELDS)):
+        raise ValueError(f"body columns named like metadata fields: {clash}")
     m = F.map_from_arrays(F.col("__nomes"),
                           F.transform(F.col("__nomes"), lambda n, i: F.get(F.col("campos"), i)))
-    j = j.withColumn("__m", m)
-    return j.select(*HEADER_FIELDS, *[F.col("__m").getItem(n).alias(n) for n in union])
+    j = named.withColumn("__m", m)
+    return j.select(*HEADER_FIELDS, *[F.col("__m").getItem(n).alias(n) for n in names])
+
+
+def ingest_summary(files: DataFrame, long: DataFrame) -> DataFrame:
+    """One row per file: rows kept, and whether the file yielded none."""
+    n = long.groupBy("path").agg(F.count(F.lit(1)).alias("__n"))
+    return (files.select("path").join(n, "path", "left")
+            .select("path", F.coalesce("__n", F.lit(0)).cast("bigint").alias("linhas"))
+            .withColumn("vazio", F.col("linhas") == 0))
 
 
 def ingest_station_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,13 +169,15 @@ def ingest_station_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def type_station_rows(wide: DataFrame, date_col: str = "Data", hour_col: str = "Hora UTC",
-                      numeric: dict | None = None, station: str = "CODIGO (WMO)") -> DataFrame:
+                      numeric: dict | None = None, station: str = "CODIGO (WMO)",
+                      extra: tuple[str, ...] = ()) -> DataFrame:
     """Typing step after ingest: ``dt_utc`` from the date and hour texts
     (``HH:MM`` or ``HHMM UTC``), numeric columns from decimal-comma text
-    (invalid -> NULL), station code kept as text."""
+    (invalid -> NULL), station code and ``extra`` columns kept as text."""
     from pluvio.functions.scalars import hour_utc_parse, to_double_comma
     out = [F.col(f"`{station}`").alias("CODIGO_WMO"),
            hour_utc_parse(F.col(f"`{date_col}`"), F.col(f"`{hour_col}`")).alias("dt_utc")]
+    out += [F.col(f"`{c}`") for c in extra]
     for name, src in (numeric or {}).items():
         out.append(to_double_comma(F.col(f"`{src}`")).alias(name))
     return wide.select(*out)

@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 from pluvio.operators.labels import normalize_columns
 
 
-def parquet_scan(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*cols) if cols else df
-
-
 def named_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
     """Register DataFrames as temporary views for ``spark.sql``."""
     for name, df in tables.items():

@@ -2,6 +2,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from pluvio.sources import station_files as sf
 
@@ -19,7 +20,7 @@ def _write(folder, name, lines):
 @pytest.fixture(scope="module")
 def folder():
     d = tempfile.mkdtemp(prefix="pluvio-files-")
-    _write(d, "a/INMET_SE_MG_A521.CSV", META + [
+    _write(d, "a/SE_MG_A521.CSV", META + [
         "Data;Hora UTC;PRECIPITAÇÃO TOTAL, HORÁRIO (mm);",
         "2019/01/01;0000 UTC;0;",
         "2019/01/01;0100 UTC;1,2;",
@@ -41,7 +42,7 @@ def test_long_form_rules(spark, folder):
     by = {}
     for r in long:
         by.setdefault(os.path.basename(r.path), []).append(r)
-    a = by["INMET_SE_MG_A521.CSV"]
+    a = by["SE_MG_A521.CSV"]
     assert len(a) == 3
     assert a[0]["UF"] == "MG" and a[0]["CODIGO (WMO)"] == "A521" and a[0].sep == ";"
     assert a[0]["LATITUDE"] == "-19,88"
@@ -71,8 +72,9 @@ def test_empty_folder_fails(spark):
         sf.list_station_files(spark, d)
 
 
-def test_column_names():
-    assert sf._column_names(["a", "", "a", "a"]) == ["a", "Unnamed: 1", "a.1", "a.2"]
+def test_column_names(spark):
+    h = spark.range(1).select(F.array(*map(F.lit, ["a", "", "a", "a"])).alias("h"))
+    assert h.select(sf.column_names(F.col("h")).alias("n")).first().n == ["a", "Unnamed: 1", "a.1", "a.2"]
 
 
 def test_typing_step(spark):
