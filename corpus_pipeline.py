@@ -7,15 +7,13 @@ the packed sequences.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pluvio.llm import minhash_dedup, packing, quality_rules, substring_dedup, toxicity
 from pluvio.llm.queries import table
-from pluvio.session import checkpoint_dir
+from pluvio.llm.shipping import shipped
+from pluvio.session import scratch_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +41,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, keep_ids=False)
 
 
-STAGES = [
+STAGES = [(name, shipped(stage)) for name, stage in (
     ("quality_rules", keep_quality),
     ("toxicity", drop_toxic),
     ("minhash_dedup", keep_first_copies),
     ("substring_dedup", drop_passages),
     ("packing", pack),
-]
+)]
 
 #: Tokenization and learned scores are not expressible in SQL.
 ORACLE_SQL = None
@@ -59,7 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written as Parquet to the
     shared folder and reread as the next stage's input."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pluvio.llm import (embedding_dedup, license_scan, lm_scoring, minhash_dedup, packing,
                         quality_rules, sentencepiece_codec, substring_dedup, token_files, toxicity)
+from pluvio.llm.shipping import shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=1, keep_ids=False)
 
 
-QUERIES = {
+QUERIES = {name: shipped(query) for name, query in {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_license_scan": op3_license_scan,
@@ -72,6 +73,6 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
-}
+}.items()}
 
 ORACLE: dict[str, str] = {"op1_quality_rules": quality_rules.oracle_sql()}

@@ -12,7 +12,6 @@ asks for metadata never touches the ids.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.tokenizing import encoder
 from pluvio.llm.words import slices
-from pluvio.session import checkpoint_dir
+from pluvio.session import scratch_path
 
 FILE_SCHEMA = "doc_id long, part int, part_offset long, n_tokens long, ids array<int>"
 
@@ -112,6 +111,6 @@ def token_file_digest(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataF
     """Write the id files to a new folder under the shared checkpoint folder, read
     them back and return ``(doc_id, start, n_tokens, ids_crc32)``."""
     spark = docs.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "tokens")
     write_tokens(docs, path, tokenizer, keep_space=True, end_id=end_id)
     return ids_crc32(read_tokens(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
