@@ -149,7 +149,7 @@ def _totals(answered: DataFrame) -> Totals:
     return Totals(*(int(v or 0) for v in r))
 
 
-def lm_scores(docs: DataFrame, order: int = 2, strength: float = 20.0,
+def lm_scores(docs: DataFrame, order: int = 2, strength: float = 300.0,
               folds: int = 7, held_fold: int = 2) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
 
