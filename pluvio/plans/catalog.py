@@ -47,21 +47,25 @@ def q_merge_summary(spark, d):
     m = lab.label_join(S.label_x(spark, d), y)
     base = m.groupBy("evento", "janela_valida", "descricao_tipologia") \
             .agg(F.count(F.lit(1)).alias("n"))
-    tot = base.agg(F.sum("n").alias("linhas"),
-                   F.sum(F.when(F.col("evento") == 1, F.col("n"))).alias("positivos"))
-    ny = y.agg(F.count(F.lit(1)).alias("n_y"))
-    pos = base.filter("evento = 1")
-    parts = [
-        rep.metric_rows(tot.withColumn("prev", F.round(100.0 * F.col("positivos") / F.col("linhas"), 3)),
-                        "merge", {"linhas": "linhas", "positivos": "positivos",
-                                  "prevalencia_pct": "prev"}),
-        rep.metric_rows(ny, "merge", {"eventos_y": "n_y"}),
-        rep.metric_rows(pos.groupBy("janela_valida").agg(F.sum("n").alias("n")),
-                        "positivos_por_janela", {"n": "n"}, F.col("janela_valida")),
-        rep.metric_rows(pos.groupBy("descricao_tipologia").agg(F.sum("n").alias("n")),
-                        "positivos_por_tipologia", {"n": "n"}, F.col("descricao_tipologia")),
-    ]
-    return finish(rep.metric_report(parts))
+    # every metric is a sum over the small grouped result: rows are tagged with
+    # the metrics they count for, and one more grouping gives all of them
+    positive = F.col("evento") == 1
+
+    def tag(section, metric, key, num, den=None):
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
+                        key.cast("string").alias("key"), num.cast("double").alias("num"),
+                        (F.lit(None) if den is None else den).cast("double").alias("den"))
+    none, hits = F.lit(None), F.when(positive, F.col("n"))
+    tags = F.array(
+        tag("merge", "linhas", none, F.col("n")), tag("merge", "positivos", none, hits),
+        tag("merge", "prevalencia_pct", none, hits, F.col("n")),
+        F.when(positive, tag("positivos_por_janela", "n", F.col("janela_valida"), F.col("n"))),
+        F.when(positive, tag("positivos_por_tipologia", "n", F.col("descricao_tipologia"), F.col("n"))))
+    rows = base.select(F.inline(F.filter(tags, lambda t: t.isNotNull()))).unionByName(
+        y.select(F.inline(F.array(tag("merge", "eventos_y", none, F.lit(1))))))
+    total, share = F.sum("num"), F.round(100.0 * F.sum("num") / F.sum("den"), 3)
+    return finish(rows.groupBy("section", "metric", "key").agg(
+        F.when(F.col("metric") == "prevalencia_pct", share).otherwise(total).alias("value")))
 
 
 @register("unique_key_check")
