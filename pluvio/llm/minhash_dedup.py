@@ -24,12 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.components import connected_components
+from pluvio.llm.components import connected_components, spanning
 from pluvio.llm.words import Words, batch_words, mix64, sequence_hash, slices, window_hashes
 from pluvio.session import persist_table
 
 BANDS, ROWS = 28, 5
-BLOCK_DOCS = 1024
+BLOCK_DOCS = 512
 LOOSE = 0.4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -211,8 +211,8 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
             return _unite(ids, list(sets), np.array(asks), np.array(label), percent)
 
         def out(found):
-            a, b = zip(*found)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a, b = spanning(np.array(found, dtype=np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("grp", "pair", "cid", "label", "asks", "items")]
@@ -221,6 +221,7 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
                     if found := links():
                         yield out(found)
                     held, at = {}, (grp, pair)
+                asks = asks or (cid in held and held[cid][1])
                 held[cid] = (label, asks, np.frombuffer(items, dtype=np.uint64))
         if found := links():
             yield out(found)
