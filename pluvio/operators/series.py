@@ -46,15 +46,15 @@ def next_observed(obs: DataFrame, station: str, t: str, v: str,
     b = b.withColumns({"__nt": F.lead(t).over(w), "__nv": F.lead(v).over(w)})
     firsts = (obs.withColumn("__blk", F.date_trunc(block, F.col(t)))
               .groupBy(station, "__blk")
-              .agg(F.min(F.struct(F.col(t).alias("t"), F.col(v).alias("v"))).alias("__f")))
+              .agg(F.min(t).alias("__ft"), F.min_by(v, t).alias("__fv")))  # hash aggregate
     wb = Window.partitionBy(station).orderBy("__blk")
     nxt = firsts.select(F.col(station).alias("__s"), F.col("__blk").alias("__b"),
-                        F.lead("__f").over(wb).alias("__nf"))
+                        F.lead("__ft").over(wb).alias("__nft"), F.lead("__fv").over(wb).alias("__nfv"))
     j = b.join(nxt, (F.col(station) == F.col("__s")) & (F.col("__blk") == F.col("__b")), "left")
-    return (j.withColumns({"__nt": F.coalesce("__nt", F.col("__nf.t")),
+    return (j.withColumns({"__nt": F.coalesce("__nt", "__nft"),
                            "__nv": F.when(F.col("__nt").isNotNull(), F.col("__nv"))
-                                    .otherwise(F.col("__nf.v"))})
-             .drop("__blk", "__s", "__b", "__nf"))
+                                    .otherwise(F.col("__nfv"))})
+             .drop("__blk", "__s", "__b", "__nft", "__nfv"))
 
 
 def station_span(hourly: DataFrame, station: str = "CODIGO_WMO", t: str = "dt_utc",

@@ -57,14 +57,18 @@ def split_fields(line: Column, sep: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, sep, -1))
 
 
-def list_station_files(spark: SparkSession, folder: str) -> DataFrame:
+def list_station_files(spark: SparkSession, folder: str, max_bytes: int = 256 << 20) -> DataFrame:
     """(path, text) of every ``*.csv`` / ``*.CSV`` under ``folder``,
-    recursively, decoded from Latin-1; fails when there is none."""
+    recursively, decoded from Latin-1; fails when there is none. A file is one
+    row and one task (a station-year has under 1 MB), so a file of more than
+    ``max_bytes`` is refused by name; split it or read it as a table."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.{csv,CSV}").load(folder))
     if files.select("path").limit(1).count() == 0:
         raise FileNotFoundError(f"no CSV file under {folder}")
-    return files.select("path", F.decode("content", "ISO-8859-1").alias("text"))
+    too_big = F.raise_error(F.concat(F.lit(f"station file over {max_bytes} bytes: "), F.col("path")))
+    return files.select("path", F.when(F.col("length") <= max_bytes, F.decode("content", "ISO-8859-1"))
+                        .otherwise(too_big).alias("text"))
 
 
 def _meta_entries(lines: Column) -> Column:
