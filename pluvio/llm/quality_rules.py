@@ -43,11 +43,11 @@ class Rule:
 #: length stays far inside, so only text of another kind is rejected.
 RULES = (
     Rule("mean word length", "word_length", 2.0, 12.0),
-    Rule("symbols per word", "symbol_ratio", None, 0.4),
+    Rule("symbols per word", "symbol_ratio", None, 0.25),
     Rule("stop words", "stop_ratio", 0.02, None),
     Rule("capital letters", "capital_ratio", None, 0.7),
     Rule("repeated lines", "duplicate_line_ratio", None, 0.6),
-    Rule("separators per word", "bar_ratio", None, 0.3),
+    Rule("separators per word", "bar_ratio", None, 0.25),
 )
 
 
