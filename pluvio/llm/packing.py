@@ -17,12 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm.token_files import id_lists
-from pluvio.llm.tokenizing import encoder
+from pluvio.llm.token_files import id_lists, with_end
+from pluvio.llm.tokenizing import SLICE_BYTES, encoder
 from pluvio.llm.words import slices
 from pluvio.session import persist_table
 
-PIECE_SCHEMA = ("doc_id long, start long, length int, ids_crc32 long, doc_tokens long, "
+PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "part int, part_rank long")
 
 
@@ -81,23 +81,23 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, seq_len: int = 2048
     input partition. Written to the shared folder, so ranks are fixed once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer, False), np.array([end_id], "<u4").tobytes()
-        part, seen = TaskContext.get().partitionId(), {}
-        for rows in slices(batches):
+        enc, part, seen = encoder(tokenizer, False), TaskContext.get().partitionId(), {}
+        for rows in slices(batches, max_bytes=SLICE_BYTES):
             out, ids = [], []
-            for doc_id, raw in zip(rows.column(0).to_pylist(), enc.ids_bytes(rows.column(1))):
-                raw += end
-                total = len(raw) // 4
+            flat, ends = with_end(*enc.encode_column(rows.column(1)), end_id)
+            raw, ends = flat.tobytes(), ends.tolist()
+            for doc_id, lo, hi in zip(rows.column(0).to_pylist(), ends[:-1], ends[1:]):
+                total = hi - lo
                 for start in range(0, total, seq_len):
-                    piece = raw[4 * start:4 * (start + seq_len)]
-                    n = len(piece) // 4
+                    n = min(seq_len, total - start)
+                    piece = raw[4 * (lo + start):4 * (lo + start + n)]
                     rank = seen.get(n, 0)
                     seen[n] = rank + 1
                     out.append((doc_id, start, n, zlib.crc32(piece), total, part, rank))
                     if keep_ids:
                         ids.append(piece)
             cols = [pa.array(c, t) for c, t in zip(zip(*out), (
-                pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))]
+                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "part_rank"]
             if keep_ids:
                 cols.append(id_lists(ids))
@@ -122,7 +122,8 @@ def place_pieces(pieces: DataFrame, seq_len: int = 2048) -> DataFrame:
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = (pieces.join(base, ["part", "length"])
-              .withColumn("rank", F.col("base") + F.col("part_rank")).drop("base", "part", "part_rank"))
+              .select(*[c for c in pieces.columns if c not in ("part", "part_rank")],
+                      (F.col("base") + F.col("part_rank")).alias("rank")))
     fields = [f for f in ranked.schema.fields if f.name != "rank"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 

@@ -161,7 +161,7 @@ class PieceCodec:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        return self._parts.join(self._chunks.findall(SPACE + text.replace(" ", SPACE)))
+        return b"".join(self._parts.look_up(self._chunks.findall(SPACE + text.replace(" ", SPACE))))
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.ids_bytes(text), dtype="<u4").tolist()

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm.tokenizing import encoder
+from pluvio.llm.tokenizing import SLICE_BYTES, encoder
 from pluvio.llm.words import slices
 from pluvio.session import scratch_path
 
@@ -36,6 +36,11 @@ def id_lists(parts: list[bytes]) -> pa.Array:
                                     pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
 
 
+def with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and offsets of texts with ``end_id`` after each text."""
+    return np.insert(ids, ends[1:], end_id), ends + np.arange(len(ends))
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, keep_space: bool, end_id: int,
                  coding: str = "delta", row_group_bytes: int = 16 << 20,
                  page_rows: int = 500, files: int | None = None) -> None:
@@ -51,16 +56,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, keep_space: bool, e
         raise ValueError("coding is 'delta' or 'dictionary'")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer, keep_space), np.array([end_id], "<u4").tobytes()
-        part, done = TaskContext.get().partitionId(), 0
-        for rows in slices(batches):
-            parts = [b + end for b in enc.ids_bytes(rows.column(1))]
-            n = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        enc, part, done = encoder(tokenizer, keep_space), TaskContext.get().partitionId(), 0
+        for rows in slices(batches, max_bytes=SLICE_BYTES):
+            ids, ends = with_end(*enc.encode_column(rows.column(1)), end_id)
+            n = np.diff(ends)
             before = done + np.cumsum(n) - n
             done += int(n.sum())
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(before),
-                 pa.array(n), id_lists(parts)],
+                 pa.array(n), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view("<i4")))],
                 names=["doc_id", "part", "part_offset", "n_tokens", "ids"])
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -1,9 +1,11 @@
 """Encode texts with a public tokenizer file, one library call per new word.
 
 A text is cut where the tokenizer can never look across: the cut rule of each
-kind is proven in its docstring and tested against whole-text calls. The ids of
-a piece are kept as little-endian unsigned 32-bit bytes in a bounded table, so
-a frequent word is encoded once per worker.
+kind is proven in its docstring and tested against whole-text calls. Cutting,
+telling pieces apart (by 64-bit hash within a slice of about a megabyte) and
+laying out the ids are numpy passes over a slice; only its distinct pieces are
+looked up. The ids of a piece are kept as little-endian unsigned 32-bit bytes in
+a bounded table, so a frequent word is encoded once per worker.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from pluvio.llm.words import text_buffers
+from pluvio.llm.words import fold_ascii, hash_ranges, text_buffers, word_spans
 
 #: Characters other than ASCII white space that some library counts as white space;
 #: a text that holds one is encoded whole.
@@ -24,14 +26,14 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 #: Leading UTF-8 bytes of such characters.
 _MAYBE_ODD = np.zeros(256, dtype=bool)
 _MAYBE_ODD[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_END = r"(?=[.,;:!?|*$%&#<>\x20\x09-\x0D]|\Z)"
-_SPACE_FIRST = re.compile(rf" ?[{_LETTERS}]+{_END}|\n(?=[{_LETTERS}])"
-                          r"|[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-_WORD = re.compile(rf"[{_LETTERS}]+{_END}|[^\x20\x09-\x0D]+")
-_PLAIN = re.compile(rf" ?[{_LETTERS}]+\Z")
-
-KNOWN_PARTS = 400_000
+_PLAIN = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[np.frombuffer(b".,;:!?|*$%&#<>", dtype=np.uint8)] = True
+
+SLICE_BYTES = 1 << 20
+KNOWN_PARTS = 300_000
 MAX_PART_CHARS = 64
 
 
@@ -43,11 +45,11 @@ class PartTable:
 
     def __init__(self, encode: Callable[[str], bytes]):
         self._encode = encode
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._young: dict = {}
+        self._old: dict = {}
 
-    def join(self, parts: list[str]) -> bytes:
-        """Ids of all parts in a row; a known part costs one look-up."""
+    def look_up(self, parts: list) -> list[bytes]:
+        """Ids of each part; a known part costs one look-up."""
         young, old = self._young, self._old
         found = [*map(young.get, parts)]
         if None in found:
@@ -60,20 +62,41 @@ class PartTable:
                     found[i] = ids
         if len(young) > KNOWN_PARTS:
             self._young, self._old = {}, young
-        return b"".join(found)
-
-
-def texts_of(column: pa.Array) -> tuple[list[str], list[bool]]:
-    """Texts of a string column (null: empty), and whether a text holds white
-    space beyond ASCII."""
-    data, off = text_buffers(column)
-    texts = column.fill_null("").to_pylist()
-    marked = _MAYBE_ODD[data]
-    if not marked.any():
-        return texts, [False] * len(texts)
-    marks = np.concatenate([[0], np.cumsum(marked)])
-    maybe = marks[off[1:]] > marks[off[:-1]]
-    return texts, [bool(m and _ODD.search(t)) for t, m in zip(texts, maybe.tolist())]
+        return found
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Whether a byte belongs to a letter A-Z, a-z or À-ÿ (but not × and ÷)."""
+    nxt = np.append(data[1:], np.uint8(0))
+    lead = (data == 0xC3) & (nxt >= 0x80) & (nxt <= 0xBF) & (nxt != 0x97) & (nxt != 0xB7)
+    out = _LETTER[data] | lead
+    out[1:] |= lead[:-1]
+    return out
+
+
+def piece_spans(data: np.ndarray, off: np.ndarray, keep_space: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending byte ranges of the pieces of texts that lie at ``off``: words,
+    cut after leading letters that a mark follows; with ``keep_space`` a word
+    brings the white space before it along, and what ends a text is a piece."""
+    start, end, first = word_spans(data, off)
+    other = np.append(np.flatnonzero(~_letters(data)), len(data))
+    stop = other[np.searchsorted(other, start)]
+    cut = (stop > start) & (stop < end)
+    cut[cut] = _MARK[data[stop[cut]]]
+    begin = start
+    tail_from = tail_to = np.zeros(0, np.int64)
+    if keep_space:
+        begin = np.append(0, end[:-1]) if len(end) else start
+        some = np.diff(first) > 0
+        begin[first[:-1][some]] = off[:-1][some]
+        last = off[:-1].copy()
+        last[some] = end[first[1:][some] - 1]
+        tail = last < off[1:]
+        tail_from, tail_to = last[tail], off[1:][tail]
+    lo = np.concatenate([begin, stop[cut], tail_from])
+    hi = np.concatenate([np.where(cut, stop, end), end[cut], tail_to])
+    order = np.argsort(lo, kind="stable")
+    return lo[order], hi[order]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -96,7 +119,6 @@ class PieceEncoder:
     In both, a run of letters ends before ASCII punctuation. A piece of letters
     only is one pre-token; it goes to the file's merge model directly.
     Special-token strings in a text are ordinary text.
-
     """
 
     def __init__(self, path: str, keep_space: bool):
@@ -106,31 +128,58 @@ class PieceEncoder:
         self._tok.encode_special_tokens = True
         self._model = self._tok.model
         self._letters = _byte_letters()
-        self._cut = _SPACE_FIRST if keep_space else _WORD
-        self._fold = None if keep_space else {c: c + 32 for c in range(65, 91)}
+        self._keep_space = keep_space
         if self._tok.normalizer is not None and (
                 keep_space or self._tok.normalizer.normalize_str("AÀß") != "aàß"):
             raise ValueError("unknown normalizer")
         self._pieces = PartTable(self._piece)
+        self._line_break = self._whole("\n") if keep_space else b""
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, part: bytes) -> bytes:
+        piece = part.decode()
         if not _PLAIN.match(piece):
             return self._whole(piece)
-        symbols = (piece.lower() if self._fold else piece).encode().decode("latin-1").translate(self._letters)
+        head = b""
+        if piece[0] == "\n":  # a lone line break is a pre-token of its own
+            head, piece = self._line_break, piece[1:]
+        symbols = (piece if self._keep_space else piece.lower()).encode().decode("latin-1").translate(self._letters)
         ids = [t.id for t in self._model.tokenize(symbols)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _text(self, text: str) -> bytes:
-        if self._fold:
-            text = text.lower() if text.isascii() else text.translate(self._fold)
-        return self._pieces.join(self._cut.findall(text))
-
-    def ids_bytes(self, column: pa.Array) -> list[bytes]:
-        """One byte string per text of a string column; null counts as empty."""
-        return [self._whole(t) if odd else self._text(t) for t, odd in zip(*texts_of(column))]
+        return head + struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a string column in a row (null counts as empty),
+        and the n + 1 offsets of the texts."""
+        data, off = text_buffers(column)
+        marked = _MAYBE_ODD[data]
+        odd = []
+        if marked.any():
+            marks = np.concatenate([[0], np.cumsum(marked)])
+            odd = [i for i in np.flatnonzero(marks[off[1:]] > marks[off[:-1]]).tolist()
+                   if _ODD.search(data[off[i]:off[i + 1]].tobytes().decode())]
+        ids, ends = self._encode(data if self._keep_space else fold_ascii(data), off)
+        if odd:
+            texts = np.split(ids, ends[1:-1])
+            for i in odd:
+                texts[i] = np.frombuffer(self._whole(data[off[i]:off[i + 1]].tobytes().decode()), "<u4")
+            ids = np.concatenate(texts)
+            ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        return ids, ends
+
+    def _encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = piece_spans(data, off, self._keep_space)
+        _, at, inverse = np.unique(hash_ranges(data, lo, hi), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        found = self._pieces.look_up([raw[i:j] for i, j in zip(lo[at].tolist(), hi[at].tolist())])
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        before = (np.cumsum(size) - size)[inverse]
+        n = size[inverse]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.arange(ends[-1]) + np.repeat(before - ends[:-1], n)]
+        return ids, ends[np.searchsorted(lo, off)]
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}

@@ -7,6 +7,8 @@ documents costs a fixed number of numpy passes and no per-word Python.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -86,11 +88,23 @@ def batch_words(texts: pa.Array, fold_case: bool = False) -> Words:
     """Words of every text of the column. ``fold_case`` lower-cases A-Z only."""
     data, off = text_buffers(texts)
     if fold_case:
-        data = _FOLD[data]
+        data = fold_ascii(data)
+    start, end, first = word_spans(data, off)
+    return Words(data, hash_ranges(data, start, end), start, end, first)
+
+
+def fold_ascii(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return _FOLD[data]
+
+
+def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte ranges of the words of texts that lie at ``off`` in ``data``, and the
+    index of each text's first word (one entry more than texts)."""
     n = len(data)
     if n == 0:
         empty = np.zeros(0, np.int64)
-        return Words(data, np.zeros(0, np.uint64), empty, empty, np.zeros(len(off), np.int64))
+        return empty, empty, np.zeros(len(off), np.int64)
     space = _SPACE[data]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0], before[1:] = True, space[:-1]
@@ -99,10 +113,11 @@ def batch_words(texts: pa.Array, fold_case: bool = False) -> Words:
     after[off[1:][off[1:] > 0] - 1] = True
     start = np.flatnonzero(~space & before)
     end = np.flatnonzero(~space & after) + 1
-    return Words(data, _hash_ranges(data, start, end), start, end, np.searchsorted(start, off))
+    return start, end, np.searchsorted(start, off)
 
 
-def _hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range (ascending, not overlapping)."""
     out = np.empty(len(start), dtype=np.uint64)
     i = 0
     with np.errstate(over="ignore"):
@@ -158,3 +173,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             j = min(max(j, i + 1), batch.num_rows)
             yield batch.slice(i, j - i)
             i = j
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system at the end of a task: Python workers
+    live on for later stages, and an executor's memory is counted as a whole."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
