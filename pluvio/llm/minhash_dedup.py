@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.llm.components import connected_components, spanning
-from pluvio.llm.words import Words, batch_words, mix64, sequence_hash, slices, window_hashes
+from pluvio.llm.words import (Words, batch_words, mix64, release_memory, sequence_hash, slices,
+                              window_hashes)
 from pluvio.session import persist_table
 
 BANDS, ROWS = 28, 5
@@ -110,6 +111,7 @@ def features(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.ravel())),
                  pa.array([low[i].tobytes() for i in range(n)], pa.binary())],
                 names=["doc_id", "text_key", "n_shingles", "fp", "bands", "sig"])
+        release_memory()
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
     return persist_table(d.mapInArrow(
@@ -150,7 +152,9 @@ def loose_groups(classes: DataFrame, least: float = LOOSE) -> DataFrame:
 def class_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
     """Full sets of the member classes (``cid, fp, rep`` and others), read again
     from the text of the representative document."""
-    d = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members, "rep")
+    d = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    d = d.join(_slots(members.select(F.col("rep").alias("id"))), _slot(F.col("rep")) == F.col("_slot"), "left_semi")
+    d = d.join(members, "rep")
     keep = [c for c in members.columns if c not in ("rep", "fp")]
     schema = ", ".join(f"{c} {members.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -163,6 +167,7 @@ def class_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
                 [b.column(c).filter(ok) for c in keep]
                 + [pa.array([s.tobytes() for s, k in zip(sets, same) if k], pa.binary())],
                 names=[*keep, "items"])
+        release_memory()
 
     # repeated rows of a representative give its class more than once: same set
     return d.mapInArrow(run, schema + ", items binary")
@@ -225,6 +230,8 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
                 held[cid] = (label, asks, np.frombuffer(items, dtype=np.uint64))
         if found := links():
             yield out(found)
+        held = {}
+        release_memory()
 
     return (rows.repartition("grp", "pair").sortWithinPartitions("grp", "pair")
             .mapInArrow(run, "a long, b long"))
@@ -253,19 +260,37 @@ def first_of_groups(docs: DataFrame, shingle: int = 4, percent: int = 80,
     """The rows of ``docs``, all columns unchanged, that :func:`minhash_groups`
     keeps. Of repeated rows (same id and text) one stays; rows without
     ``doc_id`` all stay."""
-    g = _groups(docs, shingle, percent, bands, rows, BLOCK_DOCS)
-    kept = g.where("doc_id is not null and kept").groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count("*").alias("_n"))
-    kept = persist_table(kept, "kept")
-    with_id = docs.where("doc_id is not null")
+    g = _groups(docs, shingle, percent, bands, rows, BLOCK_DOCS).where("doc_id is not null")
+    marks = persist_table(
+        g.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept")
+        .agg(F.count("*").alias("_n")).where("not kept or _n > 1"), "marks")
     mine = (F.col("doc_id").cast("long") == F.col("_id")) & (_text_key() == F.col("_key"))
-    stay = with_id.join(kept.where("_n = 1"), mine, "left_semi")
-    repeated = kept.where("_n > 1")
+    slots = _slots(marks.select(F.col("_id").alias("id")))
+    # most rows are in no slot of a marked row and stay without a join
+    here = _slot(F.col("doc_id").cast("long")) == F.col("_slot")
+    stay = docs.join(slots, here, "left_anti")
+    maybe = docs.join(slots, here, "left_semi")
+    stay = stay.union(maybe.join(marks, mine, "left_anti"))
+    repeated = marks.where("kept")
     if not repeated.isEmpty():
-        again = with_id.withColumn("_key", _text_key()).join(
+        again = maybe.withColumn("_key", _text_key()).join(
             repeated.select(F.col("_id").alias("doc_id"), "_key"), ["doc_id", "_key"])
         stay = stay.unionByName(again.dropDuplicates(["doc_id", "_key"]).drop("_key"))
-    return stay.union(docs.where("doc_id is null"))
+    return stay
+
+
+SLOTS = 1 << 20
+
+
+def _slot(doc_id):
+    return F.pmod(F.xxhash64(doc_id), F.lit(SLOTS))
+
+
+def _slots(ids: DataFrame) -> DataFrame:
+    """Hash slots of the ids, for a broadcast: at most ``SLOTS`` numbers, however
+    many ids there are. Rows in none of them need not be shuffled to a join; if
+    nearly all slots are taken, the join is as large as without."""
+    return F.broadcast(ids.select(_slot(F.col("id")).alias("_slot")).distinct())
 
 
 def _groups(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int, block_docs: int) -> DataFrame:
@@ -279,10 +304,11 @@ def _groups(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int,
                 F.col("m.bands").alias("bands"), F.col("m.sig").alias("sig")), "classes")
     loose = persist_table(loose_groups(classes), "loose")
     sizes = loose.groupBy("component").agg(F.count("*").alias("size"))
-    members = (classes.select("cid", "fp", "rep").join(loose.withColumnRenamed("node", "cid"), "cid")
-               .join(sizes, "component")
-               .select("cid", "fp", "rep", F.col("component").alias("grp"),
-                       F.ceil(F.col("size") / F.lit(block_docs)).cast("int").alias("blocks")))
+    members = persist_table(
+        classes.select("cid", "fp", "rep").join(loose.withColumnRenamed("node", "cid"), "cid")
+        .join(sizes, "component")
+        .select("cid", "fp", "rep", F.col("component").alias("grp"),
+                F.ceil(F.col("size") / F.lit(block_docs)).cast("int").alias("blocks")), "members")
     sets = class_sets(docs, members, shingle).withColumn(
         "block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     # the first block meets every block
