@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.words import text_buffers
+from pluvio.llm.words import release_memory, text_buffers
 from pluvio.session import persist_table
 
 BLOCK_SCHEMA = "block long, n_docs long, n_words long, docs binary"
@@ -98,6 +98,8 @@ def document_blocks(docs: DataFrame, column: str = "text",
                 i = j
         if held:
             yield flush()
+        held = []
+        release_memory()
 
     return persist_table(docs.mapInArrow(build, BLOCK_SCHEMA), "blocks")
 

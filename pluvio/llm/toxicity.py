@@ -24,6 +24,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pluvio.llm.words import release_memory
 from pluvio.session import persist_table
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,15 +106,18 @@ def learn_lexicon(train: DataFrame, least_documents: int = 5, least_odds: float
                             e = entries(plain_word(w)[0])
                             if only is not None:
                                 e = [x for x in e if x in only]
-                            if len(plain) > 200_000:
+                            if len(plain) > 100_000:
                                 plain.clear()
                             plain[w] = e
                         own.update(e)
                     found.update(own)
-                    if len(found) > 500_000:
+                    if len(found) > 200_000:
                         yield _counts(found)
                         found.clear()
             yield _counts(found)
+            found.clear()
+            plain.clear()
+            release_memory()
         return run
 
     def documents(rows: DataFrame, only: frozenset | None = None) -> DataFrame:
@@ -140,7 +144,7 @@ def _counts(found: Counter) -> pa.RecordBatch:
 class FeatureReader:
     """Dense features of a text for a given lexicon."""
 
-    MAX_WORDS = 300_000
+    MAX_WORDS = 120_000
 
     def __init__(self, lexicon: dict[str, float]):
         self._lexicon = lexicon
@@ -200,6 +204,8 @@ def text_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
             rows = [reader.read(t) for t in b.column(0).field("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))],
                                              names=["_row", "features"])
+        del reader
+        release_memory()
 
     return wrapped.mapInArrow(run, schema)
 
