@@ -118,14 +118,21 @@ class PieceEncoder:
     before. NFC never composes over white space or with ASCII punctuation.
     In both, a run of letters ends before ASCII punctuation. A piece of letters
     only is one pre-token; it goes to the file's merge model directly.
-    Special-token strings in a text are ordinary text.
+    With ``added_tokens`` the string of an added token in a text is that token, as
+    the library has it unless told otherwise: a text that holds one is encoded
+    whole. Without, such strings are ordinary text.
     """
 
-    def __init__(self, path: str, keep_space: bool):
+    def __init__(self, path: str, keep_space: bool, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
+        # pieces are never added tokens, not even one that becomes such a string by folding
         self._tok.encode_special_tokens = True
+        added = self._tok.get_added_tokens_decoder().values()
+        if any(t.normalized or not t.special for t in added):
+            raise ValueError("unknown kind of added token")
+        self._added = [t.content.encode() for t in added] if added_tokens else []
         self._model = self._tok.model
         self._letters = _byte_letters()
         self._keep_space = keep_space
@@ -138,6 +145,28 @@ class PieceEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _whole_text(self, text: str) -> bytes:
+        if not self._added:
+            return self._whole(text)
+        self._tok.encode_special_tokens = False
+        try:
+            return self._whole(text)
+        finally:
+            self._tok.encode_special_tokens = True
+
+    def _with_added(self, data: np.ndarray, off: np.ndarray) -> set[int]:
+        """Numbers of the texts that hold the string of an added token."""
+        raw, out = data.tobytes(), set()
+        for string in self._added:
+            at = raw.find(string)
+            while at >= 0:
+                i = int(np.searchsorted(off, at, "right")) - 1
+                inside = at + len(string) <= off[i + 1]  # not over the border of two texts
+                if inside:
+                    out.add(i)
+                at = raw.find(string, int(off[i + 1]) if inside else at + 1)
+        return out
+
     def _piece(self, part: bytes) -> bytes:
         piece = part.decode()
         if not _PLAIN.match(piece):
@@ -159,11 +188,13 @@ class PieceEncoder:
             marks = np.concatenate([[0], np.cumsum(marked)])
             odd = [i for i in np.flatnonzero(marks[off[1:]] > marks[off[:-1]]).tolist()
                    if _ODD.search(data[off[i]:off[i + 1]].tobytes().decode())]
+        if self._added:
+            odd = sorted(self._with_added(data, off).union(odd))
         ids, ends = self._encode(data if self._keep_space else fold_ascii(data), off)
         if odd:
             texts = np.split(ids, ends[1:-1])
             for i in odd:
-                texts[i] = np.frombuffer(self._whole(data[off[i]:off[i + 1]].tobytes().decode()), "<u4")
+                texts[i] = np.frombuffer(self._whole_text(data[off[i]:off[i + 1]].tobytes().decode()), "<u4")
             ids = np.concatenate(texts)
             ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         return ids, ends
@@ -186,8 +217,9 @@ _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
 
 def encoder(path: str, keep_space: bool) -> PieceEncoder:
-    """The worker's encoder of a file; loaded once per Python worker."""
+    """The worker's encoder of a file, with the file's added tokens; loaded once
+    per Python worker."""
     key = (path, keep_space)
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(path, keep_space)
+        _encoders[key] = PieceEncoder(path, keep_space, added_tokens=True)
     return _encoders[key]

@@ -12,7 +12,7 @@ from conftest_llm import edge_texts
 from tokenizers import Tokenizer
 
 from pluvio.llm import packing, sentencepiece_codec, token_files
-from pluvio.llm.tokenizing import PieceEncoder
+from pluvio.llm.tokenizing import PieceEncoder, encoder
 
 FILES = {"byte_bpe_50k.json": True, "word_bpe_49k.json": False}
 
@@ -38,6 +38,26 @@ def test_piecewise_ids_equal_whole_text_ids(name):
         assert [t.tolist() for t in np.split(ids, ends[1:-1])] == [want(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_ids_equal_the_file_as_loaded(spark, name, tmp_path):
+    """The library is not changed here: the string of an added token is that token."""
+    lib = Tokenizer.from_file(public_tokenizers.path(name))
+    want = lambda text: lib.encode(text or "", add_special_tokens=False).ids
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|>b \n", "<|startoftext|> x",
+             "<|ENDOFTEXT|> y", "<|endof", "text|> z", None, "\xa0<|endoftext|>\x1c", "plain words"]
+    rnd = random.Random(6)
+    texts += ["".join(rnd.choice(["<|endoftext|>", "<|startoftext|>", "<|Endoftext|>", "<|", "|>", " ", "\n", "a", "é", "'s"])
+                      for _ in range(rnd.randrange(12))) for _ in range(500)]
+    ids, ends = encoder(public_tokenizers.path(name), FILES[name]).encode_column(pa.array(texts, pa.string()))
+    assert [t.tolist() for t in np.split(ids, ends[1:-1])] == [want(t) for t in texts]
+    if FILES[name]:
+        path = f"{tmp_path}/ids"
+        docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        token_files.write_tokens(docs, path, public_tokenizers.path(name), True, 0, files=3)
+        assert {r["doc_id"]: r["ids"] for r in token_files.read_tokens(spark, path).collect()} == {
+            i: want(t) + [0] for i, t in enumerate(texts)}
+
+
 def test_files_round_trip(spark, edge_docs, tmp_path):
     path = f"{tmp_path}/ids"
     token_files.write_tokens(edge_docs, path, public_tokenizers.path("byte_bpe_50k.json"), True, 0, files=4)
