@@ -237,6 +237,41 @@ def test_vectors_against_brute_force(spark, block):
     assert all(r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.8, 0.9])
+def test_pairs_in_a_topical_cluster(spark, spread):
+    """All vectors of a label at a pairwise cosine of about ``spread``: most signs
+    agree for all of them. Many partitions, so many borders in the order."""
+    rnd = np.random.default_rng(int(100 * spread))
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(spread**0.5 * unit(rnd.standard_normal(64)) + (1 - spread)**0.5 * unit(rnd.standard_normal((3000, 64))))
+    side = rnd.standard_normal((400, 64))
+    side = unit(side - (side * x[:400]).sum(axis=1, keepdims=True) * x[:400])
+    x = np.concatenate([x, 0.981 * x[:400] + (1 - 0.981**2)**0.5 * side]).astype(np.float32)
+    d = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    try:
+        got = embedding_dedup.vector_links(d, block_vectors=128).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    near = unit(x.astype(np.float64)) @ unit(x.astype(np.float64)).T >= 0.98
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate((near.sum(axis=1) - 1).tolist()))
+
+
+def test_bits_that_a_window_needs():
+    """Against a direct count: all rows that share the needed bits are in the window."""
+    rnd = np.random.default_rng(5)
+    key = np.sort(rnd.integers(0, 2**12, 300) << 50)
+    for starts, ends in ((True, True), (False, False)):
+        bits = embedding_dedup._needed_bits(key, 0, 4, starts, ends)
+        for i, b in enumerate(bits.tolist()):
+            same = lambda b: np.flatnonzero(key >> (62 - b) == key[i] >> (62 - b))  # noqa: E731, B023
+            if b <= 62:
+                assert np.abs(same(b) - i).max() <= 4 and (starts or (0 not in same(b) and 299 not in same(b)) or b == 0)
+            if starts and b > 0:
+                assert np.abs(same(b - 1) - i).max() > 4
+
+
 def test_no_vectors(spark):
     d = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.vector_links(d).count() == 0
