@@ -24,6 +24,3 @@ def spark():
     checkpoint_dir(s)
     yield s
     drop_tables(s)
-
-
-SF_SMALL = "/root/testdata/sf0.001"

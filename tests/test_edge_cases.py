@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from pluvio.functions import scalars as S
 from pluvio.operators import compare, labels, quality, reports, series, spatial, stats
 from pluvio.plans.catalog import QUERIES

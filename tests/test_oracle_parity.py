@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from pluvio.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]

@@ -1,7 +1,7 @@
 """Plan shape: pushdown, pruning and join strategy of registered queries."""
 import __spark_entry__ as E
 from pluvio.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def _plan(spark, name):
