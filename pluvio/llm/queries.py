@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import (embedding_dedup, exact_dedup, license_scan, lm_scoring, minhash_dedup, packing,
-                        prefix_trie, quality_rules, sentencepiece_codec, substring_dedup, token_files, toxicity)
+from pluvio.llm import (collocations, embedding_dedup, exact_dedup, license_scan, lm_scoring, minhash_dedup,
+                        packing, prefix_trie, quality_rules, sentencepiece_codec, substring_dedup, token_files, toxicity)
 from pluvio.llm.shipping import shipped
 
 
@@ -62,6 +62,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=1, keep_ids=False)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -82,12 +86,14 @@ QUERIES = {name: shipped(query) for name, query in {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_prefix_trie": op13_prefix_trie,
 }.items()}
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
+    "op11_collocations": collocations.oracle_sql(),
     "op12_exact_dedup": exact_dedup.oracle_sql(),
     "op13_prefix_trie": prefix_trie.oracle_sql(),
 }
