@@ -1,12 +1,17 @@
 """Phrase collocations by vertically partitioned, depth-truncated suffix subtrees.
 
 Texts become blocks of word numbers once. Every word position starts a suffix, cut at
-the end of its piece, at a word too rare for any candidate, and after four words. The
-suffixes are partitioned by their first words: a prefix with more suffixes than the
-memory budget is extended by a word (up to four), prefixes are then taken in key order
-into groups that hold about one budget, and each group's subtree is built on its own.
-A subtree is its sorted leaves, the distinct suffixes with their occurrences; the count
-of any phrase is the sum of the leaf totals below it.
+the end of its piece and after four words. The suffixes are partitioned by their first
+words: prefixes are taken in key order into groups that hold about one memory budget,
+and a prefix beyond the budget is extended to its whole suffixes, which are dealt over
+groups of their own. Each group's subtree is built independently: it is the group's
+sorted leaves, the distinct suffixes with their occurrences, and the count of a phrase
+is the sum of the leaf totals below it.
+
+The depth grows elastically: subtrees of depth two come first, and only suffixes that
+go on through frequent pairs are read again to depth four. Which words and pairs are
+frequent reaches the tasks as a bit table of bounded size; a pair that it lets through
+in error costs a suffix more and changes no count.
 
 Words are told apart by 64-bit hashes of language and word.
 """
@@ -17,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +41,7 @@ _BREAK[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, size=DEPTH, dtype=np.uint64) | np.uint64(1)
 
-ENCODED = "block long, lang string, n long, keys binary, counts binary, words binary, ids binary"
+ENCODED = "lang string, n long, keys binary, counts binary, words binary, ids binary"
 
 
 def _pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,7 +77,7 @@ class _Block:
             if k not in self.texts:
                 self.texts[k] = raw[s:e]
 
-    def row(self, block: int, lang: str) -> tuple:
+    def row(self, lang: str) -> tuple:
         salt = hash_ranges(np.frombuffer(lang.encode() or b"\x00", np.uint8), np.array([0]),
                            np.array([max(1, len(lang.encode()))]))[0]
         hashes, begins = np.concatenate(self.hashes), np.concatenate(self.begins)
@@ -85,7 +89,7 @@ class _Block:
         ids = np.zeros(len(hashes) + int(begins.sum()), np.uint32)
         ids[np.arange(len(hashes)) + np.cumsum(begins)] = inverse.astype(np.uint32) + 1
         words = pa.array(words, pa.binary())
-        return (block, lang, len(hashes), pack_array(keys), pack_array(counts.astype(np.uint32)),
+        return (lang, len(hashes), pack_array(keys), pack_array(counts.astype(np.uint32)),
                 _ipc(words), pack_array(ids))
 
 
@@ -104,17 +108,14 @@ def _words_of(blob: bytes) -> pa.Array:
 
 def encoded_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Blocks of word numbers, one language each, written to the shared folder."""
-    names = ["block", "lang", "n", "keys", "counts", "words", "ids"]
-    types = [pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * 4
+    names = ["lang", "n", "keys", "counts", "words", "ids"]
+    types = [pa.string(), pa.int64()] + [pa.binary()] * 4
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
         held: dict[str, _Block] = {}
 
         def flush(lang):
-            nonlocal number
-            row = held.pop(lang).row(number, lang)
-            number += 1
+            row = held.pop(lang).row(lang)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for b in slices(batches):
@@ -140,192 +141,165 @@ def encoded_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
 
 
 def _local_words(blocks: DataFrame) -> DataFrame:
-    """``(block, lang, key, word, n)``: the distinct words of each block."""
+    """``(lang, key, word, n)``: the distinct words of each block."""
 
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
                 keys = unpack_array(row["keys"]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), row["block"])), pa.array([row["lang"]] * len(keys), pa.string()),
+                    [pa.array([row["lang"]] * len(keys), pa.string()),
                      pa.array(keys), _words_of(row["words"]).cast(pa.string()),
                      pa.array(unpack_array(row["counts"]).astype(np.int64))],
-                    names=["block", "lang", "key", "word", "n"])
+                    names=["lang", "key", "word", "n"])
 
-    return blocks.select("block", "lang", "keys", "counts", "words").mapInArrow(
-        run, "block long, lang string, key long, word string, n long")
+    return blocks.select("lang", "keys", "counts", "words").mapInArrow(
+        run, "lang string, key long, word string, n long")
 
 
-class Suffixes:
-    """Distinct truncated suffixes of a block: word keys by depth (0: none), sorted,
-    and their occurrences."""
+class BitTable:
+    """A set of 64-bit keys by their first bits: no member is missed, others may pass.
+    At most 2^MAX_BITS bits, whatever the number of keys."""
 
-    def __init__(self, ids: np.ndarray, frequent: np.ndarray):
-        """``frequent``: per word number (0 is the break) whether it may be in a candidate."""
-        live = np.where(frequent[ids], ids, 0)
-        live = np.concatenate([live, np.zeros(DEPTH, live.dtype)])
-        n = len(ids)
-        at = np.flatnonzero((live[:n] > 0) & (live[1:n + 1] > 0))
-        columns = [live[at].astype(np.uint64)]
-        open_ = np.ones(len(at), bool)
-        for d in range(1, DEPTH):
-            nxt = live[at + d].astype(np.uint64)
-            open_ &= nxt > 0
-            columns.append(np.where(open_, nxt, np.uint64(0)))
-        high = columns[0] << np.uint64(32) | columns[1]
-        low = columns[2] << np.uint64(32) | columns[3]
-        order = np.lexsort((low, high))
-        high, low = high[order], low[order]
-        new = np.ones(len(high), bool)
-        new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-        cut = np.flatnonzero(new)
-        self.count = np.diff(np.append(cut, len(high))).astype(np.int64)
-        mask = np.uint64(0xFFFFFFFF)
-        self.ids = [(x[cut] >> np.uint64(s) & mask).astype(np.int64) for x, s in ((high, 32), (high, 0), (low, 32), (low, 0))]
+    MAX_BITS = 27
+
+    def __init__(self, octets: np.ndarray, bits: int):
+        self._octets, self._shift = octets, np.uint64(64 - bits)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys >> self._shift
+        return self._octets[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 > 0
+
+    @classmethod
+    def of(cls, keys: DataFrame, column: str) -> "BitTable":
+        """At most 2^MAX_BITS / 32768 rows of 4 KB reach the driver."""
+        bits = min(cls.MAX_BITS, max(16, (16 * keys.count()).bit_length()))
+        slot = F.shiftrightunsigned(column, 64 - bits) + 1
+        rows = keys.groupBy(F.bitmap_bucket_number(slot).alias("at")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+        octets = np.zeros(1 << (bits - 3), np.uint8)
+        for r in rows:
+            octets[(r["at"] - 1) * 4096:r["at"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+        return cls(octets, bits)
 
 
 def prefix_key(columns: list[np.ndarray]) -> np.ndarray:
-    """64-bit key of a prefix of word keys."""
+    """64-bit key of a prefix of word keys; that of one word is its own key."""
+    out = columns[0]
     with np.errstate(over="ignore"):
-        out = np.zeros(len(columns[0]), np.uint64)
-        for d, c in enumerate(columns):
-            out = mix64(out * _STEP + c * _SEEDS[d] + np.uint64(d + 1))
+        for d, c in enumerate(columns[1:], start=1):
+            out = mix64(out * _STEP + c * _SEEDS[d])
     return out
 
 
-def _lookup(keys: np.ndarray, known: np.ndarray, value: np.ndarray, default: int) -> np.ndarray:
-    """Value of each key among ``known`` (any order), else ``default``."""
-    if not len(known):
-        return np.full(len(keys), default, np.int64)
-    order = np.argsort(known)
-    at = np.minimum(np.searchsorted(known, keys, sorter=order), len(known) - 1)
-    hit = known[order[at]] == keys
-    return np.where(hit, value[order[at]], default)
-
+class Suffixes:
+    """Distinct truncated suffixes of a block: word numbers by depth (0: none), sorted,
+    and their occurrences."""
 
-def _grouped(prefixes: DataFrame, budget: int) -> DataFrame:
-    """``(key, held)`` with the number of its group: prefixes in key order, a new group
-    each time about a budget of suffixes has been taken."""
-    sums = sums_before(prefixes, [], ["key"], {"before": "held"})
-    return sums.select("key", F.expr(f"cast(before div {budget} as long)").alias("group"))
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, words: BitTable, pairs: BitTable | None):
+        """``ids``: word numbers, 0 at breaks; ``keys``: word keys by number. Without
+        ``pairs`` suffixes have two words, else three or four joined by frequent pairs."""
+        known = words.has(keys)
+        known[0] = False
+        live = np.concatenate([np.where(known[ids], ids, np.uint32(0)), np.zeros(DEPTH, np.uint32)])
+        link = (live[:-1] > 0) & (live[1:] > 0)
+        if pairs is not None:
+            at = np.flatnonzero(link)
+            link[at] = pairs.has(prefix_key([keys[live[at]], keys[live[at + 1]]]))
+        n = len(ids)
+        if pairs is None:
+            at = np.flatnonzero(link[:n])
+            high = live[at].astype(np.uint64) << np.uint64(32) | live[at + 1]
+            high, self.count = np.unique(high, return_counts=True)
+            low = np.zeros(len(high), np.uint64)
+        else:
+            at = np.flatnonzero(link[:n] & link[1:n + 1])
+            high = live[at].astype(np.uint64) << np.uint64(32) | live[at + 1]
+            low = live[at + 2].astype(np.uint64) << np.uint64(32) | np.where(link[at + 2], live[at + 3], 0)
+            order = np.lexsort((low, high))
+            high, low = high[order], low[order]
+            new = np.ones(len(high), bool)
+            new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            cut = np.flatnonzero(new)
+            self.count = np.diff(np.append(cut, len(high)))
+            high, low = high[cut], low[cut]
+        self.ids = [(x >> np.uint64(s)).astype(np.uint32) for x, s in ((high, 32), (high, 0), (low, 32), (low, 0))]
+
+
+class Partition:
+    """Groups of prefixes: ``cuts`` are the first keys of the groups of prefixes that fit
+    the budget, in key order; suffixes of the ``over`` prefixes go by their whole key to
+    ``extra`` groups."""
+
+    def __init__(self, depth: int, whole: int, cuts: np.ndarray, over: np.ndarray, extra: int):
+        self.depth, self.whole, self.cuts, self.over, self.extra = depth, whole, cuts, over, extra
+        self.n_groups = len(cuts) + extra
+
+    def groups(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Group of each suffix, and the depth of its prefix."""
+        key = prefix_key(columns[:self.depth])
+        group = np.maximum(np.searchsorted(self.cuts, key, side="right") - 1, 0)
+        wide = np.isin(key, self.over)
+        if wide.any():
+            whole = mix64(prefix_key([c[wide] for c in columns]))
+            group[wide] = len(self.cuts) + (whole % np.uint64(self.extra)).astype(np.int64)
+        return group, np.where(wide, self.whole, self.depth).astype(np.uint8)
+
+
+#: Most groups a partition makes before its budget grows.
+MAX_GROUPS = 1 << 18
+
+
+def vertical_partition(prefixes: DataFrame, depth: int, whole: int, budget: int) -> Partition:
+    """Partition of the suffixes of up to ``whole`` words that begin with ``prefixes (key, held)``, ``held`` being
+    the suffixes of each. What reaches the driver is one row per group and one per
+    prefix beyond the budget, at most 2 * MAX_GROUPS in all."""
+    total = prefixes.agg(F.sum("held")).first()[0] or 0
+    budget = max(budget, total // MAX_GROUPS + 1)
+    over = prefixes.where(F.col("held") > budget).collect()
+    # keys are unsigned where they are searched
+    order = F.col("key").bitwiseXOR(F.lit(-(1 << 63)))
+    fits = prefixes.where(F.col("held") <= budget).select(order.alias("key"), "held")
+    sums = sums_before(fits, [], ["key"], {"before": "held"})
+    firsts = sums.groupBy(F.expr(f"before div {budget}")).agg(F.min("key").alias("key")).collect()
+    cuts = np.array(sorted(r["key"] + (1 << 63) for r in firsts) or [0], np.uint64)
+    return Partition(depth, whole, cuts, np.array([r["key"] for r in over], np.int64).view(np.uint64),
+                     -(-sum(r["held"] for r in over) // budget))
 
 
-SUFFIXES = ", ".join(f"{c} binary" for c in ("word_keys", "count", "s1", "s2", "s3", "s4"))
+def _messages(rows: list[tuple]) -> pa.RecordBatch:
+    group, payload = zip(*rows) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.array(payload, pa.binary())],
+                                      names=["group", "payload"])
 
 
-def block_suffixes(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """``(block, word_keys, count, s1..s4)``: each block's distinct truncated suffixes as
-    packed word numbers, with the keys by number. ``words`` are the frequent ones."""
-    frequent = (_local_words(blocks).select("block", "key").join(words.select("key"), "key")
-                .groupBy("block").agg(F.collect_list("key").alias("frequent")))
+def dealt(blocks: DataFrame, words: BitTable, pairs: BitTable | None, partition: Partition) -> DataFrame:
+    """``(group, payload)``: each block's suffixes, packed for the groups of their prefixes."""
 
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
                 keys = np.concatenate([[np.uint64(0)], unpack_array(row["keys"])])
-                known = np.isin(keys, np.array(row["frequent"], np.int64).view(np.uint64))
-                known[0] = False
-                s = Suffixes(unpack_array(row["ids"]).astype(np.int64), known)
-                packed = [pack_array(keys), pack_array(s.count.astype(np.uint32)),
-                          *[pack_array(i.astype(np.uint32)) for i in s.ids]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]]), *[pa.array([p], pa.binary()) for p in packed]],
-                    names=["block", "word_keys", "count", "s1", "s2", "s3", "s4"])
+                s = Suffixes(unpack_array(row["ids"]), keys, words, pairs)
+                group, split = partition.groups([keys[i] for i in s.ids])
+                order = np.argsort(group, kind="stable")
+                cut = np.flatnonzero(np.diff(group[order], prepend=-1))
+                out, size = [], 0
+                for lo, hi in zip(cut, np.append(cut[1:], len(order))):
+                    own = order[lo:hi]
+                    used, at = np.unique(np.concatenate([i[own] for i in s.ids]), return_inverse=True)
+                    parts = [keys[used], s.count[own].astype(np.uint32), split[own],
+                             *np.split(at.astype(np.uint32), DEPTH)]
+                    packed = [pack_array(p) for p in parts]
+                    out.append((int(group[own[0]]), np.array([len(p) for p in packed], np.int64).tobytes() + b"".join(packed)))
+                    size += len(out[-1][1])
+                    if size > 4 << 20:
+                        yield _messages(out)
+                        out, size = [], 0
+                yield _messages(out)
         release_memory()
 
-    return persist_table(blocks.select("block", "keys", "ids").join(frequent, "block").mapInArrow(
-        run, f"block long, {SUFFIXES}"), "block_suffixes")
-
-
-def _suffixes(row: dict) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Word keys by depth (0: none), occurrences, and word numbers by depth."""
-    keys = unpack_array(row["word_keys"])
-    ids = np.array([unpack_array(row[f"s{d + 1}"]) for d in range(DEPTH)])
-    return [keys[i] for i in ids], unpack_array(row["count"]).astype(np.int64), ids
-
-
-def vertical_partition(suffixes: DataFrame, budget: int) -> tuple[DataFrame, int]:
-    """Blocks of ``suffixes`` with the prefixes their suffixes begin with, of the least
-    depth that fits the budget, as ``prefix`` and ``group`` lists; and the number of
-    groups.
-
-    Rounds go over the prefixes beyond the budget only: each extends them by a word and
-    counts again, and ends at four words, where equal suffixes are one leaf per block."""
-
-    def extensions(depth: int, known: DataFrame | None) -> DataFrame:
-        """Blocks' counts of prefixes of ``depth`` words whose shorter prefix is open."""
-        only_open = known is not None
-
-        def run(batches):
-            for b in batches:
-                for row in b.to_pylist():
-                    columns, count, _ = _suffixes(row)
-                    if only_open:
-                        over = np.isin(prefix_key(columns[:depth - 1]), np.array(row["open"], np.int64).view(np.uint64))
-                        columns, count = [c[over] for c in columns], count[over]
-                    k, inverse = np.unique(prefix_key(columns[:depth]), return_inverse=True)
-                    held = np.bincount(inverse, weights=count, minlength=len(k)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(k), row["block"])), pa.array(k.view(np.int64)), pa.array(held)],
-                        names=["block", "key", "held"])
-
-        rows = suffixes if known is None else suffixes.join(
-            known.groupBy("block").agg(F.collect_list("key").alias("open")), "block")
-        return persist_table(rows.mapInArrow(run, "block long, key long, held long"), "prefixes")
-
-    prefixes, known = None, None
-    for depth in range(1, DEPTH + 1):
-        asked = extensions(depth, known)
-        total = asked.groupBy("key").agg(F.sum("held").alias("held"))
-        marked = persist_table(asked.select("block", "key").join(total, "key"), "prefixes")
-        fits = marked if depth == DEPTH else marked.where(F.col("held") <= budget)
-        prefixes = fits if prefixes is None else prefixes.unionByName(fits)
-        known = marked.where(F.col("held") > budget)
-        if known.isEmpty():
-            break
-    groups = persist_table(_grouped(prefixes.groupBy("key").agg(F.max("held").alias("held")), budget), "groups")
-    own = prefixes.select("block", "key").join(groups, "key").groupBy("block").agg(
-        F.collect_list("key").alias("prefix"), F.collect_list("group").alias("group"))
-    return suffixes.join(own, "block"), (groups.agg(F.max("group")).first()[0] or 0) + 1
-
-
-def _messages(rows: list[tuple]) -> pa.RecordBatch:
-    group, payload = zip(*rows) if rows else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.array(payload, pa.binary())],
-                                      names=["group", "payload"])
-
-
-def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block's suffixes, packed for the groups of their prefixes."""
-    for b in batches:
-        for row in b.to_pylist():
-            columns, count, ids = _suffixes(row)
-            keys = unpack_array(row["word_keys"])
-            prefix = np.array(row["prefix"], np.int64).view(np.uint64)
-            group = np.array(row["group"], np.int64)
-            to = np.full(len(count), -1, np.int64)
-            split = np.zeros(len(count), np.uint8)
-            for depth in range(1, DEPTH + 1):
-                left = np.flatnonzero(to < 0)
-                if not len(left):
-                    break
-                to[left] = _lookup(prefix_key([c[left] for c in columns[:depth]]), prefix, group, -1)
-                split[left] = depth
-            order = np.argsort(to, kind="stable")
-            cut = np.flatnonzero(np.diff(to[order], prepend=-2))
-            out = []
-            for lo, hi in zip(cut, np.append(cut[1:], len(order))):
-                own = order[lo:hi]
-                used, at = np.unique(ids[:, own].ravel(), return_inverse=True)
-                parts = [pack_array(keys[used]), pack_array(count[own].astype(np.uint32)), pack_array(split[own]),
-                         *[pack_array(x.astype(np.uint32)) for x in np.split(at, DEPTH)]]
-                head = np.array([len(p) for p in parts], np.int64).tobytes()
-                out.append((int(to[own[0]]), head + b"".join(parts)))
-                if sum(len(p) for _, p in out) > 8 << 20:
-                    yield _messages(out)
-                    out = []
-            yield _messages(out)
-    release_memory()
+    return blocks.select("keys", "ids").mapInArrow(run, "group long, payload binary")
 
 
 def _read_message(blob: bytes) -> list[np.ndarray]:
@@ -334,29 +308,32 @@ def _read_message(blob: bytes) -> list[np.ndarray]:
     return [unpack_array(blob[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist())]
 
 
-def subtree(messages: list[bytes], least: int) -> list[np.ndarray]:
-    """Nodes of depth 2 and more: word keys by depth (0: none) and the sum of the leaf
-    totals below. Nodes at or below their prefix are whole and given from ``least``
+def subtree(messages: list[bytes], least: int, depths: range) -> list[np.ndarray]:
+    """Nodes of ``depths``: word keys by depth (0: none) and the sum of the leaf totals
+    below. Nodes at or below their prefix are whole and given from ``least``
     occurrences; those above it have leaves in other groups too, and are all given."""
     parts = [_read_message(m) for m in messages]
     keys = np.unique(np.concatenate([p[0] for p in parts]))
     ids = [np.concatenate([np.searchsorted(keys, p[0])[p[3 + d]] for p in parts]).astype(np.uint64) for d in range(DEPTH)]
     count, split = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (1, 2))
     high, low = ids[0] << np.uint64(32) | ids[1], ids[2] << np.uint64(32) | ids[3]
-    order = np.lexsort((low, high))
+    del ids
+    order = np.lexsort((low, high)) if len(depths) > 1 else np.argsort(high, kind="stable")
     high, low, count, split = high[order], low[order], count[order], split[order]
-    word = [keys[i.astype(np.int64)][order] for i in ids]
     found = [[] for _ in range(DEPTH + 1)]
-    for depth, b in ((2, None), (3, low >> np.uint64(32)), (4, low)):
+    for depth in depths:
+        below = low >> np.uint64(32) if depth == 3 else low
         new = np.ones(len(high), bool)
         new[1:] = high[1:] != high[:-1]
-        if b is not None:
-            new[1:] |= b[1:] != b[:-1]
+        if depth > 2:
+            new[1:] |= below[1:] != below[:-1]
         cut = np.flatnonzero(new)
         total = np.add.reduceat(count, cut) if len(cut) else np.zeros(0, np.int64)
-        keep = (word[depth - 1][cut] != 0) & ((total >= least) | (split[cut] > depth))
+        word = [keys[(x[cut] >> np.uint64(s) & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+                for x, s in ((high, 32), (high, 0), (low, 32), (low, 0))]
+        keep = (word[depth - 1] != 0) & ((total >= least) | (split[cut] > depth))
         for d in range(DEPTH):
-            found[d].append(word[d][cut][keep] * np.uint64(d < depth))
+            found[d].append(word[d][keep] * np.uint64(d < depth))
         found[DEPTH].append(total[keep].view(np.uint64))
     return [np.concatenate(f) for f in found]
 
@@ -364,35 +341,49 @@ def subtree(messages: list[bytes], least: int) -> list[np.ndarray]:
 WORDS = ("w1", "w2", "w3", "w4")
 
 
-def phrase_counts(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> DataFrame:
-    """``(w1..w4, a)``: phrases of 2 to 4 words with at least ``least`` occurrences."""
-    parts, n_groups = vertical_partition(block_suffixes(blocks, words), budget)
-    dealt = parts.mapInArrow(_dealt, "group long, payload binary")
-    tasks = int(min(n_groups, 4 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def _grown(messages: DataFrame, partition: Partition, least: int, depths: range) -> DataFrame:
+    """``(w1..w4, key, a)``, ``key`` being that of the first two words: the nodes of all groups' subtrees with ``least`` occurrences. A
+    task holds one group at a time."""
+    parallel = 4 * int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(partition.n_groups, parallel))
 
     def run(batches):
         held, at = [], None
 
-        def grown():
-            return pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)) for f in subtree(held, least)],
-                                              names=[*WORDS, "a"])
+        def nodes():
+            *words, a = subtree(held, least, depths)
+            return pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)) for f in (*words, prefix_key(words[:2]), a)],
+                                              names=[*WORDS, "key", "a"])
 
         for b in batches:
             for group, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if group != at and held:
-                    yield grown()
+                    yield nodes()
                     held = []
                 at = group
                 held.append(payload)
         if held:
-            yield grown()
+            yield nodes()
         held = []
         release_memory()
 
     owner = F.expr(f"cast(`group` % {tasks} as int)")
-    rows = dealt.withColumn("owner", owner).repartitionById(tasks, "owner").sortWithinPartitions("group")
-    nodes = rows.select("group", "payload").mapInArrow(run, ", ".join(f"{c} long" for c in (*WORDS, "a")))
-    return persist_table(nodes.groupBy(*WORDS).agg(F.sum("a").alias("a")).where(F.col("a") >= least), "phrases")
+    rows = messages.withColumn("owner", owner).repartitionById(tasks, "owner").sortWithinPartitions("group")
+    found = rows.select("group", "payload").mapInArrow(run, ", ".join(f"{c} long" for c in (*WORDS, "key", "a")))
+    if partition.extra:  # nodes above an extended prefix come from several groups
+        found = found.groupBy(*WORDS, "key").agg(F.sum("a").alias("a"))
+    return persist_table(found.where(F.col("a") >= least), "phrases")
+
+
+def phrase_counts(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> DataFrame:
+    """``(w1..w4, a)``: phrases of 2 to 4 words with at least ``least`` occurrences."""
+    known = BitTable.of(words, "key")
+    by_word = vertical_partition(words.select("key", F.col("f").alias("held")), 1, 2, budget)
+    two = _grown(dealt(blocks, known, None, by_word), by_word, least, range(2, 3))
+    pairs = BitTable.of(two, "key")
+    by_pair = vertical_partition(two.select("key", F.col("a").alias("held")), 2, DEPTH, budget)
+    more = _grown(dealt(blocks, known, pairs, by_pair), by_pair, least, range(3, DEPTH + 1))
+    return two.unionByName(more).drop("key")
 
 
 def _exact(c: Column) -> Column:
