@@ -6,23 +6,26 @@ ring ``array<struct<x double, y double>>`` or as several (parts and holes alike:
 ``array<array<struct>>``, even-odd over all edges), first vertex not repeated;
 rasters as cell tables ``(tile, row, col, value)``.
 
-Joins never pair every point with every polygon: polygons are expanded to
-the grid cells (side ``cell``) their bounding box covers, points get their
-cell, and candidates come from an equi-join on the cell, then a bounding-box
-filter. The exact tests (ray-casting parity, border test, point-segment
-distance) run as built-in higher-order functions over a per-polygon edge
-array, written as SQL expression text (one parse each, no Python UDF).
+Polygons are cut up once on a grid (``clipped_cells``). A cell that edges cross keeps
+just those edges and whether one seed point of it lies inside; a scanline over the
+seeds' row says so for every cell, and which cells between are wholly inside. So each
+edge goes to the few cells that it crosses, whatever the ring's length, and a point is
+decided by its own cell: the seed's flag, turned over by each edge between seed and
+point. Rasters take the same cells as runs of columns per row, and distances come from
+the cells within reach that no nearer cell rules out. The tests are built-in
+higher-order functions written as SQL expression text (one parse each, no Python UDF).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.operators.stats import percentiles_from_hist
-
+from pluvio.session import persist_table
 
 #: Kilometres per degree of latitude (and of longitude on the equator).
 KM_PER_DEGREE = 111.195
@@ -35,57 +38,83 @@ def _one_list(polys: DataFrame, ring: str) -> DataFrame:
     return polys.withColumn(ring, F.array(ring))
 
 
-def _edges(rings: str) -> Column:
-    """Rings -> one array of edges (x1, y1, x2, y2), each ring closed."""
-    return F.expr(f"flatten(transform({_sql(rings)}, r -> "
-                  "zip_with(r, concat(slice(r, 2, size(r)), slice(r, 1, 1)), "
-                  "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))))")
-
-
-def _sql(c) -> str:
-    """SQL text of a column reference or expression given as text / name."""
-    if isinstance(c, str):
-        return c
-    raise TypeError("spatial helpers take column names or SQL expression text")
+def _edge_rows(polys: DataFrame, gid: str, ring: str) -> DataFrame:
+    """One row per edge: (gid, x1, y1, x2, y2), each ring closed."""
+    rings = _one_list(polys, ring).select(gid, F.explode(ring).alias("__r"))
+    edge = F.expr("explode(zip_with(__r, concat(slice(__r, 2, size(__r)), slice(__r, 1, 1)), "
+                  "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y)))")
+    return rings.select(gid, edge.alias("e"))
 
 
-# The ring tests are written as Spark SQL expression text: one parse per
-# expression instead of one driver round trip per lambda node.
+#: Where a cell's seed point lies, as shares of its sides. Odd shares,
+#: so that no edge between ordinary coordinates runs through a seed.
+SEED_X, SEED_Y = 0.41421356237309503, 0.7320508075688772
+#: Cells an edge only just misses are taken as well; an edge too many does no harm.
+SLACK = 1e-9
 
-def _cross_sql(px: str, py: str) -> str:
-    """PNPOLY edge test for edge ``e``; the inner CASE keeps the division
-    away from horizontal edges."""
-    return (f"CASE WHEN (e.y1 > {py}) <> (e.y2 > {py}) THEN "
-            f"CASE WHEN {px} < (e.x2 - e.x1) * ({py} - e.y1) / (e.y2 - e.y1) + e.x1 THEN 1 ELSE 0 END "
-            f"ELSE 0 END")
 
-
-def _onseg_sql(px: str, py: str) -> str:
+def _on_edge_sql(px: str, py: str) -> str:
     return (f"((e.x2 - e.x1) * ({py} - e.y1) - (e.y2 - e.y1) * ({px} - e.x1) = 0 "
             f"AND {px} >= least(e.x1, e.x2) AND {px} <= greatest(e.x1, e.x2) "
             f"AND {py} >= least(e.y1, e.y2) AND {py} <= greatest(e.y1, e.y2))")
 
 
-def ring_test_sql(edges: str, px: str, py: str) -> str:
-    """One pass over the edges: struct(n = crossings, on = on the border)."""
-    return (f"aggregate({edges}, named_struct('n', 0, 'on', false), (acc, e) -> named_struct("
-            f"'n', acc.n + {_cross_sql(px, py)}, 'on', acc.on OR {_onseg_sql(px, py)}))")
-
-
-def contains_sql(edges: str, px: str, py: str, boundary: bool = False) -> str:
-    """Point-in-polygon as one ``aggregate`` whose finish step turns the
-    (crossings, on-border) accumulator into the answer."""
-    fin = "acc.n % 2 = 1 OR acc.on" if boundary else "acc.n % 2 = 1 AND NOT acc.on"
-    return (f"aggregate({edges}, named_struct('n', 0, 'on', false), (acc, e) -> named_struct("
-            f"'n', acc.n + {_cross_sql(px, py)}, 'on', acc.on OR {_onseg_sql(px, py)}), "
-            f"acc -> {fin})")
-
-
-def contains(edges: str, px: str, py: str, boundary: bool = False) -> Column:
-    """Point in polygon over an edge-array column. ``boundary=False``: strict
-    interior ("within"); ``True``: the border counts as inside. Arguments are
-    column names or SQL expression text."""
-    return F.expr(contains_sql(edges, px, py, boundary))
+def _between_sql(sx: str, sy: str, px: str, py: str) -> str:
+    """Edge ``e`` lies between the seed and the point: its ends are on two sides of the
+    line through them (an end on it counts to the right), and they are on two sides of
+    the edge's line."""
+    def side(x, y):
+        return f"(({px} - {sx}) * ({y} - {sy}) - ({py} - {sy}) * ({x} - {sx}) > 0)"
+
+    def edge_side(x, y):
+        return f"((e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) > 0)"
+    return (f"({side('e.x1', 'e.y1')} <> {side('e.x2', 'e.y2')} "
+            f"AND {edge_side(sx, sy)} <> {edge_side(px, py)})")
+
+
+def clipped_cells(polys: DataFrame, cell: float, gid: str = "poly_id", ring: str = "ring") -> DataFrame:
+    """Polygons on a grid of side ``cell``: (gid, cx, cy, cx_last, edges, inside, met).
+
+    A row with edges is one cell (``cx = cx_last``): the edges that cross it, whether
+    its seed point is inside, and whether an edge meets its closed box. A row without
+    edges is a run of cells wholly inside. Cells wholly outside have no row. Rows per
+    polygon follow the length of its border and its rows, not its area."""
+    e = _edge_rows(polys, gid, ring)
+    low, high = "least(e.y1, e.y2)", "greatest(e.y1, e.y2)"
+    rows = e.select(gid, "e", F.explode(F.expr(
+        f"sequence(cast(floor({low} / {cell} - {SLACK}) as int), cast(floor({high} / {cell} + {SLACK}) as int))")).alias("cy"))
+
+    def x_at(y: str) -> str:
+        return f"e.x1 + (e.x2 - e.x1) * (({y} - e.y1) / (e.y2 - e.y1))"
+
+    def clamp(y: str) -> str:
+        return f"least(greatest({y}, {low}), {high})"
+    bottom, top = (f"CASE WHEN e.y1 = e.y2 THEN e.x{i + 1} ELSE {x_at(clamp(f'(cy + {i}) * {cell}'))} END" for i in (0, 1))
+    line = f"((cy + {SEED_Y}D) * {cell})"
+    crossing = f"CASE WHEN (e.y1 > {line}) <> (e.y2 > {line}) THEN {x_at(line)} END"
+    rows = rows.select(gid, "e", "cy", F.expr(bottom).alias("xa"), F.expr(top).alias("xb"), F.expr(crossing).alias("xs"))
+    # the crossing lies between both ends, rounding aside: its column is always among the columns
+    cols = rows.withColumn("cx", F.explode(F.expr(
+        f"sequence(cast(floor(least(xa, xb, xs) / {cell} - {SLACK}) as int), "
+        f"cast(floor(greatest(xa, xb, xs) / {cell} + {SLACK}) as int))")))
+    here = F.expr(f"xs IS NOT NULL AND cast(floor(xs / {cell}) as int) = cx")
+    seed_x, seed_y = f"((cx + {SEED_X}D) * {cell})", line
+    met = F.expr(edge_box_sql(f"(cx * {cell})", f"(cy * {cell})", cell))
+    held = cols.groupBy(gid, "cy", "cx").agg(
+        F.collect_list("e").alias("edges"), F.bool_or(met).alias("met"),
+        F.count_if(here).alias("n"), F.count_if(here & F.expr(f"xs < {seed_x}")).alias("left"),
+        F.bool_or(F.expr(_on_edge_sql(seed_x, seed_y))).alias("on_seed"))
+    along = Window.partitionBy(gid, "cy").orderBy("cx")
+    line_up = held.select(
+        "*", (F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
+        F.lead("cx").over(along).alias("next"))
+    inside = F.when(F.col("on_seed"), F.raise_error(F.lit("an edge runs through a cell's seed: choose another cell size"))) \
+              .otherwise((F.col("before") + F.col("left")) % 2 == 1)
+    own = F.struct(F.col("cx"), F.col("cx").alias("cx_last"), "edges", inside.alias("inside"), "met")
+    run = F.when(((F.col("before") + F.col("n")) % 2 == 1) & (F.col("next") > F.col("cx") + 1), F.struct(
+        (F.col("cx") + 1).alias("cx"), (F.col("next") - 1).alias("cx_last"), F.slice("edges", 1, 0).alias("edges"),
+        F.lit(True).alias("inside"), F.lit(False).alias("met")))
+    return line_up.select(gid, "cy", F.explode(F.array_compact(F.array(own, run))).alias("c")).select(gid, "cy", "c.*")
 
 
 def distance_sql(edges: str, px: str, py: str, lonlat: bool = False) -> str:
@@ -106,98 +135,101 @@ def distance_sql(edges: str, px: str, py: str, lonlat: bool = False) -> str:
             f"(e.y1 + ({t}) * (e.y2 - e.y1) - {py}) * (e.y1 + ({t}) * (e.y2 - e.y1) - {py}))))")
 
 
-def bbox(ring: Column) -> dict:
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    return {"minx": F.array_min(xs), "maxx": F.array_max(xs),
-            "miny": F.array_min(ys), "maxy": F.array_max(ys)}
-
-
-def polygon_cells(polys: DataFrame, cell: float, pad: float = 0.0,
-                  ring: str = "ring", pad_x: Column | None = None) -> DataFrame:
-    """Polygon -> every grid cell its (padded) bounding box covers. The
-    expansion is bounded by the polygon's extent, not by the data."""
-    polys = _one_list(polys, ring)
-    b = bbox(F.flatten(ring))
-    p = polys.withColumns({**{f"__{k}": v for k, v in b.items()}, "__edges": _edges(ring)})
-    pad_x = F.lit(pad) if pad_x is None else pad_x
-    cx = F.sequence(F.floor((F.col("__minx") - pad_x) / cell).cast("int"),
-                    F.floor((F.col("__maxx") + pad_x) / cell).cast("int"))
-    cy = F.sequence(F.floor((F.col("__miny") - pad) / cell).cast("int"),
-                    F.floor((F.col("__maxy") + pad) / cell).cast("int"))
-    return p.withColumn("__cx", F.explode(cx)).withColumn("__cy", F.explode(cy))
-
-
-def _in_bbox(px: Column, py: Column, pad: float = 0.0, pad_x: Column | None = None) -> Column:
-    """Cheap arithmetic prefilter before the exact ring tests."""
-    pad_x = F.lit(pad) if pad_x is None else pad_x
-    return ((px >= F.col("__minx") - pad_x) & (px <= F.col("__maxx") + pad_x)
-            & (py >= F.col("__miny") - pad) & (py <= F.col("__maxy") + pad))
-
-
 def point_cells(points: DataFrame, x: str, y: str, cell: float) -> DataFrame:
     return points.withColumns({"__cx": F.floor(F.col(x) / cell).cast("int"),
                                "__cy": F.floor(F.col(y) / cell).cast("int")})
 
 
+def _candidate_cells(cells: DataFrame, cell: float, reach: float, gid: str, lonlat: bool) -> DataFrame:
+    """For the points of each grid cell (__cx, __cy): the cells (gid, bx, by) whose edges
+    may be nearest to one of them. A cell is left out if even its nearest corner is
+    farther than ``reach``, or than the farthest corner of some other cell with edges."""
+    border = cells.where("size(edges) > 0").select(gid, F.col("cx").alias("bx"), F.col("cy").alias("by"))
+    unit = KM_PER_DEGREE if lonlat else 1.0
+    up = int(math.ceil(reach / unit / cell)) + 1
+    near = border.withColumn("__cy", F.explode(F.expr(f"sequence(by - {up}, by + {up})")))
+    if lonlat:  # cosine of the points' latitudes, at its least and greatest in the row
+        south, north = f"radians(__cy * {cell})", f"radians((__cy + 1) * {cell})"
+        least_cos = f"greatest(0.01, least(cos({south}), cos({north})))"
+        most_cos = f"CASE WHEN __cy * {cell} <= 0 AND (__cy + 1) * {cell} >= 0 THEN 1.0 ELSE greatest(cos({south}), cos({north})) END"
+    else:
+        least_cos = most_cos = "1.0D"
+    side = f"(cast(ceil({reach} / ({unit} * {least_cos}) / {cell}) as int) + 1)"
+    near = near.withColumn("__cx", F.explode(F.expr(f"sequence(bx - {side}, bx + {side})")))
+
+    def distance(gap_x: str, gap_y: str, cos: str) -> Column:
+        return F.expr(f"sqrt(pow({gap_x} * {cell} * {unit} * {cos}, 2) + pow({gap_y} * {cell} * {unit}, 2))")
+    gap = "greatest(abs({0} - {1}) - 1, 0)"
+    least = distance(gap.format("__cx", "bx"), gap.format("__cy", "by"), f"({least_cos})")
+    most = distance("(abs(__cx - bx) + 1)", "(abs(__cy - by) + 1)", f"({most_cos})")
+    bounded = near.select(gid, "bx", "by", "__cx", "__cy", least.alias("least"), most.alias("most")) \
+                  .where(F.col("least") <= reach * (1 + SLACK))
+    bound = F.min("most").over(Window.partitionBy("__cx", "__cy"))
+    return bounded.withColumn("bound", bound).where(F.col("least") <= F.col("bound") * (1 + SLACK)) \
+                  .select(gid, "bx", "by", "__cx", "__cy")
+
+
+def locate(points: DataFrame, polys: DataFrame, reach: float | None = None, pid: str = "CODIGO_WMO",
+           x: str = "x", y: str = "y", gid: str = "poly_id", cell: float = 100.0, ring: str = "ring",
+           lonlat: bool = False) -> DataFrame:
+    """Per point that some polygon contains, borders or, with ``reach``, comes near:
+    (pid, poly_within, na_borda, poly_nearest, distancia).
+
+    ``poly_within``: the polygon that strictly contains the point (the smallest id if
+    several); ``na_borda``: it lies on a border; ``poly_nearest`` / ``distancia``: the
+    nearest polygon within ``reach`` (distance 0 inside and on the border; ties: the
+    smallest id). ``lonlat``: coordinates and ``cell`` in degrees, ``reach`` in km. Each
+    point meets the entries of its own grid cell, in one join."""
+    cells = clipped_cells(polys.select(gid, ring), cell, gid, ring)
+    if reach is not None:
+        cells = persist_table(cells, "clipped")
+    each = F.explode(F.expr("sequence(cx, cx_last)"))
+    entries = cells.select(gid, each.alias("__cx"), F.col("cy").alias("__cy"), "edges", "inside")
+    if reach is not None:
+        far = _candidate_cells(cells, cell, reach, gid, lonlat).join(
+            cells.where("size(edges) > 0").select(gid, F.col("cx").alias("bx"), F.col("cy").alias("by"), "edges"),
+            [gid, "bx", "by"])
+        entries = entries.unionByName(far.select(gid, "__cx", "__cy", "edges", F.lit(None).cast("boolean").alias("inside")))
+    cand = point_cells(points.select(pid, x, y), x, y, cell).join(entries, ["__cx", "__cy"])
+    px, py = f"`{x}`", f"`{y}`"
+    seed = f"((__cx + {SEED_X}D) * {cell})", f"((__cy + {SEED_Y}D) * {cell})"
+    turned = f"aggregate(edges, 0, (n, e) -> n + CASE WHEN {_between_sql(*seed, px, py)} THEN 1 ELSE 0 END) % 2 = 1"
+    # the containment of an entry of the own cell; other entries give distances only
+    own = cand.select(pid, gid, x, y, "edges", "inside",
+                      F.expr(f"CASE WHEN inside IS NOT NULL THEN exists(edges, e -> {_on_edge_sql(px, py)}) END").alias("on"),
+                      F.expr(f"CASE WHEN inside IS NOT NULL THEN inside <> ({turned}) END").alias("in"))
+    strictly = F.col("in") & ~F.col("on")
+    dist = F.when(F.col("in") | F.col("on"), F.lit(0.0))
+    if reach is not None:
+        dist = F.when(F.col("inside").isNull(), F.expr(distance_sql("edges", px, py, lonlat))).otherwise(dist)
+    told = own.select(pid, gid, strictly.alias("in"), "on", dist.alias("dist"))
+    hit = told.groupBy(pid).agg(
+        F.min(F.when(F.col("in"), F.col(gid))).alias("poly_within"),
+        F.coalesce(F.bool_or("on"), F.lit(False)).alias("na_borda"),
+        F.min(F.when(F.col("dist") <= (0.0 if reach is None else reach), F.struct(F.col("dist"), F.col(gid)))).alias("__b"))
+    return hit.select(pid, "poly_within", "na_borda", F.col(f"__b.{gid}").alias("poly_nearest"),
+                      F.col("__b.dist").alias("distancia"))
+
+
 def point_in_polygon(points: DataFrame, polys: DataFrame, pid: str = "CODIGO_WMO",
                      x: str = "x", y: str = "y", gid: str = "poly_id", cell: float = 100.0,
                      ring: str = "ring") -> DataFrame:
     """Every point with the polygon that strictly contains it (NULL when
     none; the smallest id if several) and whether it lies on a border."""
-    pc = polygon_cells(polys.select(gid, ring), cell, 0.0, ring)
-    pts = point_cells(points.select(pid, x, y), x, y, cell)
-    px, py = F.col(x), F.col(y)
-    cand = pts.join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py))
-    res = F.expr(ring_test_sql("__edges", f"`{x}`", f"`{y}`"))
-    tested = cand.select(pid, gid, res.alias("__r")).select(
-        pid, gid, ((F.col("__r.n") % 2 == 1) & ~F.col("__r.on")).alias("__in"),
-        F.col("__r.on").alias("__on"))
-    hit = tested.groupBy(pid).agg(F.min(F.when(F.col("__in"), F.col(gid))).alias("poly_within"),
-                                  F.bool_or("__on").alias("na_borda"))
+    hit = locate(points, polys, None, pid, x, y, gid, cell, ring).select(pid, "poly_within", "na_borda")
     return (points.select(pid, x, y).join(hit, pid, "left")
             .withColumn("na_borda", F.coalesce("na_borda", F.lit(False))))
 
 
 def nearest_within(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
                    pid: str = "CODIGO_WMO", x: str = "x", y: str = "y", gid: str = "poly_id",
-                   cell: float = 100.0, ring: str = "ring", lonlat: bool = False,
-                   shares: Sequence[float] = (0.1, 1.0)) -> DataFrame:
+                   cell: float = 100.0, ring: str = "ring", lonlat: bool = False) -> DataFrame:
     """Nearest polygon within ``max_dist`` of each point (distance 0 when
     inside or on the border); ties -> smallest id. Points with no polygon in
     reach are absent. ``lonlat``: coordinates and ``cell`` in degrees,
-    ``max_dist`` in km.
-
-    The search grows: polygons are padded by a share of ``max_dist``, and only
-    points without a hit go on to the next share, so most points never meet the
-    polygons of the whole reach. A hit within the padding is the nearest one,
-    as every polygon that close is a candidate."""
-    left, found = points.select(pid, x, y), None
-    for share in shares:
-        reach = max_dist * share
-        hit = _nearest_in_reach(left, polys, reach, pid, x, y, gid, cell, ring, lonlat)
-        found = hit if found is None else found.unionByName(hit)
-        left = left.join(hit.select(pid), pid, "left_anti")
-    return found
-
-
-def _nearest_in_reach(points: DataFrame, polys: DataFrame, reach: float, pid: str, x: str, y: str,
-                      gid: str, cell: float, ring: str, lonlat: bool) -> DataFrame:
-    px, py = F.col(x), F.col(y)
-    pad, wide, near = reach, None, None
-    if lonlat:
-        pad = reach / KM_PER_DEGREE
-        # a degree of longitude shrinks towards the poles: pad by the box's widest need
-        most = F.greatest(F.abs(F.col("__miny")), F.abs(F.col("__maxy"))) + pad
-        wide = F.lit(pad) / F.greatest(F.cos(F.radians(most)), F.lit(0.01))
-        near = wide
-    pc = polygon_cells(polys.select(gid, ring), cell, pad, ring, wide)
-    cand = point_cells(points, x, y, cell).join(pc, ["__cx", "__cy"]).filter(_in_bbox(px, py, pad, near))
-    dist = F.when(contains("__edges", f"`{x}`", f"`{y}`", boundary=True), F.lit(0.0)) \
-            .otherwise(F.expr(distance_sql("__edges", f"`{x}`", f"`{y}`", lonlat)))
-    d = cand.select(pid, gid, dist.alias("dist")).filter(F.col("dist") <= reach)
-    best = d.groupBy(pid).agg(F.min(F.struct(F.col("dist"), F.col(gid))).alias("__b"))
-    return best.select(pid, F.col(f"__b.{gid}").alias("poly_nearest"),
-                       F.col("__b.dist").alias("distancia"))
+    ``max_dist`` in km."""
+    found = locate(points, polys, max_dist, pid, x, y, gid, cell, ring, lonlat)
+    return found.where(F.col("poly_nearest").isNotNull()).select(pid, "poly_nearest", "distancia")
 
 
 def station_to_municipality(points: DataFrame, polys: DataFrame, max_dist: float = 100.0,
@@ -206,10 +238,8 @@ def station_to_municipality(points: DataFrame, polys: DataFrame, max_dist: float
                             lonlat: bool = False) -> DataFrame:
     """Bridge by geometry: within-polygon first, nearest within ``max_dist``
     as fallback; ``metodo`` tells which (NULL: no municipality)."""
-    w = point_in_polygon(points, polys, pid, x, y, gid, cell)
-    rest = w.filter(F.col("poly_within").isNull()).select(pid, x, y)
-    n = nearest_within(rest, polys, max_dist, pid, x, y, gid, cell, lonlat=lonlat)
-    j = w.join(n, pid, "left")
+    found = locate(points, polys, max_dist, pid, x, y, gid, cell, lonlat=lonlat)
+    j = points.select(pid, x, y).join(found, pid, "left")
     return j.select(pid, x, y, F.coalesce("poly_within", "poly_nearest").alias(gid),
                     F.when(F.col("poly_within").isNotNull(), "within")
                      .when(F.col("poly_nearest").isNotNull(), "nearest").alias("metodo"),
@@ -252,13 +282,13 @@ def edge_box_sql(x0: str, y0: str, size: float) -> str:
             f"AND least({corners}) <= 0 AND greatest({corners}) >= 0")
 
 
-def cell_ring_touch(edges: str, x0: str, y0: str, size: float) -> Column:
-    """Cell box [x0, x0+size] x [y0, y0+size] touches the polygon: an edge meets
-    the box, or the whole box lies inside (its centre does). CASE evaluates
-    lazily: interior cells pay for the centre test only."""
-    h = size / 2
-    centre = contains_sql(edges, f"({x0} + {h})", f"({y0} + {h})", True)
-    return F.expr(f"CASE WHEN {centre} THEN true ELSE exists({edges}, e -> {edge_box_sql(x0, y0, size)}) END")
+def touched_runs(polys: DataFrame, cell_size: float, gid: str = "poly_id", ring: str = "ring") -> DataFrame:
+    """(gid, row, col, col_last): runs of the raster cells that a polygon touches, where
+    an edge meets the closed cell or the cell lies inside. Runs of a polygon do not
+    overlap."""
+    cells = clipped_cells(polys.select(gid, ring), cell_size, gid, ring)
+    return cells.where("met OR inside").select(gid, F.col("cy").alias("row"), F.col("cx").alias("col"),
+                                               F.col("cx_last").alias("col_last"))
 
 
 def zonal_stats(mosaic: DataFrame, polys: DataFrame, prefix: str, cell_size: float = 5.0,
@@ -288,16 +318,14 @@ def zonal_stats_multi(mosaics: dict, polys: DataFrame, cell_size: float = 5.0,
     for p_ in names[1:]:
         any_valid = any_valid | F.col(p_).isNotNull()
     cells = cells.filter(any_valid)
-    # a cell is in the bucket of its first corner, so the polygon's box reaches
-    # one cell further: right for any bucket size
-    pc = polygon_cells(polys.select(gid, ring), grid, cell_size, ring)
-    c = cells.withColumns({"__x0": F.col(col) * cell_size, "__y0": F.col(row) * cell_size})
-    c = c.withColumns({"__cx": F.floor(F.col("__x0") / grid).cast("int"),
-                       "__cy": F.floor(F.col("__y0") / grid).cast("int")})
-    cand = c.join(pc, ["__cx", "__cy"]).filter(
-        (F.col("__x0") <= F.col("__maxx")) & (F.col("__x0") + cell_size >= F.col("__minx"))
-        & (F.col("__y0") <= F.col("__maxy")) & (F.col("__y0") + cell_size >= F.col("__miny")))
-    hit = cand.filter(cell_ring_touch("__edges", "__x0", "__y0", cell_size))
+    # runs and cells meet by row and block of columns
+    block = max(1, int(grid / cell_size))
+    runs = touched_runs(polys, cell_size, gid, ring).select(
+        gid, F.col("row").alias("__row"), F.col("col").alias("__from"), F.col("col_last").alias("__to"),
+        F.explode(F.expr(f"sequence(cast(floor(col / {block}) as int), cast(floor(col_last / {block}) as int))")).alias("__cx"))
+    c = cells.withColumn("__cx", F.floor(F.col(col) / block).cast("int"))
+    hit = c.join(runs, (F.col(row) == F.col("__row")) & (c["__cx"] == runs["__cx"])).where(
+        F.col(col).between(F.col("__from"), F.col("__to")))
     long = hit.select(gid, F.explode(F.array(*[F.struct(F.lit(p_).alias("produto"),
                                                           F.col(p_).alias("valor"))
                                                  for p_ in names])).alias("__v")) \

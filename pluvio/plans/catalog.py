@@ -462,9 +462,17 @@ def q_point_in_polygon(spark, d):
 @register("nearest_within")
 def q_nearest_within(spark, d):
     pts, polys = S.station_points(spark, d), S.municipality_polygons(spark, d)
-    w = sp.point_in_polygon(pts, polys, cell=S.SPATIAL_CELL)
-    rest = w.filter(F.col("poly_within").isNull()).select("CODIGO_WMO", "x", "y")
-    return finish(sp.nearest_within(rest, polys, S.NEAREST_KM, cell=S.SPATIAL_CELL))
+    found = sp.locate(pts, polys, S.NEAREST_KM, cell=S.SPATIAL_CELL)
+    return finish(found.where(F.col("poly_within").isNull() & F.col("poly_nearest").isNotNull())
+                  .select("CODIGO_WMO", "poly_nearest", "distancia"))
+
+
+@register("municipality_lonlat")
+def q_municipality_lonlat(spark, d):
+    """The bridge from coordinates in degrees, distances in km."""
+    return finish(sp.station_to_municipality(
+        S.station_degrees(spark, d), S.municipality_polygons(spark, d, degrees=True), S.NEAREST_KM,
+        cell=S.DEGREE_CELL, lonlat=True).select("CODIGO_WMO", "poly_id", "metodo", "distancia"))
 
 
 def _geo_bridge(spark, d):

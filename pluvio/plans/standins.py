@@ -274,6 +274,7 @@ def modelling_table(spark: SparkSession, d: str) -> DataFrame:
 
 SPATIAL_CELL = 100.0     # km, grid bucket of the spatial joins
 RASTER_CELL = 5.0        # km, raster cell side
+DEGREE_CELL = 0.5        # degrees, grid bucket of the lon/lat joins
 NEAREST_KM = 100.0
 # State code prefix -> state abbreviation.
 UF_NAMES = {"31": "MG", "32": "ES", "33": "RJ", "35": "SP"}
@@ -287,9 +288,16 @@ def station_points(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("c_custkey") * 104729 % 1000).cast("double").alias("y"))
 
 
-def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
+def station_degrees(spark: SparkSession, d: str) -> DataFrame:
+    """Station longitude and latitude: 128 km of the plane to a degree."""
+    p = station_points(spark, d)
+    return p.select("CODIGO_WMO", (F.col("x") / 128 - 50).alias("x"), (F.col("y") / 128 - 26).alias("y"))
+
+
+def municipality_polygons(spark: SparkSession, d: str, degrees: bool = False) -> DataFrame:
     """One hexagon per nation on a 5 x 5 layout of 200 km cells: some only 2 km
-    high (narrower than a raster cell), some with a square hole."""
+    high (narrower than a raster cell), some with a square hole. ``degrees``: the same
+    rings in longitude and latitude, 128 km of the plane to a degree."""
     n = read(spark, d, "nation", ["n_nationkey", "n_name"])
     k = F.col("n_nationkey")
     cx = (100 + 200 * (k % 5)).cast("double")
@@ -297,6 +305,8 @@ def municipality_polygons(spark: SparkSession, d: str) -> DataFrame:
     r = (56 + 8 * (k % 4)).cast("double")
 
     def v(dx, dy):
+        if degrees:
+            return F.struct(((cx + dx) / 128 - 50).alias("x"), ((cy + dy) / 128 - 26).alias("y"))
         return F.struct((cx + dx).alias("x"), (cy + dy).alias("y"))
     thin = k % 7 == 3
     h = F.when(thin, F.lit(1.0)).otherwise(7 * r / 8)
