@@ -56,7 +56,7 @@ def reliability_bins(df: DataFrame, prob: str, label: str, bins: int = 10) -> Da
 
 
 def precision_recall_f1(df: DataFrame, score: str, label: str, threshold: float,
-                        buckets: int = 64) -> DataFrame:
+                        ranges: int | None = None) -> DataFrame:
     """Confusion counts, precision, recall and F1 at ``threshold``, and the
     average precision (area under the step PR curve, ties grouped) from the
     score histogram with distributed cumulative sums."""
@@ -66,7 +66,7 @@ def precision_recall_f1(df: DataFrame, score: str, label: str, threshold: float,
                F.count_if((F.col(score) < threshold) & (F.col(label) == 1)).alias("fn"))
     hist = s.groupBy(F.col(score).alias("__s")).agg(
         F.count_if(F.col(label) == 1).alias("pp"), F.count_if(F.col(label) == 0).alias("nn"))
-    c = cumulative_below(hist, [], "__s", ["pp", "nn"], buckets, totals=True) \
+    c = cumulative_below(hist, [], "__s", ["pp", "nn"], ranges, totals=True) \
         .withColumnsRenamed({"total_pp": "P", "total_nn": "N"})
     tp_ge = F.col("P") - F.col("below_pp")
     fp_ge = F.col("N") - F.col("below_nn")

@@ -5,20 +5,16 @@ Scale design
 ------------
 Everything starts from a value histogram ``(group, value) -> counts`` (a
 grouped aggregate with map-side combine; a value shared by a third of all
-rows is one histogram row). Cumulative counts over the value order are then
-computed without a global sort in one task (``cumulative_below``):
-
-1. cut points per group from ``percentile_approx`` over the histogram
-   (``buckets - 1`` values, a few rows);
-2. every histogram row gets the bucket ``#cuts < value`` (contiguous value
-   ranges);
-3. bucket totals -> prefix offsets by a window over the (tiny) bucket table;
-4. a running sum inside (group, bucket) partitions, ~1/buckets of the
-   distinct values each.
-
-Exact percentiles (linear interpolation, as ``quantile_cont``) pick the
-target ranks out of the cumulative histogram; AUC sums
-``p * (negatives below + n / 2)``, which equals the average-rank form.
+rows is one histogram row). Cumulative counts over the value order come from
+``ordered.sums_before``: the histogram is dealt by range of (group, value), ranges
+add up on their own, and range totals become offsets. No global sort in one task,
+no cut points carried with the rows, and time in proportion to the rows whatever the
+number of ranges.
+
+Exact percentiles (linear interpolation, as ``quantile_cont``) are the values at
+their ranks in the cumulative histogram; AUC sums
+``p * (negatives below + n / 2)``, which equals the average-rank form. Both come from
+one grouped pass over it.
 """
 
 from __future__ import annotations
@@ -28,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.ordered import meets, sums_before
+
 PCTS = (0.5, 0.75, 0.9, 0.99)
 
 
@@ -41,85 +39,50 @@ def stack(df: DataFrame, variables: Sequence[str], keep: Sequence[str] = (),
 
 
 def cumulative_below(hist: DataFrame, groups: Sequence[str], value: str,
-                     weights: Sequence[str], buckets: int | None = None,
+                     weights: Sequence[str], ranges: int | None = None,
                      totals: bool = False) -> DataFrame:
     """Adds ``below_<w>``: sum of ``w`` over the rows of the same group with
     a strictly smaller ``value`` (and ``total_<w>`` per group when
-    ``totals``). Distributed prefix sum (see module doc). The number of value
-    ranges follows the session's shuffle partitions unless given; the result
-    does not depend on it."""
-    g = list(groups)
-    buckets = buckets or max(
-        64, int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    qs = [i / buckets for i in range(1, buckets)]
-    cut_agg = F.percentile_approx(value, qs, 10000)
-    if g:
-        h = _join_groups(hist, hist.groupBy(*g).agg(cut_agg.alias("__cuts")), g)
-    else:
-        # no group: the cut points are a scalar subquery, not a join
-        h = hist.withColumn("__cuts", hist.agg(cut_agg).scalar())
-    h = h.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
-    tot = h.groupBy(*g, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
-    wb = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*g)
-    off_cols = [F.coalesce(F.sum(f"__t_{w}").over(wb), F.lit(0)).alias(f"__o_{w}") for w in weights]
-    if totals:
-        off_cols += [F.sum(f"__t_{w}").over(wall).alias(f"total_{w}") for w in weights]
-    off = tot.select(*g, "__b", *off_cols)
-    wl = Window.partitionBy(*g, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    h = h.select("*", *[F.coalesce(F.sum(w).over(wl), F.lit(0)).alias(f"__l_{w}") for w in weights])
-    h = _join_groups(h, off, g + ["__b"])
-    return h.select(*hist.columns,
-                    *[(F.col(f"__o_{w}") + F.col(f"__l_{w}")).alias(f"below_{w}") for w in weights],
-                    *([F.col(f"total_{w}") for w in weights] if totals else []))
+    ``totals``). ``hist`` has one row per group and value."""
+    out = sums_before(hist, groups, [value], {f"below_{w}": w for w in weights}, totals, ranges)
+    return out.withColumnsRenamed({f"total_below_{w}": f"total_{w}" for w in weights})
 
 
 def _join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Left join on the group columns in which NULL groups meet too."""
     r = right.withColumnsRenamed({c: f"__j_{c}" for c in groups})
-    on = [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in groups]
-    return left.join(r, on, "left").drop(*[f"__j_{c}" for c in groups])
+    return left.join(r, meets(groups, "__j_"), "left").drop(*[f"__j_{c}" for c in groups])
 
 
 def exact_percentiles(long: DataFrame, groups: Sequence[str], value: str = "valor",
-                      pcts: Sequence[float] = PCTS, buckets: int | None = None) -> DataFrame:
+                      pcts: Sequence[float] = PCTS, ranges: int | None = None) -> DataFrame:
     """Per group: n and the exact percentiles (linear interpolation between
     closest ranks) named ``p50``, ``p75``, ...; groups with no value are absent."""
     hist = long.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
-    return percentiles_from_hist(hist, groups, value, "cnt", pcts, buckets)
+    return percentiles_from_hist(hist, groups, value, "cnt", pcts, ranges)
+
+
+def percentile_at(value: str, cnt: str, below: str, total: str, q: float) -> Column:
+    """Aggregate over a group's cumulative histogram: the exact percentile. NULL
+    without rows."""
+    place = (F.col(total) - 1) * F.lit(float(q))
+    low = F.floor(place)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col(below)) & (rank < F.col(below) + F.col(cnt)), F.col(value)))
+    least = at(low)
+    return least + (at(F.least(low + 1, F.col(total) - 1)) - least) * F.max(place - low)
 
 
 def percentiles_from_hist(hist: DataFrame, groups: Sequence[str], value: str, cnt: str = "cnt",
-                          pcts: Sequence[float] = PCTS, buckets: int | None = None) -> DataFrame:
+                          pcts: Sequence[float] = PCTS, ranges: int | None = None) -> DataFrame:
     """``exact_percentiles`` on an existing (group, value, count) histogram,
     so several statistics can share one histogram pass."""
     g = list(groups)
-    hist = hist.select(*g, value, F.col(cnt).alias("cnt"))
-    cum = cumulative_below(hist, g, value, ["cnt"], buckets, totals=True) \
-        .withColumnRenamed("total_cnt", "n")
-    # target ranks (0-based) per percentile: floor(h) and floor(h) + 1, as
-    # SQL text (one parse instead of a driver round trip per node)
-    targets = []
-    for i, q in enumerate(pcts):
-        lo = f"CAST(floor((n - 1) * {q!r}) AS BIGINT)"
-        targets.append(f"named_struct('q', {i}, 'r', {lo}, 'which', 0)")
-        targets.append(f"named_struct('q', {i}, 'r', least({lo} + 1, n - 1), 'which', 1)")
-    hit = F.expr(f"filter(array({', '.join(targets)}), "
-                 f"t -> t.r >= below_cnt AND t.r < below_cnt + cnt)")
-    picks = cum.select(*g, "n", value, F.explode(hit).alias("t"))
-    aggs = []
-    for i in range(len(pcts)):
-        for which in (0, 1):
-            aggs.append(F.max(F.when((F.col("t.q") == i) & (F.col("t.which") == which),
-                                     F.col(value))).alias(f"__v{i}_{which}"))
-    per_g = picks.groupBy(*g, "n").agg(*aggs)
-    out = []
-    for i, q in enumerate(pcts):
-        h = (F.col("n") - 1) * F.lit(q)
-        frac = h - F.floor(h)
-        v0, v1 = F.col(f"__v{i}_0"), F.col(f"__v{i}_1")
-        out.append((v0 + (v1 - v0) * frac).alias(f"p{round(q * 100):d}"))
-    return per_g.select(*g, F.col("n").cast("bigint").alias("n"), *out)
+    cum = cumulative_below(hist.select(*g, value, F.col(cnt).alias("cnt")), g, value, ["cnt"], ranges, totals=True)
+    return cum.groupBy(*g).agg(
+        F.max("total_cnt").cast("bigint").alias("n"),
+        *[percentile_at(value, "cnt", "below_cnt", "total_cnt", q).alias(f"p{round(q * 100):d}") for q in pcts])
 
 
 def group_percentiles(df: DataFrame, variables: Sequence[str], label: str = "evento",
@@ -129,22 +92,27 @@ def group_percentiles(df: DataFrame, variables: Sequence[str], label: str = "eve
     return exact_percentiles(long, [*by, "variavel", label], "valor", pcts)
 
 
+def _class_counts(df: DataFrame, variables: Sequence[str], label: str, by: Sequence[str],
+                  ranges: int | None = None) -> DataFrame:
+    """Cumulative value histogram per (by..., variable) with positives and negatives."""
+    g = [*by, "variavel"]
+    hist = stack(df, variables, [*by, label]).groupBy(*g, "valor").agg(
+        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("nn"))
+    return cumulative_below(hist, g, "valor", ["p", "nn"], ranges, totals=True)
+
+
+def _auc() -> Column:
+    pos, neg = F.sum("p"), F.sum("nn")
+    return F.when((pos > 0) & (neg > 0), F.sum(F.col("p") * (F.col("below_nn") + F.col("nn") / 2.0)) / (pos * neg))
+
+
 def rank_auc(df: DataFrame, variables: Sequence[str], label: str = "evento",
-             buckets: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+             ranges: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Mann-Whitney AUC per (by..., variable) (ties averaged); NULL when a
     class is empty; NULL values dropped per variable."""
-    long = stack(df, variables, [*by, label])
-    g = [*by, "variavel"]
-    hist = long.groupBy(*g, "valor").agg(
-        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("nn"))
-    cum = cumulative_below(hist, g, "valor", ["nn"], buckets)
-    a = cum.groupBy(*g).agg(
-        F.sum(F.col("p") * (F.col("below_nn") + F.col("nn") / 2.0)).alias("s"),
-        F.sum("p").alias("P"), F.sum("nn").alias("N"))
-    return a.select(*g, F.col("P").cast("bigint").alias("n_pos"),
-                    F.col("N").cast("bigint").alias("n_neg"),
-                    F.when((F.col("P") > 0) & (F.col("N") > 0),
-                           F.col("s") / (F.col("P") * F.col("N"))).alias("auc"))
+    cum = _class_counts(df, variables, label, by, ranges)
+    return cum.groupBy(*by, "variavel").agg(F.sum("p").cast("bigint").alias("n_pos"),
+                                            F.sum("nn").cast("bigint").alias("n_neg"), _auc().alias("auc"))
 
 
 def average_rank(df: DataFrame, value: str, partition: Sequence[str] = ()) -> Column:
@@ -165,8 +133,7 @@ def boxplot_stats(df: DataFrame, variables: Sequence[str], label: str = "evento"
     q = q.withColumn("iqr", F.col("p75") - F.col("p25")) \
          .withColumn("cerca_inf", F.col("p25") - whisker * F.col("iqr")) \
          .withColumn("cerca_sup", F.col("p75") + whisker * F.col("iqr"))
-    # one row per (variable, label): bounded by the parameters, so broadcast
-    j = _join_groups(long, F.broadcast(q.select(*g, "cerca_inf", "cerca_sup")), g)
+    j = _join_groups(long, q.select(*g, "cerca_inf", "cerca_sup"), g)
     inside = (F.col("valor") >= F.col("cerca_inf")) & (F.col("valor") <= F.col("cerca_sup"))
     w = j.groupBy(*g).agg(F.min(F.when(inside, F.col("valor"))).alias("bigode_inf"),
                           F.max(F.when(inside, F.col("valor"))).alias("bigode_sup"),
@@ -189,10 +156,8 @@ def signal_scenarios(df: DataFrame, variables: Sequence[str], label: str = "even
                      scope: str = "janela_valida") -> DataFrame:
     """AUC and class medians per variable for all rows and for the rows with
     ``scope`` true, in one pass over the scenario-tagged rows."""
-    tagged = with_scenarios(df, scope)
-    auc = rank_auc(tagged, variables, label, by=["cenario"])
-    med = group_percentiles(tagged, variables, label, (0.5,), by=["cenario"])
-    m = med.groupBy("cenario", "variavel").agg(
-        F.max(F.when(F.col(label) == 1, F.col("p50"))).alias("mediana_evento"),
-        F.max(F.when(F.col(label) == 0, F.col("p50"))).alias("mediana_normal"))
-    return _join_groups(auc, m, ["cenario", "variavel"])
+    cum = _class_counts(with_scenarios(df, scope), variables, label, ["cenario"])
+    return cum.groupBy("cenario", "variavel").agg(
+        F.sum("p").cast("bigint").alias("n_pos"), F.sum("nn").cast("bigint").alias("n_neg"), _auc().alias("auc"),
+        percentile_at("valor", "p", "below_p", "total_p", 0.5).alias("mediana_evento"),
+        percentile_at("valor", "nn", "below_nn", "total_nn", 0.5).alias("mediana_normal"))

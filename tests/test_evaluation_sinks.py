@@ -28,7 +28,7 @@ def test_average_precision_with_ties(spark):
     s = np.round(rng.random(400), 1)
     y = (rng.random(400) < s).astype(int)
     df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "p double, y int")
-    got = {r.metrica: r.valor for r in ev.precision_recall_f1(df, "p", "y", 0.5, buckets=3).collect()}
+    got = {r.metrica: r.valor for r in ev.precision_recall_f1(df, "p", "y", 0.5, ranges=3).collect()}
     # step PR curve over distinct thresholds, highest first
     ap, P = 0.0, y.sum()
     for t in sorted(set(s), reverse=True):

@@ -15,7 +15,7 @@ def test_auc_matches_rank_form_with_ties(spark):
     v = np.round(rng.gamma(1.0, 5.0, 3000), 1)       # many ties
     y = (rng.random(3000) < 0.1 + v / 200).astype(int)
     df = spark.createDataFrame(pd.DataFrame({"x": v, "evento": y}))
-    got = st.rank_auc(df, ["x"], buckets=7).first().auc
+    got = st.rank_auc(df, ["x"], ranges=7).first().auc
     assert abs(got - _rank_auc(v[y == 1], v[y == 0])) < 1e-12
 
 
@@ -30,7 +30,7 @@ def test_exact_percentiles_match_numpy(spark):
     g = rng.integers(0, 3, 2001)
     df = spark.createDataFrame(pd.DataFrame({"valor": v, "g": g}))
     out = {r.g: r for r in st.exact_percentiles(df, ["g"], "valor", (0.5, 0.75, 0.9, 0.99),
-                                                buckets=5).collect()}
+                                                ranges=5).collect()}
     for k in range(3):
         q = np.percentile(v[g == k], [50, 75, 90, 99])
         r = out[k]
