@@ -31,7 +31,7 @@ from pluvio.plans.common import read
 
 # Fixed values of the stand-in plans.
 LOCAL_TZ = "-03:00"           # fixed offset, so the oracle needs no zone data
-READING = "purchase"          # events in the role of rain readings of X
+REPORTED_AFTER = 1            # days from the reading to the day a label is dated
 Y_MIN_VALUE = 100.0
 REGION = "america"            # plays the studied region
 YEAR_LO, YEAR_HI = 1996, 2000
@@ -65,24 +65,18 @@ def bridge(spark: SparkSession, d: str) -> DataFrame:
 EXACT = "decimal(18,2)"       # event values have two decimals: sums without error
 
 
-def events_hourly(spark: SparkSession, d: str, only: str | None = None,
-                  exclude: str | None = None, exact: bool = False) -> DataFrame:
-    """Hourly series per station: ``sum(value)`` per (user, UTC hour), of all
-    events, of one type only or of all types but one (NULL types kept);
-    ``exact`` adds decimals, so equal amounts stay ties in rank statistics."""
-    ev = read(spark, d, "events", ["user_id", "ts", "event_type", "value"])
-    if only:
-        ev = ev.filter(F.col("event_type") == only)
-    if exclude:
-        ev = ev.filter(~F.col("event_type").eqNullSafe(exclude))
+def events_hourly(spark: SparkSession, d: str, exact: bool = False) -> DataFrame:
+    """Hourly series per station: ``sum(value)`` per (user, UTC hour) of all
+    events; ``exact`` adds decimals, so equal amounts stay ties in rank statistics."""
+    ev = read(spark, d, "events", ["user_id", "ts", "value"])
     return (ev.groupBy(F.col("user_id").alias("CODIGO_WMO"),
                        utc_instant(F.date_trunc("hour", F.col("ts"))).alias("dt_utc"))
               .agg(F.sum(F.col("value").cast(EXACT) if exact else "value").alias("precip_mm")))
 
 
 def label_x(spark: SparkSession, d: str) -> DataFrame:
-    """X of the label join: daily municipality features of the readings."""
-    hourly = events_hourly(spark, d, only=READING)
+    """X of the label join: daily municipality features of all events."""
+    hourly = events_hourly(spark, d)
     return feat.daily_features(hourly, bridge(spark, d), imputed=None,
                                tz=LOCAL_TZ, min_hours_complete=1)
 
@@ -94,7 +88,8 @@ def band_code(value) -> F.Column:
 
 
 def events_register(spark: SparkSession, d: str) -> DataFrame:
-    """Register rows from error events above the threshold."""
+    """Register rows from error events above the threshold, dated the day after the
+    reading; those of a municipality's last day have no reading day to join."""
     ev = read(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     ev = ev.filter((F.col("event_type") == "error") & (F.col("value") > Y_MIN_VALUE))
     b = bridge(spark, d)
@@ -105,7 +100,7 @@ def events_register(spark: SparkSession, d: str) -> DataFrame:
         F.col("uf").alias("sigla_uf"),
         band_code(F.col("value")).alias("cobrade"),
         F.col("ibge"),
-        utc_to_local_day(utc_instant("ts"), LOCAL_TZ).alias("data_evento"),
+        F.date_add(utc_to_local_day(utc_instant("ts"), LOCAL_TZ), REPORTED_AFTER).alias("data_evento"),
         F.col("uf").alias("regiao"),
         F.lit("Hidrologico").alias("grupo_de_desastre"),
     ).withColumn("regiao_l", F.lower(F.trim("regiao")))
@@ -217,13 +212,12 @@ def station_coords(spark: SparkSession, d: str) -> DataFrame:
 # Compared columns of the feature table (schema names).
 VERSION_COLS = ["precip_dia", "precip_24h", "precip_48h", "precip_72h",
                 "precip_max_horaria", "janela_valida", "n_estacoes"]
-OLD_WITHOUT, NEW_WITHOUT = "signup", "error"
+UTC = "+00:00"
 
 
-def user_days(spark: SparkSession, d: str, exclude: str | None = None,
-              exact: bool = False) -> DataFrame:
-    """Station-days of the hourly series (UTC days), in the X layout."""
-    sd = feat.station_day_agg(events_hourly(spark, d, exclude=exclude, exact=exact), imputed=None, tz="+00:00",
+def user_days(spark: SparkSession, d: str, tz: str = UTC, exact: bool = False) -> DataFrame:
+    """Station-days of the hourly series, in the X layout."""
+    sd = feat.station_day_agg(events_hourly(spark, d, exact=exact), imputed=None, tz=tz,
                               min_hours_complete=1)
     return sd.select(F.col("CODIGO_WMO").alias("CODIGO_MUNICIPIO_IBGE"), "data_local",
                      "precip_dia", "precip_max_horaria",
@@ -231,19 +225,19 @@ def user_days(spark: SparkSession, d: str, exclude: str | None = None,
                      "horas_imputadas", "dia_completo")
 
 
-def features_version(spark: SparkSession, d: str, frame: str,
-                     exclude: str | None = None, exact: bool = False) -> DataFrame:
-    return feat.prior_window_features(user_days(spark, d, exclude, exact), frame=frame)
+def features_version(spark: SparkSession, d: str, frame: str, tz: str = UTC,
+                     exact: bool = False) -> DataFrame:
+    return feat.prior_window_features(user_days(spark, d, tz, exact), frame=frame)
 
 
 def version_new(spark: SparkSession, d: str) -> DataFrame:
-    """Calendar (RANGE) windows over the readings of the newer version."""
-    return features_version(spark, d, "range", NEW_WITHOUT)
+    """Newer version: calendar (RANGE) windows over local days."""
+    return features_version(spark, d, "range", LOCAL_TZ)
 
 
 def version_old(spark: SparkSession, d: str) -> DataFrame:
-    """Row (ROWS) windows over the readings of the older version."""
-    return features_version(spark, d, "rows", OLD_WITHOUT)
+    """Older version: row (ROWS) windows over UTC days."""
+    return features_version(spark, d, "rows", UTC)
 
 
 def user_day_labels(spark: SparkSession, d: str) -> DataFrame:
