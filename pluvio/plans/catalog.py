@@ -408,6 +408,14 @@ def q_group_percentiles(spark, d):
     return finish(st.group_percentiles(mt, VARS, by=["cenario"]))
 
 
+@register("average_rank")
+def q_average_rank(spark, d):
+    """Each station's days ranked by rain; a station's days are a bounded window."""
+    days = S.user_days(spark, d, exact=True)
+    return finish(days.select("CODIGO_MUNICIPIO_IBGE", "data_local", st.average_rank(
+        days, "precip_dia", ["CODIGO_MUNICIPIO_IBGE"]).alias("posto")))
+
+
 @register("rank_auc")
 def q_rank_auc(spark, d):
     mt = st.with_scenarios(S.modelling_table(spark, d))
@@ -437,6 +445,11 @@ def q_null_counts(spark, d):
     return rep.null_counts(S.modelling_table(spark, d))
 
 
+@register("head_preview")
+def q_head_preview(spark, d):
+    return rep.head_preview(S.register_labels(spark, d), 10, ["protocolo"])
+
+
 @register("top_k")
 def q_top_k(spark, d):
     li = read(spark, d, "lineitem", ["l_partkey", "l_discount"])
@@ -574,13 +587,19 @@ def _station_files(spark, d):
 
 @register("station_ingest_round_trip")
 def q_station_ingest_round_trip(spark, d):
-    files = sf.list_station_files(spark, _station_files(spark, d))
-    wide = sf.to_wide(sf.parse_text_files(files))
+    wide = sf.ingest_station_files(spark, _station_files(spark, d))
     wide = wide.withColumn("hora", F.coalesce("Hora", F.col("`Hora UTC`")))
     typed = sf.type_station_rows(wide, "Data", "hora", {"precip_mm": "PRECIPITACAO"}, extra=("UF", "OBS"))
     return finish(typed.withColumn("CODIGO_WMO", to_long("CODIGO_WMO")))
 
 
+@register("ingest_summary")
+def q_ingest_summary(spark, d):
+    docs = read(spark, d, "documents", ["doc_id", "text"])
+    return sf.ingest_summary(docs.select(F.col("doc_id").alias("path")),
+                             sf.parse_text_files(docs, path="doc_id", text="text")).withColumnRenamed("path", "doc_id")
+
+
 @register("register_from_text")
 def q_register_from_text(spark, d):
     """The register as a spreadsheet export writes it: keys with a decimal part

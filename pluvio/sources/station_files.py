@@ -15,16 +15,21 @@ the file's line array:
   short rows padded with NULL, NA tokens -> NULL, all-NULL rows dropped;
 * union by name per distinct header layout, metadata columns first.
 
-One file is one row until the body is exploded, so a file's lines stay in
-one task; files are bounded (one station-year each) and spread over tasks.
+Files are read as lines by splits, so a file of any size goes to many tasks. A line's
+number is its place in its split plus the lines of the file's earlier splits; header
+facts come from the few lines that each split keeps for them, and meet the body once,
+in a join by split (``read_station_lines``, ``parse_lines``). Texts that are already
+rows of a table are parsed in place (``parse_text_files``).
 A field in double quotes may hold the separator, and ``""`` inside it is a quote.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pluvio.session import persist_table
+
 # The 8 metadata fields, in output order.
 HEADER_FIELDS = ["REGIAO", "UF", "ESTACAO", "CODIGO (WMO)", "LATITUDE", "LONGITUDE",
                  "ALTITUDE", "DATA DE FUNDACAO"]
@@ -57,18 +62,30 @@ def split_fields(line: Column, sep: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, sep, -1))
 
 
-def list_station_files(spark: SparkSession, folder: str, max_bytes: int = 256 << 20) -> DataFrame:
-    """(path, text) of every ``*.csv`` / ``*.CSV`` under ``folder``,
-    recursively, decoded from Latin-1; fails when there is none. A file is one
-    row and one task (a station-year has under 1 MB), so a file of more than
-    ``max_bytes`` is refused by name; split it or read it as a table."""
+def read_station_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, split, at, line) of every ``*.csv`` / ``*.CSV`` under ``folder``,
+    recursively, decoded from Latin-1: ``split`` is the byte at which the line's split
+    starts, ``at`` its place in the split, from 0. Fails when there is no file. Read
+    once and written to the shared folder, so that every later step sees the same
+    splits."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,CSV}")
+    if reader.format("binaryFile").load(folder).select("path").limit(1).count() == 0:
+        raise FileNotFoundError(f"no CSV file under {folder}")
+    raw = reader.format("text").option("lineSep", "\n").load(folder)
+    text = F.regexp_replace(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), "\r$", "")
+    rows = persist_table(raw.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"), text.alias("line")), "lines")
+    # the lines of a split have consecutive ids
+    first = rows.groupBy("path", "split").agg(F.min("id").alias("first"))
+    return rows.join(first, ["path", "split"]).select("path", "split", (F.col("id") - F.col("first")).alias("at"), "line")
+
+
+def list_station_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path) of every ``*.csv`` / ``*.CSV`` under ``folder``, also of empty ones."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.{csv,CSV}").load(folder))
-    if files.select("path").limit(1).count() == 0:
-        raise FileNotFoundError(f"no CSV file under {folder}")
-    too_big = F.raise_error(F.concat(F.lit(f"station file over {max_bytes} bytes: "), F.col("path")))
-    return files.select("path", F.when(F.col("length") <= max_bytes, F.decode("content", "ISO-8859-1"))
-                        .otherwise(too_big).alias("text"))
+    return files.select("path")
 
 
 def _meta_entries(lines: Column) -> Column:
@@ -88,9 +105,7 @@ def header_value(entries: Column, field: str) -> Column:
 
 def data_start(lines: Column) -> Column:
     """0-based index of the data header line (8 when none is found)."""
-    pred = F.transform(lines, lambda l: F.contains(l, F.lit("Data"))
-                       & (F.contains(l, F.lit("Hora")) | F.contains(l, F.lit("UTC"))
-                          | F.contains(l, F.lit("PRECIPITA"))))
+    pred = F.transform(lines, _is_header)
     pos = F.array_position(pred, True)
     return F.when(pos > 0, pos - 1).otherwise(F.lit(8)).cast("int")
 
@@ -101,19 +116,21 @@ def delimiter(header_line: Column) -> Column:
     return F.when(n_semi > n_comma, F.lit(";")).otherwise(F.lit(","))
 
 
-def parse_text_files(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """Long form: one row per kept body line with the file's metadata, data
-    start, delimiter, header fields and the line's fields (NA -> NULL)."""
-    lines = F.split(F.col(text), r"\r?\n", -1)
-    f = files.select(F.col(path).alias("path"), lines.alias("__lines"))
-    f = f.withColumns({"__meta": _meta_entries(F.col("__lines")),
-                       "inicio_dados": data_start(F.col("__lines"))})
-    f = f.withColumn("__hdr", F.get(F.col("__lines"), F.col("inicio_dados")))
-    f = f.withColumn("sep", delimiter(F.col("__hdr")))
-    f = f.withColumn("cabecalho", split_fields(F.col("__hdr"), F.col("sep")))
-    meta = [header_value(F.col("__meta"), h).alias(h) for h in HEADER_FIELDS]
-    body = f.select("path", *meta, "inicio_dados", "sep", "cabecalho",
-                    F.posexplode("__lines").alias("linha", "__line"))
+def _is_header(line: Column) -> Column:
+    return F.contains(line, F.lit("Data")) & (F.contains(line, F.lit("Hora")) | F.contains(line, F.lit("UTC"))
+                                              | F.contains(line, F.lit("PRECIPITA")))
+
+
+def _facts(meta: str, start: Column, header: Column) -> list[Column]:
+    """Metadata fields (of the entries in column ``meta``), data start, delimiter and
+    header fields of a file."""
+    meta, sep = F.col(meta), delimiter(header)
+    return [*[header_value(meta, h).alias(h) for h in HEADER_FIELDS], start.cast("int").alias("inicio_dados"),
+            sep.alias("sep"), split_fields(header, sep).alias("cabecalho")]
+
+
+def _kept_rows(body: DataFrame) -> DataFrame:
+    """Body lines (path, facts, linha, __line) -> rows with their fields (NA -> NULL)."""
     body = body.filter((F.col("linha") > F.col("inicio_dados")) & (F.col("__line") != "")
                        & F.col("cabecalho").isNotNull())
     na = F.array(*[F.lit(t) for t in NA_TOKENS])
@@ -124,7 +141,54 @@ def parse_text_files(files: DataFrame, path: str = "path", text: str = "text") -
     return body.filter(F.exists("campos", lambda v: v.isNotNull()))
 
 
-MAX_COLUMNS = 500
+def parse_text_files(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """Long form of files that are rows of a table: one row per kept body line with the
+    file's metadata, data start, delimiter, header fields and the line's fields (NA ->
+    NULL)."""
+    lines = F.split(F.col(text), r"\r?\n", -1)
+    f = files.select(F.col(path).alias("path"), lines.alias("__lines"))
+    f = f.withColumns({"__start": data_start(F.col("__lines")), "__meta": _meta_entries(F.col("__lines"))})
+    f = f.withColumn("__hdr", F.get(F.col("__lines"), F.col("__start")))
+    body = f.select("path", *_facts("__meta", F.col("__start"), F.col("__hdr")),
+                    F.posexplode("__lines").alias("linha", "__line"))
+    return _kept_rows(body)
+
+
+#: Lines at the top of a file that may hold metadata, and the line that is the data
+#: header when no line looks like one.
+HEAD_LINES = 9
+
+
+def split_facts(lines: DataFrame) -> DataFrame:
+    """(path, split, before, facts of the file): ``before`` is the number of lines in the
+    file's earlier splits. A split keeps its first lines and its first data header; one
+    row per split goes on from there."""
+    head = F.col("at") < HEAD_LINES
+    looks = F.when(_is_header(F.col("line")), F.col("at"))
+    splits = lines.groupBy("path", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.min(looks).alias("hit"), F.min_by("line", looks).alias("hit_line"),
+        F.collect_list(F.when(head, F.struct("at", "line"))).alias("top"))
+    order = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    placed = F.transform("top", lambda t: F.struct((t["at"] + F.col("before")).alias("at"), t["line"].alias("line")))
+    heads = splits.select("path", "before", "hit", "hit_line",
+                          F.filter(placed, lambda t: t["at"] < HEAD_LINES).alias("top"))
+    place = F.col("before") + F.col("hit")
+    files = heads.groupBy("path").agg(
+        F.min(place).alias("start"), F.min_by("hit_line", place).alias("found"),
+        F.array_sort(F.flatten(F.collect_list("top"))).alias("top"))
+    texts = F.transform("top", lambda t: t["line"])
+    header = F.when(F.col("start").isNotNull(), F.col("found")).otherwise(F.get(texts, F.lit(HEAD_LINES - 1)))
+    files = files.withColumn("meta", _meta_entries(texts)).select(
+        "path", *_facts("meta", F.coalesce("start", F.lit(HEAD_LINES - 1)), header))
+    return splits.select("path", "split", "before").join(files, "path")
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """``parse_text_files`` over the lines of ``read_station_lines``."""
+    return _kept_rows(lines.join(split_facts(lines), ["path", "split"]).select(
+        "path", *HEADER_FIELDS, "inicio_dados", "sep", "cabecalho",
+        (F.col("before") + F.col("at")).alias("linha"), F.col("line").alias("__line")))
 
 
 def column_names(header: Column) -> Column:
@@ -143,14 +207,12 @@ def to_wide(long: DataFrame) -> DataFrame:
 
     Column names are made per row from its header (``column_names``), so a row
     becomes a name -> field map without any lookup table. The driver only gets
-    the distinct names, one more than ``MAX_COLUMNS`` at most: more names than
-    that mean malformed headers and are refused. A body column named like a
-    metadata field would be ambiguous and is refused too."""
+    the distinct names, which are the columns of the result; where headers are so
+    malformed that this is no table, the long form has every row. A body column named
+    like a metadata field would be ambiguous and is refused."""
     named = long.withColumn("__nomes", column_names(F.col("cabecalho")))
     names = [r["n"] for r in named.select(F.posexplode("__nomes").alias("i", "n")).groupBy("n")
-             .agg(F.min("i").alias("i")).orderBy("i", "n").limit(MAX_COLUMNS + 1).collect()]
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} column names: malformed headers")
+             .agg(F.min("i").alias("i")).orderBy("i", "n").collect()]
     if clash := sorted(set(names) & set(HEADER_FIELDS)):
         raise ValueError(f"body columns named like metadata fields: {clash}")
     m = F.map_from_arrays(F.col("__nomes"),
@@ -169,7 +231,7 @@ def ingest_summary(files: DataFrame, long: DataFrame) -> DataFrame:
 
 def ingest_station_files(spark: SparkSession, folder: str) -> DataFrame:
     """Folder of raw station files -> one all-string table."""
-    return to_wide(parse_text_files(list_station_files(spark, folder)))
+    return to_wide(parse_lines(read_station_lines(spark, folder)))
 
 
 def type_station_rows(wide: DataFrame, date_col: str = "Data", hour_col: str = "Hora UTC",

@@ -195,7 +195,7 @@ def test_station_files_with_quotes_and_blanks(spark, tmp_path):
         with open(os.path.join(tmp_path, name), "w", encoding="latin-1", newline="") as f:
             f.write("\n".join(body) + "\n")
     files = sf.list_station_files(spark, str(tmp_path))
-    long = sf.parse_text_files(files)
+    long = sf.parse_lines(sf.read_station_lines(spark, str(tmp_path)))
     rows = sorted(long.collect(), key=lambda r: r.linha)
     assert [r.campos[2] for r in rows] == ["a;b", 'say "hi"', "plain"]
     assert rows[0]["REGIAO"] == "SE" and rows[2].campos[0] == "2020-01-01"
@@ -203,14 +203,6 @@ def test_station_files_with_quotes_and_blanks(spark, tmp_path):
     assert n == {"a.csv": (3, False), "empty.csv": (0, True)}
 
 
-def test_oversized_station_files_are_refused(spark, tmp_path):
-    with open(os.path.join(tmp_path, "a.csv"), "w", encoding="latin-1") as f:
-        f.write("\n".join(["x"] * 8 + ["Data;Hora", "2020-01-01;01:00"]))
-    assert sf.parse_text_files(sf.list_station_files(spark, str(tmp_path))).count() == 1
-    with pytest.raises(Exception, match="station file over 10 bytes"):
-        sf.parse_text_files(sf.list_station_files(spark, str(tmp_path), max_bytes=10)).collect()
-
-
 def test_ambiguous_column_names_are_refused(spark, tmp_path):
     with open(os.path.join(tmp_path, "a.csv"), "w", encoding="latin-1") as f:
         f.write("\n".join(["x"] * 8 + ["Data;Hora;UF", "2020-01-01;01:00;MG"]))

@@ -38,7 +38,7 @@ def folder():
 
 
 def test_long_form_rules(spark, folder):
-    long = sf.parse_text_files(sf.list_station_files(spark, folder)).collect()
+    long = sorted(sf.parse_lines(sf.read_station_lines(spark, folder)).collect(), key=lambda r: r.linha)
     by = {}
     for r in long:
         by.setdefault(os.path.basename(r.path), []).append(r)
@@ -69,7 +69,7 @@ def test_wide_union_by_name(spark, folder):
 def test_empty_folder_fails(spark):
     d = tempfile.mkdtemp(prefix="pluvio-empty-")
     with pytest.raises(Exception):
-        sf.list_station_files(spark, d)
+        sf.read_station_lines(spark, d)
 
 
 def test_column_names(spark):
@@ -96,3 +96,36 @@ def test_warehouse_scan_prunes_partitions(spark, tmp_path):
     got.createOrReplaceTempView("wh_scan")
     plan = spark.sql("EXPLAIN SELECT * FROM wh_scan").first()[0]
     assert "PartitionFilters" in plan and "2003" in plan
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    """Splits of a few lines each: same rows as the file taken whole, also where the
+    header comes late or the first lines lie in several splits."""
+    body = [f"2020/01/{i % 28 + 1:02d};{i % 24:02d}00 UTC;{i},5" for i in range(3000)]
+    _write(str(tmp_path), "late.csv", META + ["free text " * 30] * 5 + ["Data;Hora UTC;CHUVA"] + body + ["Data;UTC;again"])
+    _write(str(tmp_path), "none.csv", [m + "x" * 300 for m in META] + ["a;b;c"] + body[:50])
+    _write(str(tmp_path), "short.csv", META[:4])
+    keys = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        lines = sf.read_station_lines(spark, str(tmp_path))
+        assert lines.select("path", "split").distinct().count() > 50
+        got = sf.parse_lines(lines).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    texts = [(name, open(os.path.join(tmp_path, name), encoding="latin-1", newline="").read())
+             for name in ("late.csv", "none.csv", "short.csv")]
+    want = sf.parse_text_files(spark.createDataFrame(texts, "path string, text string")).collect()
+    plain = lambda rows: sorted((os.path.basename(r.path), r.linha, *r[1:12], *map(str, r.campos)) for r in rows)
+    assert len(got) == 3051 and plain(got) == plain(want)
+
+
+def test_more_names_than_a_spreadsheet_has(spark):
+    rows = [("f", 1, [f"c{i}" for i in range(700)], [str(i) for i in range(700)])]
+    meta = {h: F.lit("") for h in sf.HEADER_FIELDS}
+    long = spark.createDataFrame(rows, "path string, linha int, cabecalho array<string>, campos array<string>").withColumns(meta)
+    wide = sf.to_wide(long)
+    assert len(wide.columns) == 708 and wide.first()["c699"] == "699"
