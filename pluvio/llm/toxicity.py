@@ -10,10 +10,9 @@ trees have not seen turns their margin into a probability.
 
 from __future__ import annotations
 
-import math
 import re
+import string
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +23,12 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.words import release_memory
+from pluvio.llm.words import Words, batch_words, fold_ascii, hash_ranges, release_memory, slices
 from pluvio.session import persist_table
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[\W\d_]+")
+_CAPITAL = re.compile("[A-ZÀ-ÖØ-Þ]")
 
 #: Digits and signs written for letters.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t",
@@ -84,113 +83,217 @@ def labelled(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     return known
 
 
-def learn_lexicon(train: DataFrame, least_documents: int = 5, least_odds: float = 1.5,
-                  size: int = 20_000) -> dict[str, float]:
+def learn_lexicon(train: DataFrame, least_documents: int = 5, least_odds: float = 1.5) -> dict[str, float]:
     """Entries with their log odds of being in a toxic against another document.
 
-    ``train`` has ``text`` and ``toxic``. Every task counts in how many of its
-    documents an entry occurs; candidates are the ``size`` most frequent entries
-    of toxic documents (at least ``least_documents``), and only these are then
-    counted in the other documents, so both results are bounded."""
-
-    def counting(only: frozenset | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found: Counter = Counter()
-            plain: dict[str, list[str]] = {}
-            for b in batches:
-                for text in b.column("text").to_pylist():
-                    own = set()
-                    for w in set(_WORD.findall(text or "")):
-                        e = plain.get(w)
-                        if e is None:
-                            e = entries(plain_word(w)[0])
-                            if only is not None:
-                                e = [x for x in e if x in only]
-                            if len(plain) > 100_000:
-                                plain.clear()
-                            plain[w] = e
-                        own.update(e)
-                    found.update(own)
-                    if len(found) > 200_000:
-                        yield _counts(found)
-                        found.clear()
-            yield _counts(found)
-            found.clear()
-            plain.clear()
-            release_memory()
-        return run
-
-    def documents(rows: DataFrame, only: frozenset | None = None) -> DataFrame:
-        return (rows.select("text").mapInArrow(counting(only), "entry string, n long")
-                .groupBy("entry").agg(F.sum("n").alias("n")))
-
-    toxic, clean = train.where("toxic = 1"), train.where("toxic = 0")
+    ``train`` has ``text`` and ``toxic``; in one pass every task counts in how many of
+    its documents of either class an entry occurs. Entries of at least
+    ``least_documents`` toxic documents and ``least_odds`` are the lexicon; their number
+    is bounded by the bounded number of labelled texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[str, int] = {}
+        of_word: dict[int, list[int]] = {}
+        found = np.zeros((2, 0), np.int64)
+
+        def counts() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(numbers), pa.string()), *[pa.array(f[:len(numbers)]) for f in found]],
+                names=["entry", "clean", "toxic"])
+
+        for b in slices(batches):
+            words = batch_words(b.column(0))
+            doc = np.repeat(np.arange(b.num_rows), words.counts())
+            distinct, at, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+            held = []
+            raw = words.data.tobytes()
+            for h, i in zip(distinct.tolist(), at.tolist()):
+                e = of_word.get(h)
+                if e is None:
+                    word = raw[words.start[i]:words.end[i]].decode()
+                    e = of_word[h] = [numbers.setdefault(x, len(numbers)) for x in entries(plain_word(word)[0])]
+                held.append(e)
+            if found.shape[1] < len(numbers):
+                found = np.pad(found, ((0, 0), (0, 2 * len(numbers) - found.shape[1])))
+            n_entries = np.array([len(e) for e in held] or [0], np.int64)
+            flat = np.array([x for e in held for x in e], np.int64)
+            first = np.concatenate([[0], np.cumsum(n_entries)])
+            pair = np.unique(doc * max(1, len(distinct)) + inverse) if len(distinct) else np.zeros(0, np.int64)
+            who, word = np.divmod(pair, max(1, len(distinct)))
+            times = n_entries[word] if len(word) else word
+            inner = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+            each = np.unique(np.repeat(who, times) * max(1, len(numbers)) + flat[np.repeat(first[word], times) + inner])
+            who, entry = np.divmod(each, max(1, len(numbers)))
+            toxic = np.asarray(b.column(1)).astype(bool)
+            for k in (0, 1):
+                found[k] += np.bincount(entry[toxic[who] == bool(k)], minlength=found.shape[1])
+            if len(numbers) > 300_000:
+                yield counts()
+                numbers, of_word, found = {}, {}, np.zeros((2, 0), np.int64)
+        if numbers:
+            yield counts()
+        numbers, of_word = {}, {}
+        release_memory()
+
     sizes = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    bad = {r["entry"]: r["n"] for r in documents(toxic).where(F.col("n") >= least_documents)
-           .orderBy(F.desc("n"), "entry").limit(size).collect()}
-    if not bad or not sizes.get(0):
+    if not sizes.get(1) or not sizes.get(0):
         return {}
-    good = {r["entry"]: r["n"] for r in documents(clean, frozenset(bad)).collect()}
-    odds = {e: math.log((n + 0.5) / (sizes[1] + 1)) - math.log((good.get(e, 0) + 0.5) / (sizes[0] + 1))
-            for e, n in bad.items()}
-    return {e: o for e, o in odds.items() if o >= least_odds}
+    rows = train.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "entry string, clean long, toxic long")
+    odds = (F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1)))
+    kept = (rows.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+            .where(F.col("toxic") >= least_documents).select("entry", odds.alias("odds")).where(F.col("odds") >= least_odds))
+    return {r["entry"]: r["odds"] for r in kept.collect()}
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    ends = np.cumsum([len(w) for w in words]).astype(np.int64)
+    return hash_ranges(np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends)
+
 
+class _Lookup:
+    """Values by the hash of an entry."""
 
-def _counts(found: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()),
-                                       pa.array(list(found.values()), pa.int64())], names=["entry", "n"])
+    def __init__(self, values: dict[str, float]):
+        keys = _hashes([k.encode() for k in values])
+        order = np.argsort(keys)
+        self._keys, self._values = keys[order], np.array(list(values.values()), float)[order]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self._keys):
+            return np.zeros(len(hashes))
+        at = np.minimum(np.searchsorted(self._keys, hashes), len(self._keys) - 1)
+        return np.where(self._keys[at] == hashes, self._values[at], 0.0)
+
+
+def _class(characters) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[[ord(c) for c in characters]] = True
+    return out
+
+
+_UPPER, _LOWER = _class(string.ascii_uppercase), _class(string.ascii_lowercase)
+_MARKS = _class("!?.,;:*#$%&|")
+_ALNUM = _UPPER | _LOWER | _class(string.digits)
 
 
 class FeatureReader:
-    """Dense features of a text for a given lexicon."""
+    """Dense features of texts for a given lexicon: sums of what each word adds, worked
+    out once per distinct word of a slice. ASCII words of letters only or without any
+    letter are looked up as arrays; the others, whose spelling has to be read, one by
+    one, and remembered."""
 
     MAX_WORDS = 120_000
 
     def __init__(self, lexicon: dict[str, float]):
         self._lexicon = lexicon
         self._strong = 3.0
-        self._known: dict[str, tuple[float, float, bool, bool, int]] = {}
-
-    def _word(self, word: str) -> tuple[float, float, bool, bool, int]:
-        """Weight as a whole word, as a beginning, second person, obfuscated, number."""
+        self._whole = _Lookup({k: v for k, v in lexicon.items() if not k.endswith("~")})
+        self._stems = [_Lookup({k[:-1]: v for k, v in lexicon.items() if k.endswith("~") and len(k) == n + 1}) for n in STEMS]
+        self._second = _Lookup({w: 1.0 for w in SECOND_PERSON})
+        self._known: dict[int, tuple] = {}
+
+    def _word(self, word: str) -> tuple:
+        """Weight as a whole word, as a beginning, second person, obfuscated, letters,
+        capitals, whether in capitals; and the plain word if it has weight."""
         plain, hidden = plain_word(word)
         whole, *stems = entries(plain) or [""]
-        value = (self._lexicon.get(whole, 0.0), max((self._lexicon.get(s, 0.0) for s in stems), default=0.0),
-                 plain in SECOND_PERSON, hidden, hash(plain))
+        weight, stem = self._lexicon.get(whole, 0.0), max((self._lexicon.get(s, 0.0) for s in stems), default=0.0)
+        return (weight, stem, plain in SECOND_PERSON, hidden, sum(map(str.isalpha, word)), len(_CAPITAL.findall(word)),
+                word.isupper() and len(word) > 1), plain.encode() if weight or stem else None
+
+    def _distinct(self, words: Words, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row per distinct word (as in :meth:`_word`, and its exclamation marks and
+        marks) and the number of its plain word. ``at``: where it first occurs, ascending."""
+        data, start, end = words.data, words.start[at], words.end[at]
+
+        def count(mask: np.ndarray, lo=start, hi=end) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
+            return sums[hi] - sums[lo]
+        upper, lower, alnum = _UPPER[data], _LOWER[data], _ALNUM[data]
+        letter = upper | lower
+        # the word without marks at its edges
+        place = np.arange(len(data))
+        after = np.minimum.accumulate(np.where(alnum, place, len(data))[::-1])[::-1]
+        before = np.maximum.accumulate(np.where(alnum, place, -1))
+        lo = np.minimum(after[start], end)
+        hi = np.maximum(np.minimum(before[end - 1] + 1, end), lo)
+        letters, inner = count(letter), count(letter, lo, hi)
+        plain = (count(data >= 128) == 0) & ((inner == hi - lo) | (inner == 0))
+        out, number = np.zeros((len(at), 9)), np.zeros(len(at), np.uint64)
+        capitals = count(upper)
+        out[:, 4], out[:, 5] = letters, capitals
+        out[:, 6] = (capitals > 0) & (count(lower) == 0) & (end - start > 1)
+        out[:, 7], out[:, 8] = count(data == 33), count(_MARKS[data])
+        folded = fold_ascii(data)
+        own = np.flatnonzero(plain & (hi > lo))
+        number[own] = hash_ranges(folded, lo[own], hi[own])
+        out[own, 0], out[own, 2] = self._whole.of(number[own]), self._second.of(number[own])
+        for n, stems in zip(STEMS, self._stems):
+            long = own[hi[own] - lo[own] > n]
+            out[long, 1] = np.maximum(out[long, 1], stems.of(hash_ranges(folded, lo[long], lo[long] + n)))
         if len(self._known) > self.MAX_WORDS:
             self._known.clear()
-        self._known[word] = value
-        return value
-
-    def read(self, text: str | None) -> list[float]:
-        text = text or ""
-        words = _WORD.findall(text)
-        n = len(words)
-        if not n:
-            return [0.0] * len(FEATURES)
-        known = self._known
-        info = [known.get(w) or self._word(w) for w in words]
-        whole = np.array([i[0] for i in info])
-        stem = np.array([i[1] for i in info])
-        you = np.array([i[2] for i in info])
-        hidden = np.array([i[3] for i in info])
+        raw, known, spelled = data.tobytes(), self._known, {}
+        rest = np.flatnonzero(~plain)
+        for k, h, s, e in zip(rest.tolist(), hashes[rest].tolist(), start[rest].tolist(), end[rest].tolist()):
+            row = known.get(h)
+            if row is None:
+                row = known[h] = self._word(raw[s:e].decode())
+            out[k, :7] = row[0]
+            if row[1]:
+                spelled[k] = row[1]
+        if spelled:
+            number[list(spelled)] = _hashes(list(spelled.values()))
+        return out, number
+
+    def read(self, texts: pa.Array) -> np.ndarray:
+        """A row of features per text; null counts as empty."""
+        words = batch_words(texts)
+        n, total = words.counts(), int(words.first[-1])
+        out = np.zeros((len(n), len(FEATURES)))
+        if not total:
+            return out
+        _, at, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        order = np.argsort(at)
+        rank = np.empty(len(at), np.int64)
+        rank[order] = np.arange(len(at))
+        rows, numbers = self._distinct(words, at[order], words.hashes[at[order]])
+        of_word = rank[inverse]
+        whole, stem, you, hidden, letters, capitals, upper, loud, marks = rows[of_word].T
+        doc = np.repeat(np.arange(len(n)), n)
+        first, some = words.first, n > 0
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            return np.bincount(doc, weights=values, minlength=len(n))
+
         weight = np.maximum(whole, stem)
         hit = weight > 0
-        at = np.flatnonzero(hit)
-        reach = np.zeros(n + 1, np.int64)
-        for p in np.flatnonzero(you):
-            reach[max(0, p - NEAR_WORDS)] += 1
-            reach[min(n, p + NEAR_WORDS + 1)] -= 1
-        near = np.cumsum(reach)[:-1] > 0
-        letters = sum(map(str.isalpha, text)) if not text.isascii() else len(re.findall("[A-Za-z]", text))
-        capitals = len(re.findall("[A-ZÀ-ÖØ-Þ]", text))
-        return [
-            math.log1p(n), math.log1p(len(at)), len(at) / n, float((weight > self._strong).sum()) / n,
-            math.log1p(len({info[i][4] for i in at})), float((stem > 0).sum()) / n,
-            float(weight.sum()) / n, float(weight.max()), float((hit & near).sum()) / n, float(you.sum()) / n,
-            capitals / max(letters, 1), sum(w.isupper() and len(w) > 1 for w in words) / n,
-            text.count("!") / n, len(re.findall(r"[!?.,;:*#$%&|]", text)) / n, float(hidden.sum()) / n,
-            float((hidden & hit).sum()) / n, float((np.diff(at) <= NEAR_WORDS).sum()) / n if len(at) > 1 else 0.0]
+        spot = np.flatnonzero(hit)
+        near = np.zeros(total + 1, np.int64)
+        p = np.flatnonzero(you)
+        np.add.at(near, np.maximum(first[doc[p]], p - NEAR_WORDS), 1)
+        np.add.at(near, np.minimum(first[doc[p] + 1], p + NEAR_WORDS + 1), -1)
+        near = np.cumsum(near)[:-1] > 0
+        hits = per_text(hit)
+        kinds, kind = np.unique(numbers[of_word[spot]], return_inverse=True)
+        different = np.unique(doc[spot] * (len(kinds) + 1) + kind) // (len(kinds) + 1)
+        close = (np.diff(spot) <= NEAR_WORDS) & (np.diff(doc[spot]) == 0)
+        most = np.zeros(len(n))
+        most[some] = np.maximum.reduceat(weight, first[:-1][some])
+        sums = {
+            "hit_density": hit, "strong_density": weight > self._strong, "stem_density": stem > 0, "weight_mean": weight,
+            "near_second_person": hit & near, "second_person_density": you, "capital_words": upper, "exclamations": loud,
+            "punctuation": marks, "obfuscated": hidden, "obfuscated_hits": hidden * hit}
+        size = np.maximum(n, 1)
+        whole_text = {
+            "log_words": np.log1p(n), "hits": np.log1p(hits), "weight_max": most,
+            "distinct_hits": np.log1p(np.bincount(different, minlength=len(n))),
+            "capital_letters": per_text(capitals) / np.maximum(per_text(letters), 1),
+            "neighbour_hits": np.bincount(doc[spot[1:]], weights=close, minlength=len(n)) / size}
+        for i, name in enumerate(FEATURES):
+            out[:, i] = whole_text[name] if name in whole_text else per_text(sums[name]) / size
+        out[~some] = 0
+        return out
 
 
 def text_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
@@ -201,8 +304,11 @@ def text_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = FeatureReader(lexicon)
         for b in batches:
-            rows = [reader.read(t) for t in b.column(0).field("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))],
+            texts = pa.RecordBatch.from_arrays([b.column(0).field("text").cast(pa.string())], names=["text"])
+            rows = [reader.read(part.column(0)) for part in slices(iter([texts]))]
+            flat = np.concatenate(rows).ravel() if rows else np.zeros(0)
+            ends = np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, flat)],
                                              names=["_row", "features"])
         del reader
         release_memory()
@@ -240,7 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 60_000, trees: i
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = labelled(base, labels, max_labelled)
     # at most max_labelled ids and labels: a bounded table
-    train = base.join(F.broadcast(known), "doc_id")
+    train = persist_table(base.join(F.broadcast(known), "doc_id"), "labelled")
     counts = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     if len(counts) < 2:
