@@ -58,19 +58,42 @@ def orphan_check(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None =
             .withColumn("contagem_preservada", F.col("n_linhas") == F.col("n_apos_join"))
 
 
+def part_fingerprints(df: DataFrame, part: str) -> DataFrame:
+    """(p, n, f1, f2): rows per ``part`` and two sums of row hashes. The sums do not
+    depend on the order of rows, and those of several files of a part add up, so they
+    can be kept beside the files. NULL and its place in the row count too."""
+    cols = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    row = [F.xxhash64(F.lit(seed), *cols).cast("decimal(38,0)") for seed in (1, 2)]
+    return df.groupBy(F.col(part).alias("p")).agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(h).alias(f"f{i}") for i, h in enumerate(row, start=1)])
+
+
+def merged_fingerprints(*tables: DataFrame) -> DataFrame:
+    """Fingerprints of all files of each part together."""
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t)
+    return every.groupBy("p").agg(*[F.sum(c).alias(c) for c in ("n", "f1", "f2")])
+
+
 def row_conservation(source: DataFrame, consolidated: DataFrame, part: str) -> DataFrame:
     """Rows per ``part`` in the source against the consolidated table: one scan
     and one partial aggregate each, no list of parts (any value counts, NULL
-    too). ``partes_divergentes`` counts the parts whose rows differ; conserved
-    means none does."""
-    tagged = (source.select(F.col(part).alias("p"), F.lit(1).alias("a"), F.lit(0).alias("b"))
-              .unionAll(consolidated.select(F.col(part).alias("p"), F.lit(0).alias("a"), F.lit(1).alias("b"))))
-    per = tagged.groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    too). ``partes_divergentes`` counts the parts whose rows differ in number,
+    ``partes_alteradas`` those with as many rows but another content; conserved
+    means neither occurs."""
+    a, b = (part_fingerprints(t.select(*source.columns), part) for t in (source, consolidated))
+    tagged = a.select("p", F.lit(1).alias("s"), "n", "f1", "f2").unionAll(b.select("p", F.lit(-1).alias("s"), "n", "f1", "f2"))
+    side = lambda s: F.sum(F.when(F.col("s") == s, F.col("n")).otherwise(0))
+    per = tagged.groupBy("p").agg(side(1).alias("a"), side(-1).alias("b"), F.sum(F.col("s") * F.col("f1")).alias("d1"),
+                                  F.sum(F.col("s") * F.col("f2")).alias("d2"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    altered = (F.col("a") == F.col("b")) & ((F.col("d1") != 0) | (F.col("d2") != 0))
     return (per.agg(total("a").alias("n_partes"), F.count_if(F.col("a") > 0).cast("bigint").alias("n_arquivos"),
                     total("b").alias("n_consolidado"),
-                    F.count_if(F.col("a") != F.col("b")).cast("bigint").alias("partes_divergentes"))
-               .withColumn("conservado", F.col("partes_divergentes") == 0))
+                    F.count_if(F.col("a") != F.col("b")).cast("bigint").alias("partes_divergentes"),
+                    F.count_if(altered).cast("bigint").alias("partes_alteradas"))
+               .withColumn("conservado", (F.col("partes_divergentes") == 0) & (F.col("partes_alteradas") == 0)))
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.functions.scalars import (code_to_name, date_range_pred, norm_text,
-                                     not_year_null_safe, to_long)
+                                     not_year_null_safe, to_long, to_ts_coerce)
 from pluvio.operators import labels as lab
 from pluvio.operators import reports as rep
 from pluvio.plans import standins as S
 from pluvio.plans.common import finish, read
 from pluvio.session import persist_table
 from pluvio.sources import sinks as snk
-from pluvio.sources.tables import register_scan
+from pluvio.sources.tables import coercion_errors, register_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -353,7 +353,7 @@ def q_row_conservation(spark, d):
     c = contract.agg(*[F.count_if(F.col("status") == x).alias(x) for x in ("faltando", "extra", "renomeada")])
     return rep.metric_report([
         rep.metric_rows(r, "conservacao", {x: x for x in ("n_partes", "n_arquivos", "n_consolidado",
-                                                          "partes_divergentes", "conservado")}),
+                                                          "partes_divergentes", "partes_alteradas", "conservado")}),
         rep.metric_rows(dedup_n, "dedup", {"n_periodo_distintos": "n"}),
         rep.metric_rows(c, "contrato", {"colunas_faltando": "faltando", "colunas_extra": "extra",
                                         "colunas_renomeadas": "renomeada"}),
@@ -600,10 +600,9 @@ def q_ingest_summary(spark, d):
                              sf.parse_text_files(docs, path="doc_id", text="text")).withColumnRenamed("path", "doc_id")
 
 
-@register("register_from_text")
-def q_register_from_text(spark, d):
+def _register_export(spark, d):
     """The register as a spreadsheet export writes it: keys with a decimal part
-    or damaged, US dates next to ISO dates; read back and typed."""
+    or damaged, US dates next to ISO dates; read back as text."""
     raw = S.register_raw(spark, d)
     k = F.col("Protocolo_S2ID")
     text = raw.select(
@@ -615,7 +614,25 @@ def q_register_from_text(spark, d):
         F.when(k % 11 == 0, "31/31/2000").otherwise(F.date_format("Data_Registro", "M/d/yyyy")).alias("Data_Registro"),
         " Regiao ")
     path = snk.csv_sink(text, snk.scratch_path(text, "registro"), sep=";", bom=True)
-    back = register_scan(spark, path, "csv", ", ".join(f"`{c}` string" for c in text.columns), sep=";")
+    return register_scan(spark, path, "csv", ", ".join(f"`{c}` string" for c in text.columns), sep=";")
+
+
+@register("register_errors")
+def q_register_errors(spark, d):
+    """What typing the export loses, per column and reason."""
+    back = _register_export(spark, d)
+    bad = coercion_errors(back, {
+        "cod_cobrade": to_long("cod_cobrade"), "cod_ibge_mun": to_long("cod_ibge_mun"),
+        "data_evento": to_ts_coerce("data_evento", ("M/d/yyyy",)),
+        "data_registro": to_ts_coerce("data_registro", ("M/d/yyyy",))}, "protocolo_s2id")
+    return bad.groupBy("coluna", "motivo").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                               F.min("valor").alias("exemplo"))
+
+
+@register("register_from_text")
+def q_register_from_text(spark, d):
+    """The export typed."""
+    back = _register_export(spark, d)
     reg = lab.prepare_register(back, drop_record_year=S.DROP_RECORD_YEAR, date_formats=("M/d/yyyy",))
     return reg.select(to_long("protocolo_s2id").alias("protocolo"), "cobrade", "ibge",
                       F.to_date("data_evento").alias("data_evento"),

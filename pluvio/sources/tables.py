@@ -3,9 +3,9 @@ tables with partition pruning, disaster-register exports."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.operators.labels import normalize_columns
@@ -40,3 +40,18 @@ def register_scan(spark: SparkSession, path: str, fmt: str = "parquet",
     else:
         df = spark.read.parquet(path)
     return normalize_columns(df)
+
+
+def coercion_errors(raw: DataFrame, typed: Mapping[str, Column], key: str) -> DataFrame:
+    """One row per text value that coercion turns into NULL: (key, coluna, motivo,
+    valor). ``typed`` has the coerced form of each text column. ``motivo``: ``vazio`` for
+    blanks, ``nao_inteiro`` for numbers that are not whole, else ``invalido``. A NULL
+    text is no error."""
+    def entry(name: str, value: Column) -> Column:
+        text = F.col(f"`{name}`").cast("string")
+        why = (F.when(F.trim(text) == "", "vazio").when(text.try_cast("double").isNotNull(), "nao_inteiro")
+               .otherwise("invalido"))
+        return F.when(text.isNotNull() & value.isNull(), F.struct(
+            F.lit(name).alias("coluna"), why.alias("motivo"), text.alias("valor")))
+    found = F.array_compact(F.array(*[entry(n, v) for n, v in typed.items()]))
+    return raw.select(F.col(key), F.explode(found).alias("e")).select(key, "e.*")

@@ -216,3 +216,30 @@ def test_change_direction_in_one_aggregate(spark):
     d = compare.change_direction(a, b, ["k"], ["x", "y"])
     got = {r.coluna: (r.n_mudou, r.dif_min, r.dif_max, r.dif_abs_media, r.novo_sempre_menor_ou_igual) for r in d.collect()}
     assert got == {"x": (2, -2.0, -0.5, 1.25, True), "y": (1, 1.0, 1.0, 1.0, False)}
+
+
+def test_a_changed_value_with_equal_counts_is_reported(spark):
+    rows = [("a", 1, None), ("a", 2, "x"), ("b", 3, "y"), (None, 4, "z")]
+    src = spark.createDataFrame(rows, "p string, v int, t string")
+    for changed in ([("a", 1, None), ("a", 5, "x")], [("a", 1, ""), ("a", 2, "x")], [("a", None, None), ("a", 2, "x")]):
+        r = quality.row_conservation(src, spark.createDataFrame([*changed, *rows[2:]], "p string, v int, t string"), "p").first()
+        assert (r.partes_divergentes, r.partes_alteradas, r.conservado) == (0, 1, False)
+    assert quality.row_conservation(src, src.orderBy(F.desc("v")), "p").first().conservado
+
+
+def test_fingerprints_of_files_add_up(spark):
+    df = spark.createDataFrame([("a", i, str(i % 3)) for i in range(40)] + [(None, 1, None)], "p string, v int, t string")
+    whole = quality.part_fingerprints(df, "p")
+    parts = quality.merged_fingerprints(*[quality.part_fingerprints(df.where(f"v % 3 = {k}"), "p") for k in range(3)])
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_coercion_errors_name_row_column_and_reason(spark):
+    from pluvio.functions.scalars import to_date_coerce, to_long
+    from pluvio.sources.tables import coercion_errors
+    df = spark.createDataFrame([(1, "12", "2020-01-01"), (2, "1.5", " "), (3, "x", None), (4, "", "31/31/2000")],
+                               "k int, code string, day string")
+    got = coercion_errors(df, {"code": to_long("code"), "day": to_date_coerce("day")}, "k")
+    assert sorted(map(tuple, got.collect())) == [
+        (2, "code", "nao_inteiro", "1.5"), (2, "day", "vazio", " "), (3, "code", "invalido", "x"),
+        (4, "code", "vazio", ""), (4, "day", "invalido", "31/31/2000")]
