@@ -2,10 +2,11 @@ import inspect
 
 import corpus_pipeline
 import __spark_entry__ as E
+import duckdb
 import pytest
 
 from pluvio.llm import minhash_dedup, quality_rules, toxicity
-from pluvio.llm.queries import QUERIES, table
+from pluvio.llm.queries import ORACLE, QUERIES, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_registration():
     names = E.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert all(list(inspect.signature(f).parameters) == ["spark", "docs", "sf_dir"] for _, f in corpus_pipeline.STAGES)
 
 
@@ -46,5 +47,22 @@ def test_queries_cover_their_tables(spark, name):
         assert rows.count() > 0
     elif name == "op2_embedding_dedup":
         assert rows.count() == table(spark, SF, "embeddings").count()
+    elif name == "op13_prefix_trie":
+        assert rows.where("depth = 0").first()["n_convs"] == table(spark, SF, "conversations").select("conv_id").distinct().count()
+    elif name == "op11_collocations":
+        words = table(spark, SF, "documents").selectExpr("lang", "size(split(trim(regexp_replace(text, '[ .,;:!?\t-\r]+', ' ')), ' ')) as n")
+        assert {r["lang"]: r["n"] for r in rows.collect()}.items() <= {
+            r["lang"]: r["n"] for r in words.groupBy("lang").agg({"n": "sum"}).toDF("lang", "n").collect()}.items()
     else:
         assert rows.select("doc_id").distinct().count() == table(spark, SF, "documents").count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_match_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    rows = QUERIES[name](spark, SF)
+    want = con.sql(ORACLE[name])
+    assert sorted(rows.columns) == sorted(want.columns)
+    assert sorted(map(repr, map(tuple, rows.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
