@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.words import release_memory, text_buffers
+from pluvio.llm.words import release_memory, text_buffers, word_spans
 from pluvio.session import persist_table
 
 BLOCK_SCHEMA = "block long, n_docs long, n_words long, docs binary"
@@ -73,8 +73,8 @@ def document_blocks(docs: DataFrame, column: str = "text",
 
         def flush():
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            data, _ = text_buffers(rows.column(rows.schema.get_field_index(column)))
-            words = int(np.count_nonzero(data == 32) + rows.num_rows)
+            spans, _, _ = word_spans(*text_buffers(rows.column(rows.schema.get_field_index(column))))
+            words = len(spans) + rows.num_rows
             return pa.RecordBatch.from_pydict(
                 {"block": [base + n], "n_docs": [rows.num_rows], "n_words": [words],
                  "docs": [pack_batch(rows)]},

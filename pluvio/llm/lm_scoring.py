@@ -3,10 +3,11 @@
 Counts come from all training documents: every block of documents reduces its
 n-grams to sorted keys with counts, hash-range buckets add them up over all
 blocks, and each block gets back the corpus counts of its own n-grams. From
-these it builds the part of the automaton that its documents can reach: a state
-per history, an arc per seen n-gram, and a failure arc to the next shorter
-history. One left-to-right pass per document carries the state and adds up the
-arcs' log-probabilities; all documents of a block are traversed together.
+these it builds the part of the automaton that its documents can reach: a
+numbered state per seen history, an arc per seen n-gram with its target state,
+and a failure arc to the state of the next shorter history. One left-to-right
+pass per document carries the state from token to token and adds up the
+log-probabilities of the arcs it takes.
 """
 
 from __future__ import annotations
@@ -74,42 +75,78 @@ class Totals:
 class BackoffAutomaton:
     """The automaton over one block's n-grams.
 
-    ``keys`` (ascending) with corpus ``counts``. A seen n-gram ``h w`` is an arc
-    of weight ``log10 (c(h w) + strength * P(w | h')) / (c(h) + strength)`` from
-    the state of ``h``; the failure arc of ``h`` costs ``log10 strength / (c(h) +
-    strength)`` and leads to ``h'``, the history without its first token. In the
-    state without history a known token costs its count's share, scaled to leave
-    the mass of tokens seen once to the one unknown token. Each state's outgoing
-    probabilities sum to 1 over the known types and the unknown one.
+    State 0 has no history; the last state is the start of a document; the others
+    are the block's n-grams of fewer than ``order`` tokens. A seen n-gram ``h w`` is
+    an arc from ``h`` under ``w`` of weight ``log10 (c(h w) + strength * P(w | h')) /
+    (c(h) + strength)``; its target is the longest history that ends with it. The
+    failure arc of ``h`` costs ``log10 strength / (c(h) + strength)`` and leads to
+    ``h'``, the history without its first token. State 0 has an arc for every token
+    of the block: a known one costs its count's share, scaled to leave the mass of
+    tokens seen once to the one unknown token. Each state's outgoing probabilities
+    sum to 1 over the known types and the unknown one.
+
+    ``counts`` are the corpus counts of the block's distinct n-grams, by key.
     """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, totals: Totals, documents: int,
-                 strength: float):
-        self.keys, self.counts, self.totals, self.documents = keys, counts, totals, documents
-        self.strength = strength
-
-    def count(self, grams: np.ndarray) -> np.ndarray:
-        c = self.counts[np.searchsorted(self.keys, grams)] if len(self.keys) else np.zeros(len(grams))
-        return c.astype(np.float64)
-
-    def traverse(self, s: Sequences) -> tuple[np.ndarray, np.ndarray]:
-        """log10 weight of every token along its path, and the tokens' counts."""
-        t = self.totals
-        seen = [self.count(np.where(g == 0, s.grams[0], g)) * (g != 0) for g in s.grams]
-        unknown = max(t.once, 1) / (t.tokens + 1)
-        probability = np.where(seen[0] > 0, (1 - unknown) * seen[0] / max(t.tokens, 1), unknown)
-        state = None
-        for m in range(1, len(s.grams)):
-            # the state reached at a token is its longest history; its count is
-            # that of the n-gram one shorter that ended at the token before
-            state = np.empty(len(probability))
-            state[1:] = seen[m - 1][:-1]
-            state[s.heads] = self.documents if m == 1 else 0
-            arc = seen[m] > 0
-            failure = self.strength / (state + self.strength)
-            probability = np.where(arc, (seen[m] + self.strength * probability) / (state + self.strength),
-                                   failure * probability)
-        return np.log10(probability), seen[0]
+    def __init__(self, s: Sequences, counts: np.ndarray, totals: Totals, documents: int, strength: float):
+        order = len(s.grams)
+        every, at, node = np.unique(np.concatenate(s.grams), return_index=True, return_inverse=True)
+        if len(every) and every[0] == 0:  # places before the first n-gram of an order
+            counts = np.concatenate([[0], counts])
+        number = node.reshape(order, -1) + 1  # states of n-grams count from 1
+        start = len(every) + 1
+        count = np.concatenate([[totals.tokens], counts, [documents]]).astype(np.int64)
+        before = np.empty((order, number.shape[1]), np.int64)  # history of each place's n-gram
+        before[0] = 0
+        if order > 1:
+            before[1:, 1:] = number[:-1, :-1]
+            before[1, s.heads] = start
+        m, place = np.divmod(at, max(number.shape[1], 1))  # an n-gram's order less one, and where it first stands
+        history, token = before[m, place], number[0, place]
+        shorter = np.where(m > 0, number[np.maximum(m - 1, 0), place], 0)
+
+        unknown = max(totals.once, 1) / (totals.tokens + 1)
+        probability = np.zeros(len(count))
+        one = m == 0
+        own = np.arange(len(every)) + 1
+        probability[own[one]] = np.where(count[own[one]] > 0, (1 - unknown) * count[own[one]] / max(totals.tokens, 1),
+                                         unknown)
+        for k in range(1, order):
+            i = np.flatnonzero((m == k) & (every != 0))
+            probability[own[i]] = (count[own[i]] + strength * probability[shorter[i]]) / (count[history[i]] + strength)
+
+        arc = np.flatnonzero(one | ((count[own] > 0) & (every != 0)))
+        # the state reached: the n-gram itself as a history if it is seen and short enough
+        reached = np.where(m < order - 1, own, shorter)
+        reached = np.where(count[own] > 0, reached, 0)
+        self.width = start + 1
+        self.start = start if order > 1 else 0
+        self.arcs = dict(zip((history[arc] * self.width + token[arc]).tolist(), range(len(arc))))
+        self.weight = np.log10(probability[own[arc]]).tolist()
+        self.target = reached[arc].tolist()
+        self.failure = [0, *shorter.tolist(), 0]
+        self.penalty = np.log10(strength / (count + strength)).tolist()
+        self.tokens = number[0]
+        self.seen = count[self.tokens]
+
+    def traverse(self, first: np.ndarray) -> np.ndarray:
+        """log10 probability of each document: one pass over its tokens that carries
+        the state; ``first`` are the documents' first tokens (one entry more)."""
+        arcs, weight, target = self.arcs, self.weight, self.target
+        failure, penalty, width = self.failure, self.penalty, self.width
+        scores = np.empty(len(first) - 1)
+        for d, (lo, hi) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+            state, total = self.start, 0.0
+            for token in self.tokens[lo:hi].tolist():
+                arc = arcs.get(state * width + token)
+                while arc is None:
+                    total += penalty[state]
+                    state = failure[state]
+                    arc = arcs.get(state * width + token)
+                total += weight[arc]
+                state = target[arc]
+            scores[d] = total
+        return scores
 
 
 def _corpus_counts(blocks: DataFrame, order: int, n_buckets: int) -> DataFrame:
@@ -170,17 +207,15 @@ def lm_scores(docs: DataFrame, order: int = 2, strength: float = 300.0,
 
     def finish(batch: pa.RecordBatch, got: list[bytes]) -> Iterator[pa.RecordBatch]:
         s = sequences(batch.column("text"), order)
-        keys = np.unique(np.concatenate(s.grams))
-        keys = keys[keys > 0]
-        automaton = BackoffAutomaton(keys, np.concatenate([unpack_array(p) for p in got]), totals, learned, strength)
-        weight, count = automaton.traverse(s)
+        automaton = BackoffAutomaton(s, np.concatenate([unpack_array(p) for p in got]), totals, learned, strength)
+        score, count = automaton.traverse(s.first), automaton.seen
         base = np.log10((count + 1) / (totals.tokens + totals.types + 1))
         add = lambda x: np.add.reduceat(x, s.heads)
         n = np.diff(s.first)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column("held_out"), pa.array(n, pa.int64()),
              pa.array(add((count > 0).astype(np.int64)), pa.int64()),
-             pa.array(np.full(len(n), totals.tokens), pa.int64()), pa.array(add(base)), pa.array(add(weight))],
+             pa.array(np.full(len(n), totals.tokens), pa.int64()), pa.array(add(base)), pa.array(score)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return with_answers(blocks, answered, finish,

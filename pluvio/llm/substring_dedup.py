@@ -66,21 +66,20 @@ def _references(blocks: DataFrame, column: str, min_words: int, n_buckets: int)
 
 def parse(first: np.ndarray, at: np.ndarray, reference: np.ndarray, size: int):
     """Factors ``(start word, words, reference block)`` of a batch, and the mask
-    of covered words. ``at`` are the windows' first words, ``reference`` is 0
-    where a window is found nowhere else."""
-    total = int(first[-1])
+    of the words that lie in a factor. ``at`` are the windows' first words,
+    ``reference`` is 0 where a window is found nowhere else."""
     found = reference > 0
-    edge = np.zeros(total + 1, np.int64)
-    np.add.at(edge, at[found], 1)
-    np.add.at(edge, at[found] + size, -1)
-    covered = np.cumsum(edge)[:-1] > 0
     own = np.searchsorted(first, at, side="right")  # a factor stays in its document
     begin = found.copy()
     begin[1:] &= ~(found[:-1] & (at[1:] == at[:-1] + 1) & (own[1:] == own[:-1])
                    & (reference[1:] == reference[:-1]))
     b = np.flatnonzero(begin)
     run = np.add.reduceat(found.astype(np.int64), b) if len(b) else b
-    return at[b], run + size - 1, reference[b] - 1, covered
+    start, length = at[b], run + size - 1
+    edge = np.zeros(int(first[-1]) + 1, np.int64)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start + length, -1)
+    return start, length, reference[b] - 1, np.cumsum(edge)[:-1] > 0
 
 
 def _finish(column: str, size: int, outputs):
