@@ -62,7 +62,7 @@ def municipality_day_agg(station_day: DataFrame, bridge: DataFrame,
                  F.bool_or("dia_completo").alias("dia_completo")))
 
 
-def prior_days_window(key: str, date: str, days: int, frame: str = "range"):
+def prior_days_window(key: str | list[str], date: str, days: int, frame: str = "range"):
     """Frame over the ``days`` calendar days strictly before the row.
 
     ``frame="rows"`` reproduces the older version, which took the previous
@@ -96,7 +96,7 @@ def window_validity(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
     })
 
 
-def prior_window_features(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
+def prior_window_features(md: DataFrame, key: str | list[str] = "CODIGO_MUNICIPIO_IBGE",
                           date: str = "data_local", value: str = "precip_dia",
                           complete: str = "dia_completo", frame: str = "range") -> DataFrame:
     """``rolling_prior_sum`` and ``window_validity`` in one projection, so
@@ -112,6 +112,46 @@ def prior_window_features(md: DataFrame, key: str = "CODIGO_MUNICIPIO_IBGE",
     })
 
 
+HALO_DAYS = 3
+
+
+def _in_blocks(md: DataFrame, date: str, block_days: int) -> DataFrame:
+    """Rows with their block of ``block_days`` days (``bloco``); the last days of a block
+    also stand in the next one, there as ``halo``."""
+    if block_days < HALO_DAYS:
+        raise ValueError(f"a block needs {HALO_DAYS} days at least")
+    day = F.unix_date(F.col(date))
+    own, reach = (F.floor((day + n) / block_days).cast("int") for n in (0, HALO_DAYS))
+    places = F.when(reach != own, F.array(own, reach)).otherwise(F.array(own))
+    return md.select("*", F.posexplode(places).alias("__n", "bloco")) \
+             .withColumn("halo", F.col("__n") > 0).drop("__n")
+
+
+def _features_of(placed: DataFrame, key: str, date: str, **names) -> DataFrame:
+    return prior_window_features(placed, [key, "bloco"], date, **names).where(~F.col("halo")).drop("halo")
+
+
+def prior_features_by_block(md: DataFrame, block_days: int = 64, key: str = "CODIGO_MUNICIPIO_IBGE",
+                            date: str = "data_local", **names) -> DataFrame:
+    """``prior_window_features`` per (key, block of days), with the column ``bloco``: the
+    three days before a block are copied into it, so a block's features need nothing
+    else. Rows without a day have no window and are left out."""
+    return _features_of(_in_blocks(md.where(F.col(date).isNotNull()), date, block_days), key, date, **names)
+
+
+def append_days(stored: DataFrame, md: DataFrame, new: DataFrame, block_days: int = 64,
+                key: str = "CODIGO_MUNICIPIO_IBGE", date: str = "data_local", **names) -> DataFrame:
+    """Features after the days ``new`` were added to ``md``, whose features are ``stored``
+    (by :func:`prior_features_by_block`). Only the (key, block) pairs that a new day lies
+    in or reaches with its halo are computed again, late days included; all others
+    are taken from ``stored``. A key and day occurs once in ``md`` and ``new`` together."""
+    fresh = _in_blocks(new.where(F.col(date).isNotNull()), date, block_days)
+    touched = fresh.select(key, "bloco").distinct()
+    both = _in_blocks(md.where(F.col(date).isNotNull()), date, block_days).unionByName(fresh)
+    again = _features_of(both.join(touched, [key, "bloco"], "left_semi"), key, date, **names)
+    return stored.join(touched, [key, "bloco"], "left_anti").unionByName(again)
+
+
 FEATURE_COLS = ["CODIGO_MUNICIPIO_IBGE", "data_local", "precip_dia", "precip_24h",
                 "precip_48h", "precip_72h", "precip_max_horaria", "n_estacoes",
                 "horas_imputadas_72h", "janela_valida"]

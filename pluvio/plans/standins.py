@@ -21,6 +21,8 @@ Every role is a lazy DataFrame over whole tables: nothing is sampled or capped.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,10 @@ from pluvio.operators import labels as lab
 from pluvio.plans.common import read
 
 # Fixed values of the stand-in plans.
+#: First appended day and block length of the append query (parameters).
+APPEND_FROM = dt.date(2024, 1, 16)
+APPEND_BLOCK_DAYS = 8
+
 LOCAL_TZ = "-03:00"           # fixed offset, so the oracle needs no zone data
 REPORTED_AFTER = 1            # days from the reading to the day a label is dated
 Y_MIN_VALUE = 100.0

@@ -67,6 +67,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _written: list[str] = []
+_tables: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -85,13 +86,28 @@ def persist_table(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def bucketed_table(df, name: str, keys, buckets: int):
+    """Write ``df`` bucketed and sorted by ``keys`` under the shared folder, one file per
+    bucket, and read it back as a table of the session: joins and groupings on the keys
+    with a table of as many buckets need no shuffle, however often they run."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+       .option("compression", "zstd").option("path", path).saveAsTable(table))
+    _tables.append(table)
+    return spark.table(table)
+
+
 def drop_tables(spark: SparkSession) -> int:
-    """Delete what :func:`persist_table` and :func:`scratch_path` wrote so far.
+    """Delete what :func:`persist_table`, :func:`bucketed_table` and :func:`scratch_path` wrote so far.
     For the owner of the results, once they are collected or written: a lazy
     DataFrame over a dropped table can no longer be read. Returns the number of
     folders."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     while _written:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         n += bool(path.getFileSystem(conf).delete(path, True))

@@ -63,15 +63,21 @@ def parquet_zstd_sink(df: DataFrame, path: str, partition_by: list[str] | None =
     return path
 
 
-def per_station_parquet(df: DataFrame, path: str, station: str, folders: int = 64) -> str:
+def per_station_parquet(df: DataFrame, path: str, station: str, folders: int = 64,
+                        row_group_bytes: int = 32 << 20, stations_per_file: int = 10_000) -> str:
     """Station files in a bounded number of folders: a folder holds the stations
     of one hash value, sorted by station, so readers of one station open one
     folder and few row groups, however many stations there are. The rebalance
-    hint lets AQE split a heavy folder over several tasks."""
+    hint lets AQE split a heavy folder over several tasks. Row groups are small, with
+    a bloom filter and page index on the station, so a reader of one station skips the
+    row groups and pages of the others."""
     part = F.pmod(F.xxhash64(station), F.lit(folders)).cast("int")
     (df.withColumn(STATION_FOLDER, part).hint("rebalance", STATION_FOLDER)
        .sortWithinPartitions(STATION_FOLDER, station)
-       .write.mode("overwrite").option("compression", "zstd").partitionBy(STATION_FOLDER).parquet(path))
+       .write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", row_group_bytes)
+       .option(f"parquet.bloom.filter.enabled#{station}", "true")
+       .option(f"parquet.bloom.filter.expected.ndv#{station}", stations_per_file)
+       .partitionBy(STATION_FOLDER).parquet(path))
     return path
 
 
