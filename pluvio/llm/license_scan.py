@@ -5,13 +5,17 @@ anchors; the longest increasing subsequence of their positions is matched, and
 the gaps between matched anchors are aligned the same way, with equal words at a
 gap's ends matched first. A gap without anchors is matched word by word in
 order. Coverage is the share of the template's words that end up matched inside
-one stretch of the document not much longer than the template.
+one stretch of the document not much longer than the template. Words that tell a
+template from its rivals (numbers, and words that a similar template lacks) must
+be matched, and where templates match the same words the one that explains most
+of them wins.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,9 +33,20 @@ TEMPLATES = {
            "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
            "distribute, sublicense, and/or sell copies of the Software",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "Apache-1.1-notice": "Licensed under the Apache License, Version 1.1.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
                   "except in compliance with the License. You may obtain a copy of the License at",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the "
+               "GNU General Public License as published by the Free Software Foundation; either version 2 of "
+               "the License, or (at your option) any later version.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the "
+                "GNU Lesser General Public License as published by the Free Software Foundation; either "
+                "version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                "GNU Affero General Public License as published by the Free Software Foundation, either version 3 "
+                "of the License, or (at your option) any later version.",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the "
                "GNU General Public License as published by the Free Software Foundation, either version 3 of "
                "the License, or (at your option) any later version.",
@@ -42,6 +57,8 @@ TEMPLATES = {
            "appear in all copies.",
     "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 
@@ -110,16 +127,37 @@ def align(template: list[str], words: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _closest(template: list[str], words: list[str], pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The alignment in the shortest piece that ends where ``pairs`` end and holds the
+    same words as often, if it matches as many: an alignment over two copies then
+    lies in the second one."""
+    missing = Counter(template[i] for i, _ in pairs)
+    left, end = len(pairs), pairs[-1][1] + 1
+    for x in range(end - 1, pairs[0][1] - 1, -1):
+        if missing[words[x]] > 0:
+            missing[words[x]] -= 1
+            left -= 1
+            if not left:
+                near = align(template, words[x:end])
+                return [(i, x + j) for i, j in near] if len(near) >= len(pairs) else pairs
+    return pairs
+
+
 class Scanner:
     """Finds the best stretch for every template in a document.
 
     The document is first cut into stretches: runs of words where the next word
     of the template comes within ``reach`` words, so a notice that stands twice
     in a document is aligned twice. A stretch takes part if it holds
-    ``min_coverage`` of the template's distinct words.
+    ``min_coverage`` of the template's distinct words. Two templates are rivals if
+    one's words match ``rivalry`` of the other's; the words of a template that a
+    rival leaves unmatched, and all its words with digits, are telling: a stretch
+    without one of them is another license. Of stretches that share words the one
+    with most matched words counts, then the better covered, then the first name.
     """
 
-    def __init__(self, templates: dict[str, str], min_coverage: float = 0.85, reach: int = 8):
+    def __init__(self, templates: dict[str, str], min_coverage: float = 0.85, reach: int = 8,
+                 rivalry: float = 0.7):
         self.templates = {name: plain_words(t) for name, t in templates.items()}
         if not all(self.templates.values()):
             raise ValueError("a template has no words")
@@ -128,35 +166,54 @@ class Scanner:
         # only if enough of its distinct words are in the document at all
         self.vocabulary = {name: frozenset(t) for name, t in self.templates.items()}
         self.every = frozenset().union(*self.vocabulary.values())
+        self.telling = {}
+        for name, template in self.templates.items():
+            told = {i for i, w in enumerate(template) if any(c.isdigit() for c in w)}
+            for rival in self.templates.values():
+                same = {i for i, _ in align(template, rival)}
+                if len(same) >= rivalry * len(template):
+                    told.update(i for i in range(len(template)) if i not in same)
+            self.telling[name] = frozenset(told)
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
         """``(template, coverage, matched words, first word, last word)`` of the
-        best stretch of each template that reaches ``min_coverage``."""
+        best stretch of each template that reaches ``min_coverage``, holds its
+        telling words and is no part of what a better template explains."""
         words = plain_words(text)
         at: dict[str, list[int]] = {}
         for i, w in enumerate(words):
             if w in self.every:
                 at.setdefault(w, []).append(i)
-        found = []
+        hits = []
         for name, template in self.templates.items():
             need = self.min_coverage * len(self.vocabulary[name])
             if sum(w in at for w in self.vocabulary[name]) < need:
                 continue
             places = sorted(i for w in self.vocabulary[name] for i in at.get(w, ()))
-            best = None
-            for lo, hi in self._stretches(places, len(template)):
+            todo = list(self._stretches(places, len(template)))
+            while todo:
+                lo, hi = todo.pop()
                 own = words[lo:hi]
                 if len(self.vocabulary[name].intersection(own)) < need:
                     continue
                 pairs = align(template, own)
                 if len(pairs) < self.min_coverage * len(template):
                     continue
-                row = (name, len(pairs) / len(template), len(pairs), lo + pairs[0][1], lo + pairs[-1][1])
-                if best is None or row[1] > best[1]:
-                    best = row
-            if best:
-                found.append(best)
-        return found
+                pairs = _closest(template, own, pairs)
+                if self.telling[name] <= {i for i, _ in pairs}:
+                    hits.append((len(pairs), len(pairs) / len(template), name, [lo + j for _, j in pairs]))
+                todo += [(lo, lo + pairs[0][1]), (lo + pairs[-1][1] + 1, hi)]
+        hits.sort(key=lambda h: (-h[0], -h[1], h[2], h[3][0]))
+        taken: set[int] = set()
+        best: dict[str, tuple] = {}
+        for n, coverage, name, own in hits:
+            if 2 * sum(j in taken for j in own) > n:
+                continue
+            taken.update(own)
+            row = (name, coverage, n, own[0], own[-1])
+            if name not in best or (coverage, -own[0]) > (best[name][1], -best[name][3]):
+                best[name] = row
+        return [best[name] for name in self.templates if name in best]
 
     def _stretches(self, places: list[int], length: int) -> Iterator[tuple[int, int]]:
         """Runs of template words with gaps of at most ``reach``; a run much longer
@@ -177,7 +234,8 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None,
                  min_coverage: float = 0.85) -> DataFrame:
     """``(doc_id, license, coverage, n_matched, first_word, last_word)``: one row
     per document and template whose best stretch covers ``min_coverage`` of the
-    template. Whole texts are read; null and empty texts give no row; null and
+    template with its telling words, unless another template explains the same
+    words better. Whole texts are read; null and empty texts give no row; null and
     repeated ``doc_id`` rows are scanned each; other columns are ignored; an
     empty table gives an empty result. Of equally covered stretches the first
     counts. The templates travel with the task; they are a parameter and do not
