@@ -66,3 +66,23 @@ def test_queries_match_their_sql(spark, name):
     want = con.sql(ORACLE[name])
     assert sorted(rows.columns) == sorted(want.columns)
     assert sorted(map(repr, map(tuple, rows.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+@pytest.mark.parametrize("name", ["quality_rules", "substring_dedup", "packing", "minhash_dedup"])
+def test_stages_on_edge_rows(spark, edge_docs, no_docs, name):
+    """Nulls, empty, very long and repeated rows and clashing columns; empty tables."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    assert stage(spark, no_docs, SF).count() == 0
+    out = stage(spark, edge_docs, SF)
+    rows, n = out.collect(), edge_docs.count()
+    if name == "packing":
+        assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in edge_docs.select("doc_id").collect()}
+        return
+    assert out.schema == edge_docs.schema
+    texts = [r["text"] for r in rows]
+    if name == "quality_rules":
+        assert len(rows) < n and None not in texts and "" not in texts
+    elif name == "substring_dedup":
+        assert len(rows) == n and None in texts
+    else:
+        assert 0 < len(rows) < n and None in texts and any(r["doc_id"] is None for r in rows)
