@@ -7,7 +7,8 @@
 3. Classes that share a band value are tied to the smallest class there (a
    star, never all pairs). Ties whose signatures are far apart are dropped; the
    rest group the classes loosely: two classes above the threshold that share a
-   band are tied to the same hub, hence in the same loose group.
+   band are tied to the same hub, hence in the same loose group. They lose a band
+   only if its hub is unlike both of them.
 4. Inside a loose group the full sets decide. Groups are cut into blocks; block
    0 is compared with every block, which unites almost everything, and what is
    not in the group's largest component is then compared with all blocks. Pairs
@@ -244,8 +245,10 @@ def minhash_groups(docs: DataFrame, shingle: int = 4, percent: int = 80,
     Two rows are linked if ``100 * |A & B| >= percent * |A | B|`` for their sets
     of distinct ``shingle``-word shingles (A-Z lower-cased), confirmed on the
     full sets. ``component_id`` is the smallest ``doc_id`` reachable by links.
-    A candidate pair at exactly 80 % is missed by all 28 bands of 5 rows with
-    probability (1 - 0.8^5)^28 < 2e-5, and less above.
+    A candidate pair at exactly 80 % shares none of the 28 bands of 5 rows with
+    probability (1 - 0.8^5)^28 < 2e-5, and less above. Bands whose hub is unlike
+    both add to that: a hub at 40 % shares a band with probability 0.01, so each
+    such document in front of the pair takes a hundredth of its bands.
 
     Null and wordless texts have the empty set and link with nothing. Rows
     without ``doc_id`` link with nothing and are kept. Repeated rows are copies

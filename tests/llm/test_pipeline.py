@@ -30,7 +30,7 @@ def test_stages_take_effect(spark, tmp_path):
     assert ids[1] == ids[0] - bad and bad
     toxic = {r["doc_id"] for r in toxicity.toxicity_scores(seen[1], table(spark, SF, "labels")).where("predicted = 1").collect()}
     assert ids[2] == ids[1] - toxic
-    copies = {r["doc_id"] for r in minhash_dedup.minhash_groups(seen[2]).where("not kept").collect()}
+    copies = {r["doc_id"] for r in minhash_dedup.minhash_groups(seen[2], shingle=5, percent=80).where("not kept").collect()}
     assert ids[3] == ids[2] - copies
     assert ids[4] == ids[3] and ids[5] == ids[4]
 
@@ -86,3 +86,20 @@ def test_stages_on_edge_rows(spark, edge_docs, no_docs, name):
         assert len(rows) == n and None in texts
     else:
         assert 0 < len(rows) < n and None in texts and any(r["doc_id"] is None for r in rows)
+
+
+def test_near_dedup_stage_takes_five_words(spark):
+    """Scattered single-word edits: over 80 % on four words, under it on five."""
+    words = [f"w{i}" for i in range(404)]
+    edited = [f"x{i}" if i % 40 == 20 else w for i, w in enumerate(words)]
+
+    def shares(size):
+        a, b = ({tuple(t[i:i + size]) for i in range(len(t) - size + 1)} for t in (words, edited))
+        return 100 * len(a & b) / len(a | b)
+
+    assert shares(5) < 80 <= shares(4)
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(words) + " end")],
+                                 "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["minhash_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, SF).collect()) == [1, 2]
+    assert [r["doc_id"] for r in minhash_dedup.minhash_groups(docs).where("kept").collect()] == [1]
