@@ -35,9 +35,9 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One document of each group of near copies: the one with the smallest id. Null and
     empty texts are linked with nothing and stay, as rows without an id do; very
     long texts are compared on their full sets; extra columns pass through; an empty
-    table stays empty. (Four-word shingles at 80 %, as in op8, so that the
-    stage and the query share one code path.)"""
-    return minhash_dedup.first_of_groups(docs)
+    table stays empty. Five-word shingles at 80 %; the four words of op8 belong to that
+    query."""
+    return minhash_dedup.first_of_groups(docs, shingle=5, percent=80)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
