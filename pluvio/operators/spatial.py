@@ -12,8 +12,9 @@ seeds' row says so for every cell, and which cells between are wholly inside. So
 edge goes to the few cells that it crosses, whatever the ring's length, and a point is
 decided by its own cell: the seed's flag, turned over by each edge between seed and
 point. Rasters take the same cells as runs of columns per row, and distances come from
-the cells within reach that no nearer cell rules out. The tests are built-in
-higher-order functions written as SQL expression text (one parse each, no Python UDF).
+the edges in cells within reach that no nearer cell rules out, one row per point and
+edge. The tests on a cell's edges are built-in higher-order functions written as SQL
+expression text (one parse each, no Python UDF).
 """
 
 from __future__ import annotations
@@ -169,6 +170,38 @@ def _candidate_cells(cells: DataFrame, cell: float, reach: float, gid: str, lonl
                   .select(gid, "bx", "by", "__cx", "__cy")
 
 
+#: Fixed value: the points of one grid cell are dealt to so many blocks, so that a full
+#: cell is the work of many tasks.
+BLOCKS = 64
+
+
+def _edge_distance(rows: DataFrame, x: str, y: str, lonlat: bool, keep: Sequence[str]) -> DataFrame:
+    """``distance_sql`` for rows with one edge (x1, y1, x2, y2) each, in plain columns."""
+    at = rows
+    px, py = (F.lit(0.0), F.lit(0.0)) if lonlat else (F.col(x), F.col(y))
+    if lonlat:
+        at = at.select(*keep, *[((F.col(f"x{i}") - F.col(x)) * F.col("__kx")).alias(f"x{i}") for i in (1, 2)],
+                       *[((F.col(f"y{i}") - F.col(y)) * F.lit(KM_PER_DEGREE)).alias(f"y{i}") for i in (1, 2)])
+    t = F.expr("CASE WHEN dx * dx + dy * dy = 0 THEN 0.0D ELSE "
+               "least(1.0D, greatest(0.0D, (px * dx + py * dy) / (dx * dx + dy * dy))) END")
+    at = at.select(*keep, "x1", "y1", px.alias("__px"), py.alias("__py"),
+                   (F.col("x2") - F.col("x1")).alias("dx"), (F.col("y2") - F.col("y1")).alias("dy"),
+                   (px - F.col("x1")).alias("px"), (py - F.col("y1")).alias("py"))
+    at = at.select(*keep, (F.col("x1") + t * F.col("dx") - F.col("__px")).alias("gx"),
+                   (F.col("y1") + t * F.col("dy") - F.col("__py")).alias("gy"))
+    return at.select(*keep, F.expr("sqrt(gx * gx + gy * gy)").alias("dist"))
+
+
+def _meet(points: DataFrame, entries: DataFrame, at: Sequence[str]) -> DataFrame:
+    """Points with the entries of their grid cell. Both are dealt by cell and block to a
+    fixed number of tasks: a point is a few bytes but many tests, so tasks merged or
+    sides broadcast by their bytes would leave most of the work to a few of them."""
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = points.select(*at, "__block").distinct()
+    dealt = entries.join(blocks, list(at)).repartition(n, *at, "__block")
+    return points.repartition(n, *at, "__block").join(dealt.hint("merge"), [*at, "__block"])
+
+
 def locate(points: DataFrame, polys: DataFrame, reach: float | None = None, pid: str = "CODIGO_WMO",
            x: str = "x", y: str = "y", gid: str = "poly_id", cell: float = 100.0, ring: str = "ring",
            lonlat: bool = False) -> DataFrame:
@@ -179,30 +212,34 @@ def locate(points: DataFrame, polys: DataFrame, reach: float | None = None, pid:
     several); ``na_borda``: it lies on a border; ``poly_nearest`` / ``distancia``: the
     nearest polygon within ``reach`` (distance 0 inside and on the border; ties: the
     smallest id). ``lonlat``: coordinates and ``cell`` in degrees, ``reach`` in km. Each
-    point meets the entries of its own grid cell, in one join."""
+    point meets the entries of its own grid cell: the clipped polygons, which say whether
+    they contain it, and with ``reach`` the edges that may be nearest, a row for each."""
     cells = clipped_cells(polys.select(gid, ring), cell, gid, ring)
     if reach is not None:
         cells = persist_table(cells, "clipped")
+    grid = ["__cx", "__cy"]
+    pts = point_cells(points.select(pid, x, y), x, y, cell) \
+        .withColumn("__block", F.pmod(F.xxhash64(pid, x, y), F.lit(BLOCKS)).cast("int"))
     each = F.explode(F.expr("sequence(cx, cx_last)"))
     entries = cells.select(gid, each.alias("__cx"), F.col("cy").alias("__cy"), "edges", "inside")
-    if reach is not None:
-        far = _candidate_cells(cells, cell, reach, gid, lonlat).join(
-            cells.where("size(edges) > 0").select(gid, F.col("cx").alias("bx"), F.col("cy").alias("by"), "edges"),
-            [gid, "bx", "by"])
-        entries = entries.unionByName(far.select(gid, "__cx", "__cy", "edges", F.lit(None).cast("boolean").alias("inside")))
-    cand = point_cells(points.select(pid, x, y), x, y, cell).join(entries, ["__cx", "__cy"])
     px, py = f"`{x}`", f"`{y}`"
     seed = f"((__cx + {SEED_X}D) * {cell})", f"((__cy + {SEED_Y}D) * {cell})"
     turned = f"aggregate(edges, 0, (n, e) -> n + CASE WHEN {_between_sql(*seed, px, py)} THEN 1 ELSE 0 END) % 2 = 1"
-    # the containment of an entry of the own cell; other entries give distances only
-    own = cand.select(pid, gid, x, y, "edges", "inside",
-                      F.expr(f"CASE WHEN inside IS NOT NULL THEN exists(edges, e -> {_on_edge_sql(px, py)}) END").alias("on"),
-                      F.expr(f"CASE WHEN inside IS NOT NULL THEN inside <> ({turned}) END").alias("in"))
-    strictly = F.col("in") & ~F.col("on")
-    dist = F.when(F.col("in") | F.col("on"), F.lit(0.0))
+    own = _meet(pts, entries, grid).select(
+        pid, gid, F.expr(f"exists(edges, e -> {_on_edge_sql(px, py)})").alias("on"),
+        F.expr(f"inside <> ({turned})").alias("in"))
+    told = own.select(pid, gid, (F.col("in") & ~F.col("on")).alias("in"), "on",
+                      F.when(F.col("in") | F.col("on"), F.lit(0.0)).alias("dist"))
     if reach is not None:
-        dist = F.when(F.col("inside").isNull(), F.expr(distance_sql("edges", px, py, lonlat))).otherwise(dist)
-    told = own.select(pid, gid, strictly.alias("in"), "on", dist.alias("dist"))
+        # an edge may cross several cells: once is enough
+        near = _candidate_cells(cells, cell, reach, gid, lonlat).join(
+            cells.where("size(edges) > 0").select(gid, F.col("cx").alias("bx"), F.col("cy").alias("by"), "edges"),
+            [gid, "bx", "by"]).select(gid, *grid, F.inline("edges")).distinct()
+        kx = F.expr(f"{KM_PER_DEGREE} * cos(radians({py}))")
+        met = _meet(pts.withColumn("__kx", kx) if lonlat else pts, near, grid)
+        far = _edge_distance(met, x, y, lonlat, [pid, gid])
+        no = F.lit(None).cast("boolean")
+        told = told.unionByName(far.select(pid, gid, no.alias("in"), no.alias("on"), "dist"))
     hit = told.groupBy(pid).agg(
         F.min(F.when(F.col("in"), F.col(gid))).alias("poly_within"),
         F.coalesce(F.bool_or("on"), F.lit(False)).alias("na_borda"),

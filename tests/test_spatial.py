@@ -124,3 +124,40 @@ def test_raster_side_runs_no_ring_test(spark):
     z = sp.zonal_stats(cells, _square(spark), "alt", cell_size=5.0)
     plan = z._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(" not in plan
+
+
+def test_points_of_a_full_cell_are_the_work_of_many_tasks(spark):
+    pts = spark.range(4000).select(F.col("id").alias("CODIGO_WMO"), (20.0 + F.col("id") % 50).alias("x"),
+                                   (20.0 + F.col("id") % 7).alias("y"))          # all in one cell
+    plans, meet = [], sp._meet
+
+    def spy(*a):
+        plans.append(meet(*a))
+        return plans[-1]
+    with pytest.MonkeyPatch.context() as mp:
+        mp.setattr(sp, "_meet", spy)
+        got = sp.nearest_within(pts, _square(spark), 100.0, cell=100.0)
+    assert len(plans) == 2                                                    # containment, distances
+    for met in plans:
+        shares = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(shares) >= 6 and max(shares) < 2 * sum(shares) / len(shares)
+    d = {r.CODIGO_WMO: (r.poly_nearest, r.distancia) for r in got.collect()}
+    assert len(d) == 4000
+    assert all(d[i] == (1, pytest.approx(math.hypot(10.0 + i % 50, 10.0 + i % 7))) for i in range(4000))
+
+
+@pytest.mark.parametrize("lonlat", [False, True])
+def test_distances_are_plain_columns_not_lambdas(spark, lonlat):
+    pts = spark.createDataFrame([(1, 13.0, 14.0)], "CODIGO_WMO long, x double, y double")
+    near = sp.nearest_within(pts, _square(spark), 1000.0, cell=4.0, lonlat=lonlat)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "array_min(" not in plan
+    want = math.hypot(3.0 * sp.KM_PER_DEGREE * math.cos(math.radians(14)), 4.0 * sp.KM_PER_DEGREE) if lonlat else 5.0
+    assert near.first().distancia == pytest.approx(want)
+
+
+def test_repeated_and_missing_station_keys_keep_their_results(spark):
+    pts = spark.createDataFrame([(1, 5.0, 5.0), (1, 5.0, 5.0), (1, 13.0, 14.0), (None, 10.0, 5.0), (2, None, 5.0), (3, 12.0, 5.0)],
+                                "CODIGO_WMO long, x double, y double")
+    got = {r.CODIGO_WMO: tuple(r)[1:] for r in sp.locate(pts, _square(spark), 10.0, cell=4.0).collect()}
+    assert got == {1: (1, False, 1, 0.0), None: (None, True, 1, 0.0), 3: (None, False, 1, 2.0)}
