@@ -326,6 +326,7 @@ def cut_to_valid_period(grid: DataFrame, meta: DataFrame, station: str = "CODIGO
     period (the clean segment for segmented stations), with the station
     attributes attached. ``meta`` has one row per station."""
     m = meta.filter(F.col("status_final") == "incluida")
-    j = grid.join(m, station)
+    # stations are hashed and the hours stream past them: no task sorts its share of the grid
+    j = grid.join(m.hint("shuffle_hash"), station)
     return j.filter((F.col(t) >= F.col("periodo_valido_inicio"))
                     & (F.col(t) <= F.col("periodo_valido_fim")))

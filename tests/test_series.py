@@ -85,3 +85,15 @@ def test_quality_class(spark):
                                "e boolean, s boolean, p double")
     out = [r[0] for r in df.select(ser.quality_class("e", "s", "p")).collect()]
     assert out == ["excluida", "boa_com_ressalva (segmentada)", "alta", "media", "baixa"]
+
+
+def test_cut_streams_the_hours_past_the_stations_unsorted(spark):
+    h = _hourly(spark, [0, 1, 5, 9])
+    span = ser.station_span(h)
+    meta = span.select("CODIGO_WMO", F.lit("incluida").alias("status_final"), F.col("grid_inicio").alias("periodo_valido_inicio"),
+                       F.expr("grid_inicio + INTERVAL 5 HOURS").alias("periodo_valido_fim"))
+    cut = ser.cut_to_valid_period(ser.impute_hourly(h), meta)
+    top = cut._jdf.queryExecution().sparkPlan().toString().splitlines()
+    first = next(line for line in top if "Join" in line)
+    assert "ShuffledHashJoin" in first and "BuildRight" in first
+    assert sorted((r.dt_utc.hour, r.precip_mm) for r in cut.collect()) == [(i, float(i)) for i in range(6)]
