@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvio.operators import spatial as sp
+from pluvio.plans.catalog import QUERIES
+from small_tables import SF_SMALL
 
 
 def _square(spark):
@@ -161,3 +163,9 @@ def test_repeated_and_missing_station_keys_keep_their_results(spark):
                                 "CODIGO_WMO long, x double, y double")
     got = {r.CODIGO_WMO: tuple(r)[1:] for r in sp.locate(pts, _square(spark), 10.0, cell=4.0).collect()}
     assert got == {1: (1, False, 1, 0.0), None: (None, True, 1, 0.0), 3: (None, False, 1, 2.0)}
+
+
+@pytest.mark.parametrize("name", ["name_divergence"])
+def test_bridge_queries_deal_their_points_to_all_tasks(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 4 and "array_min(" not in plan
