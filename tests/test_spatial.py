@@ -165,7 +165,7 @@ def test_repeated_and_missing_station_keys_keep_their_results(spark):
     assert got == {1: (1, False, 1, 0.0), None: (None, True, 1, 0.0), 3: (None, False, 1, 2.0)}
 
 
-@pytest.mark.parametrize("name", ["name_divergence", "municipality_lonlat"])
+@pytest.mark.parametrize("name", ["name_divergence", "municipality_lonlat", "crosscheck_join"])
 def test_bridge_queries_deal_their_points_to_all_tasks(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 4 and "array_min(" not in plan
